@@ -2,43 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 FAILED = "_failed_columns"
 
 
-def failed_columns(types: Mapping[str, str]) -> Column:
-    """Names of the columns whose value is present but is not of the declared type."""
-    checks = [
-        F.when(F.col(name).isNotNull() & F.col(name).try_cast(to).isNull(), F.lit(name))
+def failed_columns(
+    types: Mapping[str, str], invalid: Mapping[str, Column] | None = None
+) -> Column:
+    """Names of the columns whose value is present but is not of the declared type.
+
+    ``invalid`` adds conditions of the caller, each under the name of the column it blames.
+    """
+    failures = {
+        name: F.col(name).isNotNull() & F.col(name).try_cast(to).isNull()
         for name, to in types.items()
-    ]
-    return F.array_compact(F.array(*checks))
+    }
+    for name, condition in (invalid or {}).items():
+        failures[name] = failures[name] | condition if name in failures else condition
+    return F.concat_ws(",", *[F.when(failed, F.lit(name)) for name, failed in failures.items()])
 
 
-def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Accepted rows with the declared types."""
-    return accepted(with_failures(df, types), types)
+def with_failures(
+    df: DataFrame, types: Mapping[str, str], invalid: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Every row with the names of its failed columns, so that one scan can serve both outputs."""
+    return df.withColumn(FAILED, failed_columns(types, invalid))
 
 
-def rejects(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Rejected rows as they came in, with the names of the columns that failed."""
-    return rejected(with_failures(df, types))
+def accepted(checked: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    kept = checked.where(F.col(FAILED) == "").drop(FAILED)
+    return kept.withColumns({name: F.col(name).try_cast(to) for name, to in types.items()})
 
 
-def with_failures(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Every row with its list of failed columns, so that one scan can serve both outputs."""
-    return df.withColumn(FAILED, failed_columns(types))
+def rejected(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col(FAILED) != "").withColumnRenamed(FAILED, "failed_columns")
 
 
-def accepted(checked: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    kept = checked.where(F.size(FAILED) == 0).drop(FAILED)
-    return kept.withColumns({name: F.col(name).try_cast(to) for name, to in types.items()})
+def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Accepted rows with the declared types."""
+    return accepted(with_failures(df, types), types)
 
 
-def rejected(checked: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
-    rows = checked.where(F.size(FAILED) > 0)
-    rows = rows.withColumn("failed_columns", F.concat_ws(",", FAILED)).drop(FAILED)
-    return rows.select(*keep, "failed_columns") if keep else rows
+def rejects(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Rejected rows as they came in, with ``failed_columns``, a list separated by commas."""
+    return rejected(with_failures(df, types))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from stratalake.catalog import Column
-from stratalake.functions import MONEY, day_string
+from stratalake.functions import MONEY, clean_text, day_string
 from stratalake.layers import Lake
 from stratalake.operators import (
     QualityChecker,
@@ -20,7 +20,7 @@ from stratalake.operators import (
 )
 from stratalake.operators.typed import FAILED
 from stratalake.sinks import write_lake, write_raw
-from stratalake.sources import read_lake, register_raw
+from stratalake.sources import lake_exists, read_lake, register_raw
 
 # Columns of the raw event table and of the curated summary.
 RAW_EVENTS = [
@@ -32,6 +32,7 @@ RAW_PARTITIONS = [Column("dt", "string")]
 SUMMARY_TYPES = {"date": "date", "total_amount": "decimal(18,2)", "total_count": "bigint"}
 
 PAYLOAD_FIELDS = "user_id string, event_type string, value string, props string"
+MALFORMED = "_malformed"
 REFINED_TYPES = {"event_id": "bigint", "user_id": "bigint", "value": MONEY}
 
 
@@ -87,26 +88,39 @@ def refined_checks(df: DataFrame) -> QualityChecker:
     )
 
 
+def check_raw(raw: DataFrame) -> DataFrame:
+    """Raw rows with their parsed payload and the names of the columns that are wrong."""
+    parsed = extract_payload(raw, "payload", PAYLOAD_FIELDS, malformed=MALFORMED, drop=False)
+    invalid = {
+        "payload": F.col(MALFORMED).isNotNull(),
+        "event_id": F.col("event_id").isNull(),
+        "event_type": clean_text("event_type").isNull(),
+    }
+    return with_failures(parsed, REFINED_TYPES, invalid)
+
+
 def refine(raw: DataFrame, lake: Lake) -> None:
     """Refined layer: payload parsed, values typed, newest version of each event.
 
-    The number of rejects is counted while the accepted rows are written, so the raw table is
-    read a second time only when there is something to put into the reject table.
+    Both tables are written anew from the whole raw table, so a rerun changes nothing. The number
+    of rejects is counted while the accepted rows are written, so the raw table is read a second
+    time only when there is something to put into the reject table.
     """
     tables = tables_of(lake)
     seen = Observation("refine")
-    checked = with_failures(extract_payload(raw, "payload", PAYLOAD_FIELDS), REFINED_TYPES)
-    watched = checked.observe(seen, F.count_if(F.size(FAILED) > 0).alias("rejects"))
+    checked = check_raw(raw)
+    watched = checked.observe(seen, F.count_if(F.col(FAILED) != "").alias("rejects"))
     newest_first = [F.desc("created_at"), F.desc("value"), F.desc("user_id"), F.desc("event_type")]
     rows = clean(
-        accepted(watched, REFINED_TYPES),
+        accepted(watched, REFINED_TYPES).drop("payload", MALFORMED),
         keys=["event_id"],
         newest_first=newest_first,
         text_columns=["event_type"],
     )
-    write_lake(rows, tables.refined, partition_by=["dt"], audit=refined_checks)
-    if seen.get["rejects"]:
-        write_lake(rejected(checked), tables.rejects, partition_by=["dt"])
+    write_lake(rows, tables.refined, "overwrite", partition_by=["dt"], audit=refined_checks)
+    if seen.get["rejects"] or lake_exists(raw.sparkSession, tables.rejects):
+        wrong = rejected(checked).select(*raw.columns, "failed_columns")
+        write_lake(wrong, tables.rejects, "overwrite", partition_by=["dt"])
 
 
 def summary_checks(df: DataFrame) -> QualityChecker:

@@ -20,7 +20,7 @@ DEFAULTS = {
 
 LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
-    "spark.driver.memory": "8g",
+    "spark.driver.memory": "4g",
 }
 
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024

@@ -150,12 +150,12 @@ def _dirs_holding(
     target: DataFrame, source: DataFrame, keys: Sequence[str]
 ) -> set[str]:
     """Folders with at least one row whose key occurs in ``source``."""
-    located = target.select(
-        *keys, ledger.dir_of(ledger.decoded(F.col("_metadata.file_path"))).alias("_dir")
-    )
+    located = target.select(*keys, F.col("_metadata.file_path").alias("_file"))
+    matches = located.join(source.select(*keys), list(keys), "left_semi")
+    touched = matches.select("_file").distinct()
     # At most one row per folder reaches the driver.
-    rows = located.join(source.select(*keys), list(keys), "left_semi").select("_dir").distinct()
-    return {row["_dir"] for row in rows.collect()}
+    folders = touched.select(ledger.dir_of(ledger.decoded(F.col("_file"))).alias("_dir"))
+    return {row["_dir"] for row in folders.distinct().collect()}
 
 
 def merge_lake(

@@ -50,8 +50,9 @@ def write_raw(
 def insert_raw(df: DataFrame, table: str, *, mode: str = "append") -> None:
     """Write into a registered table by column name; new partitions are registered too."""
     check_mode(mode)
-    columns = df.sparkSession.table(table).columns
-    writer = df.select(*columns).write
+    columns = df.sparkSession.catalog.listColumns(table)
+    rows = df.select(*[column.name for column in columns])
+    writer = arrange(rows, [column.name for column in columns if column.isPartition]).write
     if mode == "append":
         writer.insertInto(table)
     else:

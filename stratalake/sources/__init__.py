@@ -1,3 +1,3 @@
-from stratalake.sources.tables import read_lake, read_raw, register_raw
+from stratalake.sources.tables import lake_exists, read_lake, read_raw, register_raw
 
-__all__ = ["read_lake", "read_raw", "register_raw"]
+__all__ = ["lake_exists", "read_lake", "read_raw", "register_raw"]

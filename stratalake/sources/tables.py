@@ -29,6 +29,12 @@ def read_lake(spark: SparkSession, table: str, *, snapshot_id: int | None = None
     return ledger.rows_in(spark, location, snapshot.dirs, snapshot.schema)
 
 
+def lake_exists(spark: SparkSession, table: str) -> bool:
+    if iceberg.catalog_of(spark, table):
+        return spark.catalog.tableExists(table)
+    return bool(ledger.snapshot_ids(spark, resolve(spark, table)))
+
+
 def read_raw(
     spark: SparkSession,
     source: str,

@@ -23,9 +23,14 @@ def new_rows(
     *,
     fmt: str = "parquet",
     max_files: int | None = None,
+    max_file_age: str = "3650d",
 ) -> DataFrame:
-    """Stream over the files of a folder; ``max_files`` bounds one batch, not the run."""
-    reader = spark.readStream.format(fmt).schema(schema)
+    """Stream over the files of a folder; ``max_files`` bounds one batch, not the run.
+
+    Spark skips files older than ``max_file_age`` before the newest it has seen. Its own default
+    of a week would lose files that arrive late with an old time.
+    """
+    reader = spark.readStream.format(fmt).schema(schema).option("maxFileAge", max_file_age)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(source)
@@ -39,8 +44,8 @@ def run_incremental(
     transform: Transform | None = None,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
-) -> int:
-    """Load everything that is new into ``target`` and return the number of input rows.
+) -> None:
+    """Load everything that is new into ``target``.
 
     The target is a file sink: its log lists the files of finished batches, so a batch that is
     repeated after a failure is not counted twice.
@@ -49,15 +54,13 @@ def run_incremental(
     writer = output.writeStream.format(fmt).option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.trigger(availableNow=True).outputMode("append").start(target)
-    query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    writer.trigger(availableNow=True).outputMode("append").start(target).awaitTermination()
 
 
 def forward_alerts(
     events: DataFrame, rules: Sequence[Rule], target: str, checkpoint: str
-) -> int:
+) -> None:
     """Write events that match a rule to an alert table, each event once over all runs."""
-    return run_incremental(
+    run_incremental(
         events, target, checkpoint, transform=lambda rows: match_rules(rows, rules)
     )
