@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from stratalake.sinks.layout import arrange
+from stratalake.sinks.layout import arrange, session_conf
 
 # Text formats would cut times to milliseconds by default.
 TEXT_TIMES = {
@@ -55,6 +55,9 @@ def insert_raw(df: DataFrame, table: str, *, mode: str = "append") -> None:
     writer = arrange(rows, [column.name for column in columns if column.isPartition]).write
     if mode == "append":
         writer.insertInto(table)
-    else:
-        overwrite = "dynamic" if mode == "overwrite_partitions" else "static"
-        writer.option("partitionOverwriteMode", overwrite).insertInto(table, overwrite=True)
+        return
+    overwrite = "dynamic" if mode == "overwrite_partitions" else "static"
+    # insertInto takes this from the session, not from the options of the writer.
+    conf = {"spark.sql.sources.partitionOverwriteMode": overwrite}
+    with session_conf(df.sparkSession, conf):
+        writer.insertInto(table, overwrite=True)

@@ -23,7 +23,7 @@ def new_rows(
     *,
     fmt: str = "parquet",
     max_files: int | None = None,
-    max_file_age: str = "3650d",
+    max_file_age: str = "36500d",
 ) -> DataFrame:
     """Stream over the files of a folder; ``max_files`` bounds one batch, not the run.
 

@@ -1,0 +1,162 @@
+"""DDL texts, external tables, partitions, views, layers, session."""
+
+import pytest
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
+
+from stratalake import Lake, catalog, insert_raw, read_raw, register_raw, write_raw
+from stratalake.catalog import Column
+from stratalake.layers import resolve
+from stratalake.session import scratch_path, shared_dir, shuffle_partitions_for
+
+COLUMNS = [Column("id", "bigint", "it's a key"), Column("v", "string")]
+DAY = [Column("dt", "string")]
+
+
+def test_table_ddl():
+    assert catalog.table_ddl(
+        "db.t",
+        COLUMNS,
+        partition_by=DAY,
+        location="s3://bucket/t",
+        comment="rows",
+        properties={"owner": "me"},
+        if_not_exists=True,
+    ) == (
+        "CREATE TABLE IF NOT EXISTS `db`.`t` (`id` bigint COMMENT 'it\\'s a key', `v` string, "
+        "`dt` string) USING parquet PARTITIONED BY (`dt`) LOCATION 's3://bucket/t' "
+        "COMMENT 'rows' TBLPROPERTIES ('owner' = 'me')"
+    )
+
+
+def test_lake_table_ddl_drops_reserved_properties():
+    ddl = catalog.lake_table_ddl(
+        "c.db.t",
+        COLUMNS[1:],
+        location="s3://b/p/db/t",
+        properties={"table_type": "X", "metadata_location": "Y", "owner": "me"},
+    )
+    assert ddl == (
+        "CREATE TABLE IF NOT EXISTS `c`.`db`.`t` (`v` string) USING iceberg "
+        "LOCATION 's3://b/p/db/t' TBLPROPERTIES ('format-version' = '2', "
+        "'classification' = 'iceberg', 'owner' = 'me')"
+    )
+    assert catalog.lake_properties({"classification": "other"}) == {"classification": "other"}
+
+
+def test_lake_names(spark, lake):
+    made = Lake("f-01", "de", "sales", {"raw": "s3://raw/", "refined": "s3://ref", "curated": "c"})
+    assert made.database("raw") == "f_01_de_raw"
+    assert made.location("raw", "events") == "s3://raw/sales/f_01_de_raw/events"
+    with pytest.raises(ValueError, match="layer must be one of"):
+        made.database("gold")
+    assert resolve(spark, lake.table("raw", "x")) == lake.location("raw", "x")
+    assert spark.catalog.databaseExists(lake.database("curated"))
+
+
+def two_days(spark):
+    return spark.createDataFrame(
+        [(1, "a", "2024-01-03"), (2, "b", "2024-01-04")], "id bigint, v string, dt string"
+    )
+
+
+def test_external_table_and_pruning(spark, lake):
+    location = lake.location("raw", "t")
+    write_raw(two_days(spark), location, partition_by=["dt"])
+    table = register_raw(
+        spark, lake.table("raw", "t"), COLUMNS, location=location, partition_by=DAY, comment="x"
+    )
+    assert table.dtypes == two_days(spark).dtypes
+    assert rows(table) == rows(two_days(spark))
+    day = table.where("dt = '2024-01-03'")
+    assert rows(day) == [(1, "a", "2024-01-03")]
+    assert "PartitionFilters: [isnotnull(dt" in plan_of(day)
+
+
+def test_partitions(spark, lake, tmp_path):
+    location = lake.location("raw", "t")
+    write_raw(two_days(spark), location, partition_by=["dt"])
+    name = lake.table("raw", "t")
+    register_raw(spark, name, COLUMNS, location=location, partition_by=DAY)
+    catalog.drop_partitions(spark, name, [{"dt": "2024-01-03"}, {"dt": "1999-01-01"}])
+    assert [r["id"] for r in spark.table(name).collect()] == [2]
+    catalog.add_partitions(spark, name, [({"dt": "2024-01-03"}, None)])
+    assert spark.table(name).count() == 2
+    other = f"file:{tmp_path}/elsewhere"
+    write_raw(spark.createDataFrame([(7, "z")], "id bigint, v string"), other)
+    catalog.move_partition(spark, name, {"dt": "2024-01-03"}, other)
+    assert rows(spark.table(name).where("dt = '2024-01-03'")) == [(7, "z", "2024-01-03")]
+    catalog.drop_partitions(spark, name, [])
+    catalog.add_partitions(spark, name, [])
+
+
+def test_insert_by_name_and_overwrite(spark, lake):
+    name = lake.table("raw", "t")
+    register_raw(
+        spark, name, COLUMNS, location=lake.location("raw", "t"), partition_by=DAY
+    )
+    insert_raw(two_days(spark).select("dt", "v", "id"), name)
+    assert rows(spark.table(name)) == rows(two_days(spark))
+    changed = two_days(spark).where("id = 1").withColumn("v", F.lit("new"))
+    insert_raw(changed, name, mode="overwrite_partitions")
+    assert rows(spark.table(name)) == [(1, "new", "2024-01-03"), (2, "b", "2024-01-04")]
+    insert_raw(changed, name, mode="overwrite")
+    assert rows(spark.table(name)) == [(1, "new", "2024-01-03")]
+
+
+def test_add_columns(spark, lake):
+    name = lake.table("raw", "t")
+    register_raw(spark, name, COLUMNS, location=lake.location("raw", "t"))
+    insert_raw(two_days(spark).select("id", "v"), name)
+    catalog.add_columns(spark, name, [Column("more", "int")])
+    assert rows(spark.table(name)) == [(1, "a", None), (2, "b", None)]
+
+
+def test_view(spark, lake):
+    location = lake.location("raw", "t")
+    write_raw(two_days(spark), location, partition_by=["dt"])
+    name = lake.table("raw", "t")
+    register_raw(spark, name, COLUMNS, location=location, partition_by=DAY)
+    view = lake.table("refined", "first_day")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT id FROM {name} WHERE dt = '2024-01-03'")
+    assert rows(read_raw(spark, view)) == [(1,)]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_formats_keep_microseconds(spark, tmp_path, fmt):
+    path = f"file:{tmp_path}/t"
+    frame = spark.sql("SELECT 1L id, TIMESTAMP_NTZ '2024-01-03 01:02:03.123456' t, '2024-01-03' dt")
+    write_raw(frame, path, fmt=fmt, partition_by=["dt"])
+    declared = "id bigint, t timestamp_ntz, dt string"
+    assert rows(read_raw(spark, path, schema=declared, fmt=fmt)) == rows(frame)
+
+
+def test_raw_overwrite_modes(spark, tmp_path):
+    path = f"file:{tmp_path}/t"
+    write_raw(two_days(spark), path, partition_by=["dt"])
+    day = two_days(spark).where("id = 1").withColumn("v", F.lit("new"))
+    write_raw(day, path, mode="overwrite_partitions", partition_by=["dt"])
+    declared = "id bigint, v string, dt string"
+    assert [r["v"] for r in read_raw(spark, path, schema=declared).orderBy("id").collect()] == [
+        "new",
+        "b",
+    ]
+    write_raw(day, path, mode="overwrite", partition_by=["dt"])
+    assert read_raw(spark, path, schema=declared).count() == 1
+    with pytest.raises(ValueError, match="needs partition_by"):
+        write_raw(day, path, mode="overwrite_partitions")
+    with pytest.raises(ValueError, match="mode must be one of"):
+        write_raw(day, path, mode="replace")
+    with pytest.raises(ValueError, match="declared schema"):
+        read_raw(spark, path)
+
+
+def test_scratch_is_in_the_shared_folder(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    assert scratch_path(spark, "x").startswith(shared_dir(spark))
+
+
+def test_shuffle_partitions():
+    assert shuffle_partitions_for(10**9) == 200
+    assert shuffle_partitions_for(100 * 10**12) == 372530

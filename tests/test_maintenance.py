@@ -1,0 +1,255 @@
+"""Compaction, snapshot expiry, orphan removal."""
+
+import os
+import time
+from collections import defaultdict
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import plan_of, rows
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from stratalake import ledger, read_lake, write_lake
+from stratalake.operators import (
+    compaction_plan,
+    expired_snapshots,
+    list_files,
+    orphan_files,
+    unreachable_files,
+    with_expiry,
+)
+from stratalake.plans.maintenance import (
+    compact_lake,
+    data_files,
+    expire_lake,
+    remove_orphans,
+    table_compaction_plan,
+)
+
+NOW = datetime(2024, 3, 1)
+
+
+def numbers(spark, start, stop):
+    return spark.range(start, stop).select("id", (F.col("id") % 3).cast("string").alias("part"))
+
+
+def files_per_partition(spark, location):
+    counts = data_files(spark, location).groupBy("partition").count()
+    return {r["partition"]: r["count"] for r in counts.collect()}
+
+
+@pytest.mark.parametrize("partition_by", [[], ["part"]])
+@pytest.mark.parametrize("sort_by", [[], ["id"]])
+def test_compaction_keeps_rows_and_merges_files(spark, location, partition_by, sort_by):
+    for start in range(0, 500, 100):
+        write_lake(numbers(spark, start, start + 100), location, partition_by=partition_by)
+    before = rows(read_lake(spark, location))
+    many = files_per_partition(spark, location)
+    assert min(many.values()) >= 5
+    compact_lake(spark, location, sort_by=sort_by)
+    assert rows(read_lake(spark, location)) == before
+    few = files_per_partition(spark, location)
+    assert few.keys() == many.keys()
+    if not sort_by:
+        assert set(few.values()) == {1}
+        assert compact_lake(spark, location) is None
+
+
+def test_compaction_leaves_settled_partitions_alone(spark, location):
+    write_lake(numbers(spark, 0, 300), location, partition_by=["part"])
+    write_lake(numbers(spark, 0, 300).where("part = '1'"), location)
+    before = ledger.latest(spark, location).dirs
+    compact_lake(spark, location)
+    after = ledger.latest(spark, location).dirs
+    kept = [d for d in before if ledger.partition_of(d) != "part=1"]
+    assert set(kept) < set(after) and len(after) == 3
+    assert read_lake(spark, location).count() == 400
+
+
+def test_compaction_restores_session_settings(spark, location):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    for _ in range(2):
+        write_lake(numbers(spark, 0, 10), location)
+    compact_lake(spark, location, target_bytes=1 << 20)
+    assert spark.conf.get(key) == before
+
+
+def test_compaction_respects_the_target_size(spark, location):
+    big = spark.range(0, 200000, 1, 1).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    for i in range(4):
+        write_lake(big.where(F.col("id") % 4 == i), location)
+    sizes = [r["length"] for r in data_files(spark, location).collect()]
+    target = sum(sizes) // 2 + 100000
+    compact_lake(spark, location, target_bytes=target)
+    assert len(data_files(spark, location).collect()) == 2
+
+
+def test_compaction_plan(spark):
+    files = spark.createDataFrame([("a", 10), ("a", 20), ("b", 64), ("c", 0)], "g string, n bigint")
+    assert rows(compaction_plan(files, ["g"], "n", 16)) == [
+        ("a", 2, 30, 2),
+        ("b", 1, 64, 4),
+        ("c", 1, 0, 0),
+    ]
+
+
+def test_table_compaction_plan(spark, location):
+    write_lake(numbers(spark, 0, 300), location, partition_by=["part"])
+    plan = table_compaction_plan(spark, location).collect()
+    assert sorted(r["partition"] for r in plan) == ["part=0", "part=1", "part=2"]
+    assert all(r["bytes"] > 0 and r["target_files"] == 1 for r in plan)
+
+
+# Retention as an operator
+
+history = st.lists(
+    st.tuples(st.sampled_from("ab"), st.integers(0, 20)), max_size=14
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(history=history, keep=st.integers(0, 4), days=st.integers(0, 10))
+def test_retention_matches_brute_force(spark, history, keep, days):
+    snapshots = [
+        (table, number, NOW - timedelta(days=age)) for number, (table, age) in enumerate(history)
+    ]
+    frame = spark.createDataFrame(snapshots, "t string, s bigint, at timestamp_ntz")
+    by_table = defaultdict(list)
+    for row in snapshots:
+        by_table[row[0]].append(row)
+    expected = [
+        row
+        for group in by_table.values()
+        for place, row in enumerate(sorted(group, key=lambda r: (r[2], r[1]), reverse=True))
+        if place >= keep and row[2] < NOW - timedelta(days=days)
+    ]
+    columns = dict(table="t", snapshot="s", committed_at="at", as_of=NOW, days=days, keep=keep)
+    expired = expired_snapshots(frame, **columns)
+    assert rows(expired) == sorted(expected, key=repr)
+    flagged = with_expiry(frame, **columns)
+    assert rows(flagged.where("expired").drop("expired")) == rows(expired)
+    assert flagged.count() == len(snapshots)
+
+
+def test_retention_ranks_before_the_shuffle(spark):
+    frame = spark.range(10).select(
+        (F.col("id") % 2).alias("t"), F.col("id").alias("s"), F.lit(NOW).alias("start")
+    )
+    frame = frame.withColumn("at", F.expr("start - make_interval(0, 0, 0, s)").cast("timestamp_ntz"))
+    plan = plan_of(expired_snapshots(frame, table="t", snapshot="s", committed_at="at", as_of=NOW))
+    assert "row_number(), 3, Partial" in plan
+
+
+def test_unreachable_files(spark):
+    references = spark.createDataFrame(
+        [(1, "x"), (2, "x"), (1, "y"), (3, "z")], "s bigint, f string"
+    )
+    gone = unreachable_files(references, file=["f"], expired=F.col("s").isin(1, 3))
+    assert rows(gone) == [("y",), ("z",)]
+
+
+def test_orphans_by_file_age(spark, tmp_path):
+    day = 86400
+    for name, age in [("old", 9), ("young", 1), ("used", 9)]:
+        path = tmp_path / f"{name}.parquet"
+        path.write_bytes(b"x")
+        then = time.mktime((2024, 3, 1, 0, 0, 0, 0, 0, 0)) - age * day
+        os.utime(path, (then, then))
+    listing = list_files(spark, f"file:{tmp_path}")
+    assert {r["length"] for r in listing.collect()} == {1}
+    used = listing.where(F.col("path").endswith("used.parquet")).select("path")
+    repeated = used.union(used)
+    orphans = orphan_files(listing, repeated, path="path", modified="modified", as_of=NOW, days=7)
+    assert [r["path"].rsplit("/", 1)[1] for r in orphans.collect()] == ["old.parquet"]
+
+
+# Retention on tables
+
+
+def aged_table(spark, location, ages, mode="overwrite", **options):
+    for number, age in enumerate(ages):
+        write_lake(
+            numbers(spark, number * 10, number * 10 + 10),
+            location,
+            mode if number else "append",
+            committed_at=NOW - timedelta(days=age),
+            **options,
+        )
+
+
+def test_expire_keeps_the_minimum(spark, location):
+    aged_table(spark, location, [30, 29, 28])
+    assert expire_lake(spark, location, as_of=NOW, dry_run=False) == ([], [])
+
+
+def test_expire_is_dry_by_default(spark, location):
+    aged_table(spark, location, [30, 29, 28, 27, 26])
+    gone, dirs = expire_lake(spark, location, as_of=NOW)
+    assert gone == [1, 2] and len(dirs) == 2
+    assert ledger.snapshot_ids(spark, location) == [1, 2, 3, 4, 5]
+    assert read_lake(spark, location, snapshot_id=1).count() == 10
+
+
+def test_expire_deletes_only_what_nobody_needs(spark, location):
+    aged_table(spark, location, [30, 29, 28, 27, 2, 1], mode="append", partition_by=["part"])
+    write_lake(
+        numbers(spark, 0, 9).where("part = '1'"),
+        location,
+        "overwrite_partitions",
+        committed_at=NOW,
+    )
+    keep = {i: rows(read_lake(spark, location, snapshot_id=i)) for i in (5, 6, 7)}
+    gone, dirs = expire_lake(spark, location, as_of=NOW, dry_run=False)
+    assert gone == [1, 2, 3, 4] and dirs == []
+    assert ledger.snapshot_ids(spark, location) == [5, 6, 7]
+    for number, expected in keep.items():
+        assert rows(read_lake(spark, location, snapshot_id=number)) == expected
+
+
+def test_expired_folders_go_or_stay(spark, location):
+    aged_table(spark, location, [30, 29, 28, 27, 26])
+    gone, dirs = expire_lake(
+        spark, location, as_of=NOW, clean_expired_files=False, dry_run=False
+    )
+    assert gone == [1, 2] and dirs == []
+    # What expiry left behind is then an orphan.
+    orphans = remove_orphans(spark, location, as_of=NOW)
+    assert len(orphans) == 2
+    assert remove_orphans(spark, location, as_of=NOW, dry_run=False) == orphans
+    assert remove_orphans(spark, location, as_of=NOW) == []
+    assert read_lake(spark, location).count() == 10
+
+
+def test_orphans_of_dead_writes(spark, location):
+    aged_table(spark, location, [20], partition_by=["part"])
+    base = f"{location}/data"
+    for age in (8, 2):
+        commit = ledger.new_commit_dir(NOW - timedelta(days=age))
+        numbers(spark, 0, 5).write.parquet(f"{base}/{commit}/_temporary/0")
+    orphans = remove_orphans(spark, location, as_of=NOW, dry_run=False)
+    assert [ledger.commit_time(d) for d in orphans] == [NOW - timedelta(days=8)]
+    left = os.listdir(base.removeprefix("file:"))
+    assert len([name for name in left if name.startswith("_commit=")]) == 2
+    assert read_lake(spark, location).count() == 10
+
+
+ages = st.lists(st.integers(0, 20), min_size=1, max_size=5).map(lambda a: sorted(a, reverse=True))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(ages=ages, keep=st.integers(1, 3), mode=st.sampled_from(["append", "overwrite"]))
+def test_retained_snapshots_survive_all_maintenance(spark, tmp_path_factory, ages, keep, mode):
+    location = f"file:{tmp_path_factory.mktemp('care')}/table"
+    aged_table(spark, location, ages, mode=mode, partition_by=["part"])
+    compact_lake(spark, location, committed_at=NOW)
+    everything = ledger.snapshot_ids(spark, location)
+    content = {i: rows(read_lake(spark, location, snapshot_id=i)) for i in everything}
+    gone, _ = expire_lake(spark, location, as_of=NOW, keep=keep, dry_run=False)
+    remove_orphans(spark, location, as_of=NOW, dry_run=False)
+    left = ledger.snapshot_ids(spark, location)
+    assert sorted(gone + left) == everything
+    assert len(left) >= min(keep, len(everything))
+    for number in left:
+        assert rows(read_lake(spark, location, snapshot_id=number)) == content[number]

@@ -1,0 +1,230 @@
+"""Layer transforms and alerts on small frames, edge cases first."""
+
+import random
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
+
+from stratalake.functions import clean_text, day_string, money
+from stratalake.operators import (
+    Dimension,
+    Rule,
+    clean,
+    conform_union,
+    daily_summary,
+    denormalise,
+    drop_missing_keys,
+    extract_payload,
+    failure_rules,
+    latest_per_key,
+    match_rules,
+    rejects,
+    typed,
+)
+
+
+def test_clean_text(spark):
+    frame = spark.createDataFrame([("  a \t b\n",), ("",), ("   ",), (None,), ("x",)], "t string")
+    got = [r[0] for r in frame.select(clean_text("t")).collect()]
+    assert got == ["a b", None, None, None, "x"]
+
+
+def test_money_and_day(spark):
+    frame = spark.createDataFrame([(0.1, datetime(2024, 1, 3, 23, 59))], "v double, t timestamp_ntz")
+    assert frame.select(money("v"), day_string("t")).first()[:] == (Decimal("0.10"), "2024-01-03")
+
+
+def test_drop_missing_keys(spark):
+    frame = spark.createDataFrame([(1, 1), (None, 1), (1, None)], "a int, b int")
+    assert rows(drop_missing_keys(frame, ["a", "b"])) == [(1, 1)]
+
+
+def test_latest_per_key_matches_brute_force(spark):
+    rng = random.Random(7)
+    # Key 0 holds a third of all rows.
+    data = [
+        (0 if rng.random() < 0.33 else rng.randint(1, 50), rng.randint(0, 99), i)
+        for i in range(3000)
+    ]
+    frame = spark.createDataFrame(data, "k int, version int, tie int").repartition(7)
+    got = latest_per_key(frame, ["k"], [F.desc("version"), F.desc("tie")])
+    best = {}
+    for k, version, tie in data:
+        best[k] = max(best.get(k, (-1, -1)), (version, tie))
+    assert rows(got) == sorted(((k, *v) for k, v in best.items()), key=repr)
+
+
+def test_latest_per_key_limits_before_the_shuffle(spark):
+    frame = spark.range(10).select((F.col("id") % 3).alias("k"), "id")
+    plan = plan_of(latest_per_key(frame, ["k"], [F.desc("id")]))
+    assert plan.index("row_number(), 1, Partial") > plan.index("Exchange hashpartitioning")
+
+
+def test_clean(spark):
+    frame = spark.createDataFrame(
+        [(1, " a ", 1), (1, "b  c", 2), (None, "x", 1)], "k int, t string, v int"
+    )
+    assert rows(clean(frame, ["k"], [F.desc("v")], ["t"])) == [(1, "b c", 2)]
+    assert rows(clean(frame.limit(0), ["k"], [F.desc("v")], ["t"])) == []
+
+
+TYPES = {"i": "bigint", "d": "date", "m": "decimal(18,2)"}
+
+
+def test_typed_and_rejects_split_the_input(spark):
+    frame = spark.createDataFrame(
+        [
+            ("1", "2024-01-03", "1.25", "fine"),
+            (None, None, None, "nulls are fine"),
+            ("x", "2024-01-03", "1.25", "one"),
+            ("x", "yesterday", "1e99", "three"),
+        ],
+        "i string, d string, m string, note string",
+    )
+    accepted = typed(frame, TYPES)
+    assert dict(accepted.dtypes) == TYPES | {"note": "string"}
+    assert rows(accepted) == [
+        (1, date(2024, 1, 3), Decimal("1.25"), "fine"),
+        (None, None, None, "nulls are fine"),
+    ]
+    assert rows(rejects(frame, TYPES).select("note", "i", "failed_columns")) == [
+        ("one", "x", "i"),
+        ("three", "x", "i,d,m"),
+    ]
+
+
+def test_all_rows_rejected(spark):
+    frame = spark.createDataFrame([("x",), ("y",)], "i string")
+    assert typed(frame, {"i": "int"}).count() == 0
+    assert rejects(frame, {"i": "int"}).count() == 2
+
+
+def test_extract_payload(spark):
+    frame = spark.createDataFrame(
+        [(1, '{"k": 5, "more": 1}'), (2, "{broken"), (3, None), (4, '{"other": 1}')],
+        "id int, payload string",
+    )
+    assert rows(extract_payload(frame, "payload", "k bigint, s string")) == [
+        (1, 5, None),
+        (2, None, None),
+        (3, None, None),
+        (4, None, None),
+    ]
+    marked = extract_payload(frame, "payload", "k bigint", malformed="bad", drop=False)
+    assert marked.columns == ["id", "payload", "k", "bad"]
+    assert rows(marked.where("bad is not null").select("id", "bad")) == [(2, "{broken")]
+
+
+def test_payload_is_parsed_once(spark):
+    frame = spark.createDataFrame([(1, '{"a": "1", "b": "2"}')], "id int, payload string")
+    kept = typed(extract_payload(frame, "payload", "a string, b string"), {"a": "int", "b": "int"})
+    assert plan_of(kept).count("from_json") == 1
+
+
+def test_conform_union(spark):
+    a = spark.createDataFrame([(1, "x")], "id int, label string")
+    b = spark.createDataFrame([(2, 5)], "num int, size int")
+    got = conform_union(
+        [
+            (a, {"key": F.col("id"), "name": F.col("label")}),
+            (b, {"key": F.col("num"), "size": F.col("size")}),
+        ]
+    )
+    assert got.columns == ["key", "name", "size"]
+    assert rows(got) == [(1, "x", None), (2, None, 5)]
+
+
+def test_daily_summary(spark):
+    frame = spark.createDataFrame(
+        [
+            (datetime(2024, 1, 1, 0, 0), 0.1),
+            (datetime(2024, 1, 1, 23, 59), 0.2),
+            (datetime(2024, 1, 2), None),
+        ],
+        "t timestamp_ntz, v double",
+    )
+    got = daily_summary(frame, "t", "v")
+    assert got.dtypes == [
+        ("date", "date"),
+        ("total_amount", "decimal(18,2)"),
+        ("total_count", "bigint"),
+    ]
+    assert rows(got) == [(date(2024, 1, 1), Decimal("0.30"), 2), (date(2024, 1, 2), None, 1)]
+
+
+def test_denormalise_keeps_every_fact(spark):
+    facts = spark.createDataFrame([(1, 10), (2, 11), (3, None)], "id int, ref int")
+    sizes = spark.createDataFrame([(10, "ten")], "key int, name string")
+    wide = denormalise(facts, [Dimension(sizes, "key", "ref")])
+    assert rows(wide) == [(1, 10, "ten"), (2, 11, None), (3, None, None)]
+
+
+def test_denormalise_broadcasts_only_small_dimensions(spark, tmp_path):
+    facts = spark.range(100).select("id", F.col("id").alias("ref"))
+    path = f"file:{tmp_path}/dim"
+    spark.range(100).select(F.col("id").alias("key"), F.lit("n").alias("name")).write.parquet(path)
+    dimension = Dimension(spark.read.parquet(path), "key", "ref")
+    assert "BroadcastHashJoin" in plan_of(denormalise(facts, [dimension]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        assert "SortMergeJoin" in plan_of(denormalise(facts, [dimension]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+RUNS = [
+    ("states", "FAILED"),
+    ("states", "TIMED_OUT"),
+    ("states", "ERROR"),
+    ("jobs", "ERROR"),
+    ("jobs", "TIMEOUT"),
+    ("jobs", "SUCCEEDED"),
+    ("other", "FAILED"),
+    ("jobs", None),
+]
+
+
+def test_failure_rules(spark):
+    events = spark.createDataFrame(RUNS, "source string, status string")
+    rules = failure_rules("source", "status", pipeline="states", job="jobs")
+    assert rows(match_rules(events, rules)) == [
+        ("jobs", "ERROR", "job_failure"),
+        ("jobs", "TIMEOUT", "job_failure"),
+        ("states", "FAILED", "pipeline_failure"),
+        ("states", "TIMED_OUT", "pipeline_failure"),
+    ]
+
+
+def test_event_can_match_several_rules(spark):
+    events = spark.createDataFrame([("a", "b")], "x string, y string")
+    rules = [Rule("one", {"x": ["a"]}), Rule("two", {"y": ["b", "c"]}), Rule("three", {"x": ["z"]})]
+    assert rows(match_rules(events, rules).select("rule")) == [("one",), ("two",)]
+
+
+def test_rules_reach_the_scan(spark, tmp_path):
+    path = f"file:{tmp_path}/events"
+    spark.createDataFrame(RUNS, "source string, status string").write.parquet(path)
+    rules = failure_rules("source", "status", pipeline="states", job="jobs")
+    plan = plan_of(match_rules(spark.read.parquet(path), rules))
+    assert "PushedFilters: [Or(" in plan
+
+
+def test_no_join_or_broadcast_is_forced():
+    import pathlib
+
+    import stratalake
+
+    for source in pathlib.Path(stratalake.__file__).parent.rglob("*.py"):
+        text = source.read_text()
+        for word in ("crossJoin(", "F.broadcast(", "localCheckpoint("):
+            assert word not in text, (source, word)
+
+
+@pytest.mark.parametrize("n", [0, 1])
+def test_empty_and_single_row(spark, n):
+    frame = spark.createDataFrame([(1, datetime(2024, 1, 1), 1.0)][:n], "k int, t timestamp_ntz, v double")
+    assert latest_per_key(frame, ["k"], [F.desc("t")]).count() == n
+    assert daily_summary(frame, "t", "v").count() == n

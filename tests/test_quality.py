@@ -1,0 +1,140 @@
+"""Data-quality checks."""
+
+import pytest
+from conftest import plan_of, rows
+
+from stratalake.operators import CheckResult, DataQualityError, QualityChecker
+
+SCHEMA = "id bigint, kind string, amount double"
+
+
+@pytest.fixture
+def frame(spark):
+    return spark.createDataFrame(
+        [(1, "a", 1.0), (2, "b", 5.0), (2, "c", None), (None, None, -1.0), (None, "a", 9.0)], SCHEMA
+    )
+
+
+def outcome(checker):
+    return [(r.name, r.passed, r.failed_rows) for r in checker.run().collect()]
+
+
+def test_not_null(frame):
+    assert outcome(QualityChecker(frame).not_null("id").not_null("kind")) == [
+        ("not_null(id)", False, 2),
+        ("not_null(kind)", False, 1),
+    ]
+
+
+def test_unique_ignores_null_keys(frame):
+    checker = QualityChecker(frame).unique("id").unique("id", "kind").unique("amount")
+    assert outcome(checker) == [
+        ("unique(id)", False, 2),
+        ("unique(id,kind)", True, 0),
+        ("unique(amount)", True, 0),
+    ]
+
+
+def test_value_in_set(frame):
+    checker = QualityChecker(frame).value_in_set("kind", ["a", "b"]).value_in_set("kind", [])
+    assert [n for _, _, n in outcome(checker)] == [1, 4]
+
+
+def test_bounds_include_their_value(frame):
+    checker = (
+        QualityChecker(frame)
+        .min_value("amount", -1.0)
+        .min_value("amount", 0.0)
+        .max_value("amount", 9.0)
+        .max_value("amount", 4.9)
+    )
+    assert [n for _, _, n in outcome(checker)] == [0, 1, 0, 2]
+
+
+def test_row_count_min(frame):
+    assert outcome(QualityChecker(frame).row_count_min(5).row_count_min(8)) == [
+        ("row_count_min(5)", True, 0),
+        ("row_count_min(8)", False, 3),
+    ]
+
+
+def test_empty_input(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    checker = (
+        QualityChecker(empty)
+        .not_null("id")
+        .unique("id")
+        .value_in_set("kind", ["a"])
+        .min_value("amount", 0.0)
+        .row_count_min(1)
+        .schema_match({"nope": "int"})
+    )
+    assert [(passed, n) for _, passed, n in outcome(checker)] == [
+        (True, 0),
+        (True, 0),
+        (True, 0),
+        (True, 0),
+        (False, 1),
+        (False, 1),
+    ]
+
+
+def test_schema_match(frame):
+    good = {"id": "bigint", "amount": "double"}
+    assert outcome(QualityChecker(frame).schema_match(good)) == [("schema_match", True, 0)]
+    strict = QualityChecker(frame).schema_match(good, allow_extra_columns=False)
+    assert rows(strict.run()) == [("schema_match", False, 5, "unexpected: ['kind']")]
+    wrong = QualityChecker(frame).schema_match({"id": "string", "when": "date"})
+    assert rows(wrong.run()) == [
+        (
+            "schema_match",
+            False,
+            5,
+            "missing: ['when']; type mismatches: {'id': ('string', 'bigint')}",
+        )
+    ]
+
+
+def test_report_keeps_the_order_of_checks(frame):
+    checker = QualityChecker(frame).unique("id").not_null("id").unique("kind").row_count_min(1)
+    assert [r.name for r in checker.run().collect()] == [
+        "unique(id)",
+        "not_null(id)",
+        "unique(kind)",
+        "row_count_min(1)",
+    ]
+
+
+def test_fused_checks_scan_once(spark, tmp_path):
+    path = f"file:{tmp_path}/t"
+    spark.createDataFrame([(1, "a", 1.0)], SCHEMA).write.parquet(path)
+    checker = (
+        QualityChecker(spark.read.parquet(path))
+        .not_null("id")
+        .value_in_set("kind", ["a"])
+        .min_value("id", 0)
+        .max_value("id", 9)
+        .row_count_min(1)
+        .schema_match({"id": "bigint"})
+    )
+    plan = plan_of(checker.run())
+    assert plan.count("FileScan") == 1
+    assert "amount" not in plan
+    assert plan_of(checker.unique("id").run()).count("FileScan") == 2
+
+
+def test_assert_all_passed(frame):
+    good = QualityChecker(frame).row_count_min(1).unique("amount")
+    assert good.assert_all_passed() == [
+        CheckResult("row_count_min(1)", True, 0, ""),
+        CheckResult("unique(amount)", True, 0, ""),
+    ]
+    with pytest.raises(DataQualityError) as error:
+        QualityChecker(frame).row_count_min(1).not_null("id").assert_all_passed()
+    assert str(error.value) == "not_null(id): 2 rows are null"
+    assert [r.passed for r in error.value.results] == [True, False]
+
+
+def test_no_checks(frame):
+    with pytest.raises(ValueError, match="no checks"):
+        QualityChecker(frame).run()
