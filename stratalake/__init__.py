@@ -2,11 +2,19 @@
 
 from stratalake.layers import Lake
 from stratalake.session import get_spark
-from stratalake.sinks import evolve_lake, insert_raw, merge_lake, write_lake, write_raw
+from stratalake.sinks import (
+    create_lake_table,
+    evolve_lake,
+    insert_raw,
+    merge_lake,
+    write_lake,
+    write_raw,
+)
 from stratalake.sources import read_lake, read_raw, register_raw
 
 __all__ = [
     "Lake",
+    "create_lake_table",
     "evolve_lake",
     "get_spark",
     "insert_raw",

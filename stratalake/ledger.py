@@ -128,7 +128,7 @@ def rows_in(
         .option("basePath", base)
         .parquet(*[f"{base}/{name}" for name in dirs])
     )
-    return frame.select(*schema.names)
+    return frame.select(*[F.col(f"`{name}`") for name in schema.names])
 
 
 def dir_of(path: Column) -> Column:

@@ -17,13 +17,14 @@ ORPHAN_RETENTION_DAYS = 7
 
 
 def list_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """``(path, length, modified)`` of all files below the paths; no file is opened."""
+    """``(path, length, modified)`` of all files below the paths, times in UTC; none is opened."""
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
     )
-    return listing.select(
-        "path", "length", F.col("modificationTime").cast("timestamp_ntz").alias("modified")
+    in_utc = F.convert_timezone(
+        F.current_timezone(), F.lit("UTC"), F.col("modificationTime").cast("timestamp_ntz")
     )
+    return listing.select("path", "length", in_utc.alias("modified"))
 
 
 def compaction_plan(

@@ -25,10 +25,12 @@ from stratalake.operators import (
     conform_union,
     daily_summary,
     denormalise,
+    drop_missing_keys,
     expired_snapshots,
     extract_payload,
     failure_rules,
     match_rules,
+    normalise_text,
     orphan_files,
     rejects,
     typed,
@@ -47,7 +49,14 @@ from stratalake.plans.layers import (
 )
 from stratalake.plans.maintenance import compact_lake
 from stratalake.session import scratch_path
-from stratalake.sinks import evolve_lake, insert_raw, merge_lake, write_lake, write_raw
+from stratalake.sinks import (
+    create_lake_table,
+    evolve_lake,
+    insert_raw,
+    merge_lake,
+    write_lake,
+    write_raw,
+)
 from stratalake.sources import read_lake, read_raw, register_raw
 from stratalake.streaming import forward_alerts, new_rows, run_incremental
 
@@ -299,6 +308,17 @@ def merge_into_partitions(spark, sf_dir):
 # Catalog
 
 
+@query("SELECT p_partkey, p_name, p_brand, p_size FROM part")
+def create_table_if_not_exists(spark, sf_dir):
+    parts = source(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    path = scratch_path(spark, "part")
+    columns = [Column(name, kind) for name, kind in parts.dtypes]
+    create_lake_table(spark, path, columns, partition_by=["p_brand"])
+    write_lake(parts, path)
+    create_lake_table(spark, path, columns)
+    return read_lake(spark, path)
+
+
 @query(
     """SELECT c_custkey AS party_key, c_name AS name, CAST(NULL AS VARCHAR) AS mktsegment
        FROM supplier JOIN customer ON false
@@ -468,7 +488,7 @@ def clean_dedupe_latest(spark, sf_dir):
 )
 def clean_text_documents(spark, sf_dir):
     documents = source(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", "text")
-    return clean(documents, ["doc_id"], [F.desc("n_chars")], ["text"])
+    return normalise_text(drop_missing_keys(documents, ["doc_id"]), ["text"])
 
 
 TEXT_IDS_SQL = """SELECT CASE WHEN event_type = 'error' THEN 'bad-' ELSE '' END

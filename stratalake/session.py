@@ -23,17 +23,22 @@ LOCAL_DEFAULTS = {
     "spark.driver.memory": "4g",
 }
 
-SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-MIN_SHUFFLE_PARTITIONS = 200
+MIB = 1024 * 1024
 
 
-def shuffle_partitions_for(input_bytes: int, cores: int = 1) -> int:
-    """Shuffle partitions that keep one partition near 256 MiB.
+def sizes_for(input_bytes: int) -> dict[str, str]:
+    """Settings for a job that reads about ``input_bytes``.
 
-    AQE merges partitions that turn out small, so an estimate that is too high costs little.
+    Scans: 128 MiB a task, more from 25 TB on, up to 1 GiB, which keeps a stage near 200,000 tasks.
+    Shuffles: 256 MiB a partition, but at most 50,000 partitions, since the driver keeps one entry
+    per scan task and partition. AQE merges partitions that turn out small.
     """
-    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
-    return max(wanted, MIN_SHUFFLE_PARTITIONS, cores)
+    scan = min(max(input_bytes // 200_000, 128 * MIB), 1024 * MIB)
+    partitions = min(max(-(-input_bytes // (256 * MIB)), 200), 50_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan),
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
 
 
 def get_spark(
@@ -47,8 +52,8 @@ def get_spark(
     """Open (or return) the session for a job.
 
     ``local=None`` looks at the environment variable ``ENV``: ``local`` builds a standalone
-    session, anything else uses the master the cluster supplies. ``input_bytes`` sizes the
-    shuffle for jobs that know how much they read.
+    session, anything else uses the master the cluster supplies. ``input_bytes`` sizes scans and
+    shuffles for jobs that know how much they read.
     """
     if local is None:
         local = os.environ.get("ENV") == "local"
@@ -60,7 +65,7 @@ def get_spark(
         n_cores = os.cpu_count() if cores == "*" else int(cores)
         settings["spark.sql.shuffle.partitions"] = str(n_cores)
     if input_bytes is not None:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(input_bytes))
+        settings |= sizes_for(input_bytes)
     for key, value in (settings | dict(conf or {})).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -1,8 +1,15 @@
-from stratalake.sinks.lake import DuplicateKeyError, evolve_lake, merge_lake, write_lake
+from stratalake.sinks.lake import (
+    DuplicateKeyError,
+    create_lake_table,
+    evolve_lake,
+    merge_lake,
+    write_lake,
+)
 from stratalake.sinks.raw import insert_raw, write_raw
 
 __all__ = [
     "DuplicateKeyError",
+    "create_lake_table",
     "evolve_lake",
     "insert_raw",
     "merge_lake",

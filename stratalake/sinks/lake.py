@@ -5,13 +5,14 @@ All of them write a new folder first, let an optional audit look at it, and publ
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from stratalake import files, iceberg, ledger
+from stratalake.catalog import Column, lake_table_ddl, quoted
 from stratalake.layers import resolve
 from stratalake.operators.quality import QualityChecker
 from stratalake.session import scratch_path
@@ -27,15 +28,16 @@ class DuplicateKeyError(ValueError):
 
 def conform_to(df: DataFrame, schema: StructType) -> DataFrame:
     """Columns of ``schema`` by name; missing ones become null, others are an error."""
-    given = {field.name: field.dataType for field in df.schema}
+    # Type texts leave out whether nested values may be null, which files do not keep either.
+    given = dict(df.dtypes)
     extra = [name for name in given if name not in schema.names]
     if extra:
         raise ValueError(f"columns not in the table: {extra}")
     for field in schema:
-        if field.name in given and given[field.name] != field.dataType:
+        declared = field.dataType.simpleString()
+        if given.get(field.name, declared) != declared:
             raise ValueError(
-                f"column {field.name} is {given[field.name].simpleString()}, "
-                f"the table has {field.dataType.simpleString()}"
+                f"column {field.name} is {given[field.name]}, the table has {declared}"
             )
     return df.select(
         *[
@@ -45,6 +47,38 @@ def conform_to(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
+def create_lake_table(
+    spark: SparkSession,
+    table: str,
+    columns: Sequence[Column],
+    *,
+    partition_by: Sequence[str] = (),
+    properties: Mapping[str, str] | None = None,
+    committed_at: datetime | None = None,
+) -> bool:
+    """Create an empty lake table unless it exists; says whether it was created."""
+    if iceberg.catalog_of(spark, table):
+        existed = spark.catalog.tableExists(table)
+        keys = [c for c in columns if c[0] in partition_by]
+        others = [c for c in columns if c[0] not in partition_by]
+        spark.sql(lake_table_ddl(table, others, partition_by=keys, properties=properties))
+        return not existed
+    location = resolve(spark, table)
+    if ledger.latest(spark, location) is not None:
+        return False
+    ledger.publish(
+        spark,
+        location,
+        None,
+        operation="create",
+        dirs=[],
+        schema=StructType.fromDDL(", ".join(f"{quoted(c[0])} {c[1]}" for c in columns)),
+        partition_by=list(partition_by),
+        at=committed_at or ledger.utc_now(),
+    )
+    return True
+
+
 def write_commit(
     df: DataFrame,
     location: str,
@@ -222,7 +256,7 @@ def merge_lake(
 
 
 def evolve_lake(
-    spark, table: str, new_columns: StructType, *, committed_at: datetime | None = None
+    spark: SparkSession, table: str, new_columns: StructType, *, committed_at: datetime | None = None
 ) -> int:
     """Add columns to a lake table; rows written before read as null. No data is touched."""
     location = resolve(spark, table)

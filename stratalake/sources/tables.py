@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from stratalake import catalog, iceberg, ledger
@@ -55,7 +55,7 @@ def read_raw(
     frame = spark.read.format(fmt).options(**options).schema(schema).load(source)
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    return frame.select(*schema.names)
+    return frame.select(*[F.col(f"`{name}`") for name in schema.names])
 
 
 def register_raw(

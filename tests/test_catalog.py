@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stratalake import Lake, catalog, insert_raw, read_raw, register_raw, write_raw
 from stratalake.catalog import Column
 from stratalake.layers import resolve
-from stratalake.session import scratch_path, shared_dir, shuffle_partitions_for
+from stratalake.session import scratch_path, shared_dir, sizes_for
 
 COLUMNS = [Column("id", "bigint", "it's a key"), Column("v", "string")]
 DAY = [Column("dt", "string")]
@@ -157,6 +157,8 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
 
 
-def test_shuffle_partitions():
-    assert shuffle_partitions_for(10**9) == 200
-    assert shuffle_partitions_for(100 * 10**12) == 372530
+def test_sizes():
+    scan, shuffle = "spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions"
+    assert sizes_for(10**9) == {scan: str(128 * 1024**2), shuffle: "200"}
+    assert sizes_for(10**12) == {scan: str(128 * 1024**2), shuffle: "3726"}
+    assert sizes_for(100 * 10**12) == {scan: "500000000", shuffle: "50000"}

@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stratalake import evolve_lake, ledger, merge_lake, read_lake, write_lake
+from stratalake import create_lake_table, evolve_lake, ledger, merge_lake, read_lake, write_lake
 from stratalake.operators import DataQualityError, QualityChecker
 from stratalake.sinks import DuplicateKeyError
 
@@ -155,6 +155,41 @@ def test_history(spark, location):
     assert all(ledger.commit_time(d) == at for d in got[1].dirs)
 
 
+def test_nested_types(spark, location):
+    nested = spark.range(2).select(
+        "id", F.array(F.lit(1)).alias("list"), F.struct(F.lit("x").alias("a")).alias("pair")
+    )
+    write_lake(nested, location)
+    write_lake(read_lake(spark, location), location)
+    merge_lake(nested, location, ["id"])
+    assert read_lake(spark, location).count() == 2
+
+
+def test_odd_column_names(spark, location):
+    frame = spark.createDataFrame([(1, 2)], "`a.b` int, `c d` int")
+    write_lake(frame.withColumnRenamed("c d", "c-d"), location)
+    write_lake(frame.withColumnRenamed("c d", "c-d"), location)
+    assert rows(read_lake(spark, location)) == [(1, 2), (1, 2)]
+
+
+def test_create_if_missing(spark, location):
+    columns = [("id", "bigint"), ("day", "string"), ("amount", "double")]
+    assert create_lake_table(spark, location, columns, partition_by=["day"])
+    assert rows(read_lake(spark, location)) == []
+    write_lake(frame(spark, (1, "a", 1.0)), location)
+    assert not create_lake_table(spark, location, columns)
+    assert rows(read_lake(spark, location)) == [(1, "a", 1.0)]
+    assert ledger.latest(spark, location).partition_by == ("day",)
+    merge_lake(frame(spark, (1, "b", 2.0)), location, ["id"])
+    assert rows(read_lake(spark, location)) == [(1, "b", 2.0)]
+
+
+def test_merge_into_an_empty_table(spark, location):
+    create_lake_table(spark, location, [("id", "bigint"), ("day", "string"), ("amount", "double")])
+    merge_lake(frame(spark, (1, "a", 1.0)), location, ["id"])
+    assert rows(read_lake(spark, location)) == [(1, "a", 1.0)]
+
+
 def test_evolve(spark, location):
     write_lake(frame(spark, (1, "a", 1.0)), location)
     evolve_lake(spark, location, StructType.fromDDL("note string"))

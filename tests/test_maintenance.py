@@ -165,6 +165,18 @@ def test_orphans_by_file_age(spark, tmp_path):
     assert [r["path"].rsplit("/", 1)[1] for r in orphans.collect()] == ["old.parquet"]
 
 
+def test_file_times_are_in_utc(spark, tmp_path):
+    path = tmp_path / "x.parquet"
+    path.write_bytes(b"x")
+    os.utime(path, (86400, 86400))
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        times = [r["modified"] for r in list_files(spark, f"file:{tmp_path}").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert times == [datetime(1970, 1, 2)]
+
+
 # Retention on tables
 
 
