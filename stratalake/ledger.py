@@ -41,9 +41,12 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def new_commit_dir(at: datetime) -> str:
-    """Folder name of a commit: its time in milliseconds, then something unique."""
-    millis = int(at.replace(tzinfo=timezone.utc).timestamp() * 1000)
+def new_commit_dir(started: datetime | None = None) -> str:
+    """Folder name of a commit: the time its write began, in milliseconds, and something unique.
+
+    This is the clock's time whatever time the snapshot is given, since orphan removal goes by it.
+    """
+    millis = int((started or utc_now()).replace(tzinfo=timezone.utc).timestamp() * 1000)
     return f"{COMMIT}={millis}-{uuid.uuid4().hex[:12]}"
 
 

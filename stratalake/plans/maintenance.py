@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -107,7 +107,6 @@ def compact_lake(
         wanted.get(ledger.partition_of(name), kept).append(name)
     if not wanted:
         return None
-    at = committed_at or ledger.utc_now()
     added = []
     groups = list(wanted.values())
     with session_conf(spark, _scan_conf(target_bytes) | file_size_conf(target_bytes)):
@@ -119,7 +118,6 @@ def compact_lake(
             added += write_commit(
                 _union(scans),
                 location,
-                at=at,
                 partition_by=snapshot.partition_by,
                 sort_by=sort_by,
                 spread=bool(sort_by),
@@ -132,7 +130,7 @@ def compact_lake(
         dirs=kept + added,
         schema=snapshot.schema,
         partition_by=list(snapshot.partition_by),
-        at=at,
+        at=committed_at or ledger.utc_now(),
     )
 
 
@@ -194,14 +192,17 @@ def expire_lake(
     return gone, dirs
 
 
-def _folders(spark: SparkSession, location: str, depth: int, known: set[str]) -> list[str]:
-    """Folders a snapshot could refer to; a commit no snapshot knows counts as a whole."""
+def _folders(spark: SparkSession, location: str, depths: Mapping[str, int]) -> list[str]:
+    """Folders a snapshot could refer to, as deep as the snapshots that know their commit do.
+
+    A commit that no snapshot knows counts as a whole.
+    """
     found = []
     for commit in files.children(spark, f"{location}/data", directories=True):
         if ledger.commit_time(commit) is None:
             continue
-        if commit in known and depth:
-            below = files.partition_dirs(spark, f"{location}/data/{commit}", depth)
+        if depths.get(commit):
+            below = files.partition_dirs(spark, f"{location}/data/{commit}", depths[commit])
             found += [f"{commit}/{name}" for name in below]
         else:
             found.append(commit)
@@ -218,18 +219,19 @@ def remove_orphans(
 ) -> list[str]:
     """Delete folders that no snapshot refers to, such as those of a write that died.
 
-    The age of a folder is that of its commit, which its name holds, since object stores keep no
+    The age of a folder is that of its write, which its name holds, since object stores keep no
     times for folders. Nothing is deleted unless ``dry_run=False``.
     """
     catalog = iceberg.catalog_of(spark, table)
     if catalog:
         cut = as_of - timedelta(days=days)
         return [r[0] for r in iceberg.remove_orphans(spark, catalog, table, cut, dry_run).collect()]
-    location, current = _current(spark, table)
+    location, _ = _current(spark, table)
     references = _references(ledger.snapshots(spark, location)).select("dir")
-    commits = references.select(F.substring_index("dir", "/", 1).alias("commit")).distinct()
-    known = {row["commit"] for row in commits.collect()}
-    folders = _folders(spark, location, len(current.partition_by), known)
+    parts = F.split("dir", "/")
+    commits = references.select(parts[0].alias("commit"), (F.size(parts) - 1).alias("depth"))
+    depths = {row["commit"]: row["depth"] for row in commits.distinct().collect()}
+    folders = _folders(spark, location, depths)
     if not folders:
         return []
     listing = spark.createDataFrame(

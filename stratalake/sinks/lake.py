@@ -83,7 +83,6 @@ def write_commit(
     df: DataFrame,
     location: str,
     *,
-    at: datetime,
     partition_by: Sequence[str],
     sort_by: Sequence[str] = (),
     audit: Audit | None = None,
@@ -94,7 +93,7 @@ def write_commit(
     ``spread=False`` leaves the rows in the tasks they are in.
     """
     spark = df.sparkSession
-    commit = ledger.new_commit_dir(at)
+    commit = ledger.new_commit_dir()
     writer = (arrange(df, partition_by, sort_by) if spread else df).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -110,15 +109,17 @@ def write_commit(
 
 
 def _partitioning(
-    previous: ledger.Snapshot | None, partition_by: Sequence[str] | None
+    previous: ledger.Snapshot | None, partition_by: Sequence[str] | None, mode: str
 ) -> list[str]:
     if previous is None:
         return list(partition_by or ())
-    if partition_by is not None and tuple(partition_by) != previous.partition_by:
+    if partition_by is None:
+        return list(previous.partition_by)
+    if mode != "overwrite" and tuple(partition_by) != previous.partition_by:
         raise ValueError(
             f"the table is partitioned by {list(previous.partition_by)}, not {list(partition_by)}"
         )
-    return list(previous.partition_by)
+    return list(partition_by)
 
 
 def write_lake(
@@ -133,8 +134,8 @@ def write_lake(
 ) -> int | None:
     """Write to a lake table, creating it on the first write; returns the snapshot number.
 
-    ``append`` adds rows, ``overwrite`` replaces the table and its schema,
-    ``overwrite_partitions`` replaces the partitions that occur in ``df``. The rows really are
+    ``append`` adds rows, ``overwrite`` replaces the table, its schema and, if given,
+    its partitioning, ``overwrite_partitions`` replaces the partitions that occur in ``df``. The rows really are
     sorted by ``sort_by``; naming a sort order in table properties alone would not sort them.
     """
     check_mode(mode)
@@ -146,17 +147,14 @@ def write_lake(
         return None
     location = resolve(spark, table)
     previous = ledger.latest(spark, location)
-    keys = _partitioning(previous, partition_by)
+    keys = _partitioning(previous, partition_by, mode)
     if mode == "overwrite_partitions" and not keys:
         raise ValueError("overwrite_partitions needs a partitioned table")
     if previous is None or mode == "overwrite":
         rows = df
     else:
         rows = conform_to(df, previous.schema)
-    at = committed_at or ledger.utc_now()
-    added = write_commit(
-        rows, location, at=at, partition_by=keys, sort_by=sort_by, audit=audit
-    )
+    added = write_commit(rows, location, partition_by=keys, sort_by=sort_by, audit=audit)
     kept = list(previous.dirs) if previous and mode != "overwrite" else []
     if mode == "overwrite_partitions":
         replaced = {ledger.partition_of(name) for name in added}
@@ -169,7 +167,7 @@ def write_lake(
         dirs=kept + added,
         schema=rows.schema,
         partition_by=keys,
-        at=at,
+        at=committed_at or ledger.utc_now(),
     )
 
 
@@ -205,7 +203,7 @@ def merge_lake(
     Keys compare as in SQL, so a key with a null matches nothing and its row is added. A key that
     occurs twice in the source is an error. Only folders that hold a matching key are written
     again. The source is put down once in the shared folder, because it is used three times and
-    all uses must see the same rows.
+    all uses must see the same rows; that copy is deleted at the end.
     """
     spark = source.sparkSession
     keys = list(keys)
@@ -221,10 +219,24 @@ def merge_lake(
 
     rows = conform_to(source, previous.schema)
     staged_path = scratch_path(spark, "merge-source")
-    rows.write.parquet(staged_path)
-    staged = spark.read.schema(rows.schema).parquet(staged_path)
-    _check_keys_unique(staged, keys)
+    try:
+        rows.write.parquet(staged_path)
+        staged = spark.read.schema(rows.schema).parquet(staged_path)
+        _check_keys_unique(staged, keys)
+        return _merge(staged, location, previous, keys, audit, committed_at)
+    finally:
+        files.delete(spark, staged_path)
+
 
+def _merge(
+    staged: DataFrame,
+    location: str,
+    previous: ledger.Snapshot,
+    keys: list[str],
+    audit: Audit | None,
+    committed_at: datetime | None,
+) -> int:
+    spark = staged.sparkSession
     dirs = list(previous.dirs)
     if len(dirs) > 1:
         target = ledger.rows_in(spark, location, dirs, previous.schema)
@@ -234,12 +246,11 @@ def merge_lake(
     again = ledger.rows_in(
         spark, location, [name for name in dirs if name in touched], previous.schema
     )
-    survivors = again.join(staged.select(*keys), keys, "left_anti").select(*rows.columns)
-    at = committed_at or ledger.utc_now()
+    unmatched = again.join(staged.select(*keys), keys, "left_anti")
+    survivors = unmatched.select(*staged.columns)
     added = write_commit(
         survivors.unionByName(staged),
         location,
-        at=at,
         partition_by=previous.partition_by,
         audit=audit,
     )
@@ -251,7 +262,7 @@ def merge_lake(
         dirs=[name for name in dirs if name not in touched] + added,
         schema=previous.schema,
         partition_by=list(previous.partition_by),
-        at=at,
+        at=committed_at or ledger.utc_now(),
     )
 
 

@@ -28,6 +28,8 @@ from stratalake.plans.maintenance import (
 )
 
 NOW = datetime(2024, 3, 1)
+# Orphans go by the clock: a folder written today is old enough then.
+LATER = ledger.utc_now() + timedelta(days=8)
 
 
 def numbers(spark, start, stop):
@@ -227,10 +229,11 @@ def test_expired_folders_go_or_stay(spark, location):
     )
     assert gone == [1, 2] and dirs == []
     # What expiry left behind is then an orphan.
-    orphans = remove_orphans(spark, location, as_of=NOW)
+    assert remove_orphans(spark, location, as_of=ledger.utc_now()) == []
+    orphans = remove_orphans(spark, location, as_of=LATER)
     assert len(orphans) == 2
-    assert remove_orphans(spark, location, as_of=NOW, dry_run=False) == orphans
-    assert remove_orphans(spark, location, as_of=NOW) == []
+    assert remove_orphans(spark, location, as_of=LATER, dry_run=False) == orphans
+    assert remove_orphans(spark, location, as_of=LATER) == []
     assert read_lake(spark, location).count() == 10
 
 
@@ -247,6 +250,15 @@ def test_orphans_of_dead_writes(spark, location):
     assert read_lake(spark, location).count() == 10
 
 
+def test_orphans_after_a_change_of_partitioning(spark, location):
+    aged_table(spark, location, [20], partition_by=["part"])
+    first = rows(read_lake(spark, location))
+    write_lake(numbers(spark, 50, 60), location, "overwrite", partition_by=[])
+    assert remove_orphans(spark, location, as_of=LATER, dry_run=False) == []
+    assert rows(read_lake(spark, location, snapshot_id=1)) == first
+    assert read_lake(spark, location).count() == 10
+
+
 ages = st.lists(st.integers(0, 20), min_size=1, max_size=5).map(lambda a: sorted(a, reverse=True))
 
 
@@ -259,7 +271,7 @@ def test_retained_snapshots_survive_all_maintenance(spark, tmp_path_factory, age
     everything = ledger.snapshot_ids(spark, location)
     content = {i: rows(read_lake(spark, location, snapshot_id=i)) for i in everything}
     gone, _ = expire_lake(spark, location, as_of=NOW, keep=keep, dry_run=False)
-    remove_orphans(spark, location, as_of=NOW, dry_run=False)
+    remove_orphans(spark, location, as_of=LATER, dry_run=False)
     left = ledger.snapshot_ids(spark, location)
     assert sorted(gone + left) == everything
     assert len(left) >= min(keep, len(everything))
