@@ -37,14 +37,19 @@ def write(df: DataFrame, table: str, mode: str, partition_by: Sequence[str]) ->
         writer.overwritePartitions()
 
 
-def merge(source: DataFrame, table: str, keys: Sequence[str]) -> None:
+def merge(source: DataFrame, table: str, keys: Sequence[str], newer_by: str | None) -> None:
     matched = F.lit(True)
     for key in keys:
         matched &= F.col(f"s.{quoted(key)}") == F.col(f"{quoted(table)}.{quoted(key)}")
+    # A source row that is older matches, so it is not inserted, and changes nothing.
+    newer = F.lit(True)
+    if newer_by is not None:
+        column = quoted(newer_by)
+        newer = ~F.coalesce(F.col(f"{quoted(table)}.{column}") > F.col(f"s.{column}"), F.lit(False))
     (
         source.alias("s")
         .mergeInto(table, matched)
-        .whenMatched()
+        .whenMatched(newer)
         .updateAll()
         .whenNotMatched()
         .insertAll()

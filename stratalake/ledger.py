@@ -35,6 +35,15 @@ class Snapshot:
     dirs: tuple[str, ...]
     partition_by: tuple[str, ...]
     schema: StructType
+    bookmarks: dict[str, int]
+
+
+@dataclass(frozen=True)
+class Bookmark:
+    """How far a job has read a source table."""
+
+    source: str
+    snapshot_id: int
 
 
 def utc_now() -> datetime:
@@ -75,6 +84,7 @@ def load(spark: SparkSession, location: str, snapshot_id: int) -> Snapshot:
         dirs=tuple(entry["dirs"]),
         partition_by=tuple(entry["partition_by"]),
         schema=StructType.fromJson(entry["schema"]),
+        bookmarks=entry["bookmarks"],
     )
 
 
@@ -93,7 +103,12 @@ def publish(
     schema: StructType,
     partition_by: list[str],
     at: datetime,
+    bookmark: Bookmark | None = None,
 ) -> int:
+    """Make a commit the newest snapshot; ``bookmark`` becomes valid together with it."""
+    bookmarks = dict(previous.bookmarks) if previous else {}
+    if bookmark is not None:
+        bookmarks[bookmark.source] = bookmark.snapshot_id
     snapshot_id = previous.snapshot_id + 1 if previous else 1
     entry = {
         "snapshot_id": snapshot_id,
@@ -102,6 +117,7 @@ def publish(
         "dirs": sorted(dirs),
         "partition_by": list(partition_by),
         "schema": schema.jsonValue(),
+        "bookmarks": bookmarks,
     }
     files.write_text_once(spark, _entry_path(location, snapshot_id), json.dumps(entry))
     return snapshot_id

@@ -44,6 +44,7 @@ from stratalake.plans.layers import (
     REFINED_TYPES,
     as_raw,
     land,
+    load_delivery,
     raw_to_curated,
     tables_of,
 )
@@ -57,7 +58,7 @@ from stratalake.sinks import (
     write_lake,
     write_raw,
 )
-from stratalake.sources import read_lake, read_raw, register_raw
+from stratalake.sources import read_lake, read_new, read_raw, register_raw
 from stratalake.streaming import forward_alerts, new_rows, run_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +117,15 @@ def raw_to_curated_events(spark, sf_dir):
     return raw_to_curated(spark, as_raw(source(spark, sf_dir, "events")), new_lake(spark))
 
 
+@query(ORACLES["raw_to_curated"])
+def raw_to_curated_by_delivery(spark, sf_dir):
+    raw = as_raw(source(spark, sf_dir, "events"))
+    lake = new_lake(spark)
+    # Two deliveries that share a day.
+    load_delivery(spark, raw.where("created_at < '2024-01-16 12:00:00'"), lake)
+    return load_delivery(spark, raw.where("created_at >= '2024-01-16 12:00:00'"), lake)
+
+
 # Sources
 
 
@@ -194,6 +204,17 @@ def scan_view(spark, sf_dir):
     return read_raw(spark, view)
 
 
+@query("SELECT * FROM events")
+def incremental_lake_scan(spark, sf_dir):
+    events = source(spark, sf_dir, "events")
+    root = scratch_path(spark, "incremental")
+    for arrival in (F.col("ts") < "2024-01-16", F.col("ts") >= "2024-01-16"):
+        write_lake(events.where(arrival), f"{root}/in")
+        new = read_new(spark, f"{root}/in", f"{root}/out")
+        write_lake(new.rows, f"{root}/out", new.mode, bookmark=new.bookmark)
+    return read_lake(spark, f"{root}/out")
+
+
 # Writes
 
 

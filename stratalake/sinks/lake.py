@@ -130,6 +130,7 @@ def write_lake(
     partition_by: Sequence[str] | None = None,
     sort_by: Sequence[str] = (),
     audit: Audit | None = None,
+    bookmark: ledger.Bookmark | None = None,
     committed_at: datetime | None = None,
 ) -> int | None:
     """Write to a lake table, creating it on the first write; returns the snapshot number.
@@ -137,6 +138,7 @@ def write_lake(
     ``append`` adds rows, ``overwrite`` replaces the table, its schema and, if given,
     its partitioning, ``overwrite_partitions`` replaces the partitions that occur in ``df``. The rows really are
     sorted by ``sort_by``; naming a sort order in table properties alone would not sort them.
+    ``bookmark`` notes, in the same step, how far an incremental read has come.
     """
     check_mode(mode)
     spark = df.sparkSession
@@ -168,6 +170,7 @@ def write_lake(
         schema=rows.schema,
         partition_by=keys,
         at=committed_at or ledger.utc_now(),
+        bookmark=bookmark,
     )
 
 
@@ -178,6 +181,16 @@ def _check_keys_unique(source: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"merge source repeats a key: {repeated[0].asDict()}")
 
 
+def _without_outdated(
+    source: DataFrame, target: DataFrame, keys: list[str], newer_by: str
+) -> DataFrame:
+    """Source rows that are not older than a target row with their key."""
+    offered = source.select(*keys, F.col(newer_by).alias("_offered"))
+    both = target.select(*keys, F.col(newer_by).alias("_known")).join(offered, keys)
+    outdated = both.where(F.col("_known") > F.col("_offered")).select(*keys).distinct()
+    return source.join(outdated, keys, "left_anti").select(*source.columns)
+
+
 def _dirs_holding(
     target: DataFrame, source: DataFrame, keys: Sequence[str]
 ) -> set[str]:
@@ -195,27 +208,32 @@ def merge_lake(
     table: str,
     keys: Sequence[str],
     *,
+    newer_by: str | None = None,
     audit: Audit | None = None,
+    bookmark: ledger.Bookmark | None = None,
     committed_at: datetime | None = None,
 ) -> int | None:
     """Upsert: a source row replaces the rows with its key, other source rows are added.
 
     Keys compare as in SQL, so a key with a null matches nothing and its row is added. A key that
-    occurs twice in the source is an error. Only folders that hold a matching key are written
-    again. The source is put down once in the shared folder, because it is used three times and
+    occurs twice in the source is an error. With ``newer_by`` a source row whose value in that
+    column is lower than the one in the table is left out. Only folders that hold a matching key
+    are written again. The source is put down once in the shared folder, because it is used three times and
     all uses must see the same rows; that copy is deleted at the end.
     """
     spark = source.sparkSession
     keys = list(keys)
     if iceberg.catalog_of(spark, table):
         _check_keys_unique(source, keys)
-        iceberg.merge(source, table, keys)
+        iceberg.merge(source, table, keys, newer_by)
         return None
     location = resolve(spark, table)
     previous = ledger.latest(spark, location)
     if previous is None:
         _check_keys_unique(source, keys)
-        return write_lake(source, table, audit=audit, committed_at=committed_at)
+        return write_lake(
+            source, table, audit=audit, bookmark=bookmark, committed_at=committed_at
+        )
 
     rows = conform_to(source, previous.schema)
     staged_path = scratch_path(spark, "merge-source")
@@ -223,7 +241,7 @@ def merge_lake(
         rows.write.parquet(staged_path)
         staged = spark.read.schema(rows.schema).parquet(staged_path)
         _check_keys_unique(staged, keys)
-        return _merge(staged, location, previous, keys, audit, committed_at)
+        return _merge(staged, location, previous, keys, newer_by, audit, bookmark, committed_at)
     finally:
         files.delete(spark, staged_path)
 
@@ -233,7 +251,9 @@ def _merge(
     location: str,
     previous: ledger.Snapshot,
     keys: list[str],
+    newer_by: str | None,
     audit: Audit | None,
+    bookmark: ledger.Bookmark | None,
     committed_at: datetime | None,
 ) -> int:
     spark = staged.sparkSession
@@ -246,6 +266,8 @@ def _merge(
     again = ledger.rows_in(
         spark, location, [name for name in dirs if name in touched], previous.schema
     )
+    if newer_by is not None:
+        staged = _without_outdated(staged, again, keys, newer_by)
     unmatched = again.join(staged.select(*keys), keys, "left_anti")
     survivors = unmatched.select(*staged.columns)
     added = write_commit(
@@ -263,6 +285,7 @@ def _merge(
         schema=previous.schema,
         partition_by=list(previous.partition_by),
         at=committed_at or ledger.utc_now(),
+        bookmark=bookmark,
     )
 
 

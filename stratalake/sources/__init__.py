@@ -1,3 +1,18 @@
+from stratalake.sources.incremental import (
+    HistoryExpiredError,
+    Increment,
+    read_changed,
+    read_new,
+)
 from stratalake.sources.tables import lake_exists, read_lake, read_raw, register_raw
 
-__all__ = ["lake_exists", "read_lake", "read_raw", "register_raw"]
+__all__ = [
+    "HistoryExpiredError",
+    "Increment",
+    "lake_exists",
+    "read_changed",
+    "read_lake",
+    "read_new",
+    "read_raw",
+    "register_raw",
+]

@@ -263,6 +263,18 @@ def test_merge_rewrites_only_folders_with_matches(spark, location):
     }
 
 
+def test_merge_keeps_newer_rows(spark, location):
+    write_lake(frame(spark, (1, "a", 5.0), (2, "b", 5.0), (3, "c", None)), location)
+    changes = frame(spark, (1, "old", 4.0), (2, "new", 5.0), (3, "known", 1.0), (4, "added", 0.0))
+    merge_lake(changes, location, ["id"], newer_by="amount")
+    assert rows(read_lake(spark, location)) == [
+        (1, "a", 5.0),
+        (2, "new", 5.0),
+        (3, "known", 1.0),
+        (4, "added", 0.0),
+    ]
+
+
 def test_merge_from_the_table_itself(spark, location):
     write_lake(frame(spark, (1, "a", 1.0), (2, "b", 2.0)), location)
     doubled = read_lake(spark, location).withColumn("amount", F.col("amount") * 2)
@@ -282,7 +294,7 @@ def test_merge_source_is_evaluated_once(spark, location):
 keyed = st.dictionaries(st.integers(0, 8), st.sampled_from("abc"), max_size=6)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(target=keyed, source=keyed)
 def test_merge_twice_is_merge_once(spark, tmp_path_factory, target, source):
     location = f"file:{tmp_path_factory.mktemp('merge')}/table"
