@@ -29,10 +29,8 @@ def match_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per event and matching rule, with the rule's name. Batch or stream, one scan."""
     conditions = [rule.condition() for rule in rules]
     names = [F.when(c, F.lit(rule.name)) for rule, c in zip(rules, conditions)]
-    return (
-        df.where(reduce(lambda a, b: a | b, conditions))
-        .withColumn("rule", F.explode(F.array_compact(F.array(*names))))
-    )
+    some = df.where(reduce(lambda a, b: a | b, conditions))
+    return some.withColumn("rule", F.explode(F.array(*names))).where(F.col("rule").isNotNull())
 
 
 def failure_rules(source: str, status: str, pipeline: str, job: str) -> list[Rule]:

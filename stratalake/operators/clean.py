@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -10,7 +11,8 @@ from stratalake.functions import clean_text
 
 
 def drop_missing_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(keys))
+    # Unlike dropna, these conditions are pushed into the scan.
+    return df.where(reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys]))
 
 
 def normalise_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:

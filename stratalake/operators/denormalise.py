@@ -19,10 +19,13 @@ class Dimension(NamedTuple):
 def denormalise(facts: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
     """Every row of ``facts`` once, widened by its dimensions (null where one is missing).
 
+    A later dimension may be looked up through a column of an earlier one.
+
     No join strategy is forced: Spark broadcasts a dimension whose size is within
-    ``spark.sql.autoBroadcastJoinThreshold`` and joins bigger ones by shuffle, where AQE splits
-    foreign keys that hold very many facts. Chain dimensions of a dimension onto it first, so
-    that the facts are joined once.
+    ``spark.sql.autoBroadcastJoinThreshold``, so that the facts stay where they are, and joins
+    bigger ones by shuffle, where AQE splits foreign keys that hold very many facts. Give the
+    dimensions one by one instead of joining them beforehand: Spark knows the size of a table,
+    but takes the result of a join for big.
     """
     wide = facts
     for number, dimension in enumerate(dimensions):

@@ -12,6 +12,8 @@ from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stratalake.operators.clean import drop_missing_keys
+
 
 class CheckResult(NamedTuple):
     name: str
@@ -139,7 +141,8 @@ class QualityChecker:
 
     def _repeated(self, position: int, check: _UniqueCheck) -> DataFrame:
         keys = list(check.keys)
-        groups = self._df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        rows = drop_missing_keys(self._df.select(*keys), keys)
+        groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         failed = F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint")
         detail = F.when(failed > 0, F.concat(failed.cast("string"), F.lit(" rows share a key")))
         return groups.where("_n > 1").agg(

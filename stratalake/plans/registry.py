@@ -129,12 +129,12 @@ def raw_to_curated_by_delivery(spark, sf_dir):
 # Sources
 
 
-@query("SELECT * FROM nation")
+@query("SELECT * FROM customer")
 def scan_table(spark, sf_dir):
     lake = new_lake(spark)
     lake.create_databases(spark)
-    name = lake.table("refined", "nation")
-    write_lake(source(spark, sf_dir, "nation"), name)
+    name = lake.table("refined", "customer")
+    write_lake(source(spark, sf_dir, "customer"), name)
     return read_lake(spark, name)
 
 
@@ -375,15 +375,15 @@ def schema_evolve(spark, sf_dir):
     return read_lake(spark, path)
 
 
-@query("SELECT *, CAST(NULL AS VARCHAR) AS region_name FROM nation")
+@query("SELECT *, CAST(NULL AS VARCHAR) AS region_name FROM supplier")
 def add_columns(spark, sf_dir):
-    nations = source(spark, sf_dir, "nation")
+    suppliers = source(spark, sf_dir, "supplier")
     lake = new_lake(spark)
     lake.create_databases(spark)
-    name = lake.table("raw", "nation")
-    columns = [Column(field, kind) for field, kind in nations.dtypes]
-    register_raw(spark, name, columns, location=lake.location("raw", "nation"))
-    insert_raw(nations, name)
+    name = lake.table("raw", "supplier")
+    columns = [Column(field, kind) for field, kind in suppliers.dtypes]
+    register_raw(spark, name, columns, location=lake.location("raw", "supplier"))
+    insert_raw(suppliers, name)
     catalog.add_columns(spark, name, [Column("region_name", "string")])
     return spark.table(name)
 
@@ -662,15 +662,13 @@ def daily_summary_orders(spark, sf_dir):
             LEFT JOIN region ON r_regionkey = n_regionkey"""
 )
 def denormalise_orders(spark, sf_dir):
-    nations = denormalise(
-        source(spark, sf_dir, "nation"),
-        [Dimension(source(spark, sf_dir, "region"), "r_regionkey", "n_regionkey")],
-    )
-    customers = denormalise(
-        source(spark, sf_dir, "customer"), [Dimension(nations, "n_nationkey", "c_nationkey")]
-    )
     return denormalise(
-        source(spark, sf_dir, "orders"), [Dimension(customers, "c_custkey", "o_custkey")]
+        source(spark, sf_dir, "orders"),
+        [
+            Dimension(source(spark, sf_dir, "customer"), "c_custkey", "o_custkey"),
+            Dimension(source(spark, sf_dir, "nation"), "n_nationkey", "c_nationkey"),
+            Dimension(source(spark, sf_dir, "region"), "r_regionkey", "n_regionkey"),
+        ],
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from stratalake import files, iceberg, ledger
 from stratalake.catalog import Column, lake_table_ddl, quoted
 from stratalake.layers import resolve
+from stratalake.operators.clean import drop_missing_keys
 from stratalake.operators.quality import QualityChecker
 from stratalake.session import scratch_path
 from stratalake.sinks.layout import arrange
@@ -176,7 +177,8 @@ def write_lake(
 
 def _check_keys_unique(source: DataFrame, keys: Sequence[str]) -> None:
     # Keys with a null match nothing, so they cannot clash.
-    repeated = source.dropna(subset=list(keys)).groupBy(*keys).count().where("count > 1").head(1)
+    complete = drop_missing_keys(source.select(*keys), keys)
+    repeated = complete.groupBy(*keys).count().where("count > 1").head(1)
     if repeated:
         raise DuplicateKeyError(f"merge source repeats a key: {repeated[0].asDict()}")
 
