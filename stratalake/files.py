@@ -5,8 +5,13 @@ Only names of directories and one-line files pass through here; table data never
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
+# Requests to the file system at a time; folders number as many as partitions.
+REQUESTS = 16
+
 
 def _open(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -39,13 +44,18 @@ def children(spark: SparkSession, path: str, *, directories: bool) -> list[str]:
 def partition_dirs(spark: SparkSession, path: str, depth: int) -> list[str]:
     """Relative ``key=value`` directories exactly ``depth`` levels below ``path``."""
     found = [""]
-    for _ in range(depth):
-        found = [
-            f"{parent}/{name}" if parent else name
-            for parent in found
-            for name in children(spark, f"{path}/{parent}" if parent else path, directories=True)
-            if "=" in name
-        ]
+    with ThreadPoolExecutor(max_workers=REQUESTS) as pool:
+        for _ in range(depth):
+            below = pool.map(
+                lambda parent: children(spark, f"{path}/{parent}".rstrip("/"), directories=True),
+                found,
+            )
+            found = [
+                f"{parent}/{name}".lstrip("/")
+                for parent, names in zip(found, below)
+                for name in names
+                if "=" in name
+            ]
     return [name for name in found if name]
 
 
@@ -72,6 +82,10 @@ def write_text_once(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(path)
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    fs, jpath = _open(spark, path)
-    fs.delete(jpath, True)
+def delete(spark: SparkSession, *paths: str) -> None:
+    def remove(path: str) -> None:
+        fs, jpath = _open(spark, path)
+        fs.delete(jpath, True)
+
+    with ThreadPoolExecutor(max_workers=REQUESTS) as pool:
+        list(pool.map(remove, paths))

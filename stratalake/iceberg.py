@@ -13,6 +13,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratalake.catalog import literal, quoted
 
 
+def catalog_conf(
+    name: str, warehouse: str, implementation: str | None = None
+) -> dict[str, str]:
+    """Session settings that map the catalog ``name`` to the connector, for ``get_spark``."""
+    settings = {
+        "spark.sql.extensions": (
+            "org.apache.iceberg.spark.extensions.IcebergSparkSessionExtensions"
+        ),
+        f"spark.sql.catalog.{name}": "org.apache.iceberg.spark.SparkCatalog",
+        f"spark.sql.catalog.{name}.warehouse": warehouse,
+    }
+    if implementation:
+        settings[f"spark.sql.catalog.{name}.catalog-impl"] = implementation
+    else:
+        settings[f"spark.sql.catalog.{name}.type"] = "hadoop"
+    return settings
+
+
 def catalog_of(spark: SparkSession, table: str) -> str | None:
     """Catalog of a three-part name when the session maps it to Iceberg."""
     parts = table.split(".")

@@ -142,7 +142,7 @@ def _delete_dirs(spark: SparkSession, location: str, dirs: Sequence[str]) -> Non
     for name in dirs:
         if ledger.commit_time(name) is None or ".." in name:
             raise ValueError(f"not a data folder of the table: {name}")
-        files.delete(spark, f"{location}/data/{name}")
+    files.delete(spark, *[f"{location}/data/{name}" for name in dirs])
 
 
 def expire_lake(
