@@ -127,6 +127,11 @@ def forget(spark: SparkSession, location: str, snapshot_id: int) -> None:
     files.delete(spark, _entry_path(location, snapshot_id))
 
 
+def no_rows(schema: StructType, at: datetime) -> Snapshot:
+    """What comes before the first snapshot of a table."""
+    return Snapshot(0, at, "create", (), (), schema, {})
+
+
 def snapshots(spark: SparkSession, location: str) -> DataFrame:
     """One row per snapshot, with the folders it consists of."""
     paths = [_entry_path(location, i) for i in snapshot_ids(spark, location)]

@@ -791,7 +791,9 @@ def dq_schema_match(spark, sf_dir):
             "are outside the set",
             "orders",
         ),
-        check_sql("min_value(final_price)", "final_price < 1000.0", "are below 1000.0", FINISHED_SQL),
+        check_sql(
+            "min_value(final_price)", "final_price < 1000.0", "are below 1000.0", FINISHED_SQL
+        ),
         check_sql(
             "max_value(o_totalprice)", "o_totalprice > 450000.0", "are above 450000.0", "orders"
         ),

@@ -136,14 +136,15 @@ def write_lake(
 ) -> int | None:
     """Write to a lake table, creating it on the first write; returns the snapshot number.
 
-    ``append`` adds rows, ``overwrite`` replaces the table, its schema and, if given,
-    its partitioning, ``overwrite_partitions`` replaces the partitions that occur in ``df``. The rows really are
-    sorted by ``sort_by``; naming a sort order in table properties alone would not sort them.
-    ``bookmark`` notes, in the same step, how far an incremental read has come.
+    ``append`` adds rows, ``overwrite`` replaces the table, its schema and, if given, its
+    partitioning, ``overwrite_partitions`` replaces the partitions that occur in ``df``. The rows
+    really are sorted by ``sort_by``; naming a sort order in table properties alone would not sort
+    them. ``bookmark`` notes, in the same step, how far an incremental read has come.
     """
     check_mode(mode)
     spark = df.sparkSession
     if iceberg.catalog_of(spark, table):
+        _refuse_bookmark(bookmark)
         if audit is not None:
             audit(df).assert_all_passed()
         iceberg.write(arrange(df, partition_by or (), sort_by), table, mode, partition_by or ())
@@ -175,6 +176,11 @@ def write_lake(
     )
 
 
+def _refuse_bookmark(bookmark: ledger.Bookmark | None) -> None:
+    if bookmark is not None:
+        raise ValueError("bookmarks are kept in the ledger, which Iceberg tables do not have")
+
+
 def _check_keys_unique(source: DataFrame, keys: Sequence[str]) -> None:
     # Keys with a null match nothing, so they cannot clash.
     complete = drop_missing_keys(source.select(*keys), keys)
@@ -220,44 +226,51 @@ def merge_lake(
     Keys compare as in SQL, so a key with a null matches nothing and its row is added. A key that
     occurs twice in the source is an error. With ``newer_by`` a source row whose value in that
     column is lower than the one in the table is left out. Only folders that hold a matching key
-    are written again. The source is put down once in the shared folder, because it is used three times and
-    all uses must see the same rows; that copy is deleted at the end.
+    are written again. The source is put down once in the shared folder, because it is used three
+    times and all uses must see the same rows; that copy is deleted at the end. A table that does
+    not exist is created.
     """
     spark = source.sparkSession
     keys = list(keys)
     if iceberg.catalog_of(spark, table):
+        _refuse_bookmark(bookmark)
         _check_keys_unique(source, keys)
         iceberg.merge(source, table, keys, newer_by)
         return None
     location = resolve(spark, table)
-    previous = ledger.latest(spark, location)
-    if previous is None:
-        _check_keys_unique(source, keys)
-        return write_lake(
-            source, table, audit=audit, bookmark=bookmark, committed_at=committed_at
-        )
-
+    at = committed_at or ledger.utc_now()
+    previous = ledger.latest(spark, location) or ledger.no_rows(source.schema, at)
     rows = conform_to(source, previous.schema)
     staged_path = scratch_path(spark, "merge-source")
     try:
         rows.write.parquet(staged_path)
         staged = spark.read.schema(rows.schema).parquet(staged_path)
         _check_keys_unique(staged, keys)
-        return _merge(staged, location, previous, keys, newer_by, audit, bookmark, committed_at)
+        dirs = _merged_dirs(staged, location, previous, keys, newer_by, audit)
     finally:
         files.delete(spark, staged_path)
+    return ledger.publish(
+        spark,
+        location,
+        previous,
+        operation="merge",
+        dirs=dirs,
+        schema=previous.schema,
+        partition_by=list(previous.partition_by),
+        at=at,
+        bookmark=bookmark,
+    )
 
 
-def _merge(
+def _merged_dirs(
     staged: DataFrame,
     location: str,
     previous: ledger.Snapshot,
     keys: list[str],
     newer_by: str | None,
     audit: Audit | None,
-    bookmark: ledger.Bookmark | None,
-    committed_at: datetime | None,
-) -> int:
+) -> list[str]:
+    """Folders of the table after the upsert; the new ones are written here."""
     spark = staged.sparkSession
     dirs = list(previous.dirs)
     if len(dirs) > 1:
@@ -278,21 +291,15 @@ def _merge(
         partition_by=previous.partition_by,
         audit=audit,
     )
-    return ledger.publish(
-        spark,
-        location,
-        previous,
-        operation="merge",
-        dirs=[name for name in dirs if name not in touched] + added,
-        schema=previous.schema,
-        partition_by=list(previous.partition_by),
-        at=committed_at or ledger.utc_now(),
-        bookmark=bookmark,
-    )
+    return [name for name in dirs if name not in touched] + added
 
 
 def evolve_lake(
-    spark: SparkSession, table: str, new_columns: StructType, *, committed_at: datetime | None = None
+    spark: SparkSession,
+    table: str,
+    new_columns: StructType,
+    *,
+    committed_at: datetime | None = None,
 ) -> int:
     """Add columns to a lake table; rows written before read as null. No data is touched."""
     location = resolve(spark, table)

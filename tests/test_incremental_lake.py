@@ -8,6 +8,7 @@ from conftest import rows
 from pyspark.sql.types import StructType
 
 from stratalake import Lake, evolve_lake, merge_lake, read_lake, write_lake
+from stratalake.layers import LAYERS
 from stratalake.plans.layers import load_delivery, raw_to_curated, tables_of
 from stratalake.plans.maintenance import compact_lake, expire_lake
 from stratalake.sources import HistoryExpiredError, read_changed, read_new
@@ -139,7 +140,7 @@ def test_deliveries_give_the_same_as_everything_at_once(spark, tmp_path):
     deliveries = [random_raw(rng, 15) for _ in range(3)]
 
     def make(name):
-        folders = {layer: f"file:{tmp_path}/{name}/{layer}" for layer in ("raw", "refined", "curated")}
+        folders = {layer: f"file:{tmp_path}/{name}/{layer}" for layer in LAYERS}
         return Lake(name, "de", "sales", folders)
 
     whole, parts = make("whole"), make("parts")
@@ -147,10 +148,8 @@ def test_deliveries_give_the_same_as_everything_at_once(spark, tmp_path):
     # Versions of an event at the same time are no matter of this test.
     every = every.dropDuplicates(["event_id", "created_at"]).cache()
     for part in deliveries:
-        part = spark.createDataFrame(part, RAW).join(
-            every, ["event_id", "payload", "created_at", "dt"], "left_semi"
-        )
-        by_delivery = load_delivery(spark, part.select("event_id", "payload", "created_at", "dt"), parts)
+        part = spark.createDataFrame(part, RAW).join(every, every.columns, "left_semi")
+        by_delivery = load_delivery(spark, part.select(*every.columns), parts)
     at_once = raw_to_curated(spark, every, whole)
     assert rows(by_delivery) == rows(at_once)
     both = [tables_of(whole).refined, tables_of(parts).refined]

@@ -105,7 +105,8 @@ def test_overwrite_can_change_the_partitioning(spark, location):
 
 
 def test_partition_values_keep_their_type(spark, location):
-    write_lake(frame(spark, (1, "2024-01-03", 1.0), (2, "007", 2.0)), location, partition_by=["day"])
+    both = frame(spark, (1, "2024-01-03", 1.0), (2, "007", 2.0))
+    write_lake(both, location, partition_by=["day"])
     table = read_lake(spark, location)
     assert table.dtypes == frame(spark).dtypes
     assert {r["day"] for r in table.collect()} == {"2024-01-03", "007"}
@@ -223,6 +224,12 @@ def test_merge_into_nothing_creates(spark, location):
     assert rows(read_lake(spark, location)) == [(1, "a", 1.0)]
 
 
+def test_first_merge_rejects_repeated_keys(spark, location):
+    with pytest.raises(DuplicateKeyError):
+        merge_lake(frame(spark, (1, "b", 1.0), (1, "c", 1.0)), location, ["id"])
+    assert ledger.snapshot_ids(spark, location) == []
+
+
 def test_merge_null_keys_match_nothing(spark, location):
     write_lake(frame(spark, (None, "old", 1.0)), location)
     merge_lake(frame(spark, (None, "x", 2.0), (None, "y", 3.0)), location, ["id"])
@@ -318,7 +325,9 @@ def part_files(location):
 
 def test_sorted_partitions(spark, location):
     df = spark.range(1000).select(
-        "id", (F.col("id") % 3).cast("string").alias("day"), (-F.col("id")).cast("double").alias("amount")
+        "id",
+        (F.col("id") % 3).cast("string").alias("day"),
+        (-F.col("id")).cast("double").alias("amount"),
     )
     write_lake(df, location, partition_by=["day"], sort_by=["amount"])
     assert rows(read_lake(spark, location)) == rows(df)

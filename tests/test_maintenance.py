@@ -79,7 +79,8 @@ def test_compaction_restores_session_settings(spark, location):
 
 
 def test_compaction_respects_the_target_size(spark, location):
-    big = spark.range(0, 200000, 1, 1).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    text = F.sha2(F.col("id").cast("string"), 256).alias("t")
+    big = spark.range(0, 200000, 1, 1).select("id", text)
     for i in range(4):
         write_lake(big.where(F.col("id") % 4 == i), location)
     sizes = [r["length"] for r in data_files(spark, location).collect()]
@@ -139,7 +140,8 @@ def test_retention_ranks_before_the_shuffle(spark):
     frame = spark.range(10).select(
         (F.col("id") % 2).alias("t"), F.col("id").alias("s"), F.lit(NOW).alias("start")
     )
-    frame = frame.withColumn("at", F.expr("start - make_interval(0, 0, 0, s)").cast("timestamp_ntz"))
+    at = F.expr("start - make_interval(0, 0, 0, s)").cast("timestamp_ntz")
+    frame = frame.withColumn("at", at)
     plan = plan_of(expired_snapshots(frame, table="t", snapshot="s", committed_at="at", as_of=NOW))
     assert "row_number(), 3, Partial" in plan
 

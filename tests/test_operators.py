@@ -33,7 +33,8 @@ def test_clean_text(spark):
 
 
 def test_money_and_day(spark):
-    frame = spark.createDataFrame([(0.1, datetime(2024, 1, 3, 23, 59))], "v double, t timestamp_ntz")
+    late = datetime(2024, 1, 3, 23, 59)
+    frame = spark.createDataFrame([(0.1, late)], "v double, t timestamp_ntz")
     assert frame.select(money("v"), day_string("t")).first()[:] == (Decimal("0.10"), "2024-01-03")
 
 
@@ -225,6 +226,7 @@ def test_no_join_or_broadcast_is_forced():
 
 @pytest.mark.parametrize("n", [0, 1])
 def test_empty_and_single_row(spark, n):
-    frame = spark.createDataFrame([(1, datetime(2024, 1, 1), 1.0)][:n], "k int, t timestamp_ntz, v double")
+    values = [(1, datetime(2024, 1, 1), 1.0)][:n]
+    frame = spark.createDataFrame(values, "k int, t timestamp_ntz, v double")
     assert latest_per_key(frame, ["k"], [F.desc("t")]).count() == n
     assert daily_summary(frame, "t", "v").count() == n

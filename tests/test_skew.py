@@ -86,7 +86,7 @@ def test_newest_row_of_a_hot_key(skewed):
 
 
 def test_hot_day_in_a_summary(spark, skewed):
-    timed = skewed.withColumn("t", F.when(F.col("day") == "hot", "2024-01-01").otherwise("2024-01-02"))
-    timed = timed.withColumn("t", F.col("t").cast("timestamp_ntz"))
+    day = F.when(F.col("day") == "hot", "2024-01-01").otherwise("2024-01-02")
+    timed = skewed.withColumn("t", day.cast("timestamp_ntz"))
     counts = {str(r["date"]): r["total_count"] for r in daily_summary(timed, "t", "id").collect()}
     assert counts == {"2024-01-01": N // 3, "2024-01-02": N - N // 3}
