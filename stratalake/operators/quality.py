@@ -44,23 +44,26 @@ class _UniqueCheck(NamedTuple):
     keys: tuple[str, ...]
 
 
+# The labels in the detail of a schema check.
+MISSING = "missing"
+MISMATCHES = "type mismatches"
+UNEXPECTED = "unexpected"
+
+
 def schema_problems(
     df: DataFrame, expected: Mapping[str, str], allow_extra_columns: bool = True
 ) -> str:
     """What differs from the expected column types; empty if nothing does."""
+    problems = {MISSING: [], MISMATCHES: {}, UNEXPECTED: []}
     actual = dict(df.dtypes)
-    found = {
-        "missing": [name for name in expected if name not in actual],
-        "type mismatches": {
-            name: (kind, actual[name])
-            for name, kind in expected.items()
-            if actual.get(name, kind) != kind
-        },
-        "unexpected": []
-        if allow_extra_columns
-        else [name for name in actual if name not in expected],
-    }
-    return "; ".join(f"{label}: {value}" for label, value in found.items() if value)
+    for name, kind in expected.items():
+        if name not in actual:
+            problems[MISSING].append(name)
+        elif actual[name] != kind:
+            problems[MISMATCHES][name] = (kind, actual[name])
+    if not allow_extra_columns:
+        problems[UNEXPECTED] = [name for name in actual if name not in expected]
+    return "; ".join(f"{label}: {found}" for label, found in problems.items() if found)
 
 
 class QualityChecker:
