@@ -24,7 +24,8 @@ def arrange(
       task and merges small ones (``REBALANCE``);
     * ``sort_by``: files hold disjoint ranges of (partition, sort columns) and are sorted inside,
       so that a filter on the sort columns skips files and row groups. The number of the input
-      task breaks ties between equal rows; it is the same when a task is run again.
+      task breaks ties between equal rows; it is the same when a task is run again. The ranges
+      need a sample, so ``df`` is computed twice: write it down first if it is expensive.
     """
     if sort_by:
         order = [F.col(c) for c in [*partition_by, *sort_by]]

@@ -191,6 +191,24 @@ def test_two_level_partitions(spark, tmp_path):
     assert rows(read_lake(spark, path)) == rows(frame)
 
 
+class Cluster:
+    """As much of a session on a cluster as finding the shared folder takes."""
+
+    def __init__(self, settings):
+        self.conf = settings
+        self.sparkContext = self
+        self.master = "spark://host"
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_a_cluster_must_name_the_shared_folder():
+    assert shared_dir(Cluster({"spark.checkpoint.dir": "hdfs:///shared/"})) == "hdfs:///shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Cluster({}))
+
+
 def test_sizes():
     scan, shuffle = "spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions"
     assert sizes_for(10**9) == {scan: str(128 * 1024**2), shuffle: "200"}
