@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -82,6 +83,21 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return _union(frames[:middle]).union(_union(frames[middle:]))
 
 
+def _scans(
+    spark: SparkSession,
+    location: str,
+    groups: Sequence[Sequence[str]],
+    snapshot: ledger.Snapshot,
+) -> list[DataFrame]:
+    """One scan per group of folders; their files are listed side by side."""
+    with ThreadPoolExecutor(max_workers=files.REQUESTS) as pool:
+        return list(
+            pool.map(
+                lambda dirs: ledger.rows_in(spark, location, dirs, snapshot.schema), groups
+            )
+        )
+
+
 def compact_lake(
     spark: SparkSession,
     table: str,
@@ -111,10 +127,7 @@ def compact_lake(
     groups = list(wanted.values())
     with session_conf(spark, _scan_conf(target_bytes) | file_size_conf(target_bytes)):
         for start in range(0, len(groups), PARTITIONS_PER_COMMIT):
-            scans = [
-                ledger.rows_in(spark, location, dirs, snapshot.schema)
-                for dirs in groups[start : start + PARTITIONS_PER_COMMIT]
-            ]
+            scans = _scans(spark, location, groups[start : start + PARTITIONS_PER_COMMIT], snapshot)
             added += write_commit(
                 _union(scans),
                 location,
