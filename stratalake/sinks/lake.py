@@ -200,11 +200,18 @@ def _without_outdated(
 
 
 def _dirs_holding(
-    target: DataFrame, source: DataFrame, keys: Sequence[str]
+    spark: SparkSession,
+    location: str,
+    snapshot: ledger.Snapshot,
+    source: DataFrame,
+    keys: list[str],
 ) -> set[str]:
-    """Folders with at least one row whose key occurs in ``source``."""
+    """Folders with at least one row whose key occurs in ``source``; reads only the keys."""
+    if not snapshot.dirs:
+        return set()
+    target = ledger.rows_in(spark, location, snapshot.dirs, snapshot.schema)
     located = target.select(*keys, F.col("_metadata.file_path").alias("_file"))
-    matches = located.join(source.select(*keys), list(keys), "left_semi")
+    matches = located.join(source.select(*keys), keys, "left_semi")
     touched = matches.select("_file").distinct()
     # At most one row per folder reaches the driver.
     folders = touched.select(ledger.dir_of(ledger.decoded(F.col("_file"))).alias("_dir"))
@@ -272,15 +279,9 @@ def _merged_dirs(
 ) -> list[str]:
     """Folders of the table after the upsert; the new ones are written here."""
     spark = staged.sparkSession
-    dirs = list(previous.dirs)
-    if len(dirs) > 1:
-        target = ledger.rows_in(spark, location, dirs, previous.schema)
-        touched = _dirs_holding(target, staged, keys)
-    else:
-        touched = set(dirs)
-    again = ledger.rows_in(
-        spark, location, [name for name in dirs if name in touched], previous.schema
-    )
+    touched = _dirs_holding(spark, location, previous, staged, keys)
+    rewritten = [name for name in previous.dirs if name in touched]
+    again = ledger.rows_in(spark, location, rewritten, previous.schema)
     if newer_by is not None:
         staged = _without_outdated(staged, again, keys, newer_by)
     unmatched = again.join(staged.select(*keys), keys, "left_anti")
@@ -291,7 +292,7 @@ def _merged_dirs(
         partition_by=previous.partition_by,
         audit=audit,
     )
-    return [name for name in dirs if name not in touched] + added
+    return [name for name in previous.dirs if name not in touched] + added
 
 
 def evolve_lake(

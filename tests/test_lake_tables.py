@@ -247,6 +247,14 @@ def test_merge_rejects_repeated_keys(spark, location):
     assert rows(read_lake(spark, location)) == [(1, "a", 1.0)]
 
 
+def test_merge_of_new_keys_rewrites_nothing(spark, location):
+    write_lake(frame(spark, (1, "a", 1.0)), location)
+    before = ledger.latest(spark, location).dirs
+    merge_lake(frame(spark, (2, "b", 2.0)), location, ["id"])
+    assert set(before) < set(ledger.latest(spark, location).dirs)
+    assert rows(read_lake(spark, location)) == [(1, "a", 1.0), (2, "b", 2.0)]
+
+
 def test_merge_moves_rows_between_partitions(spark, location):
     write_lake(frame(spark, (1, "a", 1.0), (2, "b", 2.0)), location, partition_by=["day"])
     merge_lake(frame(spark, (1, "b", 10.0)), location, ["id"])
