@@ -13,6 +13,7 @@ import re
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -20,6 +21,7 @@ from pyspark.sql.types import StructType
 from stratalake import files
 
 COMMIT = "_commit"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 LEDGER_SCHEMA = (
     "snapshot_id bigint, committed_at timestamp_ntz, operation string, "
     "dirs array<string>, partition_by array<string>"
@@ -168,3 +170,9 @@ def decoded(path: Column) -> Column:
 def partition_of(directory: str) -> str:
     """Partition part of a folder name; empty for an unpartitioned table."""
     return directory.partition("/")[2]
+
+
+def partition_values(directory: str) -> dict[str, str | None]:
+    """Partition columns and their values, as text, of a folder."""
+    parts = [part.split("=", 1) for part in partition_of(directory).split("/") if part]
+    return {key: None if value == NULL_PARTITION else unquote(value) for key, value in parts}

@@ -182,6 +182,13 @@ def scan_partition_pruned(spark, sf_dir):
     return read_lake(spark, path).where("dt = '2024-01-03'")
 
 
+@query(f"SELECT * FROM ({EVENTS_BY_DAY_SQL}) WHERE dt IN ('2024-01-03', '2024-01-04')")
+def scan_listed_partitions(spark, sf_dir):
+    path = scratch_path(spark, "events")
+    write_lake(events_by_day(spark, sf_dir), path, partition_by=["dt"])
+    return read_lake(spark, path, partitions={"dt": ["2024-01-03", "2024-01-04"]})
+
+
 @query("SELECT * FROM events")
 def incremental_scan(spark, sf_dir):
     events = source(spark, sf_dir, "events")

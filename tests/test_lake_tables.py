@@ -104,6 +104,20 @@ def test_overwrite_can_change_the_partitioning(spark, location):
     assert rows(read_lake(spark, location, snapshot_id=1)) == [(1, "a", 1.0)]
 
 
+def test_reading_some_partitions_lists_only_those(spark, location):
+    odd = ["2024-01-01 10:00", "a+b", "a%20b", "ü/{x}", "k=v", None]
+    write_lake(
+        frame(spark, *[(i, d, 0.0) for i, d in enumerate(odd)]), location, partition_by=["day"]
+    )
+    for number, day in enumerate(odd):
+        some = read_lake(spark, location, partitions={"day": [day]})
+        assert rows(some) == [(number, day, 0.0)]
+        assert len(some.inputFiles()) == 1
+    assert rows(read_lake(spark, location, partitions={"day": ["none of them"]})) == []
+    with pytest.raises(ValueError, match="not partitioned by id"):
+        read_lake(spark, location, partitions={"id": ["1"]})
+
+
 def test_partition_values_keep_their_type(spark, location):
     both = frame(spark, (1, "2024-01-03", 1.0), (2, "007", 2.0))
     write_lake(both, location, partition_by=["day"])
