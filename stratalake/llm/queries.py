@@ -4,20 +4,109 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stratalake.llm import byte_bpe, chat_format, secret_scan
 from stratalake.llm.common import source
 from stratalake.llm.near_dedup import similar_documents
+from stratalake.session import scratch_path
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(run):
-    QUERIES[run.__name__] = run
-    return run
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its name, with the SQL that gives the same rows if there is any."""
+
+    def add(run: Query) -> Query:
+        QUERIES[run.__name__] = run
+        if sql:
+            ORACLES[run.__name__] = sql
+        return run
+
+    return add
 
 
-@query
+def vocabulary() -> byte_bpe.Vocabulary:
+    return byte_bpe.Vocabulary.read(
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+
+@query()
 def op1_near_dedup(spark, sf_dir):
     return similar_documents(source(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_secret_scan(spark, sf_dir):
+    versions = source(spark, sf_dir, "documents").withColumn("version", F.lit(1))
+    found = secret_scan.scan_history(versions, scratch_path(spark, "ledger"), path="doc_id")
+    of_kind = lambda kind: F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long")
+    base = [rule.kind for rule in secret_scan.BASE]
+    return found.select(
+        F.col("path").alias("doc_id"),
+        *(of_kind(kind).alias(f"n_{kind}") for kind in base),
+        F.sha2(secret_scan.joined_spans(F.filter("findings", lambda x: x["kind"].isin(base))), 256).alias("base_sha256"),
+        secret_scan.joined_spans(F.col("findings")).alias("spans"),
+    )
+
+
+@query(
+    r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    sized AS (
+        SELECT *, 14 + length(role) + length(text)
+                + length(role || text) - length(replace(replace(role || text, '\', ''), '<', ''))
+                + length(role) - length(replace(role, chr(10), '')) AS size,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, role DESC, text DESC) AS back
+        FROM turns),
+    summed AS (
+        SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY back DESC ROWS UNBOUNDED PRECEDING) AS upto
+        FROM sized)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY back DESC)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY back DESC) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(upto) FILTER (role = 'assistant' OR back = 1) AS BIGINT) AS formatted_chars
+    FROM summed GROUP BY conv_id"""
+)
+def op8_chat_format(spark, sf_dir):
+    # A conversation that says what the template says.
+    text = r"\### Assistant: </turn> ok"
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"),
+        F.lit(text).alias("text"),
+    )
+    conversations = source(spark, sf_dir, "conversations").select(more.columns).unionByName(more)
+    back = chat_format.read_back(chat_format.expand_replies(conversations))
+    said = F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n")))
+    trained = F.array_join("trained", "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length(trained).cast("long").alias("loss_chars"),
+        F.sha2(trained, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+@query()
+def op10_byte_bpe(spark, sf_dir):
+    words = vocabulary()
+    encoded = byte_bpe.encode(source(spark, sf_dir, "documents").select("doc_id", "text"), words)
+    return byte_bpe.decode(encoded.drop("text"), words).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        byte_bpe.digest_of_ids(F.col("ids")).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
