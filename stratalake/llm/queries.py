@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratalake.llm import byte_bpe, chat_format, secret_scan
 from stratalake.llm.common import source
 from stratalake.llm.near_dedup import similar_documents
+from stratalake.llm.quality_rules import judge_quality
+from stratalake.llm.url_filter import UrlRule, filter_urls
 from stratalake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +43,23 @@ def op1_near_dedup(spark, sf_dir):
     return similar_documents(source(spark, sf_dir, "documents"))
 
 
+URL_RULES = (
+    UrlRule("block", "net/"),
+    UrlRule("allow", "example.net/en/"),
+    UrlRule("block", "example.com/de/"),
+    UrlRule("allow", "org/fr/"),
+)
+
+
+@query()
+def op2_url_filter(spark, sf_dir):
+    # A page is bad if the document of the same number is labelled as of low quality.
+    labels = source(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad")
+    )
+    return filter_urls(source(spark, sf_dir, "pages"), labels, URL_RULES)
+
+
 @query()
 def op3_secret_scan(spark, sf_dir):
     versions = source(spark, sf_dir, "documents").withColumn("version", F.lit(1))
@@ -100,6 +119,14 @@ def op8_chat_format(spark, sf_dir):
     )
 
 
+@query()
+def op9_quality_rules(spark, sf_dir):
+    judged = judge_quality(source(spark, sf_dir, "documents"), source(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"
+    )
+
+
 @query()
 def op10_byte_bpe(spark, sf_dir):
     words = vocabulary()
