@@ -44,9 +44,21 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
-    """One hash for every run of ``width`` consecutive words."""
-    count = len(hashes) - width + 1
-    total = np.full(count, width, np.uint64)
-    for k in range(width):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + count]
-    return mixed(total)
+    """One hash for every run of ``width`` consecutive words, put together from powers of two."""
+    factor = 0x9E3779B97F4A7C15
+    done, total, power, size = 0, None, hashes, 1
+    while size <= width:
+        if width & size:
+            if total is None:
+                total = power
+            else:
+                scale = np.uint64(pow(factor, size, 2**64))
+                count = len(hashes) - done - size + 1
+                total = total[:count] * scale + power[done : done + count]
+            done += size
+        if size * 2 <= width:
+            scale = np.uint64(pow(factor, size, 2**64))
+            count = len(hashes) - 2 * size + 1
+            power = power[:count] * scale + power[size : size + count]
+        size *= 2
+    return mixed(total + np.uint64(width))

@@ -326,3 +326,16 @@ def similar_documents(documents: DataFrame, settings: NearDedup = NearDedup()) -
             F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
         )
     )
+
+
+def drop_similar(documents: DataFrame, settings: NearDedup = NearDedup()) -> DataFrame:
+    """``documents`` without those that are linked, directly or not, to one with a smaller doc_id.
+    Of rows with the same doc_id one stays; rows without doc_id all stay."""
+    kept = similar_documents(documents, settings).where("kept and doc_id is not null").select("doc_id").distinct()
+    known = documents.where("doc_id is not null")
+    return (
+        known.join(kept, "doc_id", "left_semi")
+        .dropDuplicates(["doc_id"])
+        .unionByName(documents.where("doc_id is null"))
+        .select(documents.columns)
+    )

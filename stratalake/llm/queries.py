@@ -7,10 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import byte_bpe, chat_format, secret_scan
+from stratalake.llm import byte_bpe, chat_format, secret_scan, token_counts
 from stratalake.llm.common import source
+from stratalake.llm.decontaminate import find_leaks
 from stratalake.llm.near_dedup import similar_documents
 from stratalake.llm.quality_rules import judge_quality
+from stratalake.llm.substring_dedup import remove_repeats
+from stratalake.llm.toxicity import score_toxicity, train_toxicity
 from stratalake.llm.url_filter import UrlRule, filter_urls
 from stratalake.session import scratch_path
 
@@ -74,6 +77,40 @@ def op3_secret_scan(spark, sf_dir):
     )
 
 
+@query()
+def op4_toxicity(spark, sf_dir):
+    documents = source(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    net = train_toxicity(documents, source(spark, sf_dir, "labels").where(~held_out))
+    return score_toxicity(documents, net).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op5_token_counts(spark, sf_dir):
+    documents = source(spark, sf_dir, "documents").select("doc_id", "text")
+    edits = token_counts.redactions(documents)
+    return token_counts.recount_edited(documents, edits, vocabulary()).select(
+        "doc_id", "n_tokens", "n_edits", "n_tokens_after", "n_chars_split"
+    )
+
+
+@query()
+def op6_substring_dedup(spark, sf_dir):
+    return remove_repeats(source(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query()
+def op7_decontaminate(spark, sf_dir):
+    return find_leaks(source(spark, sf_dir, "documents"), source(spark, sf_dir, "benchmark"))
+
+
 @query(
     r"""
     WITH turns AS (

@@ -167,3 +167,37 @@ def joined_spans(findings):
     return F.array_join(
         F.transform(findings, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ","
     )
+
+
+def redact(documents: DataFrame, found: DataFrame, mark: str = "[secret]") -> DataFrame:
+    """``documents`` with ``mark`` in place of the findings in ``text``; spans that overlap or touch
+    become one mark. ``found``: what ``scan_history`` returned for these texts. ``n_chars``, if there
+    is such a column, follows. Other columns and null texts stay as they are."""
+    blobs = (
+        found.where(F.size("findings") > 0)
+        .select(F.col("blob").alias("__blob"), F.col("findings").alias("__findings"))
+        .dropDuplicates(["__blob"])
+    )
+    rows = documents.withColumn("__blob", F.sha2(F.coalesce("text", F.lit("")), 256))
+    joined = rows.join(blobs, "__blob", "left").drop("__blob")
+    names = documents.columns
+
+    def replace(batches):
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for i, findings in enumerate(batch.column("__findings").to_pylist()):
+                if findings and texts[i] is not None:
+                    text, parts, done = texts[i], [], 0
+                    for start, end in sorted((x["start"], x["end"]) for x in findings):
+                        if start > done or not parts:
+                            parts += [text[done:start], mark]
+                        done = max(done, end)
+                    texts[i] = "".join([*parts, text[done:]])
+            columns = [pa.array(texts, pa.string()) if name == "text" else batch.column(name) for name in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    touched = joined.where("__findings is not null").mapInArrow(replace, documents.schema)
+    if "n_chars" in names:
+        size = F.length("text").cast(documents.schema["n_chars"].dataType)
+        touched = touched.withColumn("n_chars", size)
+    return joined.where("__findings is null").select(names).unionByName(touched)
