@@ -30,7 +30,7 @@ class ToxicityTraining:
     width: int = 32
     step: int = 24
     size: int = 8
-    epochs: int = 14
+    epochs: int = 10
     batch: int = 256
     rate: float = 0.02
     seed: int = 11
@@ -66,7 +66,7 @@ class ToxicityNet:
             "word": (len(words) + 1, h), "gram": (settings.grams, h), "W": (2 * h, 6 * h), "b": (6 * h,),
             "U": (2, h, 3 * h), "A": (2 * h, h), "a": (h,), "v": (h,), "out": (2 * h,), "bias": (1,),
         }
-        scale = {"word": 0.3, "gram": 0.3, "b": 0, "a": 0, "bias": 0}
+        scale = {"word": 0.05, "gram": 0.05, "b": 0, "a": 0, "bias": 0}
         parameters = {
             name: (random.normal(size=shape) * scale.get(name, h**-0.5)).astype(np.float32) for name, shape in shapes.items()
         }
@@ -175,9 +175,39 @@ class ToxicityNet:
         logits, cache = self._forward(self._inputs(tokens), index, mask, keep)
         return logits, tokens, cache
 
+    def _surprise(self, holders: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        """How many standard errors beyond two the log odds of toxic documents lie above the others'.
+        ``holders``: number of clean and of toxic documents with each word or gram."""
+        odds = np.log((holders + 0.5) / (np.bincount(labels, minlength=2) + 1))
+        errors = np.sqrt((1 / (holders + 0.5)).sum(axis=1))
+        return np.maximum((odds[:, 1] - odds[:, 0]) / errors - 2, 0).astype(np.float32)
+
+    def start(self, documents: list[list[list[bytes]]], labels: np.ndarray) -> list[np.ndarray]:
+        """Sets the first input of words and grams to what few documents can tell about them, and
+        returns how much of it there is in each window."""
+        words, grams = np.zeros((len(self.p["word"]), 2)), np.zeros((len(self.p["gram"]), 2))
+        parts = []
+        for document, label in zip(documents, labels, strict=True):
+            tokens = self.tokens([word for window in document for word in window] or [b"."])
+            words[np.unique(tokens[0]), label] += 1
+            own = np.zeros(len(tokens[1]) + 1, np.int64)
+            np.add.at(own, tokens[2], 1)
+            np.add.at(own, tokens[2] + tokens[3], -1)
+            grams[np.unique(tokens[1][np.cumsum(own)[:-1] > 0]), label] += 1
+            parts.append(tokens)
+        words[0] = 1
+        self.p["word"][:, 0], self.p["gram"][:, 0] = self._surprise(words, labels), self._surprise(grams, labels)
+        found = []
+        for document, tokens in zip(documents, parts, strict=True):
+            signs = self._inputs(tokens)[:, [0, self.settings.size]].sum(axis=1)
+            edges = np.cumsum([0, *map(len, document[:-1])])
+            found.append(np.maximum.reduceat(signs, np.minimum(edges, len(signs) - 1)))
+        return found
+
     def fit(self, documents: list[list[list[bytes]]], labels: np.ndarray) -> None:
         """Learns from the window of each document that looks most toxic, and for clean documents
         another one too. Adam; both classes weigh the same."""
+        looks = np.concatenate(self.start(documents, labels))
         s, random = self.settings, np.random.default_rng(self.settings.seed)
         first = {name: np.zeros_like(x) for name, x in self.p.items()}
         second = {name: np.zeros_like(x) for name, x in self.p.items()}
@@ -187,7 +217,7 @@ class ToxicityNet:
         share = np.array([(labels == 0).sum(), (labels == 1).sum()]) / max(len(labels), 1)
         step = 0
         for epoch in range(s.epochs):
-            logits = self.window_logits(flat)
+            logits = self.window_logits(flat) if epoch else looks
             top = np.array([begin[i] + np.argmax(logits[begin[i] : begin[i] + len(d)]) for i, d in enumerate(documents)])
             clean = np.flatnonzero(labels == 0)
             other = begin[clean] + (random.random(len(clean)) * [len(documents[i]) for i in clean]).astype(np.int64)
