@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import base64
+from bisect import bisect_right
 from dataclasses import dataclass
-from itertools import chain
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,9 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 from stratalake.llm.common import values
 
 
+AHEAD = 3  # characters after a boundary that the match before it may depend on
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """``ranks``: content of a rank file (base64 bytes and rank a line); ``pattern`` splits a text
@@ -54,8 +58,9 @@ class PieceIds(dict):
         return ids
 
 
-def _with_ids(rows: DataFrame, vocabulary, column: str) -> DataFrame:
-    """``rows`` and the column ``ids`` of the texts in ``column``."""
+def _with_ids(rows: DataFrame, vocabulary, column: str, upto: str | None = None) -> DataFrame:
+    """``rows`` and the column ``ids`` of the texts in ``column``, of the pieces within their first
+    ``upto`` characters if that is given; the rest is there to be looked at."""
     schema = StructType([*rows.schema.fields, StructField("ids", ArrayType(IntegerType()))])
 
     def encode(batches):
@@ -63,9 +68,12 @@ def _with_ids(rows: DataFrame, vocabulary, column: str) -> DataFrame:
         pieces = regex.compile(vocabulary.value[1])
         for batch in batches:
             ids, ends = [], [0]
-            for text in values(batch, column):
-                found = chain.from_iterable(map(known.__getitem__, pieces.findall(text.decode())))
-                ids.append(np.fromiter(found, np.int32))
+            ends_at = batch.column(upto).to_pylist() if upto else repeat(None)
+            for text, end in zip(values(batch, column), ends_at):
+                found = pieces.findall(text.decode())
+                if end is not None:
+                    found = found[: bisect_right(list(accumulate(map(len, found))), end)]
+                ids.append(np.fromiter(chain.from_iterable(map(known.__getitem__, found)), np.int32))
                 ends.append(ends[-1] + len(ids[-1]))
             flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
             lists = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(flat))
@@ -75,13 +83,14 @@ def _with_ids(rows: DataFrame, vocabulary, column: str) -> DataFrame:
 
 
 def _stitched(long: DataFrame, vocabulary, chunk: int, overlap: int) -> DataFrame:
-    """(key, pieces): for each long text the spans (start, text) between resynchronised boundaries.
+    """(key, i, upto, piece): long texts between boundaries that are known to be right. A piece has
+    ``upto`` characters, and those that follow it as far as a match may look.
 
     A chunk starts anywhere, so its first boundaries may be off. From a true boundary on, though,
     how a text splits depends on what follows only. So the first boundary that a chunk and the
     next one have in common inside their overlap is a true one if those of the first are, and from
-    there on the second is right. Boundaries are kept back where the end of a chunk could have
-    cut off what a match looks at (three characters).
+    there on the second is right. Boundaries are left out where the end of a chunk could have
+    cut off what a match looks at.
     """
     count = F.ceil(F.length("text") / F.lit(float(chunk))).cast("int")
     chunks = long.select(
@@ -95,7 +104,7 @@ def _stitched(long: DataFrame, vocabulary, chunk: int, overlap: int) -> DataFram
             for i, text in zip(batch.column("i").to_pylist(), values(batch, "chunk"), strict=True):
                 text = text.decode()
                 ends = np.fromiter((found.end() for found in pieces.finditer(text)), np.int64)
-                ends = ends[ends <= len(text) - 3]
+                ends = ends[ends <= len(text) - AHEAD]
                 heads.append((ends[ends < overlap] + i * chunk).tolist())
                 tails.append((ends[ends >= chunk] + i * chunk).tolist())
             yield pa.RecordBatch.from_arrays(
@@ -120,7 +129,8 @@ def _stitched(long: DataFrame, vocabulary, chunk: int, overlap: int) -> DataFram
     return seams.select(
         "key",
         "i",
-        F.expr(f"substring(chunk, cast(from - i * {chunk} + 1 as int), cast(to - from as int))").alias("piece"),
+        (F.col("to") - F.col("from")).cast("int").alias("upto"),
+        F.expr(f"substring(chunk, cast(from - i * {chunk} + 1 as int), cast(to - from + {AHEAD} as int))").alias("piece"),
     )
 
 
@@ -144,7 +154,7 @@ def encode(
 
     long = rows.where(is_long).withColumn("__key", F.sha2("text", 256))
     texts = long.select(F.col("__key").alias("key"), "text").dropDuplicates(["key"])
-    parts = _with_ids(_stitched(texts, shared, chunk, overlap), shared, "piece")
+    parts = _with_ids(_stitched(texts, shared, chunk, overlap), shared, "piece", "upto")
     whole = (
         parts.groupBy("key")
         .agg(

@@ -318,7 +318,9 @@ def similar_documents(documents: DataFrame, settings: NearDedup = NearDedup()) -
     components = connected_components(links)
     return (
         members.join(components, F.col("id") == F.col("node"), "left")
-        .withColumn("component_id", F.coalesce("component", "id", "doc_id"))
+        .withColumn(
+            "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id"))
+        )
         .select(
             "doc_id",
             "n_shingles",

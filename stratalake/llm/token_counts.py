@@ -10,11 +10,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from stratalake.llm.byte_bpe import PieceIds, Vocabulary
+from stratalake.llm.byte_bpe import AHEAD, PieceIds, Vocabulary
 from stratalake.llm.common import staged, values
 
 LEAF = 64  # pre-tokens in a leaf
-CONTEXT = 3  # characters after a boundary that the split before it may depend on
 REGION = 256  # characters beyond an edit that are split at first
 
 
@@ -87,12 +86,12 @@ def apply_edit(
     """The edited text and the number of characters that were split again; ``tree`` follows.
 
     How a text splits from a boundary on depends only on what follows. So splitting starts at the
-    last leaf that begins CONTEXT characters before the edit, and stops at the first boundary
+    last leaf that begins AHEAD characters before the edit, and stops at the first boundary
     after it that was the beginning of a leaf before: from there on nothing has changed.
     """
     edited = text[:start] + new + text[end:]
     shift = len(edited) - len(text)
-    leaf, begin = tree.leaf_at(max(start - CONTEXT, 0))
+    leaf, begin = tree.leaf_at(max(start - AHEAD, 0))
     old_begins, position, last = [], begin, leaf
     reach = max(REGION, 8 * LEAF)
     while True:
@@ -104,7 +103,7 @@ def apply_edit(
         part = edited[begin : len(edited) if at_end else position + shift]
         found = pieces.findall(part)
         ends = list(accumulate(map(len, found), initial=begin))
-        sure = len(edited) if at_end else begin + len(part) - CONTEXT
+        sure = len(edited) if at_end else begin + len(part) - AHEAD
         known = set(ends)
         stop = None
         for index, old in enumerate(old_begins):

@@ -1,0 +1,84 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake.llm.components import connected_components
+from stratalake.llm.near_dedup import NearDedup, drop_similar, shingles, similar_documents
+
+
+def brute_force(texts, settings):
+    """component_id and n_shingles by comparing all pairs; texts: (doc_id, text)."""
+    sets = []
+    for _, text in texts:
+        words = (text or "").encode().lower().split()
+        width = min(settings.words, len(words))
+        sets.append({tuple(words[i : i + width]) for i in range(len(words) - width + 1)} if words else set())
+    names = [doc for doc, _ in texts]
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(sets):
+            for j in range(i):
+                b = sets[j]
+                if a and b and 100 * len(a & b) >= settings.percent * len(a | b):
+                    least = min(names[i], names[j])
+                    changed |= names[i] != least or names[j] != least
+                    names[i] = names[j] = least
+    return sorted((doc, len(s), name) for (doc, _), s, name in zip(texts, sets, names))
+
+
+def edited_copies(seed, count, length=120, edits=12):
+    r = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    base = [r.choice(vocabulary) for _ in range(length)]
+    out = []
+    for _ in range(count):
+        words = list(base)
+        for _ in range(r.randint(0, edits)):
+            words[r.randrange(len(words))] = r.choice(vocabulary)
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("settings", [NearDedup(), NearDedup(short_list=3, leaders=2), NearDedup(words=5, percent=80, least_shared=0.5)])
+def test_equals_all_pairs(spark, settings):
+    texts = edited_copies(1, 60) + edited_copies(2, 25, length=30, edits=3) + edited_copies(3, 20, length=9, edits=1)
+    texts += ["", None, " \t\n", "one", "One", "one two", "one  TWO", "a b c", "Ä ä", "ä ä", "x" * 5000]
+    random.Random(4).shuffle(texts)
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = similar_documents(df, settings).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == brute_force(rows, settings)
+
+
+def test_separators_and_case(spark):
+    assert len(shingles("a\x0bb\x0cc d\x1ce".encode(), 3)) == 1  # no-break space and \x1c are no separators
+    df = spark.createDataFrame([(1, "É b c d"), (2, "é b c d"), (3, "X Y Z"), (4, "x y z")], "doc_id long, text string")
+    got = {row.doc_id: row.component_id for row in similar_documents(df).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 3}
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    schema = "doc_id long, text string, component_id string, id int, fingerprint int"
+    rows = [(None, "a b c d", "x", 1, 1), (5, "a b c d", "x", 1, 1), (5, "a b c d", "x", 1, 1), (3, "a b c d", None, 1, 1), (9, None, "", 2, 2)]
+    got = similar_documents(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in got) == [
+        (-1, -1, True), (3, 3, True), (5, 3, False), (5, 3, False), (9, 9, True),
+    ]
+    left = drop_similar(spark.createDataFrame(rows, schema))
+    assert left.columns == ["doc_id", "text", "component_id", "id", "fingerprint"]
+    assert sorted(r.doc_id or -1 for r in left.collect()) == [-1, 3, 9]
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert similar_documents(empty).collect() == []
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = spark.range(1, 60).select((F.col("id") - 1).alias("a"), F.col("id").alias("b"))
+    star = spark.range(101, 160).select(F.lit(100).cast("long").alias("a"), F.col("id").alias("b"))
+    loop = spark.createDataFrame([(200, 200), (None, 3)], "a long, b long")
+    got = {r.node: r.component for r in connected_components(chain.union(star).union(loop)).collect()}
+    assert got == {i: 0 for i in range(60)} | {i: 100 for i in range(100, 160)}
