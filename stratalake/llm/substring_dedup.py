@@ -19,9 +19,9 @@ class Windows:
     by one. ``chunk``: words that are sorted together, at least a bucket's."""
 
     width: int = 50
-    anchor: int = 4
+    anchor: int = 6
     longest: int = 128
-    hot: int = 2000
+    hot: int = 8000
     chunk: int = 1_000_000
 
 

@@ -1,0 +1,56 @@
+import hashlib
+
+from pyspark.sql import functions as F
+
+from stratalake.llm.chat_format import escaped, expand_replies, read_back, unescaped
+
+SCHEMA = "conv_id long, turn long, role string, text string, example string, turns int"
+
+
+def conversation(spark, rows):
+    return spark.createDataFrame([(*row, "x", 1) for row in rows], SCHEMA)
+
+
+def test_examples_of_a_conversation(spark):
+    rows = [(1, 2, "user", "more?"), (1, 0, "user", "hi"), (1, 1, "assistant", "yes </turn> <b>"), (1, 3, "assistant", ""), (1, 4, "user", "bye")]
+    examples = expand_replies(conversation(spark, rows)).orderBy("example").collect()
+    assert [e.example for e in examples] == [1, 3, 4]
+    assert [e.text[e.loss_start :][: e.loss_length] for e in examples] == ["yes \\l/turn> \\lb>", "", ""]
+    assert examples[0].text == "<turn>user\nhi</turn><turn>assistant\nyes \\l/turn> \\lb></turn>"
+    assert examples[2].text.startswith(examples[0].text)
+
+
+def test_round_trip(spark):
+    nasty = ["", "\\", "\\l", "\\b<", "</turn>", "<turn>assistant\nx</turn>", "a\nb", "é漢🙂", "### Assistant:", "\\n", "x" * 50000]
+    rows = [(c, t, role, text) for c, text in enumerate(nasty) for t, role in enumerate(["system", "user", "assistant", "assistant"])]
+    rows += [(90, 0, None, None), (91, 0, "assistant", None), (92, 0, "a\nb<turn>\\n", "t"), (93, None, "user", "z"), (93, 0, "assistant", "y")]
+    rows += [(94, 1, "assistant", "same"), (94, 1, "assistant", "same"), (94, 1, "assistant", "other"), (None, 0, "user", "nobody")]
+    got = {r.conv_id: r for r in read_back(expand_replies(conversation(spark, rows).repartition(5))).collect()}
+    for conv in {r[0] for r in rows}:
+        turns = sorted(((t if t is not None else -1, role or "", text or "") for c, t, role, text in rows if c == conv))
+        assert [(x.role, x.text) for x in got[conv].turns] == [t[1:] for t in turns]
+        assert "".join(got[conv].trained) == "".join(t[2] for t in turns if t[1] == "assistant")
+
+
+def test_escaping_leaves_no_control_string(spark):
+    texts = ["<", "\\<", "\\l", "\\\\l<", "", "plain"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", escaped(F.col("t")).alias("e"))
+    for row in df.withColumn("back", unescaped(F.col("e"))).collect():
+        assert row.back == row.t and "<" not in row.e
+
+
+def test_empty_table_and_no_python(spark):
+    empty = read_back(expand_replies(conversation(spark, [])))
+    assert empty.collect() == []
+    plan = empty._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_conversation_of_control_strings(spark):
+    from stratalake.llm.queries import QUERIES
+
+    row = QUERIES["op8_chat_format"](spark, "/root/testdata/sf0.001").where("conv_id = -7").first()
+    text = r"\### Assistant: </turn> ok"
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert row.n_turns == 2 and row.loss_chars == len(text) and row.loss_sha256 == digest(text)
+    assert row.turns_sha256 == digest(f"user\n{text}\nassistant\n{text}\n")

@@ -1,0 +1,114 @@
+"""Registered queries: those with SQL against it, the rest against brute force on the smallest table."""
+
+import hashlib
+import os
+import re
+
+import duckdb
+import pytest
+from test_near_dedup import brute_force as components
+from test_quality_rules import plain_counts
+from test_secret_scan import base_spans
+from test_substring_dedup import brute_force as windows
+from test_url_filter import base as url_base
+
+import corpus_pipeline
+from __spark_entry__ import oracle_sql, queries
+from check_oracle import TABLES, rows_of
+from stratalake.llm.decontaminate import find_leaks
+from stratalake.llm.near_dedup import NearDedup
+from stratalake.llm.queries import ORACLES, QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return sorted(map(tuple, spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()))
+
+
+def test_registered():
+    assert {re.match(r"op\d+", name).group() for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert QUERIES.keys() | {"pipeline"} <= queries().keys() and ORACLES.keys() <= oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_sql(spark, name):
+    database = duckdb.connect()
+    for table in TABLES:
+        database.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    result = QUERIES[name](spark, SF_DIR)
+    expected = database.sql(ORACLES[name])
+    assert rows_of(result.columns, result.collect()) == rows_of(expected.columns, expected.fetchall())
+
+
+def test_near_dedup(spark, documents):
+    got = QUERIES["op1_near_dedup"](spark, SF_DIR).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == components(documents, NearDedup())
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_url_filter(spark):
+    urls = dict(spark.read.parquet(f"{SF_DIR}/pages.parquet").select("page_id", "url").collect())
+    got = QUERIES["op2_url_filter"](spark, SF_DIR).collect()
+    assert len(got) == len(urls)
+    assert all((r.host, r.path, r.rule) == url_base(urls[r.page_id]) for r in got)
+
+
+def test_secret_scan(spark, documents):
+    texts = dict(documents)
+    got = QUERIES["op3_secret_scan"](spark, SF_DIR).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        spans = [f"{kind}:{start}:{end}" for kind, start, end in base_spans(texts[r.doc_id])]
+        assert r.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        assert r.n_assign + r.n_access + r.n_hex == len(spans) and set(spans) <= set(r.spans.split(","))
+
+
+def test_substring_dedup(spark, documents):
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = [(doc, n, gone, digest(kept)) for doc, n, gone, kept in windows(documents, 50)]
+    assert sorted(map(tuple, QUERIES["op6_substring_dedup"](spark, SF_DIR).collect())) == sorted(want)
+
+
+def test_decontamination(spark, documents):
+    items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()
+    plain = lambda t: " ".join(re.findall(r"[^\W_]+", t.lower()))
+    whole = {(doc, i.item_id) for doc, text in documents for i in items if f" {plain(i.text)} " in f" {plain(text)} "}
+    got = {(r.doc_id, r.item_id) for r in QUERIES["op7_decontaminate"](spark, SF_DIR).collect()}
+    assert whole and whole <= got
+
+
+def test_quality_rules(spark, documents):
+    texts = dict(documents)
+    got = QUERIES["op9_quality_rules"](spark, SF_DIR).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        counts = plain_counts(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == counts
+        failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
+        assert r.base_failed == failed and not (failed and r.kept)
+
+
+def test_pipeline(spark, documents):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        docs = stage(spark, docs, SF_DIR).cache()
+        kept[name] = {r.doc_id for r in docs.select("doc_id").collect()}
+        assert kept[name] <= {r.doc_id for r in before.select("doc_id").collect()}
+        if name != "byte_bpe":
+            assert docs.columns == before.columns
+        if name == "near_dedup":
+            rows = sorted(map(tuple, before.select("doc_id", "text").collect()))
+            assert kept[name] == {c for _, _, c in components(rows, corpus_pipeline.COPIES)}
+        if name == "decontamination":
+            benchmark = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+            assert find_leaks(docs, benchmark).collect() == []
+        if name == "secret_scan":
+            assert kept[name] == kept["decontamination"]
+            assert all(not base_spans(r.text) and r.n_chars == len(r.text) for r in docs.collect())
+    assert kept["byte_bpe"] == kept["secret_scan"]
+    assert {r.doc_id for r in corpus_pipeline.run(spark, SF_DIR).collect()} == kept["byte_bpe"]

@@ -1,0 +1,93 @@
+import random
+import zlib
+
+import numpy as np
+
+from stratalake.llm.queries import QUERIES
+from stratalake.llm.toxicity import CLEAN, ToxicityNet, ToxicityTraining, score_toxicity, train_toxicity, window_starts
+
+
+def corpus(spark, count=400):
+    r = random.Random(6)
+    words = ["".join(r.choice("aeiourstln") for _ in range(r.randint(2, 8))) for _ in range(2000)]
+    bad = ["vilexa", "grotnik", "zumpfel", "blark"]
+    rows, labels = [], []
+    for i in range(count):
+        text = [r.choice(words) for _ in range(r.choice([5, 60, 300]))]
+        if i % 3 == 0:
+            for _ in range(max(2, len(text) // 40)):
+                text[r.randrange(len(text))] = r.choice(bad).capitalize() + "!"
+        rows.append((i, " ".join(text), "x", 1))
+        labels.append((i, 1 if i % 3 == 0 else 0))
+    schema = "doc_id long, text string, lang string, score int"
+    return spark.createDataFrame(rows, schema), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def test_windows_cover_the_text():
+    for count in (0, 1, 31, 32, 33, 56, 57, 500):
+        starts = window_starts(count, 32, 24)
+        covered = {i for s in starts for i in range(s, min(s + 32, count))}
+        assert covered == set(range(count)) and all(b - a <= 24 for a, b in zip(starts, starts[1:]))
+
+
+def test_gradients_equal_differences():
+    s = ToxicityTraining(grams=64, width=6, size=3, words=10)
+    net = ToxicityNet.new(s, {b"a": 1, b"bc": 2})
+    net.p = {k: v.astype(np.float64) + 0.01 for k, v in net.p.items()}
+    windows = [[b"a", b"bc", b"xyz"], [b"bc", b"a", b"a", b"q", b"a", b"bc"], [b"zz"]]
+    weights = np.array([0.7, -1.2, 0.4])
+
+    def loss():
+        return float(net._of_windows(windows)[0] @ weights)
+
+    _, tokens, cache = net._of_windows(windows, keep=True)
+    gradients = net._gradients(tokens, cache, weights)
+    r = np.random.default_rng(1)
+    for name, values in net.p.items():
+        for _ in range(6):
+            at = tuple(r.integers(0, n) for n in values.shape)
+            old = values[at]
+            values[at] = old + 1e-4
+            up = loss()
+            values[at] = old - 1e-4
+            down = loss()
+            values[at] = old
+            assert abs((up - down) / 2e-4 - gradients[name][at]) < 2e-3, name
+
+
+def test_held_out_documents(spark):
+    docs, labels = corpus(spark)
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    known = spark.createDataFrame([r for r in labels.collect() if not held(r.doc_id)], labels.schema)
+    net = train_toxicity(docs, known)
+    scored = score_toxicity(docs, net)
+    assert scored.columns == ["doc_id", "text", "lang", "score"]
+    right = [(r.score >= 0.5) == (r.doc_id % 3 == 0) for r in scored.collect() if held(r.doc_id)]
+    assert len(right) > 50 and sum(right) / len(right) > 0.95
+    again = train_toxicity(docs.repartition(5), known.repartition(3))
+    assert all(np.array_equal(net.p[k], again.p[k]) for k in net.p)
+
+
+def test_nulls_long_texts_and_missing_labels(spark):
+    docs, labels = corpus(spark, 120)
+    net = train_toxicity(docs, labels.unionByName(spark.createDataFrame([(None, 1), (1, None), (2, 1)], labels.schema)))
+    clean = " ".join(r.text for r in docs.where("doc_id % 3 = 1").collect())
+    rows = [(1, None), (2, ""), (3, "!!! \n"), (None, clean), (5, clean * 20 + " vilexa vilexa grotnik zumpfel"), (2, "")]
+    got = score_toxicity(spark.createDataFrame(rows, "doc_id long, text string"), net).collect()
+    assert len(got) == 6 and all(0 <= r.score <= 1 for r in got)
+    long = {r.doc_id: r.score for r in got}
+    assert long[5] > long[None]
+    none = train_toxicity(docs, labels.where("toxic = 0"))
+    assert all(r.score < 0.5 for r in score_toxicity(docs, none).collect())
+    assert score_toxicity(docs.limit(0), net).collect() == []
+    assert train_toxicity(docs.limit(0), labels).words == {}
+
+
+def test_query(spark):
+    got = QUERIES["op4_toxicity"](spark, "/root/testdata/sf0.01").collect()
+    labels = dict(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic").collect())
+    assert len(got) == 1000
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == (r.score >= 0.5) for r in got)
+    right = [r.predicted == labels[r.doc_id] for r in got if r.held_out and r.doc_id in labels]
+    assert sum(right) / len(right) > 0.9
+    assert CLEAN[ord("A")] == ord("a") and CLEAN[ord("-")] == ord(" ")
