@@ -12,6 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 
+from stratalake.plans.registry import ORACLES, QUERIES  # noqa: E402
+
 SF_DIR = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -30,10 +32,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= queries().keys() and oracle_sql().keys() <= queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, database, name):
     result = queries()[name](spark, SF_DIR)
     expected = database.sql(oracle_sql()[name])
