@@ -299,8 +299,8 @@ def training_windows(documents: DataFrame, labels: DataFrame, settings: Toxicity
                 names=["doc_id", "toxic", "windows"],
             )
 
-    # At most two times settings.documents ids: small enough for every executor whatever the input.
-    chosen = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id")
+    # At most two times settings.documents ids, which Spark knows from the limits and sends along.
+    chosen = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id")
     rows = chosen.mapInArrow(cut, "doc_id long, toxic int, windows array<binary>").collect()
     rows.sort(key=lambda row: (row.doc_id, row.windows))
     return [[bytes(w).split() for w in row.windows] for row in rows], np.array([row.toxic for row in rows], np.int64)
