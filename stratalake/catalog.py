@@ -30,12 +30,21 @@ def literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def path_value(value: str) -> str:
+    """A partition value as it stands in the name of its folder."""
+    return "".join(
+        f"%{ord(c):02X}" if ord(c) < 32 or c in "\"#%'*/:=?\\\x7f{}[]^" else c for c in value
+    )
+
+
 def _pairs(values: Mapping[str, str]) -> str:
     return ", ".join(f"{literal(k)} = {literal(str(v))}" for k, v in values.items())
 
 
 def _partition(values: Mapping[str, str]) -> str:
-    spec = ", ".join(f"{quoted(k)} = {literal(str(v))}" for k, v in values.items())
+    spec = ", ".join(
+        f"{quoted(k)} = {'null' if v is None else literal(str(v))}" for k, v in values.items()
+    )
     return f"PARTITION ({spec})"
 
 
@@ -122,7 +131,9 @@ def lake_table_ddl(
 def create_external_table(
     spark: SparkSession, name: str, columns: Sequence[Column], *, location: str, **options
 ) -> None:
-    """External table over a folder; partitions already there are registered as well."""
+    """External table over a folder, unless there is one; partitions that are there already are
+    registered as well."""
+    options = {"if_not_exists": True} | options
     spark.sql(table_ddl(name, columns, location=location, **options))
     if options.get("partition_by") and files.exists(spark, location):
         recover_partitions(spark, name)

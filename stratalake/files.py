@@ -5,8 +5,10 @@ Only names of directories and one-line files pass through here; table data never
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Requests to the file system at a time; folders number as many as partitions.
@@ -69,16 +71,37 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def write_text_once(spark: SparkSession, path: str, text: str) -> None:
-    """Create ``path`` in one step; a path that already exists is an error."""
+    """Create ``path`` in one step; a path that already exists is an error.
+
+    The text is put down under a name of its own first. A local file then gets its name by a hard
+    link and others by a rename that does not replace, both of which only one writer can do; what
+    is there afterwards is compared with the text, for stores whose rename promises less.
+    """
     fs, target = _open(spark, path)
     if fs.exists(target):
         raise FileExistsError(path)
     folder, name = path.rsplit("/", 1)
-    _, pending = _open(spark, f"{folder}/_pending-{name}")
-    stream = fs.create(pending, True)
+    _, pending = _open(spark, f"{folder}/_pending-{uuid.uuid4().hex}-{name}")
+    stream = fs.create(pending, False)
     stream.write(bytearray(text, "utf-8"))
     stream.close()
-    if not fs.rename(pending, target):
+    try:
+        if fs.getScheme() == "file":
+            local = [spark._jvm.java.io.File(p.toUri().getPath()).toPath() for p in (target, pending)]
+            spark._jvm.java.nio.file.Files.createLink(*local)
+        else:
+            options = spark.sparkContext._gateway.new_array(
+                spark._jvm.org.apache.hadoop.fs.Options.Rename, 0
+            )
+            context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
+            )
+            context.rename(pending, target, options)
+    except Py4JJavaError as error:
+        raise FileExistsError(path) from error
+    finally:
+        fs.delete(pending, False)
+    if read_text(spark, path) != text:
         raise FileExistsError(path)
 
 

@@ -50,20 +50,24 @@ def write(df: DataFrame, table: str, mode: str, partition_by: Sequence[str]) ->
     elif mode == "append":
         writer.append()
     elif mode == "overwrite":
-        writer.overwrite(F.lit(True))
+        # Schema and partitioning are replaced too, older snapshots stay.
+        writer = writer.using("iceberg").tableProperty("format-version", "2")
+        if partition_by:
+            writer = writer.partitionedBy(*[F.col(c) for c in partition_by])
+        writer.replace()
     else:
         writer.overwritePartitions()
 
 
-def merge(source: DataFrame, table: str, keys: Sequence[str], newer_by: str | None) -> None:
+def merge(source: DataFrame, table: str, keys: Sequence[str], newer_by: Sequence[str] | None) -> None:
     matched = F.lit(True)
     for key in keys:
         matched &= F.col(f"s.{quoted(key)}") == F.col(f"{quoted(table)}.{quoted(key)}")
     # A source row that is older matches, so it is not inserted, and changes nothing.
     newer = F.lit(True)
     if newer_by is not None:
-        column = quoted(newer_by)
-        newer = ~F.coalesce(F.col(f"{quoted(table)}.{column}") > F.col(f"s.{column}"), F.lit(False))
+        sides = [F.struct(*[F.col(f"{t}.{quoted(c)}") for c in newer_by]) for t in (quoted(table), "s")]
+        newer = ~(sides[0] > sides[1])
     (
         source.alias("s")
         .mergeInto(table, matched)
@@ -79,13 +83,23 @@ def _call(spark: SparkSession, catalog: str, procedure: str, arguments: str) ->
     return spark.sql(f"CALL {quoted(catalog)}.system.{procedure}({arguments})")
 
 
-def compact(spark: SparkSession, catalog: str, table: str, target_bytes: int) -> DataFrame:
+def refuse(spark: SparkSession, table: str, what: str) -> None:
+    """Raise for what only ledger tables have, instead of looking for a ledger that is not there."""
+    if catalog_of(spark, table):
+        raise NotImplementedError(f"{what} is not available for Iceberg tables: {table}")
+
+
+def compact(
+    spark: SparkSession, catalog: str, table: str, target_bytes: int, sort_by: Sequence[str] = ()
+) -> DataFrame:
     options = f"map('target-file-size-bytes', '{target_bytes}')"
+    order = ", ".join(f"{quoted(c)} ASC NULLS FIRST" for c in sort_by)
+    sort = f", strategy => 'sort', sort_order => {literal(order)}" if sort_by else ""
     return _call(
         spark,
         catalog,
         "rewrite_data_files",
-        f"table => {literal(table)}, options => {options}",
+        f"table => {literal(table)}, options => {options}{sort}",
     )
 
 

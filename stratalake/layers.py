@@ -53,5 +53,7 @@ def resolve(spark: SparkSession, table: str) -> str:
     """Location of a table given as a path or as ``[catalog.]database.table``."""
     if "/" in table:
         return table.rstrip("/")
-    database, name = table.split(".")[-2:]
+    *catalogs, database, name = table.split(".")
+    if catalogs and catalogs != [spark.catalog.currentCatalog()]:
+        raise ValueError(f"lake tables are in the session catalog, not in {catalogs[0]}: {table}")
     return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name}"

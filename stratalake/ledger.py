@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from urllib.parse import unquote
@@ -38,6 +39,7 @@ class Snapshot:
     partition_by: tuple[str, ...]
     schema: StructType
     bookmarks: dict[str, int]
+    sort_by: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -87,6 +89,7 @@ def load(spark: SparkSession, location: str, snapshot_id: int) -> Snapshot:
         partition_by=tuple(entry["partition_by"]),
         schema=StructType.fromJson(entry["schema"]),
         bookmarks=entry["bookmarks"],
+        sort_by=tuple(entry.get("sort_by", ())),
     )
 
 
@@ -106,8 +109,14 @@ def publish(
     partition_by: list[str],
     at: datetime,
     bookmark: Bookmark | None = None,
+    sort_by: Sequence[str] | None = None,
 ) -> int:
-    """Make a commit the newest snapshot; ``bookmark`` becomes valid together with it."""
+    """Make a commit the newest snapshot; ``bookmark`` becomes valid together with it.
+
+    The table keeps its sort order unless ``sort_by`` gives it another.
+    """
+    if sort_by is None:
+        sort_by = previous.sort_by if previous else ()
     bookmarks = dict(previous.bookmarks) if previous else {}
     if bookmark is not None:
         bookmarks[bookmark.source] = bookmark.snapshot_id
@@ -120,6 +129,8 @@ def publish(
         "partition_by": list(partition_by),
         "schema": schema.jsonValue(),
         "bookmarks": bookmarks,
+        "sort_by": list(sort_by),
+        "writer": uuid.uuid4().hex,
     }
     files.write_text_once(spark, _entry_path(location, snapshot_id), json.dumps(entry))
     return snapshot_id

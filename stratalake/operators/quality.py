@@ -44,26 +44,49 @@ class _UniqueCheck(NamedTuple):
     keys: tuple[str, ...]
 
 
-# The labels in the detail of a schema check.
-MISSING = "missing"
-MISMATCHES = "type mismatches"
-UNEXPECTED = "unexpected"
+class Deviation(NamedTuple):
+    """A column that is not as declared; a type is null where there is none."""
 
+    column: str
+    problem: str
+    expected: str | None
+    actual: str | None
 
-def schema_problems(
+    def __str__(self) -> str:
+        if self.actual is None:
+            return f"{self.column} is absent"
+        if self.expected is None:
+            return f"{self.column} is not declared"
+        return f"{self.column} is {self.actual} instead of {self.expected}"
+
+
+def deviations(
     df: DataFrame, expected: Mapping[str, str], allow_extra_columns: bool = True
-) -> str:
-    """What differs from the expected column types; empty if nothing does."""
-    problems = {MISSING: [], MISMATCHES: {}, UNEXPECTED: []}
+) -> list[Deviation]:
+    """Columns whose type, absence or presence is not as declared: the declared ones in their
+    order, then the others in theirs."""
     actual = dict(df.dtypes)
-    for name, kind in expected.items():
-        if name not in actual:
-            problems[MISSING].append(name)
-        elif actual[name] != kind:
-            problems[MISMATCHES][name] = (kind, actual[name])
-    if not allow_extra_columns:
-        problems[UNEXPECTED] = [name for name in actual if name not in expected]
-    return "; ".join(f"{label}: {found}" for label, found in problems.items() if found)
+    found = []
+    for column in expected | actual:
+        declared, given = expected.get(column), actual.get(column)
+        if given is None:
+            found.append(Deviation(column, "absent", declared, None))
+        elif declared is None:
+            if not allow_extra_columns:
+                found.append(Deviation(column, "undeclared", None, given))
+        elif given != declared:
+            found.append(Deviation(column, "type", declared, given))
+    return found
+
+
+def schema_deviations(
+    df: DataFrame, expected: Mapping[str, str], allow_extra_columns: bool = True
+) -> DataFrame:
+    """``(column, problem, expected, actual)``, one row per deviating column; reads no data."""
+    return df.sparkSession.createDataFrame(
+        deviations(df, expected, allow_extra_columns),
+        "column string, problem string, expected string, actual string",
+    )
 
 
 class QualityChecker:
@@ -121,7 +144,7 @@ class QualityChecker:
         self, expected: Mapping[str, str], allow_extra_columns: bool = True
     ) -> QualityChecker:
         """Columns and types by ``simpleString``; with a wrong schema every row fails."""
-        problems = schema_problems(self._df, expected, allow_extra_columns)
+        problems = "; ".join(map(str, deviations(self._df, expected, allow_extra_columns)))
         # An empty table with a wrong schema has no failed row, so at least one is reported.
         rows = F.greatest(F.count(F.lit(1)), F.lit(1).cast("bigint"))
         failed = rows if problems else F.lit(0).cast("bigint")

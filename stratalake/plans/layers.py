@@ -6,10 +6,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from stratalake import catalog, files, ledger
 from stratalake.catalog import Column
 from stratalake.functions import MONEY, clean_text, day_string
 from stratalake.layers import Lake
 from stratalake.operators import (
+    DataQualityError,
     QualityChecker,
     accepted,
     clean,
@@ -21,6 +23,7 @@ from stratalake.operators import (
 from stratalake.operators.typed import FAILED
 from stratalake.sinks import merge_lake, write_lake, write_raw
 from stratalake.sources import (
+    bookmark_of,
     lake_exists,
     read_changed,
     read_lake,
@@ -35,6 +38,7 @@ RAW_EVENTS = [
     Column("created_at", "timestamp_ntz", "Event timestamp"),
 ]
 RAW_PARTITIONS = [Column("dt", "string")]
+DELIVERY = Column("delivery", "string", "What brought the rows")
 SUMMARY_TYPES = {"date": "date", "total_amount": "decimal(18,2)", "total_count": "bigint"}
 
 PAYLOAD_FIELDS = "user_id string, event_type string, value string, props string"
@@ -71,18 +75,23 @@ def as_raw(events: DataFrame) -> DataFrame:
     )
 
 
-def land(spark: SparkSession, rows: DataFrame, lake: Lake) -> DataFrame:
-    """Raw layer: rows as they are, by day, registered under their declared schema."""
-    location = lake.location("raw", "raw_events")
-    write_raw(rows, location, partition_by=["dt"])
-    return register_raw(
-        spark,
-        tables_of(lake).raw,
-        RAW_EVENTS,
-        location=location,
-        partition_by=RAW_PARTITIONS,
-        comment="Raw events, as delivered",
+def land(spark: SparkSession, rows: DataFrame, lake: Lake, delivery: str = "all") -> DataFrame:
+    """Raw layer: rows as they are, by day and delivery, registered under their declared schema.
+
+    A delivery that is landed again takes the place of its rows, and leaves those of others alone.
+    """
+    table, location = tables_of(lake).raw, lake.location("raw", "raw_events")
+    keys = [*RAW_PARTITIONS, DELIVERY]
+    landed = rows.withColumn(DELIVERY.name, F.lit(delivery))
+    if files.exists(spark, location):  # days that the delivery no longer has
+        for day in files.partition_dirs(spark, location, 1):
+            files.delete(spark, f"{location}/{day}/{DELIVERY.name}={catalog.path_value(delivery)}")
+    write_raw(landed, location, partition_by=[key.name for key in keys])
+    raw = register_raw(
+        spark, table, RAW_EVENTS, location=location, partition_by=keys, comment="Raw events, as delivered"
     )
+    spark.catalog.refreshTable(table)
+    return raw
 
 
 def refined_checks(df: DataFrame) -> QualityChecker:
@@ -97,6 +106,11 @@ def refined_checks(df: DataFrame) -> QualityChecker:
     )
 
 
+def merged_checks(df: DataFrame) -> QualityChecker:
+    """Checks of an upsert, which may have nothing to write."""
+    return QualityChecker(df).not_null("event_id").not_null("event_type").schema_match(REFINED_TYPES)
+
+
 def check_raw(raw: DataFrame) -> DataFrame:
     """Raw rows with their parsed payload and the names of the columns that are wrong."""
     parsed = extract_payload(raw, "payload", PAYLOAD_FIELDS, malformed=MALFORMED, drop=False)
@@ -108,13 +122,16 @@ def check_raw(raw: DataFrame) -> DataFrame:
     return with_failures(parsed, REFINED_TYPES, invalid)
 
 
+# What makes one version of an event newer than another; later columns decide between equal times.
+NEWER_BY = ["created_at", "value", "user_id", "event_type", "props", "dt"]
+
+
 def newest_events(checked: DataFrame) -> DataFrame:
     """Accepted rows, typed and tidy, in the newest version of each event."""
-    order = ["created_at", "value", "user_id", "event_type", "props", "dt"]
     return clean(
-        accepted(checked, REFINED_TYPES).drop("payload", MALFORMED),
+        accepted(checked, REFINED_TYPES).drop("payload", MALFORMED, DELIVERY.name),
         keys=["event_id"],
-        newest_first=[F.desc(name) for name in order],
+        newest_first=[F.desc(name) for name in NEWER_BY],
         text_columns=["event_type"],
     )
 
@@ -131,11 +148,19 @@ def refine(raw: DataFrame, lake: Lake) -> None:
     checked = check_raw(raw)
     watched = checked.observe(seen, F.count_if(F.col(FAILED) != "").alias("rejects"))
     rows = newest_events(watched)
-    write_lake(rows, tables.refined, "overwrite", partition_by=["dt"], audit=refined_checks)
-    if seen.get["rejects"] or lake_exists(raw.sparkSession, tables.rejects):
+
+    def keep_rejects() -> None:
         wrong = rejected(checked).select(*raw.columns, "failed_columns")
         write_lake(wrong, tables.rejects, "overwrite", partition_by=["dt"])
 
+    try:
+        write_lake(rows, tables.refined, "overwrite", partition_by=["dt"], audit=refined_checks)
+    except DataQualityError:
+        keep_rejects()  # they say why the gate closed
+        raise
+    if seen.get["rejects"] or lake_exists(raw.sparkSession, tables.rejects):
+        keep_rejects()
+
 
 def summary_checks(df: DataFrame) -> QualityChecker:
     return (
@@ -153,7 +178,8 @@ def curate(refined: DataFrame, lake: Lake) -> None:
 
 
 def raw_to_curated(spark: SparkSession, rows: DataFrame, lake: Lake) -> DataFrame:
-    """Run all three layers over raw event rows; returns the curated table."""
+    """Run all three layers over raw event rows; returns the curated table. A rerun with the same
+    rows changes nothing."""
     tables = tables_of(lake)
     lake.create_databases(spark)
     refine(land(spark, rows, lake), lake)
@@ -164,17 +190,19 @@ def raw_to_curated(spark: SparkSession, rows: DataFrame, lake: Lake) -> DataFram
 def refine_new(spark: SparkSession, lake: Lake) -> None:
     """Take what was delivered since the last run into the refined table and the reject table."""
     tables = tables_of(lake)
-    delivered = read_new(spark, tables.deliveries, tables.rejects)
+    delivered = read_new(spark, tables.deliveries, tables.rejects, on_expired="whole")
     if delivered:
         wrong = rejected(check_raw(delivered.rows))
         columns = [*delivered.rows.columns, "failed_columns"]
         write_lake(
             wrong.select(*columns),
             tables.rejects,
+            delivered.mode,
             partition_by=["dt"],
             bookmark=delivered.bookmark,
         )
-    delivered = read_new(spark, tables.deliveries, tables.refined)
+    # Read as a whole again, deliveries are an upsert that finds most of its rows in place.
+    delivered = read_new(spark, tables.deliveries, tables.refined, on_expired="whole")
     if delivered is None:
         return
     rows = newest_events(check_raw(delivered.rows))
@@ -183,7 +211,8 @@ def refine_new(spark: SparkSession, lake: Lake) -> None:
             rows,
             tables.refined,
             ["event_id"],
-            newer_by="created_at",
+            newer_by=NEWER_BY,
+            audit=merged_checks,
             bookmark=delivered.bookmark,
         )
     else:
@@ -212,15 +241,21 @@ def curate_changed(spark: SparkSession, lake: Lake) -> None:
         )
 
 
-def load_delivery(spark: SparkSession, rows: DataFrame, lake: Lake) -> DataFrame:
+def load_delivery(
+    spark: SparkSession, rows: DataFrame, lake: Lake, delivery: str | None = None
+) -> DataFrame:
     """One delivery of raw rows through all layers, reading only what it touches.
 
     Gives the same tables as ``raw_to_curated`` over all deliveries. ``dt`` has to be the day of
-    ``created_at``, since days are summarised by partition.
+    ``created_at``, since days are summarised by partition. A ``delivery`` that has a name is taken
+    in once: landing it and noting its name are one step, so a retry goes on from there.
     """
     tables = tables_of(lake)
     lake.create_databases(spark)
-    write_lake(rows, tables.deliveries, partition_by=["dt"])
+    name = f"delivery:{delivery}"
+    if delivery is None or not bookmark_of(spark, tables.deliveries, name):
+        mark = ledger.Bookmark(name, 1) if delivery is not None else None
+        write_lake(rows, tables.deliveries, partition_by=["dt"], bookmark=mark)
     refine_new(spark, lake)
     curate_changed(spark, lake)
     return read_lake(spark, tables.curated)

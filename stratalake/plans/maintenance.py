@@ -3,20 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from stratalake import files, iceberg, ledger
 from stratalake.layers import resolve
 from stratalake.operators import maintenance
+from stratalake.session import scratch_path
 from stratalake.sinks.lake import write_commit
 from stratalake.sinks.layout import file_size_conf, session_conf
+from stratalake.sinks.registered import register_lake
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
-FILES_PER_TASK = 1024
-PARTITIONS_PER_COMMIT = 64
 
 
 def _current(spark: SparkSession, table: str) -> tuple[str, ledger.Snapshot]:
@@ -50,52 +49,45 @@ def table_compaction_plan(
     spark: SparkSession, table: str, target_bytes: int = TARGET_FILE_BYTES
 ) -> DataFrame:
     """Compaction plan with one row per partition of a lake table."""
+    iceberg.refuse(spark, table, "a compaction plan")
     return maintenance.compaction_plan(
         data_files(spark, table), ["partition"], "length", target_bytes
     )
 
 
-def _partitions_to_compact(
+def _files_to_compact(
     spark: SparkSession, table: str, target_bytes: int
-) -> list[str]:
-    """Partitions where at least two files are under half the target size.
+) -> DataFrame:
+    """``(dir, file, bin)``: the files to write again, and which of them together.
 
-    Merging leaves at most one such file, so a table at rest is not written again and again.
+    A file is small if it has less than half the target size. Folders are taken whose bytes are
+    mostly in small files, in partitions with at least two small files in such folders: merging
+    leaves at most one, so a table at rest is not written again, and big folders stay as they are.
+    A bin takes files one after another up to the target size.
     """
-    small = F.count_if(F.col("length") < target_bytes // 2)
-    groups = data_files(spark, table).groupBy("partition").agg(small.alias("n_small"))
-    return sorted(row["partition"] for row in groups.where("n_small > 1").collect())
-
-
-def _scan_conf(target_bytes: int) -> dict[str, str]:
-    """Settings under which a scan packs small files into tasks of the target size."""
-    return {
-        "spark.sql.files.maxPartitionBytes": str(target_bytes),
-        "spark.sql.files.openCostInBytes": str(max(target_bytes // FILES_PER_TASK, 1)),
-        "spark.sql.files.minPartitionNum": "1",
-    }
-
-
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    if len(frames) == 1:
-        return frames[0]
-    middle = len(frames) // 2
-    return _union(frames[:middle]).union(_union(frames[middle:]))
-
-
-def _scans(
-    spark: SparkSession,
-    location: str,
-    groups: Sequence[Sequence[str]],
-    snapshot: ledger.Snapshot,
-) -> list[DataFrame]:
-    """One scan per group of folders; their files are listed side by side."""
-    with ThreadPoolExecutor(max_workers=files.REQUESTS) as pool:
-        return list(
-            pool.map(
-                lambda dirs: ledger.rows_in(spark, location, dirs, snapshot.schema), groups
-            )
+    files_ = data_files(spark, table)
+    small = F.col("length") < target_bytes // 2
+    folders = (
+        files_.groupBy("partition", "dir")
+        .agg(
+            F.count_if(small).alias("n_small"),
+            F.sum(F.when(small, F.col("length")).otherwise(-F.col("length"))).alias("balance"),
         )
+        .where("n_small > 0 and balance >= 0")
+    )
+    partitions = folders.groupBy("partition").agg(F.sum("n_small").alias("n")).where("n > 1")
+    chosen = folders.join(partitions, "partition", "left_semi").select("partition", "dir")
+    # One row of metadata per file; a task orders the files of one partition.
+    before = Window.partitionBy("partition").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    return files_.join(chosen, ["partition", "dir"], "left_semi").select(
+        "dir",
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
+        F.concat_ws(
+            "/",
+            "partition",
+            F.floor(F.coalesce(F.sum("length").over(before), F.lit(0)) / target_bytes).cast("string"),
+        ).alias("bin"),
+    )
 
 
 def compact_lake(
@@ -108,43 +100,60 @@ def compact_lake(
 ) -> int | None:
     """Merge small files; the rows stay the same. Returns the new snapshot, None if all is well.
 
-    There is no shuffle: every partition is scanned on its own, the scan packs its small files
-    into tasks of the target size, and each task writes one file. ``sort_by`` orders the rows as
-    well, which does shuffle them.
+    One job for all partitions. The files to merge are planned into bins of the target size, and
+    the rows of a bin go to one task; this shuffles the rows of the chosen folders once, and no
+    others. The table's sort order, or ``sort_by``, is applied to the new files.
     """
     catalog = iceberg.catalog_of(spark, table)
     if catalog:
-        iceberg.compact(spark, catalog, table, target_bytes)
+        iceberg.compact(spark, catalog, table, target_bytes, sort_by)
         return None
     location, snapshot = _current(spark, table)
-    wanted = {name: [] for name in _partitions_to_compact(spark, table, target_bytes)}
-    kept = []
-    for name in snapshot.dirs:
-        wanted.get(ledger.partition_of(name), kept).append(name)
-    if not wanted:
-        return None
-    added = []
-    groups = list(wanted.values())
-    with session_conf(spark, _scan_conf(target_bytes) | file_size_conf(target_bytes)):
-        for start in range(0, len(groups), PARTITIONS_PER_COMMIT):
-            scans = _scans(spark, location, groups[start : start + PARTITIONS_PER_COMMIT], snapshot)
-            added += write_commit(
-                _union(scans),
+    order = list(sort_by or snapshot.sort_by)
+    plan_path = scratch_path(spark, "compaction")
+    try:
+        _files_to_compact(spark, table, target_bytes).write.parquet(plan_path)
+        plan = spark.read.schema("dir string, file string, bin string").parquet(plan_path)
+        again = {row["dir"] for row in plan.select("dir").distinct().collect()}
+        if not again:
+            return None
+        bins = plan.select("bin").distinct().count()
+        rows = ledger.rows_in(spark, location, sorted(again), snapshot.schema)
+        if order:
+            with session_conf(spark, file_size_conf(target_bytes)):
+                added = write_commit(
+                    rows, location, partition_by=snapshot.partition_by, sort_by=order
+                )
+        else:
+            path = ledger.decoded(F.col("_metadata.file_path"))
+            located = rows.select(
+                "*",
+                ledger.dir_of(path).alias("_dir"),
+                F.regexp_extract(path, r"([^/]+)$", 1).alias("_file"),
+            )
+            files_ = plan.toDF("_dir", "_file", "_bin")
+            binned = located.join(files_, ["_dir", "_file"]).repartition(bins, "_bin")
+            added = write_commit(
+                binned.select(*rows.columns),
                 location,
                 partition_by=snapshot.partition_by,
-                sort_by=sort_by,
-                spread=bool(sort_by),
+                spread=False,
             )
-    return ledger.publish(
+    finally:
+        files.delete(spark, plan_path)
+    published = ledger.publish(
         spark,
         location,
         snapshot,
         operation="compact",
-        dirs=kept + added,
+        dirs=[name for name in snapshot.dirs if name not in again] + added,
         schema=snapshot.schema,
         partition_by=list(snapshot.partition_by),
         at=committed_at or ledger.utc_now(),
+        sort_by=order,
     )
+    register_lake(spark, table)
+    return published
 
 
 def _references(history: DataFrame) -> DataFrame:
@@ -175,9 +184,9 @@ def expire_lake(
     """
     catalog = iceberg.catalog_of(spark, table)
     if catalog:
-        if not dry_run:
-            cut = as_of - timedelta(days=days)
-            iceberg.expire(spark, catalog, table, cut, keep)
+        if dry_run or not clean_expired_files:
+            iceberg.refuse(spark, table, "a dry run, or expiry without deleting files,")
+        iceberg.expire(spark, catalog, table, as_of - timedelta(days=days), keep)
         return [], []
     location, current = _current(spark, table)
     history = ledger.snapshots(spark, location).withColumn("table", F.lit(location))

@@ -10,11 +10,12 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
-from stratalake import catalog
+from stratalake import catalog, ledger
 from stratalake.catalog import Column
+from stratalake.files import partition_dirs
 from stratalake.functions import day_string, money
 from stratalake.layers import Lake
 from stratalake.operators import (
@@ -48,7 +49,8 @@ from stratalake.plans.layers import (
     raw_to_curated,
     tables_of,
 )
-from stratalake.plans.maintenance import compact_lake, expire_lake, remove_orphans
+from stratalake.operators.maintenance import list_files
+from stratalake.plans.maintenance import compact_lake, data_files, expire_lake, remove_orphans
 from stratalake.session import scratch_path
 from stratalake.sinks import (
     create_lake_table,
@@ -117,13 +119,29 @@ def raw_to_curated_events(spark, sf_dir):
     return raw_to_curated(spark, as_raw(source(spark, sf_dir, "events")), new_lake(spark))
 
 
+@query(ORACLES["raw_to_curated"])
+def raw_to_curated_twice(spark, sf_dir):
+    raw, lake = as_raw(source(spark, sf_dir, "events")), new_lake(spark)
+    raw_to_curated(spark, raw, lake)
+    return raw_to_curated(spark, raw, lake)
+
+
+def outdated_versions(raw: DataFrame) -> DataFrame:
+    """Every event once more with the same time and a lower value, which loses against it."""
+    lower = F.regexp_replace("payload", r'"value":(\d)', r'"value":-$1')
+    return raw.withColumn("payload", lower)
+
+
 @query(ORACLES["raw_to_curated"])
 def raw_to_curated_by_delivery(spark, sf_dir):
     raw = as_raw(source(spark, sf_dir, "events"))
     lake = new_lake(spark)
-    # Two deliveries that share a day.
-    load_delivery(spark, raw.where("created_at < '2024-01-16 12:00:00'"), lake)
-    return load_delivery(spark, raw.where("created_at >= '2024-01-16 12:00:00'"), lake)
+    # Two deliveries that share a day, the first one delivered twice, then tied versions that lose.
+    noon = "2024-01-16 12:00:00"
+    load_delivery(spark, raw.where(f"created_at < '{noon}'"), lake, "first")
+    load_delivery(spark, raw.where(f"created_at < '{noon}'"), lake, "first")
+    load_delivery(spark, raw.where(f"created_at >= '{noon}'"), lake, "second")
+    return load_delivery(spark, outdated_versions(raw), lake, "late")
 
 
 # Sources
@@ -138,6 +156,17 @@ def scan_table(spark, sf_dir):
     return read_lake(spark, name)
 
 
+@query("SELECT * FROM customer")
+def scan_table_sql(spark, sf_dir):
+    lake = new_lake(spark)
+    lake.create_databases(spark)
+    name = lake.table("refined", "customer")
+    rows = source(spark, sf_dir, "customer")
+    write_lake(rows.where("c_nationkey < 12"), name, partition_by=["c_mktsegment"])
+    write_lake(rows.where("c_nationkey >= 12"), name)
+    return spark.sql(f"SELECT {', '.join(rows.columns)} FROM {name}")
+
+
 RAW_EVENTS_SQL = """SELECT CAST(event_id AS VARCHAR) AS event_id, props AS payload,
                            ts AS created_at, strftime(ts, '%Y-%m-%d') AS dt
                     FROM events"""
@@ -168,7 +197,7 @@ def scan_raw_json(spark, sf_dir):
     return read_raw(spark, path, schema=declared, fmt="json")
 
 
-@query(RAW_EVENTS_SQL)
+@query(f"SELECT *, 'all' AS delivery FROM ({RAW_EVENTS_SQL})")
 def scan_external_table(spark, sf_dir):
     lake = new_lake(spark)
     lake.create_databases(spark)
@@ -201,13 +230,20 @@ def incremental_scan(spark, sf_dir):
     return read_raw(spark, f"{root}/out", schema=events.schema)
 
 
-@query("SELECT * FROM (" + RAW_EVENTS_SQL + ") WHERE dt = '2024-01-03'")
+@query(
+    """SELECT event_type, strftime(ts, '%Y-%m-%d') AS dt, count(*) AS n,
+              max(event_id) AS newest FROM events GROUP BY ALL"""
+)
 def scan_view(spark, sf_dir):
     lake = new_lake(spark)
     lake.create_databases(spark)
-    land(spark, raw_events(spark, sf_dir), lake)
-    raw, view = tables_of(lake).raw, lake.table("refined", "one_day")
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {raw} WHERE dt = '2024-01-03'")
+    events, view = lake.table("refined", "events"), lake.table("curated", "by_type_and_day")
+    write_lake(events_by_day(spark, sf_dir), events, partition_by=["dt"])
+    spark.sql(
+        f"""CREATE OR REPLACE VIEW {view} AS
+            SELECT event_type, dt, count(*) AS n, max(event_id) AS newest
+            FROM {events} GROUP BY event_type, dt"""
+    )
     return read_raw(spark, view)
 
 
@@ -225,25 +261,26 @@ def incremental_lake_scan(spark, sf_dir):
 # Writes
 
 
-@query("SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O')")
+@query("SELECT * FROM orders")
 def append(spark, sf_dir):
     orders = source(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders")
-    for status in ("F", "O"):
+    for status in ("F", "O", "P"):
         write_lake(orders.where(F.col("o_orderstatus") == status), path, "append")
     return read_lake(spark, path)
 
 
-@query("SELECT * FROM orders WHERE o_orderstatus = 'F'")
+@query("SELECT * FROM orders")
 def read_older_snapshot(spark, sf_dir):
     orders = source(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders")
-    first = write_lake(orders.where("o_orderstatus = 'F'"), path)
+    first = write_lake(orders, path)
     write_lake(orders.where("o_orderstatus = 'O'"), path)
+    write_lake(orders.where("o_orderstatus <> 'O'"), path, "overwrite")
     return read_lake(spark, path, snapshot_id=first)
 
 
-@query(f"SELECT * FROM ({EVENTS_BY_DAY_SQL}) WHERE event_type IN ('click', 'view')")
+@query(EVENTS_BY_DAY_SQL)
 def append_registered(spark, sf_dir):
     events = events_by_day(spark, sf_dir)
     lake = new_lake(spark)
@@ -257,17 +294,18 @@ def append_registered(spark, sf_dir):
         location=lake.location("raw", "events"),
         partition_by=types[-1:],
     )
-    for kind in ("click", "view"):
-        insert_raw(events.where(F.col("event_type") == kind), name)
+    clicks = F.col("event_type") == "click"
+    for part in (clicks, ~clicks):
+        insert_raw(events.where(part), name)
     return spark.table(name)
 
 
-@query("SELECT * FROM orders WHERE o_orderstatus = 'P'")
+@query("SELECT * FROM orders")
 def overwrite(spark, sf_dir):
     orders = source(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders")
-    write_lake(orders.where("o_orderstatus = 'F'"), path)
-    write_lake(orders.where("o_orderstatus = 'P'"), path, "overwrite")
+    write_lake(changed_orders(orders), path)
+    write_lake(orders, path, "overwrite")
     return read_lake(spark, path)
 
 
@@ -298,16 +336,35 @@ def overwrite_raw_partitions(spark, sf_dir):
     return read_raw(spark, path, schema=events.schema)
 
 
-@query("SELECT * FROM lineitem")
+@query(
+    """SELECT l_returnflag, count(*) AS n, 0 AS out_of_order,
+              min(l_shipdate) AS first, max(l_shipdate) AS last
+       FROM lineitem GROUP BY l_returnflag"""
+)
 def write_sorted(spark, sf_dir):
-    path = scratch_path(spark, "lineitem")
-    write_lake(
-        source(spark, sf_dir, "lineitem"),
-        path,
-        partition_by=["l_returnflag"],
-        sort_by=["l_shipdate"],
+    lineitem, path = source(spark, sf_dir, "lineitem"), scratch_path(spark, "lineitem")
+    keys, order = ["l_returnflag"], ["l_shipdate"]
+    write_lake(lineitem.where("l_linenumber < 3"), path, partition_by=keys, sort_by=order)
+    write_lake(lineitem.where("l_linenumber >= 3"), path)  # by the order the table has
+    # In every file, rows that stand before one with an earlier date.
+    place = Window.partitionBy("l_returnflag", "file", "block").orderBy("at")
+    rows = read_lake(spark, path).select(
+        "l_returnflag",
+        "l_shipdate",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.row_index").alias("at"),
+    )
+    return (
+        rows.withColumn("back", F.col("l_shipdate") < F.lag("l_shipdate").over(place))
+        .groupBy("l_returnflag")
+        .agg(
+            F.count("*").alias("n"),
+            F.count_if("back").cast("int").alias("out_of_order"),
+            F.min("l_shipdate").alias("first"),
+            F.max("l_shipdate").alias("last"),
+        )
     )
-    return read_lake(spark, path)
 
 
 MERGED_ORDERS_SQL = """
@@ -346,9 +403,9 @@ def merge_into_partitions(spark, sf_dir):
 # Catalog
 
 
-@query("SELECT p_partkey, p_name, p_brand, p_size FROM part")
+@query("SELECT * FROM part")
 def create_table_if_not_exists(spark, sf_dir):
-    parts = source(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    parts = source(spark, sf_dir, "part")
     path = scratch_path(spark, "part")
     columns = [Column(name, kind) for name, kind in parts.dtypes]
     create_lake_table(spark, path, columns, partition_by=["p_brand"])
@@ -358,27 +415,19 @@ def create_table_if_not_exists(spark, sf_dir):
 
 
 @query(
-    """SELECT s_suppkey AS party_key, s_name AS name, CAST(NULL AS VARCHAR) AS mktsegment
+    """SELECT s_suppkey AS party_key, s_name AS name, s_nationkey AS nationkey,
+              s_acctbal AS acctbal, CAST(NULL AS VARCHAR) AS mktsegment
        FROM supplier
-       UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer"""
+       UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"""
 )
 def schema_evolve(spark, sf_dir):
     path = scratch_path(spark, "parties")
     suppliers = source(spark, sf_dir, "supplier")
     customers = source(spark, sf_dir, "customer")
-    write_lake(
-        suppliers.select(F.col("s_suppkey").alias("party_key"), F.col("s_name").alias("name")),
-        path,
-    )
+    names = ["party_key", "name", "nationkey", "acctbal", "mktsegment"]
+    write_lake(suppliers.toDF(*names[:-1]), path)
     evolve_lake(spark, path, StructType.fromDDL("mktsegment string"))
-    write_lake(
-        customers.select(
-            F.col("c_custkey").alias("party_key"),
-            F.col("c_name").alias("name"),
-            F.col("c_mktsegment").alias("mktsegment"),
-        ),
-        path,
-    )
+    write_lake(customers.toDF(*names), path)
     return read_lake(spark, path)
 
 
@@ -402,22 +451,21 @@ def registered_events(spark: SparkSession, sf_dir: str) -> str:
     return tables_of(lake).raw
 
 
-@query("SELECT DISTINCT 'dt=' || strftime(ts, '%Y-%m-%d') AS partition FROM events")
+@query(
+    "SELECT DISTINCT 'dt=' || strftime(ts, '%Y-%m-%d') || '/delivery=all' AS partition FROM events"
+)
 def list_partitions(spark, sf_dir):
     return spark.sql(f"SHOW PARTITIONS {registered_events(spark, sf_dir)}")
 
 
-@query(f"SELECT * FROM ({RAW_EVENTS_SQL}) WHERE dt <> '2024-01-03'")
+@query(f"SELECT *, 'all' AS delivery FROM ({RAW_EVENTS_SQL}) WHERE dt <> '2024-01-03'")
 def drop_partition(spark, sf_dir):
     name = registered_events(spark, sf_dir)
-    catalog.drop_partitions(spark, name, [{"dt": "2024-01-03"}])
+    catalog.drop_partitions(spark, name, [{"dt": "2024-01-03", "delivery": "all"}])
     return spark.table(name)
 
 
-@query(
-    f"""SELECT * FROM ({RAW_EVENTS_SQL})
-        WHERE dt IN ('2024-01-03', '2024-01-04')"""
-)
+@query(RAW_EVENTS_SQL)
 def add_partition(spark, sf_dir):
     path = scratch_path(spark, "delivered")
     write_raw(raw_events(spark, sf_dir), path, partition_by=["dt"])
@@ -431,8 +479,9 @@ def add_partition(spark, sf_dir):
         location=lake.location("raw", "picked_days"),
         partition_by=RAW_PARTITIONS,
     )
-    days = ("2024-01-03", "2024-01-04")
-    catalog.add_partitions(spark, name, [({"dt": d}, f"{path}/dt={d}") for d in days])
+    found = partition_dirs(spark, path, 1)
+    days = [({"dt": d.removeprefix("dt=")}, f"{path}/{d}") for d in found]
+    catalog.add_partitions(spark, name, days)
     return spark.table(name)
 
 
@@ -449,18 +498,53 @@ def compact(spark, sf_dir):
     return read_lake(spark, path)
 
 
-@query("SELECT * FROM orders WHERE o_orderstatus <> 'O'")
+@query(
+    """SELECT *, CAST(1 AS BIGINT) AS snapshots, CAST(1 AS BIGINT) AS commits,
+              CAST(1 AS BIGINT) AS files
+       FROM orders"""
+)
 def table_maintenance(spark, sf_dir):
     orders = source(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders")
     days = [datetime(2001, 7, day) for day in (1, 2, 3, 4)]
-    write_lake(orders.where("o_orderstatus = 'O'"), path, committed_at=days[0])
+    write_lake(changed_orders(orders), path, committed_at=days[0])
     write_lake(orders.where("o_orderstatus = 'F'"), path, "overwrite", committed_at=days[1])
-    write_lake(orders.where("o_orderstatus = 'P'"), path, committed_at=days[2])
+    write_lake(orders.where("o_orderstatus <> 'F'"), path, committed_at=days[2])
     compact_lake(spark, path, committed_at=days[3])
+    # What a write that died leaves behind: a folder that no snapshot knows.
+    orders.write.parquet(f"{path}/data/{ledger.new_commit_dir(datetime(2001, 7, 5))}")
     expire_lake(spark, path, as_of=AS_OF, keep=1, dry_run=False)
     remove_orphans(spark, path, as_of=AS_OF, dry_run=False)
-    return read_lake(spark, path)
+    left = list_files(spark, f"{path}/data").agg(
+        F.count_distinct(F.regexp_extract("path", f"({ledger.COMMIT}=[^/]+)", 1)).alias("commits"),
+        F.count("*").alias("files"),
+    )
+    counts = left.first()
+    return read_lake(spark, path).withColumns(
+        {
+            "snapshots": F.lit(ledger.snapshots(spark, path).count()).cast("bigint"),
+            "commits": F.lit(counts["commits"]).cast("bigint"),
+            "files": F.lit(counts["files"]).cast("bigint"),
+        }
+    )
+
+
+@query(
+    """SELECT 'documents' AS lake_table, 'source=' || source AS partition,
+              CAST(1 AS BIGINT) AS n_files FROM documents GROUP BY source
+       UNION ALL SELECT DISTINCT 'orders', '', CAST(1 AS BIGINT) FROM orders"""
+)
+def compact_file_counts(spark, sf_dir):
+    counts = []
+    for name, keys in (("documents", ["source"]), ("orders", [])):
+        rows = source(spark, sf_dir, name)
+        path = scratch_path(spark, name)
+        for part in range(3):
+            write_lake(rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(3)) == part), path, partition_by=keys)
+        compact_lake(spark, path)
+        files = data_files(spark, path).groupBy("partition").agg(F.count("*").alias("n_files"))
+        counts.append(files.select(F.lit(name).alias("lake_table"), "partition", "n_files"))
+    return counts[0].unionByName(counts[1])
 
 
 @query(
@@ -551,15 +635,40 @@ def clean_dedupe_latest(spark, sf_dir):
 
 
 @query(
-    r"""SELECT doc_id, source, n_chars,
+    r"""SELECT doc_id, source, lang, n_chars,
                nullif(trim(regexp_replace(text, '[ \t\n\x0B\f\r]+', ' ', 'g')), '') AS text
         FROM documents"""
 )
 def clean_text_documents(spark, sf_dir):
-    documents = source(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", "text")
+    documents = source(spark, sf_dir, "documents")
     return normalise_text(drop_missing_keys(documents, ["doc_id"]), ["text"])
 
 
+@query(
+    """SELECT o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS failed_columns FROM orders
+       WHERE o_orderkey % 3 <> 0
+       UNION ALL SELECT o_orderkey, NULL, 'price' FROM orders WHERE o_orderkey % 3 = 0"""
+)
+def typed_cast_of_rounded_values(spark, sf_dir):
+    # Every third price gets a third decimal, which money would lose.
+    price = F.format_string("%.2f", "o_totalprice")
+    texts = source(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 3 == 0, F.concat(price, F.lit("9"))).otherwise(price).alias("price"),
+    )
+    types = {"price": "decimal(18,2)"}
+    return (
+        typed(texts, types)
+        .select("o_orderkey", F.col("price").cast("double").alias("o_totalprice"))
+        .withColumn("failed_columns", F.lit(None).cast("string"))
+        .unionByName(
+            rejects(texts, types).select(
+                "o_orderkey", F.lit(None).cast("double").alias("o_totalprice"), "failed_columns"
+            )
+        )
+    )
+
+
 TEXT_IDS_SQL = """SELECT CASE WHEN event_type = 'error' THEN 'bad-' ELSE '' END
                          || CAST(event_id AS VARCHAR) AS event_id,
                          event_type, CAST(user_id AS VARCHAR) AS user_id
@@ -776,9 +885,9 @@ def dq_row_count_min(spark, sf_dir):
 
 @query(
     """SELECT 'schema_match' AS name, false AS passed, count(*) AS failed_rows,
-              'missing: [''amount'']; '
-              || 'type mismatches: {''event_id'': (''string'', ''bigint'')}; '
-              || 'unexpected: [''ts'', ''user_id'', ''event_type'', ''props'']' AS detail
+              'event_id is bigint instead of string; amount is absent; ts is not declared; '
+              || 'user_id is not declared; event_type is not declared; props is not declared'
+                  AS detail
        FROM events"""
 )
 def dq_schema_match(spark, sf_dir):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -29,12 +30,14 @@ MIB = 1024 * 1024
 def sizes_for(input_bytes: int) -> dict[str, str]:
     """Settings for a job that reads about ``input_bytes``.
 
-    Scans: 128 MiB a task, more from 25 TB on, up to 1 GiB, which keeps a stage near 200,000 tasks.
-    Shuffles: 256 MiB a partition, but at most 50,000 partitions, since the driver keeps one entry
-    per scan task and partition. AQE merges partitions that turn out small.
+    Scans: 128 MiB a task, more from 25 TB on, which keeps a stage near 200,000 tasks; scans hold
+    a batch at a time, whatever the size of a task. Shuffles: 256 MiB a partition at any size, so a
+    task that sorts or aggregates needs about that much, three times as much uncompressed. AQE
+    merges partitions that turn out small. The driver keeps one entry per scan task and partition:
+    give it memory for that, 100 TB are 373,000 partitions.
     """
-    scan = min(max(input_bytes // 200_000, 128 * MIB), 1024 * MIB)
-    partitions = min(max(-(-input_bytes // (256 * MIB)), 200), 50_000)
+    scan = max(input_bytes // 200_000, 128 * MIB)
+    partitions = max(-(-input_bytes // (256 * MIB)), 200)
     return {
         "spark.sql.files.maxPartitionBytes": str(scan),
         "spark.sql.shuffle.partitions": str(partitions),
@@ -81,7 +84,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="stratalake-"))
     return context.getCheckpointDir().rstrip("/")

@@ -19,6 +19,7 @@ from stratalake.operators.quality import QualityChecker
 from stratalake.session import scratch_path
 from stratalake.sinks.layout import arrange
 from stratalake.sinks.raw import check_mode
+from stratalake.sinks.registered import register_lake
 
 Audit = Callable[[DataFrame], QualityChecker]
 
@@ -77,6 +78,7 @@ def create_lake_table(
         partition_by=list(partition_by),
         at=committed_at or ledger.utc_now(),
     )
+    register_lake(spark, table)
     return True
 
 
@@ -138,16 +140,23 @@ def write_lake(
 
     ``append`` adds rows, ``overwrite`` replaces the table, its schema and, if given, its
     partitioning, ``overwrite_partitions`` replaces the partitions that occur in ``df``. The rows
-    really are sorted by ``sort_by``; naming a sort order in table properties alone would not sort
-    them. ``bookmark`` notes, in the same step, how far an incremental read has come.
+    really are sorted by ``sort_by``, and the table keeps that order: later writes without one,
+    upserts and compactions sort by it too. An overwrite without ``sort_by`` ends it.
+    ``bookmark`` notes, in the same step, how far an incremental read has come. A table given by
+    name is registered in the session catalog as well (``register_lake``).
     """
     check_mode(mode)
     spark = df.sparkSession
     if iceberg.catalog_of(spark, table):
         _refuse_bookmark(bookmark)
-        if audit is not None:
-            audit(df).assert_all_passed()
-        iceberg.write(arrange(df, partition_by or (), sort_by), table, mode, partition_by or ())
+        if audit is None:
+            rows = df
+        else:  # what is looked at has to be what is written
+            path = scratch_path(spark, "audited")
+            df.write.parquet(path)
+            rows = spark.read.schema(df.schema).parquet(path)
+            audit(rows).assert_all_passed()
+        iceberg.write(arrange(rows, partition_by or (), sort_by), table, mode, partition_by or ())
         return None
     location = resolve(spark, table)
     previous = ledger.latest(spark, location)
@@ -158,12 +167,14 @@ def write_lake(
         rows = df
     else:
         rows = conform_to(df, previous.schema)
+    if not sort_by and previous is not None and mode != "overwrite":
+        sort_by = previous.sort_by
     added = write_commit(rows, location, partition_by=keys, sort_by=sort_by, audit=audit)
     kept = list(previous.dirs) if previous and mode != "overwrite" else []
     if mode == "overwrite_partitions":
         replaced = {ledger.partition_of(name) for name in added}
         kept = [name for name in kept if ledger.partition_of(name) not in replaced]
-    return ledger.publish(
+    published = ledger.publish(
         spark,
         location,
         previous,
@@ -173,7 +184,10 @@ def write_lake(
         partition_by=keys,
         at=committed_at or ledger.utc_now(),
         bookmark=bookmark,
+        sort_by=sort_by,
     )
+    register_lake(spark, table)
+    return published
 
 
 def _refuse_bookmark(bookmark: ledger.Bookmark | None) -> None:
@@ -190,11 +204,11 @@ def _check_keys_unique(source: DataFrame, keys: Sequence[str]) -> None:
 
 
 def _without_outdated(
-    source: DataFrame, target: DataFrame, keys: list[str], newer_by: str
+    source: DataFrame, target: DataFrame, keys: list[str], newer_by: Sequence[str]
 ) -> DataFrame:
-    """Source rows that are not older than a target row with their key."""
-    offered = source.select(*keys, F.col(newer_by).alias("_offered"))
-    both = target.select(*keys, F.col(newer_by).alias("_known")).join(offered, keys)
+    """Source rows that are not older than a target row with their key; nulls are oldest."""
+    offered = source.select(*keys, F.struct(*newer_by).alias("_offered"))
+    both = target.select(*keys, F.struct(*newer_by).alias("_known")).join(offered, keys)
     outdated = both.where(F.col("_known") > F.col("_offered")).select(*keys).distinct()
     return source.join(outdated, keys, "left_anti").select(*source.columns)
 
@@ -223,7 +237,7 @@ def merge_lake(
     table: str,
     keys: Sequence[str],
     *,
-    newer_by: str | None = None,
+    newer_by: str | Sequence[str] | None = None,
     audit: Audit | None = None,
     bookmark: ledger.Bookmark | None = None,
     committed_at: datetime | None = None,
@@ -231,16 +245,19 @@ def merge_lake(
     """Upsert: a source row replaces the rows with its key, other source rows are added.
 
     Keys compare as in SQL, so a key with a null matches nothing and its row is added. A key that
-    occurs twice in the source is an error. With ``newer_by`` a source row whose value in that
-    column is lower than the one in the table is left out. Only folders that hold a matching key
+    occurs twice in the source is an error. With ``newer_by``, a column or several in order of weight,
+    a source row whose values are lower than those in the table is left out; null is lowest. Only folders that hold a matching key
     are written again. The source is put down once in the shared folder, because it is used three
     times and all uses must see the same rows; that copy is deleted at the end. A table that does
     not exist is created.
     """
     spark = source.sparkSession
     keys = list(keys)
+    newer_by = [newer_by] if isinstance(newer_by, str) else newer_by
     if iceberg.catalog_of(spark, table):
         _refuse_bookmark(bookmark)
+        if audit is not None:
+            iceberg.refuse(spark, table, "an audit of an upsert")
         _check_keys_unique(source, keys)
         iceberg.merge(source, table, keys, newer_by)
         return None
@@ -256,7 +273,7 @@ def merge_lake(
         dirs = _merged_dirs(staged, location, previous, keys, newer_by, audit)
     finally:
         files.delete(spark, staged_path)
-    return ledger.publish(
+    published = ledger.publish(
         spark,
         location,
         previous,
@@ -267,6 +284,8 @@ def merge_lake(
         at=at,
         bookmark=bookmark,
     )
+    register_lake(spark, table)
+    return published
 
 
 def _merged_dirs(
@@ -274,7 +293,7 @@ def _merged_dirs(
     location: str,
     previous: ledger.Snapshot,
     keys: list[str],
-    newer_by: str | None,
+    newer_by: Sequence[str] | None,
     audit: Audit | None,
 ) -> list[str]:
     """Folders of the table after the upsert; the new ones are written here."""
@@ -290,6 +309,7 @@ def _merged_dirs(
         survivors.unionByName(staged),
         location,
         partition_by=previous.partition_by,
+        sort_by=previous.sort_by,
         audit=audit,
     )
     return [name for name in previous.dirs if name not in touched] + added
@@ -303,6 +323,7 @@ def evolve_lake(
     committed_at: datetime | None = None,
 ) -> int:
     """Add columns to a lake table; rows written before read as null. No data is touched."""
+    iceberg.refuse(spark, table, "evolve_lake (use ALTER TABLE … ADD COLUMNS)")
     location = resolve(spark, table)
     previous = ledger.latest(spark, location)
     if previous is None:
@@ -310,7 +331,7 @@ def evolve_lake(
     clash = [f.name for f in new_columns if f.name in previous.schema.names]
     if clash:
         raise ValueError(f"columns already in the table: {clash}")
-    return ledger.publish(
+    published = ledger.publish(
         spark,
         location,
         previous,
@@ -320,3 +341,5 @@ def evolve_lake(
         partition_by=list(previous.partition_by),
         at=committed_at or ledger.utc_now(),
     )
+    register_lake(spark, table)
+    return published

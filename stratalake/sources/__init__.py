@@ -1,6 +1,7 @@
 from stratalake.sources.incremental import (
     HistoryExpiredError,
     Increment,
+    bookmark_of,
     read_changed,
     read_new,
 )
@@ -9,6 +10,7 @@ from stratalake.sources.tables import lake_exists, read_lake, read_raw, register
 __all__ = [
     "HistoryExpiredError",
     "Increment",
+    "bookmark_of",
     "lake_exists",
     "read_changed",
     "read_lake",

@@ -10,7 +10,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake import files, ledger
+from stratalake import files, iceberg, ledger
 from stratalake.layers import resolve
 
 # Operations after which a table holds the same rows as before.
@@ -30,6 +30,8 @@ class Increment(NamedTuple):
 
 
 def _positions(spark: SparkSession, source: str, target: str) -> tuple[str, int, list[int]]:
+    for table in (source, target):
+        iceberg.refuse(spark, table, "an incremental read")
     location = files.qualify(spark, resolve(spark, source))
     ids = ledger.snapshot_ids(spark, location)
     if not ids:
@@ -45,25 +47,40 @@ def _whole(spark: SparkSession, location: str, snapshot_id: int, mode: str) -> I
     return Increment(rows, ledger.Bookmark(location, snapshot_id), mode)
 
 
-def read_new(spark: SparkSession, source: str, target: str) -> Increment | None:
+def bookmark_of(spark: SparkSession, target: str, source: str) -> int:
+    """How far ``target`` has read what is called ``source``; 0 if not at all."""
+    written = ledger.latest(spark, resolve(spark, target))
+    return written.bookmarks.get(source, 0) if written else 0
+
+
+def read_new(
+    spark: SparkSession, source: str, target: str, *, on_expired: str = "error"
+) -> Increment | None:
     """Rows appended to ``source`` since the last run that wrote ``target``; None without any.
 
     Only appends have new rows that can be told from old ones. After an upsert or an overwrite of
     the source this raises ``ValueError``; ``read_changed`` goes by partitions instead.
+    If snapshots since the bookmark have expired, this raises ``HistoryExpiredError``, or with
+    ``on_expired="whole"`` gives all rows of the source with the mode ``overwrite``. Rows the target
+    has already are among them, so replace it, or upsert.
     """
+    if on_expired not in ("error", "whole"):
+        raise ValueError(f"on_expired must be error or whole, not {on_expired!r}")
     location, done, ids = _positions(spark, source, target)
     if done == 0:
         return _whole(spark, location, ids[-1], "append")
     if ids[-1] == done:
         return None
-    if done not in ids:
-        raise HistoryExpiredError(f"{source} has no snapshot {done} any more")
+    expected = range(done, ids[-1] + 1)
+    missing = sorted(set(expected) - set(ids))
+    if missing and on_expired == "whole":
+        return _whole(spark, location, ids[-1], "overwrite")
+    if missing:
+        raise HistoryExpiredError(f"{source} has no snapshot {missing[0]} any more")
     added: list[str] = []
     before = ledger.load(spark, location, done)
     for number in (i for i in ids if i > done):
         after = ledger.load(spark, location, number)
-        if number != before.snapshot_id + 1:
-            raise HistoryExpiredError(f"{source} has no snapshot {number - 1} any more")
         if after.operation == "append":
             added += set(after.dirs) - set(before.dirs)
         elif after.operation not in SAME_ROWS:

@@ -213,4 +213,4 @@ def test_sizes():
     scan, shuffle = "spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions"
     assert sizes_for(10**9) == {scan: str(128 * 1024**2), shuffle: "200"}
     assert sizes_for(10**12) == {scan: str(128 * 1024**2), shuffle: "3726"}
-    assert sizes_for(100 * 10**12) == {scan: "500000000", shuffle: "50000"}
+    assert sizes_for(100 * 10**12) == {scan: "500000000", shuffle: "372530"}

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from stratalake import create_lake_table, evolve_lake, ledger, merge_lake, read_lake, write_lake
 from stratalake.operators import DataQualityError, QualityChecker
+from stratalake.plans.maintenance import compact_lake
 from stratalake.sinks import DuplicateKeyError
 
 SCHEMA = "id bigint, day string, amount double"
@@ -389,3 +390,56 @@ def test_one_hot_sort_value_is_spread(spark, location):
     sizes = [spark.read.parquet(path).count() for path in part_files(location)]
     assert sum(sizes) == 40000
     assert max(sizes) <= 20000
+
+
+def test_null_times_are_oldest_and_ties_go_by_the_next_column(spark, location):
+    schema = "id int, at timestamp_ntz, v int"
+    at = datetime(2024, 1, 1)
+    write_lake(spark.createDataFrame([(1, at, 5), (2, at, 5), (3, None, 5)], schema), location)
+    changes = [(1, None, 9), (2, at, 4), (3, at, 1)]
+    merge_lake(spark.createDataFrame(changes, schema), location, ["id"], newer_by=["at", "v"])
+    assert rows(read_lake(spark, location)) == [(1, at, 5), (2, at, 5), (3, at, 1)]
+
+
+def test_one_of_many_writers_of_a_line_is_told_so(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from stratalake import files
+
+    def write(n):
+        try:
+            files.write_text_once(spark, path, f"writer {n}")
+        except FileExistsError:
+            return None
+        return f"writer {n}"
+
+    for attempt in range(5):
+        path = f"file:{tmp_path}/ledger/{attempt}.json"
+        with ThreadPoolExecutor(8) as pool:
+            told = [x for x in pool.map(write, range(8)) if x]
+        assert told == [files.read_text(spark, path)]
+    assert not [n for n in files.children(spark, f"file:{tmp_path}/ledger", directories=False) if "pending" in n]
+
+
+def test_tables_are_in_the_catalog(spark, lake):
+    lake.create_databases(spark)
+    name = lake.table("refined", "things")
+    frame = spark.createDataFrame([(1, "a", "x"), (2, None, "y"), (3, "it's", None)], "id int, part string, v string")
+    write_lake(frame, name, partition_by=["part"])
+    assert rows(spark.table(name)) == rows(frame)
+    write_lake(frame.where("id = 1"), name, "overwrite_partitions")
+    evolve_lake(spark, name, StructType.fromDDL("more int"))
+    merge_lake(frame.where("id = 3").withColumn("v", F.lit("new")), name, ["id"])
+    compact_lake(spark, name)
+    assert rows(spark.sql(f"SELECT * FROM {name}")) == rows(read_lake(spark, name))
+    assert spark.table(name).columns == ["id", "part", "v", "more"]
+    assert "things" in [t.name for t in spark.catalog.listTables(lake.database("refined"))]
+    spark.sql(f"CREATE VIEW {lake.table('curated', 'ids')} AS SELECT id FROM {name} WHERE part = 'a'")
+    assert rows(spark.table(lake.table("curated", "ids"))) == [(1,)]
+    write_lake(frame.select("id"), name, "overwrite", partition_by=[])
+    assert rows(spark.table(name)) == [(1,), (2,), (3,)]
+
+
+def test_other_catalogs_are_refused(spark):
+    with pytest.raises(ValueError, match="session catalog"):
+        read_lake(spark, "elsewhere.db.t")

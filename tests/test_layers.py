@@ -8,7 +8,8 @@ from conftest import rows
 
 from stratalake import read_lake
 from stratalake.operators import DataQualityError
-from stratalake.plans.layers import as_raw, raw_to_curated, tables_of
+from stratalake.plans.layers import as_raw, land, load_delivery, raw_to_curated, tables_of
+from stratalake.plans.maintenance import expire_lake
 from stratalake.sources import lake_exists
 
 RAW = "event_id string, payload string, created_at timestamp_ntz, dt string"
@@ -68,6 +69,8 @@ def test_nothing_usable_stops_the_chain(spark, lake):
         raw_to_curated(spark, raw, lake)
     assert not lake_exists(spark, tables_of(lake).refined)
     assert not lake_exists(spark, tables_of(lake).curated)
+    rejects = read_lake(spark, tables_of(lake).rejects)
+    assert rows(rejects.select("event_id", "failed_columns")) == [("1", "payload,event_type")]
 
 
 def test_as_raw(spark):
@@ -81,3 +84,67 @@ def test_as_raw(spark):
     assert row["payload"] == (
         '{"user_id":9,"event_type":"click","value":1.25,"props":"{\\"k\\": 1}"}'
     )
+
+
+def test_a_rerun_changes_nothing(spark, lake):
+    raw = spark.createDataFrame([event("1", payload(1)), event("2", "{broken"), event("3", payload(3), day=2)], RAW)
+    first = rows(raw_to_curated(spark, raw, lake))
+    assert rows(raw_to_curated(spark, raw, lake)) == first
+    tables = tables_of(lake)
+    assert spark.table(tables.raw).count() == 3
+    assert read_lake(spark, tables.rejects).count() == 1
+
+
+def test_landing_again_replaces_that_delivery_alone(spark, lake):
+    lake.create_databases(spark)
+    one = spark.createDataFrame([event("1", payload(1)), event("2", payload(2), day=2)], RAW)
+    two = spark.createDataFrame([event("3", payload(3))], RAW)
+    land(spark, one, lake, "one=1/x")
+    land(spark, two, lake, "two")
+    raw = land(spark, one.where("dt = '2024-01-01'"), lake, "one=1/x")
+    assert rows(raw.select("event_id", "delivery")) == [("1", "one=1/x"), ("3", "two")]
+
+
+def test_deliveries_give_what_the_whole_gives(spark, lake, tmp_path):
+    versions = [event("1", payload(9)), event("1", payload(5)), event("1", payload(7)), event("2", payload(2))]
+    for part in (versions[:2], versions[2:]):
+        load_delivery(spark, spark.createDataFrame(part, RAW), lake)
+    refined = read_lake(spark, tables_of(lake).refined)
+    assert rows(refined.select("event_id", "value")) == [(1, Decimal("9.00")), (2, Decimal("2.00"))]
+
+
+def test_a_named_delivery_counts_once(spark, lake):
+    part = spark.createDataFrame([event("1", payload(1)), event("2", "{broken")], RAW)
+    for _ in range(2):
+        summary = load_delivery(spark, part, lake, "monday")
+    assert rows(summary) == [(date(2024, 1, 1), Decimal("1.00"), 1)]
+    tables = tables_of(lake)
+    assert read_lake(spark, tables.deliveries).count() == 2
+    assert read_lake(spark, tables.rejects).count() == 1
+
+
+def test_every_delivery_is_audited(spark, lake, monkeypatch):
+    from stratalake.plans import layers
+
+    load_delivery(spark, spark.createDataFrame([event("1", payload(1))], RAW), lake)
+    seen = []
+    checks = layers.merged_checks
+    monkeypatch.setattr(layers, "merged_checks", lambda df: seen.append(1) or checks(df))
+    load_delivery(spark, spark.createDataFrame([event("2", payload(2))], RAW), lake)
+    assert seen
+
+
+def test_deliveries_go_on_after_their_history_expired(spark, lake):
+    tables = tables_of(lake)
+    for number in (1, 2):
+        part = spark.createDataFrame([event(str(number), payload(number)), event("x", "{")], RAW)
+        load_delivery(spark, part, lake)
+    write = spark.createDataFrame([event("3", payload(3))], RAW)
+    from stratalake import write_lake
+
+    write_lake(write, tables.deliveries)
+    write_lake(write, tables.deliveries)
+    expire_lake(spark, tables.deliveries, as_of=datetime(2100, 1, 1), keep=1, dry_run=False)
+    summary = load_delivery(spark, spark.createDataFrame([event("4", payload(4))], RAW), lake)
+    assert rows(summary) == [(date(2024, 1, 1), Decimal("10.00"), 4)]
+    assert read_lake(spark, tables.rejects).count() == 2

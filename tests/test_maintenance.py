@@ -10,7 +10,7 @@ from conftest import plan_of, rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from stratalake import ledger, read_lake, write_lake
+from stratalake import ledger, merge_lake, read_lake, write_lake
 from stratalake.operators import (
     compaction_plan,
     expired_snapshots,
@@ -89,6 +89,43 @@ def test_compaction_respects_the_target_size(spark, location):
     assert len(data_files(spark, location).collect()) == 2
 
 
+def test_compaction_takes_small_folders_and_leaves_big_ones(spark, location):
+    text = F.sha2(F.col("id").cast("string"), 256).alias("t")
+    write_lake(spark.range(0, 100000, 1, 1).select("id", text), location)
+    big = ledger.latest(spark, location).dirs
+    for i in range(3):
+        write_lake(spark.range(i, i + 1, 1, 1).select("id", text), location)
+    target = max(r["length"] for r in data_files(spark, location).collect())
+    assert compact_lake(spark, location, target_bytes=target) is not None
+    after = ledger.latest(spark, location).dirs
+    assert set(big) < set(after) and len(after) == 2
+    assert read_lake(spark, location).count() == 100003
+    assert compact_lake(spark, location, target_bytes=target) is None
+
+
+def test_any_number_of_tiny_files_becomes_one_in_one_run(spark, location):
+    write_lake(spark.range(0, 1300, 1, 1300).select("id"), location)
+    assert data_files(spark, location).count() == 1300
+    compact_lake(spark, location)
+    assert data_files(spark, location).count() == 1
+    assert compact_lake(spark, location) is None
+    assert read_lake(spark, location).count() == 1300
+
+
+def test_a_table_keeps_its_order(spark, location):
+    for start in (100, 0):
+        shuffled = numbers(spark, start, start + 100).orderBy(F.xxhash64("id"))
+        write_lake(shuffled, location, sort_by=["id"] if start else ())
+    merge_lake(numbers(spark, 50, 60).orderBy(F.desc("id")), location, ["id"])
+    compact_lake(spark, location)
+    assert ledger.latest(spark, location).sort_by == ("id",)
+    for row in read_lake(spark, location).groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        F.collect_list(F.struct("_metadata.row_index", "id")).alias("rows")
+    ).collect():
+        ids = [r["id"] for r in sorted(row["rows"])]
+        assert ids == sorted(ids)
+
+
 def test_compaction_plan(spark):
     files = spark.createDataFrame([("a", 10), ("a", 20), ("b", 64), ("c", 0)], "g string, n bigint")
     assert rows(compaction_plan(files, ["g"], "n", 16)) == [

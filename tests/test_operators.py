@@ -230,3 +230,22 @@ def test_empty_and_single_row(spark, n):
     frame = spark.createDataFrame(values, "k int, t timestamp_ntz, v double")
     assert latest_per_key(frame, ["k"], [F.desc("t")]).count() == n
     assert daily_summary(frame, "t", "v").count() == n
+
+
+def test_lossy_casts_are_rejects_unless_allowed(spark):
+    rows_ = [("1.25", 2.0, "2024-01-03"), ("1.239", 2.0, "2024-01-03"), ("1", 2.7, "2024-01-03"), ("1", 2.0, "2024-01-03 10:00:00"), (None, None, None)]
+    frame = spark.createDataFrame(rows_, "money string, n double, day string")
+    types = {"money": "decimal(18,2)", "n": "bigint", "day": "date"}
+    assert [r.failed_columns for r in rejects(frame, types).orderBy("failed_columns").collect()] == ["day", "money", "n"]
+    assert typed(frame, types).count() == 2
+    assert typed(frame, types, lossy=True).count() == 5
+
+
+def test_dimensions_cannot_multiply_or_hide(spark):
+    facts = spark.createDataFrame([(1, 7), (2, 8)], "id int, d int")
+    twice = spark.createDataFrame([(7, "a"), (7, "b")], "k int, name string")
+    with pytest.raises(ValueError, match="repeats k = 7"):
+        denormalise(facts, [Dimension(twice, "k", "d")])
+    clash = spark.createDataFrame([(7, 1)], "k int, id int")
+    with pytest.raises(ValueError, match="there already"):
+        denormalise(facts, [Dimension(clash, "k", "d")])

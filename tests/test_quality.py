@@ -4,6 +4,7 @@ import pytest
 from conftest import plan_of, rows
 
 from stratalake.operators import CheckResult, DataQualityError, QualityChecker
+from stratalake.operators.quality import schema_deviations
 
 SCHEMA = "id bigint, kind string, amount double"
 
@@ -83,18 +84,29 @@ def test_schema_match(frame):
     good = {"id": "bigint", "amount": "double"}
     assert outcome(QualityChecker(frame).schema_match(good)) == [("schema_match", True, 0)]
     strict = QualityChecker(frame).schema_match(good, allow_extra_columns=False)
-    assert rows(strict.run()) == [("schema_match", False, 5, "unexpected: ['kind']")]
+    assert rows(strict.run()) == [("schema_match", False, 5, "kind is not declared")]
     wrong = QualityChecker(frame).schema_match({"id": "string", "when": "date"})
     assert rows(wrong.run()) == [
         (
             "schema_match",
             False,
             5,
-            "missing: ['when']; type mismatches: {'id': ('string', 'bigint')}",
+            "id is bigint instead of string; when is absent",
         )
     ]
 
 
+def test_schema_deviations_by_column(frame):
+    found = schema_deviations(frame, {"id": "string", "when": "date"}, allow_extra_columns=False)
+    assert rows(found) == [
+        ("amount", "undeclared", None, "double"),
+        ("id", "type", "string", "bigint"),
+        ("kind", "undeclared", None, "string"),
+        ("when", "absent", "date", None),
+    ]
+    assert rows(schema_deviations(frame, {"id": "bigint"})) == []
+
+
 def test_report_keeps_the_order_of_checks(frame):
     checker = QualityChecker(frame).unique("id").not_null("id").unique("kind").row_count_min(1)
     assert [r.name for r in checker.run().collect()] == [
