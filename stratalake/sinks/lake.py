@@ -220,10 +220,15 @@ def _dirs_holding(
     source: DataFrame,
     keys: list[str],
 ) -> set[str]:
-    """Folders with at least one row whose key occurs in ``source``; reads only the keys."""
+    """Folders with at least one row whose key occurs in ``source``; reads only the keys, and of
+    those only row groups within the range of the source's first key."""
     if not snapshot.dirs:
         return set()
     target = ledger.rows_in(spark, location, snapshot.dirs, snapshot.schema)
+    low, high = source.agg(F.min(keys[0]), F.max(keys[0])).first()
+    if low is None:  # no source row has a key that could match
+        return set()
+    target = target.where(F.col(keys[0]).between(F.lit(low), F.lit(high)))
     located = target.select(*keys, F.col("_metadata.file_path").alias("_file"))
     matches = located.join(source.select(*keys), keys, "left_semi")
     touched = matches.select("_file").distinct()

@@ -24,13 +24,20 @@ def new_rows(
     fmt: str = "parquet",
     max_files: int | None = None,
     max_file_age: str = "36500d",
+    archive: str | None = None,
 ) -> DataFrame:
     """Stream over the files of a folder; ``max_files`` bounds one batch, not the run.
 
     Spark skips files older than ``max_file_age`` before the newest it has seen. Its own default
-    of a week would lose files that arrive late with an old time.
+    of a week would lose files that arrive late with an old time. The price is that the names of
+    all files ever seen are kept, in the driver and the checkpoint. In a folder that goes on
+    growing, name an ``archive``: files that have been read move there, so ``source`` holds what is
+    new and listing it stays cheap, and give ``max_file_age`` the longest delay of a delivery.
+    Lakes of very many files are better read by ``read_new``, which goes by snapshots.
     """
     reader = spark.readStream.format(fmt).schema(schema).option("maxFileAge", max_file_age)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(source)

@@ -64,3 +64,13 @@ def test_alerts_are_forwarded_once(spark, paths):
         forward_alerts(stream, rules, paths["target"], paths["checkpoint"])
         expected.append((i, "error", "bad"))
         assert rows(read_raw(spark, paths["target"], schema=f"{SCHEMA}, rule string")) == expected
+
+
+def test_files_that_were_read_move_to_the_archive(spark, tmp_path):
+    source, archive = f"file:{tmp_path}/in", f"{tmp_path}/archive"
+    for number in range(3):
+        spark.range(number, number + 1, 1, 1).write.mode("append").parquet(source)
+        rows = new_rows(spark, source, "id long", archive=archive)
+        run_incremental(rows, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [0, 1, 2]
+    assert list((tmp_path / "archive").rglob("part-*.parquet"))
