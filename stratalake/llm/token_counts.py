@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_right
 from itertools import accumulate
 
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stratalake.llm.byte_bpe import AHEAD, PieceIds, Vocabulary
 from stratalake.llm.common import staged, values
+from stratalake.llm.secret_scan import Rule
 
 LEAF = 64  # pre-tokens in a leaf
 REGION = 256  # characters beyond an edit that are split at first
@@ -175,11 +177,12 @@ def recount_edited(
     """
     trees = staged(count_tokens(documents, vocabulary), "trees") if trees is None else trees
     shared = documents.sparkSession.sparkContext.broadcast((vocabulary.ranks, vocabulary.pattern))
-    of_document = (
+    of_document = staged(
         edits.where("doc_id is not null and start is not null and end is not null")
         .select("doc_id", F.struct("start", "end", F.coalesce("replacement", F.lit("")).alias("new")).alias("edit"))
         .groupBy("doc_id")
-        .agg(F.sort_array(F.collect_set("edit"), asc=False).alias("edits"))
+        .agg(F.sort_array(F.collect_set("edit"), asc=False).alias("edits")),
+        "edits",
     )
     edited = _rows(documents).join(of_document, "doc_id").join(
         trees.dropDuplicates(["doc_id", "body"]), ["doc_id", "body"]
@@ -222,21 +225,29 @@ def recount_edited(
 
 
 # E-mail addresses and long hexadecimal numbers, which are what personal data are most often made of.
-PERSONAL = r"(?<![\w.+-])[A-Za-z0-9_.+-]{1,64}@[A-Za-z0-9.-]+|(?<![0-9a-f])[0-9a-f]{24,}"
+PERSONAL = (
+    Rule("email", r"(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]{1,64}@[A-Za-z0-9.-]+", needs="@"),
+    Rule("hex", r"(?<![0-9a-f])[0-9a-f]{24,}"),
+)
 
 
-def redactions(documents: DataFrame, pattern: str = PERSONAL, replacement: str = "[removed]") -> DataFrame:
-    """Edits (doc_id, start, end, replacement) that replace what matches ``pattern``."""
+def redactions(
+    documents: DataFrame, rules: tuple[Rule, ...] = PERSONAL, replacement: str = "[removed]"
+) -> DataFrame:
+    """Edits (doc_id, start, end, replacement) that replace what the rules find; of findings that
+    overlap the first one counts."""
 
     def find(batches):
-        compiled = regex.compile(pattern)
+        ready = [(rule, re.compile(rule.pattern, rule.flags)) for rule in rules]
         for batch in batches:
-            ids, starts, ends = [], [], []
+            found = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), values(batch, "text"), strict=True):
-                for found in compiled.finditer(text.decode()):
-                    ids.append(doc)
-                    starts.append(found.start())
-                    ends.append(found.end())
+                text, done = text.decode(), 0
+                for start, end in sorted(span for rule, compiled in ready for span in rule.spans(text, compiled)):
+                    if start >= done:
+                        found.append((doc, start, end))
+                        done = end
+            ids, starts, ends = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())],
                 names=["doc_id", "start", "end"],
