@@ -17,6 +17,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 from stratalake.llm.common import values
 
 
+MOST_IDS, MOST_ROWS = 1_000_000, 256  # in a batch that a task hands on
 AHEAD = 3  # characters after a boundary that the match before it may depend on
 
 
@@ -63,21 +64,28 @@ def _with_ids(rows: DataFrame, vocabulary, column: str, upto: str | None = None)
     ``upto`` characters if that is given; the rest is there to be looked at."""
     schema = StructType([*rows.schema.fields, StructField("ids", ArrayType(IntegerType()))])
 
+    def with_lists(rows, ids: list[np.ndarray]):
+        ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+        flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+        return pa.RecordBatch.from_arrays([*rows.columns, lists], names=[*rows.schema.names, "ids"])
+
     def encode(batches):
         known = PieceIds(Vocabulary(*vocabulary.value))
         pieces = regex.compile(vocabulary.value[1])
         for batch in batches:
-            ids, ends = [], [0]
+            done, ids, size = 0, [], 0
             ends_at = batch.column(upto).to_pylist() if upto else repeat(None)
             for text, end in zip(values(batch, column), ends_at):
                 found = pieces.findall(text.decode())
                 if end is not None:
                     found = found[: bisect_right(list(accumulate(map(len, found))), end)]
                 ids.append(np.fromiter(chain.from_iterable(map(known.__getitem__, found)), np.int32))
-                ends.append(ends[-1] + len(ids[-1]))
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "ids"])
+                size += len(ids[-1])
+                if size >= MOST_IDS or len(ids) >= MOST_ROWS:
+                    yield with_lists(batch.slice(done, len(ids)), ids)
+                    done, ids, size = done + len(ids), [], 0
+            yield with_lists(batch.slice(done), ids)
 
     return rows.mapInArrow(encode, schema)
 
@@ -183,15 +191,16 @@ def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def join(batches):
         table = {rank: token for token, rank in Vocabulary(*shared.value).table().items()}
-        for batch in batches:
-            ids = batch.column("ids")
-            texts = [
-                b"".join(map(table.__getitem__, one.values.to_numpy().tolist())) if one.is_valid else b""
-                for one in ids
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"]
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, MOST_ROWS):
+                batch = whole.slice(at, MOST_ROWS)
+                texts = [
+                    b"".join(map(table.__getitem__, one.values.to_numpy().tolist())) if one.is_valid else b""
+                    for one in batch.column("ids")
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"]
+                )
 
     return rows.mapInArrow(join, schema)
 
