@@ -164,7 +164,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, settings: Alignment = Ali
     distinct = own.select("gram").distinct()
     widths = list(range(1, settings.seed + 1))
     if distinct.count() * 8 <= settings.sent:
-        wanted = np.sort(np.array([row.gram for row in distinct.collect()], np.int64))
+        wanted = np.sort(distinct.toArrow().column("gram").to_numpy())
         if not len(wanted):
             wanted = np.zeros(1, np.int64)
         hits = _text_grams(rows, settings, widths, spark.sparkContext.broadcast(wanted))

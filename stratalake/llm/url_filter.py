@@ -33,7 +33,8 @@ class UrlRule:
 @dataclass(frozen=True)
 class TemplateTree:
     """``depth``: levels of the tree, what lies deeper is one ``**``. A node's segments are variable
-    if there are at least ``fan_out`` of them and as many as ``variable`` of its pages. Branches are
+    if there are at least ``fan_out`` of them and as many as ``variable`` of its pages, or more than
+    ``widest`` whatever the number of pages. Branches are
     alike if their labelled shares differ by less than ``deviations`` standard errors. A template is
     rejected if its share of bad labels, with ``weight`` pages of the overall share added, is at
     least ``purity``."""
@@ -41,6 +42,7 @@ class TemplateTree:
     depth: int = 6
     fan_out: int = 16
     variable: float = 0.05
+    widest: int = 1000
     deviations: float = 1.96
     weight: float = 10.0
     purity: float = 0.5
@@ -59,8 +61,8 @@ def path_templates(pages: DataFrame, tree: TemplateTree) -> DataFrame:
     Level by level, all hosts at once: numbers in a segment become ``#``; the segments below a node
     become ``*`` if the node's are variable; the others are ordered by their smoothed share of bad
     labels, and neighbours that do not differ significantly become one branch, ``{de|en}``.
-    A node that is not variable has fewer branches than ``fan_out`` or few for its pages, and they
-    are merged by aggregates and a window over branches, never over pages.
+    A node that is not variable has at most ``tree.widest`` branches, so that the window that merges
+    them, which goes over branches and not pages, has a bound.
     """
     shape = F.regexp_replace(F.col("path"), "[0-9]+", "#")
     segments = F.filter(F.split(shape, "/"), lambda x: x != "")
@@ -85,7 +87,9 @@ def path_templates(pages: DataFrame, tree: TemplateTree) -> DataFrame:
             )
         )
         nodes = branches.groupBy("host", "__at").agg(F.count("*").alias("fan"), F.sum("pages").alias("all"))
-        variable = (F.col("fan") >= tree.fan_out) & (F.col("fan") >= F.col("all") * tree.variable)
+        variable = (F.col("fan") > tree.widest) | (
+            (F.col("fan") >= tree.fan_out) & (F.col("fan") >= F.col("all") * tree.variable)
+        )
         share = (F.col("n_bad") + rate * tree.weight) / (F.col("labelled") + tree.weight)
         order = Window.partitionBy("host", "__at").orderBy("share", "__segment")
         error = F.sqrt(
