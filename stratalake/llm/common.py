@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from xxhash import xxh3_64_intdigest
 
 from stratalake.session import scratch_path
@@ -21,6 +21,23 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(rows: DataFrame, key: list[str], most: int) -> DataFrame:
+    """At most ``most`` rows, those whose ``key`` has the smallest hash: the same ones however the
+    rows are spread. Rows far from being among them are passed over in the scan, so that what tasks
+    hand on has a bound that does not grow with their number."""
+    at, count = F.xxhash64(*key), rows.count()
+    if count > 2 * most + 1000:
+        rows = rows.where(at < -(2**63) + 2**64 * (2 * most + 1000) // count)
+    return rows.orderBy(at, *key).limit(most)
+
+
+def parts_of(batches, rows: int):
+    """Batches of at most ``rows`` rows, so that what is made of them stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def values(batch, name: str):
     """The values of a column one by one, texts as UTF-8 bytes, nulls as empty."""
     column = batch.column(name)

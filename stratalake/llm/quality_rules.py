@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratalake.llm.common import staged, values, window_hashes, word_hashes
+from stratalake.llm.common import hash_sample, staged, values, window_hashes, word_hashes
 
 SEPARATORS = " \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
@@ -132,9 +132,9 @@ class IsolationForest:
 
 
 def anomaly_scores(statistics: DataFrame, *, sample_rows: int = 8192) -> DataFrame:
-    """``statistics`` with ``anomaly``. The trees grow on the ``sample_rows`` rows whose doc_id has
-    the smallest hash, a bounded random sample; every row is scored."""
-    chosen = statistics.orderBy(F.xxhash64("doc_id"), *COUNTS).limit(sample_rows).select(*COUNTS)
+    """``statistics`` with ``anomaly``. The trees grow on ``sample_rows`` rows at most, those with
+    the smallest hash; every row is scored."""
+    chosen = hash_sample(statistics, ["doc_id", *COUNTS], sample_rows).select(*COUNTS)
     forest = IsolationForest.fit(features(np.array(chosen.collect(), float).reshape(-1, len(COUNTS))))
 
     def score(batches):

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from stratalake.llm.common import values
+from stratalake.llm.common import hash_sample, values
 
 # Lower-cases ASCII letters; other ASCII characters but digits separate words.
 CLEAN = bytes(
@@ -278,11 +278,10 @@ def training_windows(documents: DataFrame, labels: DataFrame, settings: Toxicity
         .groupBy("doc_id")
         .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
         .where("toxic = most")
-        .withColumn("at", F.xxhash64("doc_id"))
     )
     ids = None
     for value in (0, 1):
-        some = known.where(F.col("toxic") == value).orderBy("at", "doc_id").limit(settings.documents).select("doc_id", "toxic")
+        some = hash_sample(known.where(F.col("toxic") == value).select("doc_id", "toxic"), ["doc_id"], settings.documents)
         ids = some if ids is None else ids.unionByName(some)
 
     def cut(batches):
