@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratalake.llm.common import mixed, staged, values, window_hashes, word_hashes
+from stratalake.llm.common import mixed, parts_of, staged, values, window_hashes, word_hashes
 
 
 @dataclass(frozen=True)
@@ -22,7 +22,7 @@ class Windows:
     anchor: int = 6
     longest: int = 128
     hot: int = 8000
-    chunk: int = 1_000_000
+    chunk: int = 400_000
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -147,6 +147,7 @@ def _spans(run: np.ndarray, window: np.ndarray, width: int) -> tuple[np.ndarray,
     return run[first], window[first], window[last] + width
 
 
+WHOLE = 2**31 - 1  # the end of a span that covers the whole text
 SPANS = "doc_id long, body long, first int, end int"
 
 
@@ -172,8 +173,8 @@ def _sorted_buckets(packed: DataFrame, settings: Windows) -> DataFrame:
 
     def count(batches):
         ready, bucket, key, words = [], [], None, 0
-        for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("minimiser", "doc_id", "body", "start", "packed"))
+        for batch in parts_of(batches, 1024):
+            columns = [batch.column(c).to_pylist() for c in ("minimiser", "doc_id", "body", "start", "packed")]
             for minimiser, *row in zip(*columns, strict=True):
                 if minimiser != key:
                     if bucket and bucket[0][0] != bucket[-1][0]:  # sorted: more than one document
@@ -225,6 +226,18 @@ def _spread_windows(packed: DataFrame, settings: Windows) -> DataFrame:
     )
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """(doc_id, body) of the rows whose text, by its 128-bit digest, a smaller document has too.
+
+    All their windows are repeats, and whatever repeats one of them repeats that smaller document,
+    so they need not travel.
+    """
+    texts = rows.select("doc_id", "body", F.unhex(F.md5("text")).alias("digest"))
+    least = texts.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    repeated = least.where("least < most").select("digest", "least")
+    return texts.join(repeated, "digest").where("doc_id > least").select("doc_id", "body").distinct()
+
+
 def remove_repeats(documents: DataFrame, settings: Windows = Windows()) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for every row of ``documents`` (doc_id, text): the words,
     joined by a space, without those covered by a window of ``settings.width`` words that also
@@ -233,7 +246,7 @@ def remove_repeats(documents: DataFrame, settings: Windows = Windows()) -> DataF
     1. Windows that follow each other and have the same minimiser (smallest hash of ``anchor``
        words) form a super-k-mer. Equal windows have equal minimisers, so only super-k-mers whose
        minimiser occurs in two documents can hold a repeat; the others go no further.
-    2. Those travel as one packed string to the bucket of their minimiser, where sorting finds
+    2. Those travel, except from exact copies of a smaller document, as one packed string to the bucket of their minimiser, where sorting finds
        equal windows. Buckets of more than ``settings.hot`` strings are spread window by window.
     3. The spans found join the texts again.
 
@@ -244,6 +257,7 @@ def remove_repeats(documents: DataFrame, settings: Windows = Windows()) -> DataF
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     ).withColumn("body", F.xxhash64("text"))
+    copies = staged(_copies(rows.where("doc_id is not null")), "copies")
     runs = staged(_runs(rows.where("doc_id is not null"), settings), "super-k-mers")
     shared = (
         runs.groupBy("minimiser")
@@ -255,6 +269,7 @@ def remove_repeats(documents: DataFrame, settings: Windows = Windows()) -> DataF
         runs.join(shared, "minimiser")
         .groupBy("doc_id", "body")
         .agg(F.collect_set(F.struct("start", "n", "minimiser", "hot")).alias("runs"))
+        .join(copies, ["doc_id", "body"], "left_anti")
     )
     joined = rows.join(travelling, ["doc_id", "body"])
 
@@ -263,16 +278,20 @@ def remove_repeats(documents: DataFrame, settings: Windows = Windows()) -> DataF
         return _packed(joined.select("doc_id", "body", chosen.alias("runs"), "text").where(F.size("runs") > 0), settings)
 
     spans = _sorted_buckets(part(False), settings).unionByName(_spread_windows(part(True), settings))
+    spans = spans.unionByName(copies.select("*", F.lit(0).alias("first"), F.lit(WHOLE).alias("end")))
     of_document = spans.groupBy("doc_id", "body").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
 
+    width = settings.width
+
     def remove(batches):
-        for batch in batches:
+        for batch in parts_of(batches, 256):
             n_words, n_removed, kept = [], [], []
             for spans, text in zip(batch.column("spans"), values(batch, "text"), strict=True):
                 words = text.split()
                 n_words.append(len(words))
-                if spans.is_valid:
+                if spans.is_valid and len(words) >= width:
                     first, end = (x.to_numpy() for x in spans.values.flatten())
+                    end = np.minimum(end, len(words))
                     edges = np.zeros(len(words) + 1, np.int64)
                     np.add.at(edges, first, 1)
                     np.add.at(edges, end, -1)
