@@ -1,4 +1,4 @@
-"""Test items in training texts: rare n-gram seeds, then local alignment."""
+"""Test items in training texts: n-gram seeds, then local alignment."""
 
 from __future__ import annotations
 
@@ -14,14 +14,12 @@ from stratalake.llm.toxicity import CLEAN
 
 @dataclass(frozen=True)
 class Alignment:
-    """``seed``: words in a seed. ``rarest``: share of an item's n-grams that are seeds, but at least
-    ``least_seeds``. ``score``: least share of the best possible alignment score; items of fewer
-    than ``short`` words have to stand in a text word by word. ``sent``: bytes of n-gram hashes up
-    to which they are sent to every task; beyond it n-grams are joined by a shuffle."""
+    """``seed``: words in a seed; all n-grams of an item are seeds. ``score``: least share of the best
+    possible alignment score; items of fewer than ``short`` words have to stand in a text word by
+    word. ``sent``: bytes of n-gram hashes up to which they are sent to every task; beyond it
+    n-grams are joined by a shuffle."""
 
     seed: int = 3
-    rarest: float = 0.5
-    least_seeds: int = 8
     score: float = 0.5
     short: int = 8
     match: int = 2
@@ -120,10 +118,19 @@ def align(item: np.ndarray, text: np.ndarray, settings: Alignment) -> tuple[int,
     return best, int(j), end
 
 
+def least_score(item: list[bytes], settings: Alignment) -> float:
+    return 1 if len(item) < settings.short else settings.score
+
+
 def best_alignment(item: list[bytes], words: list[bytes], starts: list[int], settings: Alignment):
-    """The best alignment near places where the item would begin, and its share of the best score."""
+    """The best alignment near places where the item would begin, and its share of the best score.
+
+    Places with too few words of the item for the least score that counts are not aligned.
+    """
     number: dict[bytes, int] = {}
     own = np.array([number.setdefault(word, len(number)) for word in item])
+    times = np.bincount(own)
+    least = least_score(item, settings) * len(item)
     starts, best, at = sorted(starts), (-1, 0, 0), 0
     while at < len(starts):
         upto = at
@@ -131,8 +138,10 @@ def best_alignment(item: list[bytes], words: list[bytes], starts: list[int], set
             upto += 1
         first = max(starts[at] - len(item) // 2, 0)
         part = words[first : starts[upto] + len(item) + len(item) // 2]
-        score, begin, end = align(own, np.array([number.get(word, -1) for word in part]), settings)
-        best = max(best, (score, -(first + begin), first + end))
+        text = np.array([number.get(word, -1) for word in part])
+        if np.minimum(np.bincount(text[text >= 0], minlength=len(times)), times).sum() >= least:
+            score, begin, end = align(own, text, settings)
+            best = max(best, (score, -(first + begin), first + end))
         at = upto + 1
     return best[0] / (settings.match * len(item)), -best[1], best[2]
 
@@ -142,10 +151,9 @@ def find_leaks(documents: DataFrame, items: DataFrame, settings: Alignment = Ali
     text) whose best local alignment of words reaches ``settings.score``; the aligned words are
     ``first`` to before ``end``, in words without punctuation and ASCII case.
 
-    1. The n-grams of items are looked up in all texts and counted there.
-    2. An item's seeds are its rarest n-grams by that count: a share of its own, not a limit on the
-       count, since an item that has leaked into many texts has no rare n-grams at all.
-    3. A text with two seeds of an item (or one, of items with a single one) is aligned with it,
+    1. The n-grams of items are looked up in all texts. All of them are seeds, also the common ones:
+       parts of an item that have leaked into many texts are what makes its n-grams common.
+    2. A text with two seeds of an item (or one, of items with a single one) is aligned with it,
        around the places where the seeds say that the item begins.
 
     Null or blank texts and items match nothing, null ids neither. Rows that repeat an id are each
@@ -170,23 +178,9 @@ def find_leaks(documents: DataFrame, items: DataFrame, settings: Alignment = Ali
         hits = _text_grams(rows, settings, widths, spark.sparkContext.broadcast(wanted))
     else:
         hits = _text_grams(rows, settings, widths, None).join(distinct, "gram", "left_semi")
-    hits = staged(hits.select("doc_id", "body", "pos", "gram"), "gram-hits")
-
-    counts = hits.groupBy("gram").count()
-    ranked = (
-        own.join(counts, "gram")
-        .groupBy("item_id")
-        .agg(F.sort_array(F.collect_list(F.struct("count", "gram", "offset"))).alias("all"))
-        .withColumn(
-            "seeds", F.greatest(F.ceil(F.size("all") * settings.rarest), F.lit(settings.least_seeds)).cast("int")
-        )
-    )
-    seeds = ranked.select("item_id", F.explode(F.slice("all", F.lit(1), F.col("seeds"))).alias("x")).select(
-        "item_id", "x.gram", "x.offset"
-    )
     needed = own.groupBy("item_id").agg(F.least(F.count("*"), F.lit(2)).alias("needed"))
     found = (
-        hits.join(seeds, "gram")
+        hits.join(own, "gram")
         .groupBy("doc_id", "body", "item_id")
         .agg(
             F.count_distinct("gram", "offset").alias("seeds"),
@@ -208,7 +202,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, settings: Alignment = Ali
                 for one in found.as_py():
                     item = words_of(one["item"].encode())
                     score, first, end = best_alignment(item, words, one["starts"], settings)
-                    if score >= (1 if len(item) < settings.short else settings.score):
+                    if score >= least_score(item, settings):
                         out.append((doc, one["item_id"], score, first, end))
             columns = list(zip(*out, strict=True)) or [()] * 5
             types = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())

@@ -65,6 +65,20 @@ def test_an_item_that_leaked_everywhere(spark):
     assert sorted((r.doc_id, r.score) for r in got.collect()) == [(i, 1.0) for i in range(300)]
 
 
+@pytest.mark.parametrize("settings", [Alignment(), Alignment(sent=0)])
+def test_cut_copies_that_outnumber_whole_ones(spark, settings):
+    item = [f"q{i}" for i in range(50)]
+    parts = [item[:26], item[24:], item[12:38]]
+    docs = [(i, " ".join([f"start{i}", *parts[i % 3], f"end{i}"])) for i in range(600)]
+    docs += [(600, " ".join(item)), (601, " ".join(item[:20]) + " other words")]
+    documents = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for most in (0, 1):  # one kind of part alone, then all three
+        some = documents if most else documents.where("doc_id >= 600 or doc_id % 3 = 0")
+        got = {r.doc_id: r.score for r in find_leaks(some, items, settings).collect()}
+        assert got == {r.doc_id: 1.0 if r.doc_id == 600 else 0.52 for r in some.where("doc_id != 601").collect()}
+
+
 def test_nulls_short_items_and_empty_tables(spark):
     docs = [(1, "the two words here"), (2, None), (3, ""), (None, "two words"), (1, "the two words here"), (4, "two other words"), (5, "word " * 5000)]
     documents = spark.createDataFrame(docs, "doc_id long, text string")
