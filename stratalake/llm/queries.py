@@ -14,7 +14,7 @@ from stratalake.llm.near_dedup import similar_documents
 from stratalake.llm.quality_rules import judge_quality
 from stratalake.llm.substring_dedup import remove_repeats
 from stratalake.llm.toxicity import score_toxicity, train_toxicity
-from stratalake.llm.url_filter import UrlRule, filter_urls
+from stratalake.llm.url_filter import UrlRule, filter_urls, split_url
 from stratalake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,13 +54,19 @@ URL_RULES = (
 )
 
 
+def page_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """(page_id, bad): a page is bad if its document, whose number ends the path of the url, is
+    labelled as of low quality."""
+    _, path = split_url(F.col("url"))
+    number = F.regexp_extract(path, r"/([0-9]+)(\.[A-Za-z0-9]+)?/*$", 1)
+    numbered = pages.select("page_id", number.try_cast("long").alias("doc_id"))
+    return numbered.join(labels.select("doc_id", (F.col("quality") == 0).alias("bad")), "doc_id").select("page_id", "bad")
+
+
 @query()
 def op2_url_filter(spark, sf_dir):
-    # A page is bad if the document of the same number is labelled as of low quality.
-    labels = source(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad")
-    )
-    return filter_urls(source(spark, sf_dir, "pages"), labels, URL_RULES)
+    pages = source(spark, sf_dir, "pages")
+    return filter_urls(pages, page_labels(pages, source(spark, sf_dir, "labels")), URL_RULES)
 
 
 @query()

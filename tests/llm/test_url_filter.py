@@ -1,6 +1,6 @@
 import re
 
-from stratalake.llm.queries import URL_RULES
+from stratalake.llm.queries import QUERIES, URL_RULES
 from stratalake.llm.url_filter import TemplateTree, UrlRule, filter_urls
 
 
@@ -63,3 +63,19 @@ def test_empty_table_and_no_rules(spark):
     assert filter_urls(spark.createDataFrame([], "page_id long, url string"), labels, URL_RULES).collect() == []
     one = filter_urls(spark.createDataFrame([(1, "http://a.b/c")], "page_id long, url string"), labels, ()).first()
     assert (one.rule, one.verdict, one.template) == (None, "allow", "/c")
+
+
+def test_labels_are_those_of_the_document_in_the_url(spark, tmp_path):
+    forms = ["{}", "{}.html", "{}/", "{}?page=2&ref=x", "{}#top", "{}?utm_source=feed"]
+    urls = []
+    for i in range(300):
+        section = "spam" if i % 3 == 0 else "news"
+        urls.append((299 - i, f"http://v2.example.com/{section}/" + forms[i % 6].format(i)))
+    urls += [(300, "http://v2.example.com/7"), (301, "http://v2.example.com/spam/x9"), (302, "http://v2.example.com/spam/" + "9" * 30), (303, None)]
+    spark.createDataFrame(urls, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    labels = [(i, int(i % 3 > 0)) for i in range(0, 300, 2)]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = QUERIES["op2_url_filter"](spark, str(tmp_path)).collect()
+    assert len(got) == len(urls)
+    verdicts = {(r.path.split("/")[1], r.verdict) for r in got if r.page_id < 300}
+    assert verdicts == {("spam", "block"), ("news", "allow")}
