@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stratalake.llm.common import staged
 
@@ -37,7 +39,8 @@ class TemplateTree:
     ``widest`` whatever the number of pages. Branches are
     alike if their labelled shares differ by less than ``deviations`` standard errors. A template is
     rejected if its share of bad labels, with ``weight`` pages of the overall share added, is at
-    least ``purity``."""
+    least ``purity``. ``listed``: segments up to which the name of a merged branch lists them all;
+    that of a wider one has the first of them and how many more there are."""
 
     depth: int = 6
     fan_out: int = 16
@@ -46,6 +49,7 @@ class TemplateTree:
     deviations: float = 1.96
     weight: float = 10.0
     purity: float = 0.5
+    listed: int = 1000
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -55,14 +59,49 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(url, pattern, 2), F.lit(""))
 
 
+def alike(share: np.ndarray, size: np.ndarray, deviations: float) -> np.ndarray:
+    """Numbers of groups of branches, given in order of their shares; ``size``: pages behind each.
+
+    A group is as long as none of its branches differs significantly from another. A branch is
+    compared with those before it in its group, save those that an earlier one of no larger error
+    stands for: whatever differs from them differs from that one too.
+    """
+    groups, group, firsts = np.zeros(len(share), np.int32), 0, []
+    for i, (own, error) in enumerate(zip(share, share * (1 - share) / size, strict=True)):
+        if any(own - other > deviations * np.sqrt(error + error_of) for other, error_of in firsts):
+            group, firsts = group + 1, []
+        if not firsts or error < firsts[-1][1]:
+            firsts.append((own, error))
+        groups[i] = group
+    return groups
+
+
+def _groups(bins: DataFrame, rate: float, tree: TemplateTree) -> DataFrame:
+    """(host, __at, labelled, n_bad, branch) of the distinct counts of labels at each node."""
+
+    def group(table: pa.Table) -> pa.Table:
+        labelled, n_bad = (table.column(c).to_numpy() for c in ("labelled", "n_bad"))
+        size = labelled + tree.weight
+        share = (n_bad + rate * tree.weight) / size
+        order = np.lexsort((labelled, share))
+        branch = np.empty(len(order), np.int32)
+        branch[order] = alike(share[order], size[order], tree.deviations)
+        return table.append_column("branch", pa.array(branch))
+
+    return bins.groupBy("host", "__at").applyInArrow(
+        group, "host string, __at string, labelled long, n_bad long, branch int"
+    )
+
+
 def path_templates(pages: DataFrame, tree: TemplateTree) -> DataFrame:
     """``pages`` (host, path, bad) with ``template``; ``bad`` is true, false, or null if unlabelled.
 
     Level by level, all hosts at once: numbers in a segment become ``#``; the segments below a node
     become ``*`` if the node's are variable; the others are ordered by their smoothed share of bad
-    labels, and neighbours that do not differ significantly become one branch, ``{de|en}``.
-    A node that is not variable has at most ``tree.widest`` branches, so that the window that merges
-    them, which goes over branches and not pages, has a bound.
+    labels and put together, ``{de|en}``, as far as no two of them differ significantly (``alike``).
+    Branches with the same counts of labels and bad labels always go together, so a task merges the
+    distinct counts of a node: of n labelled pages there are at most about n ** (2 / 3), however
+    many branches there are.
     """
     shape = F.regexp_replace(F.col("path"), "[0-9]+", "#")
     segments = F.filter(F.split(shape, "/"), lambda x: x != "")
@@ -77,45 +116,36 @@ def path_templates(pages: DataFrame, tree: TemplateTree) -> DataFrame:
     for level in range(1, deepest + 1):
         segment = F.element_at("__rest", level)
         here = F.size("__rest") >= level
-        branches = (
+        branches = staged(
             rows.where(here)
             .groupBy("host", "__at", segment.alias("__segment"))
             .agg(
                 F.count("*").alias("pages"),
                 F.count("bad").alias("labelled"),
                 F.sum(F.coalesce(F.col("bad").cast("int"), F.lit(0))).alias("n_bad"),
-            )
+            ),
+            "url-branches",
         )
         nodes = branches.groupBy("host", "__at").agg(F.count("*").alias("fan"), F.sum("pages").alias("all"))
         variable = (F.col("fan") > tree.widest) | (
             (F.col("fan") >= tree.fan_out) & (F.col("fan") >= F.col("all") * tree.variable)
         )
-        share = (F.col("n_bad") + rate * tree.weight) / (F.col("labelled") + tree.weight)
-        order = Window.partitionBy("host", "__at").orderBy("share", "__segment")
-        error = F.sqrt(
-            F.col("share") * (1 - F.col("share")) / (F.col("labelled") + tree.weight)
-            + F.col("before") * (1 - F.col("before")) / (F.col("labelled_before") + tree.weight)
-        )
-        merged = (
-            branches.join(nodes.where(~variable), ["host", "__at"])
-            .withColumn("share", share)
-            .withColumn("before", F.lag("share").over(order))
-            .withColumn("labelled_before", F.lag("labelled").over(order))
-            .withColumn("new", F.coalesce((F.col("share") - F.col("before") > tree.deviations * error).cast("int"), F.lit(0)))
-            .withColumn("branch", F.sum("new").over(order))
-        )
-        names = (
-            merged.groupBy("host", "__at", "branch")
+        merging = branches.join(nodes.where(~variable).select("host", "__at"), ["host", "__at"])
+        counts = ["host", "__at", "labelled", "n_bad"]
+        groups = _groups(merging.select(counts).distinct(), rate, tree)
+        merged = staged(merging.join(groups, counts).select("host", "__at", "branch", "__segment"), "url-merged")
+        node = ["host", "__at", "branch"]
+        sizes = merged.groupBy(node).agg(F.count("*").alias("size"), F.min("__segment").alias("first"))
+        lists = (
+            merged.join(sizes.where(F.col("size").between(2, tree.listed)).select(node), node)
+            .groupBy(node)
             .agg(F.sort_array(F.collect_list("__segment")).alias("all"))
-            .select(
-                "host",
-                "__at",
-                F.when(F.size("all") == 1, F.element_at("all", 1))
-                .otherwise(F.concat(F.lit("{"), F.array_join("all", "|"), F.lit("}")))
-                .alias("__name"),
-                F.explode("all").alias("__segment"),
-            )
         )
+        listed = F.coalesce(F.array_join("all", "|"), F.concat_ws("|+", "first", F.col("size") - 1))
+        named = sizes.join(lists, node, "left").withColumn(
+            "__name", F.when(F.col("size") == 1, F.col("first")).otherwise(F.concat(F.lit("{"), listed, F.lit("}")))
+        )
+        names = merged.join(named.select(*node, "__name"), node).drop("branch")
         rows = (
             rows.withColumn("__segment", F.when(here, segment))
             .join(names, ["host", "__at", "__segment"], "left")

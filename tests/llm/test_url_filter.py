@@ -1,7 +1,9 @@
 import re
 
+import numpy as np
+
 from stratalake.llm.queries import QUERIES, URL_RULES
-from stratalake.llm.url_filter import TemplateTree, UrlRule, filter_urls
+from stratalake.llm.url_filter import TemplateTree, UrlRule, alike, filter_urls
 
 
 def base(url):
@@ -79,3 +81,44 @@ def test_labels_are_those_of_the_document_in_the_url(spark, tmp_path):
     assert len(got) == len(urls)
     verdicts = {(r.path.split("/")[1], r.verdict) for r in got if r.page_id < 300}
     assert verdicts == {("spam", "block"), ("news", "allow")}
+
+
+def sections(counts, host="http://wide.a"):
+    """Pages and labels of sections with (name, pages, labelled, bad)."""
+    pages, labels = [], []
+    for name, n, labelled, bad in counts:
+        for i in range(n):
+            if i < labelled:
+                labels.append((len(pages), i < bad))
+            pages.append((len(pages), f"{host}/{name}/{i}"))
+    return pages, labels
+
+
+def test_sparse_branches_do_not_chain_different_ones(spark):
+    counts = [(1000, 0), (0, 0), (4, 3), (8, 7), (16, 16), (30, 30), (60, 60)]
+    pages, labels = sections([(f"s{n}-{'abcdefg'[i]}", max(n, 5), n, bad) for i, (n, bad) in enumerate(counts)])
+    some = [(f"http://other.a/x{'abcdefghij'[i % 10]}/{i}", i < 30) for i in range(300)]  # an overall share near 0.15
+    labels += [(len(pages) + i, bad) for i, (_, bad) in enumerate(some)]
+    pages += [(len(pages) + i, url) for i, (url, _) in enumerate(some)]
+    pages, labels = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad boolean")
+    got = [r for r in filter_urls(pages, labels, ()).collect() if r.host == "wide.a"]
+    verdicts = {r.path.split("/")[1]: r.verdict for r in got}
+    assert verdicts["s1000-a"] == "allow" and verdicts["s30-f"] == verdicts["s60-g"] == "block"
+    template = {r.path.split("/")[1]: r.template for r in got}
+    assert template["s1000-a"] != template["s16-e"] and template["s8-d"] != template["s60-g"]
+
+
+def test_no_group_holds_branches_that_differ():
+    r = np.random.default_rng(5)
+    for _ in range(300):
+        labelled = r.choice([0, 1, 3, 10, 40, 200, 3000], r.integers(1, 40))
+        size = labelled + 10.0
+        share = (r.binomial(labelled, r.random(len(labelled))) + 1.5) / size
+        order = np.lexsort((labelled, share))
+        share, size = share[order], size[order]
+        groups = alike(share, size, 1.96)
+        error = share * (1 - share) / size
+        differ = np.abs(share[:, None] - share) > 1.96 * np.sqrt(error[:, None] + error)
+        assert not (differ & (groups[:, None] == groups)).any()
+        for first in np.flatnonzero(np.diff(groups)) + 1:  # no group ends early
+            assert differ[first, groups == groups[first] - 1].any()
