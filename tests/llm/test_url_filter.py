@@ -122,3 +122,11 @@ def test_no_group_holds_branches_that_differ():
         assert not (differ & (groups[:, None] == groups)).any()
         for first in np.flatnonzero(np.diff(groups)) + 1:  # no group ends early
             assert differ[first, groups == groups[first] - 1].any()
+
+
+def test_a_wide_node_keeps_its_branches(spark):
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3))
+    pages, labels = sections([("spam", 300, 300, 300)] + [(word(i), 25, 1, 0) for i in range(1200)])
+    pages, labels = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad boolean")
+    verdicts = {(r.path.split("/")[1] == "spam", r.template, r.verdict) for r in filter_urls(pages, labels, ()).collect()}
+    assert verdicts == {(True, "/spam/#", "block"), (False, "/{aaa|+1199}/#", "allow")}
