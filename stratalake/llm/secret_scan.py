@@ -57,8 +57,19 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", least=20),
     Rule("hex", r"(?<![0-9a-f])[0-9a-f]{24,}"),  # whole runs, so the same as filtering them
 )
+# A key goes to its END line; without one, to the end of its headers and base64: pieces of 16
+# characters or more however they are separated, or padded, and whole lines of any length.
+_LINE = r"[ \t]*(?:\r?\n|\r|\\r\\n|\\n)[ \t>]*"
+_BETWEEN = r"""(?:[\s>|"',]|\\[nrt])*+"""
+_PRIVATE_KEY = (
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+    r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z ]{0,40}PRIVATE KEY-----|"
+    rf"(?:(?:{_LINE}[A-Z][A-Za-z]*-[A-Z][A-Za-z-]*:[^\r\n\\]*)+(?:{_LINE}(?={_LINE}))?)?"
+    rf"(?:{_BETWEEN}(?:[A-Za-z0-9+/]{{16,}}+={{0,2}}|[A-Za-z0-9+/]+={{1,2}})|"
+    rf"""{_LINE}[A-Za-z0-9+/]++={{0,2}}(?=[ \t]*(?:[\r\n"']|\\[rn]|\Z)))*)"""
+)
 MORE = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", needs="-"),
+    Rule("private_key", _PRIVATE_KEY, version=2, needs="-"),
     Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("url_login", r"(?<![A-Za-z0-9+.-])[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@", needs="@"),
 )
