@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from stratalake.files import exists
 from stratalake.llm.common import values
 
-LEDGER = "blob string, rules array<string>, findings array<struct<kind:string,start:long,end:long>>"
+LEDGER = "blob string, rules array<string>, findings array<struct<kind:string,start:long,end:long,rule:string>>"
 
 
 @dataclass(frozen=True)
@@ -94,14 +94,14 @@ def _scan(todo: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
                 text = text.decode()
                 findings.append(
                     [
-                        {"kind": ready[key][0].kind, "start": start, "end": end}
+                        {"kind": ready[key][0].kind, "start": start, "end": end, "rule": key}
                         for key in keys
                         for start, end in ready[key][0].spans(text, ready[key][1])
                     ]
                 )
-            kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+            finding = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("rule", pa.string())])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("blob"), batch.column("rules"), pa.array(findings, kind)],
+                [batch.column("blob"), batch.column("rules"), pa.array(findings, pa.list_(finding))],
                 names=["blob", "rules", "findings"],
             )
 
@@ -119,7 +119,8 @@ def scan_history(
     lack. A run appends to the ledger in one step, so one that dies is simply repeated.
 
     ``findings`` are (kind, start, end) by start and then the order of ``rules``, code points, end
-    exclusive. Only findings of the present rules' kinds are returned, and each once.
+    exclusive. Only findings of the present rules in their present versions are returned, and each
+    once. Findings of ledgers that do not name the rule are of the one that their row has for their kind.
     Null texts count as empty. Repeated rows come out repeated; null paths and versions are kept.
     Other columns are ignored.
     """
@@ -148,18 +149,19 @@ def scan_history(
     _scan(todo, rules).write.mode("append").parquet(ledger)
 
     order = F.array(*(F.lit(rule.kind) for rule in rules))
+    of_row = lambda kind: F.get(F.filter("rules", lambda key: F.regexp_replace(key, "@[0-9]+$", "") == kind), 0)
+    is_present = lambda x: F.array_contains(present, F.coalesce(x["rule"], of_row(x["kind"])))
     findings = (
         _read_ledger(spark, ledger)
         .where(F.size("findings") > 0)
+        .select("blob", F.transform(F.filter("findings", is_present), lambda x: x.dropFields("rule")).alias("findings"))
+        .where(F.size("findings") > 0)
         .groupBy("blob")
         .agg(F.array_distinct(F.flatten(F.collect_list("findings"))).alias("all"))
         .select(
             "blob",
             F.sort_array(
-                F.transform(
-                    F.filter("all", lambda x: F.array_contains(order, x["kind"])),
-                    lambda x: F.struct(x["start"], F.array_position(order, x["kind"]), x["end"], x["kind"]),
-                )
+                F.transform("all", lambda x: F.struct(x["start"], F.array_position(order, x["kind"]), x["end"], x["kind"]))
             ).alias("sorted"),
         )
         .select(

@@ -64,6 +64,29 @@ def test_only_unseen_blobs_and_rules_are_scanned(spark):
     assert ["hex@2"] in [list(r.rules) for r in scanned()]
 
 
+def test_findings_of_older_versions_are_not_returned(spark):
+    ledger = scratch_path(spark, "ledger")
+    versions = versions_of(spark, [("a", 1, f"x {'ab' * 13} y {'cd' * 20} password=hunter2hunter2")])
+    spans = lambda rules: [tuple(f) for f in scan_history(versions, ledger, rules=rules).first().findings]
+    word = ("assign", 72, 95)
+    assert spans(RULES) == [("hex", 2, 28), ("hex", 31, 71), word]
+    narrower = tuple(replace(r, version=2, pattern=r"(?<![0-9a-f])[0-9a-f]{32,}") if r.kind == "hex" else r for r in RULES)
+    assert spans(narrower) == [("hex", 31, 71), word]
+    assert spans(RULES) == [("hex", 2, 28), ("hex", 31, 71), word]
+    assert spans(BASE[:1]) == [word]
+
+
+def test_a_ledger_that_does_not_name_the_rule_of_a_finding(spark):
+    ledger, text = scratch_path(spark, "ledger"), f"x {'ab' * 13} password=hunter2hunter2"
+    blob = hashlib.sha256(text.encode()).hexdigest()
+    old = [(blob, [f"{r.kind}@1" for r in RULES], [("hex", 2, 28), ("assign", 29, 52), ("private_key", 0, 1)])]
+    spark.createDataFrame(
+        old, "blob string, rules array<string>, findings array<struct<kind:string,start:long,end:long>>"
+    ).write.parquet(ledger)
+    got = scan_history(versions_of(spark, [("a", 1, text)]), ledger).first().findings
+    assert [tuple(f) for f in got] == [("hex", 2, 28), ("assign", 29, 52)]
+
+
 def test_redaction(spark):
     rows = [(1, "key password=deadbeefdeadbeefdeadbeef00 end", "de", 10), (2, "clean", "en", 5), (3, None, None, None), (2, "clean", "en", 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, findings string, n_chars long")
