@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratalake.llm.common import hash_sample, staged, values, window_hashes, word_hashes
+from stratalake.llm.common import mixed, staged, values, window_hashes, word_hashes
 
 SEPARATORS = " \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
@@ -92,6 +92,14 @@ class IsolationForest:
 
     @classmethod
     def fit(cls, rows: np.ndarray, *, trees: int = 200, rows_a_tree: int = 64, seed: int = 7) -> IsolationForest:
+        random = np.random.default_rng(seed)
+        size = min(rows_a_tree, len(rows))
+        samples = [rows[random.choice(len(rows), size, replace=False)] if size else rows for _ in range(trees)]
+        return cls.grown(samples, rows_a_tree=rows_a_tree, seed=seed)
+
+    @classmethod
+    def grown(cls, samples: list[np.ndarray], *, rows_a_tree: int, seed: int = 7) -> IsolationForest:
+        """A tree on each of ``samples``, of at most ``rows_a_tree`` rows."""
         random = np.random.default_rng(seed)
         nodes: list[list[float]] = []
         most = int(np.ceil(np.log2(max(rows_a_tree, 2))))
@@ -109,11 +117,8 @@ class IsolationForest:
                 nodes[at] = [feature, split, a, b, 0]
             return at
 
-        roots = []
-        for _ in range(trees):
-            size = min(rows_a_tree, len(rows))
-            roots.append(grow(rows[random.choice(len(rows), size, replace=False)] if size else rows, 0))
-        return cls(roots, np.array(nodes), max(_path_left(min(rows_a_tree, len(rows))), 1e-9))
+        roots = [grow(sample, 0) for sample in samples]
+        return cls(roots, np.array(nodes), max(_path_left(max(map(len, samples), default=0)), 1e-9))
 
     def score(self, rows: np.ndarray) -> np.ndarray:
         """0 to 1; rows that few splits set apart are near 1."""
@@ -131,11 +136,49 @@ class IsolationForest:
         return 2.0 ** (-total / len(self.roots) / self.usual)
 
 
-def anomaly_scores(statistics: DataFrame, *, sample_rows: int = 8192) -> DataFrame:
-    """``statistics`` with ``anomaly``. The trees grow on ``sample_rows`` rows at most, those with
-    the smallest hash; every row is scored."""
-    chosen = hash_sample(statistics, ["doc_id", *COUNTS], sample_rows).select(*COUNTS)
-    forest = IsolationForest.fit(features(np.array(chosen.collect(), float).reshape(-1, len(COUNTS))))
+def tree_samples(statistics: DataFrame, trees: int, rows_a_tree: int) -> list[np.ndarray]:
+    """For each tree ``rows_a_tree`` rows of COUNTS drawn from all rows, those with the smallest hash
+    of row and tree: the same ones however the rows are spread. One pass draws for all trees; rows
+    far from being drawn are left out there, so what tasks hand on does not grow with the corpus."""
+    count = statistics.count()
+    upto = np.uint64(min(2**64 - 1, 2**64 * 3 * rows_a_tree // max(count, 1)))
+    salts = mixed(np.arange(1, trees + 1, dtype=np.uint64))
+
+    def draw(batches):
+        for batch in batches:
+            own = batch.column("own").to_numpy().view(np.uint64)
+            tree, at, found = [], [], []
+            for k, salt in enumerate(salts):
+                hashes = mixed(own ^ salt)
+                near = np.flatnonzero(hashes <= upto)
+                near = near[np.argsort(hashes[near], kind="stable")[:rows_a_tree]]
+                tree.append(np.full(len(near), k, np.int32))
+                at.append(near)
+                found.append(hashes[near].view(np.int64))
+            index = pa.array(np.concatenate(at))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(tree)), pa.array(np.concatenate(found)), *(batch.column(c).take(index) for c in COUNTS)],
+                names=["tree", "hash", *COUNTS],
+            )
+
+    columns = ", ".join(f"{c} long" for c in COUNTS)
+    drawn = (
+        statistics.select(F.xxhash64("doc_id", *COUNTS).alias("own"), *COUNTS)
+        .mapInArrow(draw, f"tree int, hash long, {columns}")
+        .toArrow()
+    )
+    tree, hashes = drawn.column("tree").to_numpy(), drawn.column("hash").to_numpy().view(np.uint64)
+    counts = np.column_stack([drawn.column(c).to_numpy() for c in COUNTS])
+    order = np.lexsort((*counts.T, hashes, tree))
+    ends = np.searchsorted(tree[order], np.arange(trees + 1))
+    return [counts[order[a : min(b, a + rows_a_tree)]] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def anomaly_scores(statistics: DataFrame, *, trees: int = 200, rows_a_tree: int = 64) -> DataFrame:
+    """``statistics`` with ``anomaly``. Each tree grows on rows of its own from all rows; every row
+    is scored."""
+    samples = tree_samples(statistics, trees, rows_a_tree)
+    forest = IsolationForest.grown([features(sample) for sample in samples], rows_a_tree=rows_a_tree)
 
     def score(batches):
         for batch in batches:

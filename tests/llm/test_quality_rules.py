@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 
-from stratalake.llm.quality_rules import COUNTS, IsolationForest, count_rules, features, judge_quality
+from stratalake.llm.quality_rules import COUNTS, IsolationForest, count_rules, features, judge_quality, tree_samples
 
 
 def plain_counts(text):
@@ -31,6 +31,18 @@ def test_isolation_forest_finds_what_lies_apart():
     assert len(set(IsolationForest.fit(same).score(same))) == 1
 
 
+def test_each_tree_draws_from_all_rows(spark):
+    statistics = spark.range(20000).selectExpr("id as doc_id", *(f"id as {c}" for c in COUNTS))
+    samples = tree_samples(statistics, 200, 64)
+    assert all(len(set(sample[:, 0])) == len(sample) == 64 for sample in samples)
+    assert len({n for sample in samples for n in sample[:, 0]}) > 8192
+    again = tree_samples(statistics.repartition(9), 200, 64)
+    assert all((a == b).all() for a, b in zip(samples, again, strict=True))
+    same = statistics.where("doc_id < 1").crossJoin(spark.range(5000)).select("doc_id", *COUNTS)
+    assert {len(sample) for sample in tree_samples(same, 5, 64)} <= {0, 64}
+    assert {len(sample) for sample in tree_samples(statistics.where("doc_id < 40"), 5, 64)} == {40}
+
+
 def documents(spark):
     r = random.Random(4)
     rows, labels = [], []
