@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from xxhash import xxh3_64_intdigest
 
 from stratalake.session import scratch_path
@@ -47,6 +47,12 @@ def values(batch, name: str):
         yield value.as_py() or b""
 
 
+def finite_vector(vector: Column) -> Column:
+    """Whether a vector is there and all its entries are numbers."""
+    whole = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
+    return F.coalesce(whole, F.lit(False))
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
 

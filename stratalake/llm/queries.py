@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratalake.llm import byte_bpe, chat_format, secret_scan, token_counts
 from stratalake.llm.common import source
 from stratalake.llm.decontaminate import find_leaks
+from stratalake.llm.hard_negatives import hard_negatives
 from stratalake.llm.near_dedup import similar_documents
 from stratalake.llm.quality_rules import judge_quality
+from stratalake.llm.simhash import linked_documents
 from stratalake.llm.substring_dedup import remove_repeats
 from stratalake.llm.toxicity import score_toxicity, train_toxicity
 from stratalake.llm.url_filter import UrlRule, filter_urls, split_url
+from stratalake.llm.whitening import whiten
 from stratalake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,3 +183,39 @@ def op10_byte_bpe(spark, sf_dir):
         byte_bpe.digest_of_ids(F.col("ids")).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op11_whitening(spark, sf_dir):
+    return whiten(source(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op12_simhash(spark, sf_dir):
+    return linked_documents(source(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+    WITH given AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+               CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+        FROM given a JOIN given b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (
+        SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+    SELECT p.anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+           other_id AS negative_id, positive_score, score AS negative_score
+    FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+     AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    QUALIFY rank <= 3"""
+)
+def op13_hard_negatives(spark, sf_dir):
+    return hard_negatives(source(spark, sf_dir, "embeddings"))

@@ -9,8 +9,10 @@ import pytest
 from test_near_dedup import brute_force as components
 from test_quality_rules import plain_counts
 from test_secret_scan import base_spans
+from test_simhash import components as close_prints, plain_fingerprint
 from test_substring_dedup import brute_force as windows
 from test_url_filter import base as url_base
+from test_whitening import compare as compare_whitened
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
@@ -29,7 +31,7 @@ def documents(spark):
 
 
 def test_registered():
-    assert {re.match(r"op\d+", name).group() for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {re.match(r"op\d+", name).group() for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert QUERIES.keys() | {"pipeline"} <= queries().keys() and ORACLES.keys() <= oracle_sql().keys()
 
 
@@ -91,6 +93,17 @@ def test_quality_rules(spark, documents):
         assert r.base_failed == failed and not (failed and r.kept)
 
 
+def test_whitening(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()
+    compare_whitened(QUERIES["op11_whitening"](spark, SF_DIR), [r.vec_id for r in rows], [r.embedding for r in rows])
+
+
+def test_simhash(spark, documents):
+    prints = [(doc, plain_fingerprint(text)) for doc, text in documents]
+    want = [(doc, f"{print_:016x}", name) for (doc, print_), name in zip(prints, close_prints(prints))]
+    assert sorted(map(tuple, QUERIES["op12_simhash"](spark, SF_DIR).collect())) == want
+
+
 def test_pipeline(spark, documents):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     kept = {}
