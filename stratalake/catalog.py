@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +21,8 @@ class Column(NamedTuple):
 LAKE_PROPERTIES = {"classification": "iceberg"}
 RESERVED_PROPERTIES = ("table_type", "metadata_location")
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # what a folder is called for a null
+
 
 def quoted(name: str) -> str:
     """Multi-part identifier with every part in backticks."""
@@ -37,6 +40,12 @@ def path_value(value: str) -> str:
     )
 
 
+def values_of(folder: str) -> dict[str, str | None]:
+    """Partition columns and their values, as text, from ``key=value`` folder names."""
+    parts = [part.split("=", 1) for part in folder.split("/") if part]
+    return {key: None if value == NULL_PARTITION else unquote(value) for key, value in parts}
+
+
 def _pairs(values: Mapping[str, str]) -> str:
     return ", ".join(f"{literal(k)} = {literal(str(v))}" for k, v in values.items())
 
@@ -170,6 +179,14 @@ def drop_partitions(
         spark.sql(f"ALTER TABLE {quoted(name)} DROP IF EXISTS " + ", ".join(clauses))
 
 
+def partitions(
+    spark: SparkSession, name: str, given: Mapping[str, str | None] | None = None
+) -> list[dict[str, str | None]]:
+    """Values of the registered partitions, all or those with the ``given`` values."""
+    which = f" {_partition(given)}" if given else ""
+    return [values_of(row[0]) for row in spark.sql(f"SHOW PARTITIONS {quoted(name)}{which}").collect()]
+
+
 def move_partition(
     spark: SparkSession, name: str, values: Mapping[str, str], location: str
 ) -> None:

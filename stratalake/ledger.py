@@ -14,15 +14,14 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from stratalake import files
+from stratalake.catalog import NULL_PARTITION, values_of
 
 COMMIT = "_commit"
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 LEDGER_SCHEMA = (
     "snapshot_id bigint, committed_at timestamp_ntz, operation string, "
     "dirs array<string>, partition_by array<string>"
@@ -185,5 +184,4 @@ def partition_of(directory: str) -> str:
 
 def partition_values(directory: str) -> dict[str, str | None]:
     """Partition columns and their values, as text, of a folder."""
-    parts = [part.split("=", 1) for part in partition_of(directory).split("/") if part]
-    return {key: None if value == NULL_PARTITION else unquote(value) for key, value in parts}
+    return values_of(partition_of(directory))

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from stratalake import catalog, files, ledger
+from stratalake import ledger
 from stratalake.catalog import Column
 from stratalake.functions import MONEY, clean_text, day_string
 from stratalake.layers import Lake
@@ -21,14 +21,13 @@ from stratalake.operators import (
     with_failures,
 )
 from stratalake.operators.typed import FAILED
-from stratalake.sinks import merge_lake, write_lake, write_raw
+from stratalake.sinks import land_delivery, merge_lake, write_lake
 from stratalake.sources import (
     bookmark_of,
     lake_exists,
     read_changed,
     read_lake,
     read_new,
-    register_raw,
 )
 
 # Columns of the raw event table and of the curated summary.
@@ -78,20 +77,19 @@ def as_raw(events: DataFrame) -> DataFrame:
 def land(spark: SparkSession, rows: DataFrame, lake: Lake, delivery: str = "all") -> DataFrame:
     """Raw layer: rows as they are, by day and delivery, registered under their declared schema.
 
-    A delivery that is landed again takes the place of its rows, and leaves those of others alone.
+    A delivery that is landed again takes the place of its rows once all the new ones stand, and
+    leaves those of others alone.
     """
-    table, location = tables_of(lake).raw, lake.location("raw", "raw_events")
-    keys = [*RAW_PARTITIONS, DELIVERY]
-    landed = rows.withColumn(DELIVERY.name, F.lit(delivery))
-    if files.exists(spark, location):  # days that the delivery no longer has
-        for day in files.partition_dirs(spark, location, 1):
-            files.delete(spark, f"{location}/{day}/{DELIVERY.name}={catalog.path_value(delivery)}")
-    write_raw(landed, location, partition_by=[key.name for key in keys])
-    raw = register_raw(
-        spark, table, RAW_EVENTS, location=location, partition_by=keys, comment="Raw events, as delivered"
+    return land_delivery(
+        rows,
+        tables_of(lake).raw,
+        RAW_EVENTS,
+        location=lake.location("raw", "raw_events"),
+        partition_by=RAW_PARTITIONS,
+        delivery=DELIVERY,
+        value=delivery,
+        comment="Raw events, as delivered",
     )
-    spark.catalog.refreshTable(table)
-    return raw
 
 
 def refined_checks(df: DataFrame) -> QualityChecker:

@@ -144,6 +144,49 @@ def raw_to_curated_by_delivery(spark, sf_dir):
     return load_delivery(spark, outdated_versions(raw), lake, "late")
 
 
+RAW_EVENTS_SQL = """SELECT CAST(event_id AS VARCHAR) AS event_id, props AS payload,
+                           ts AS created_at, strftime(ts, '%Y-%m-%d') AS dt
+                    FROM events"""
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.col("props").alias("payload"),
+        F.col("ts").alias("created_at"),
+        day_string("ts").alias("dt"),
+    )
+
+
+@query(f"SELECT *, 'monday' AS delivery FROM ({RAW_EVENTS_SQL})")
+def landing_that_died(spark, sf_dir):
+    """A delivery is landed; landing other rows in its place dies while they are written."""
+    lake, rows = new_lake(spark), raw_events(spark, sf_dir)
+    lake.create_databases(spark)
+    land(spark, rows, lake, "monday")
+    last = rows.agg(F.max("created_at")).first()[0]
+    died = F.when(F.col("created_at") == F.lit(last), F.raise_error(F.lit("died"))).otherwise(F.lit(""))
+    try:
+        land(spark, rows.withColumn("payload", died.cast("string")), lake, "monday")
+    except Exception as error:  # which class it is depends on where the task died
+        if "died" not in str(error):
+            raise
+    return spark.table(tables_of(lake).raw)
+
+
+@query(
+    f"""SELECT *, 'monday' AS delivery FROM ({RAW_EVENTS_SQL}) WHERE dt >= '2024-01-16'
+        UNION ALL SELECT *, 'tuesday' FROM ({RAW_EVENTS_SQL}) WHERE dt < '2024-01-20'"""
+)
+def landing_again(spark, sf_dir):
+    """A delivery is landed again, with days it did not have, with other rows, and without days it had."""
+    lake, rows = new_lake(spark), raw_events(spark, sf_dir)
+    lake.create_databases(spark)
+    land(spark, rows.where("dt < '2024-01-18'").withColumn("payload", F.lit("old")), lake, "monday")
+    land(spark, rows.where("dt < '2024-01-20'"), lake, "tuesday")
+    return land(spark, rows.where("dt >= '2024-01-16'"), lake, "monday")
+
+
 # Sources
 
 
@@ -167,20 +210,6 @@ def scan_table_sql(spark, sf_dir):
     return spark.sql(f"SELECT {', '.join(rows.columns)} FROM {name}")
 
 
-RAW_EVENTS_SQL = """SELECT CAST(event_id AS VARCHAR) AS event_id, props AS payload,
-                           ts AS created_at, strftime(ts, '%Y-%m-%d') AS dt
-                    FROM events"""
-
-
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source(spark, sf_dir, "events").select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.col("props").alias("payload"),
-        F.col("ts").alias("created_at"),
-        day_string("ts").alias("dt"),
-    )
-
-
 @query(RAW_EVENTS_SQL)
 def scan_raw_typed(spark, sf_dir):
     path = scratch_path(spark, "raw-events")

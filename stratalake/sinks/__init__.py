@@ -5,6 +5,7 @@ from stratalake.sinks.lake import (
     merge_lake,
     write_lake,
 )
+from stratalake.sinks.landing import land_delivery
 from stratalake.sinks.raw import insert_raw, write_raw
 
 __all__ = [
@@ -12,6 +13,7 @@ __all__ = [
     "create_lake_table",
     "evolve_lake",
     "insert_raw",
+    "land_delivery",
     "merge_lake",
     "write_lake",
     "write_raw",

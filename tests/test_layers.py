@@ -2,13 +2,24 @@
 
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
-from stratalake import read_lake
+from stratalake import catalog, files, read_lake, register_raw, write_raw
 from stratalake.operators import DataQualityError
-from stratalake.plans.layers import as_raw, land, load_delivery, raw_to_curated, tables_of
+from stratalake.plans.layers import (
+    DELIVERY,
+    RAW_EVENTS,
+    RAW_PARTITIONS,
+    as_raw,
+    land,
+    load_delivery,
+    raw_to_curated,
+    tables_of,
+)
 from stratalake.plans.maintenance import expire_lake
 from stratalake.sources import lake_exists
 
@@ -148,3 +159,101 @@ def test_deliveries_go_on_after_their_history_expired(spark, lake):
     summary = load_delivery(spark, spark.createDataFrame([event("4", payload(4))], RAW), lake)
     assert rows(summary) == [(date(2024, 1, 1), Decimal("10.00"), 4)]
     assert read_lake(spark, tables.rejects).count() == 2
+
+
+# Landing
+
+
+def landed_folders(lake):
+    root = lake.location("raw", "raw_events").removeprefix("file:")
+    return sorted(p.parent.parent.name for p in Path(root).rglob("*.parquet") if "_temporary" not in str(p))
+
+
+def dying(df):
+    """A write of these rows fails after some have been written."""
+    late = F.when(F.col("event_id") == "2", F.raise_error(F.lit("dies here"))).otherwise(F.col("payload"))
+    return df.withColumn("payload", late.cast("string"))
+
+
+def test_a_landing_that_dies_leaves_the_rows_of_the_one_before(spark, lake):
+    lake.create_databases(spark)
+    raw = spark.createDataFrame([event("1", payload(1)), event("2", payload(2), day=2)], RAW)
+    table = tables_of(lake).raw
+    before = rows(land(spark, raw, lake, "d"))
+    with pytest.raises(Exception, match="dies here"):
+        land(spark, dying(raw), lake, "d")
+    assert rows(spark.table(table)) == before
+    changed = raw.withColumn("payload", F.lit("new"))
+    land(spark, changed, lake, "d")
+    assert {r.payload for r in spark.table(table).collect()} == {"new"}
+    assert len(set(landed_folders(lake))) == 1  # what the dead run left is gone too
+
+
+@pytest.mark.parametrize("step", ["move_partition", "add_partitions", "drop_partitions"])
+def test_a_landing_that_dies_between_writing_and_turning(spark, lake, monkeypatch, step):
+    lake.create_databases(spark)
+    first = spark.createDataFrame([event("1", payload(1)), event("2", payload(2), day=2)], RAW)
+    second = spark.createDataFrame([event("1", payload(8)), event("3", payload(9), day=3)], RAW)
+    table = tables_of(lake).raw
+    land(spark, first, lake, "d")
+    land(spark, first.where("event_id = '1'"), lake, "other")
+
+    def dies(*_):
+        raise RuntimeError("dies here")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(catalog, step, dies)
+        with pytest.raises(RuntimeError, match="dies here"):
+            land(spark, second, lake, "d")
+    # Every day has all rows of the one landing or all of the other.
+    left = {r.event_id: r.payload for r in spark.table(table).where("delivery = 'd'").collect()}
+    assert left["1"] in (payload(1), payload(8)) and left["2"] == payload(2)
+    land(spark, second, lake, "d")
+    got = spark.table(table).select("event_id", "payload", "delivery")
+    assert rows(got) == [("1", payload(1), "other"), ("1", payload(8), "d"), ("3", payload(9), "d")]
+    assert len(landed_folders(lake)) == 3
+
+
+def test_old_folders_go_last_and_together(spark, lake, monkeypatch):
+    lake.create_databases(spark)
+    days = spark.createDataFrame([event(str(n), payload(n), day=n) for n in range(1, 9)], RAW)
+    land(spark, days, lake, "d")
+    calls, delete = [], files.delete
+    monkeypatch.setattr(files, "delete", lambda *a: calls.append(spark.table(tables_of(lake).raw).count()) or delete(*a))
+    land(spark, days.where("event_id < '4'"), lake, "d")
+    assert calls == [3]
+
+
+def test_landing_over_the_standard_layout(spark, lake):
+    """Tables that hold their deliveries in folders of partitions."""
+    lake.create_databases(spark)
+    location, table = lake.location("raw", "raw_events"), tables_of(lake).raw
+    raw = spark.createDataFrame([event("1", payload(1)), event("2", payload(2), day=2)], RAW)
+    for name in ("x", "y"):
+        write_raw(raw.withColumn("delivery", F.lit(name)), location, partition_by=["dt", "delivery"])
+    keys = [*RAW_PARTITIONS, DELIVERY]
+    assert register_raw(spark, table, RAW_EVENTS, location=location, partition_by=keys).count() == 4
+    got = land(spark, raw.where("event_id = '2'"), lake, "x").select("event_id", "delivery")
+    assert rows(got) == [("1", "y"), ("2", "x"), ("2", "y")]
+    assert [f for f in landed_folders(lake) if f.startswith("dt=")] == ["dt=2024-01-01", "dt=2024-01-02"]
+
+
+def test_a_catalog_that_lost_the_table_gets_it_from_the_folders(spark, lake):
+    lake.create_databases(spark)
+    table = tables_of(lake).raw
+    odd = spark.createDataFrame([("1", "p", datetime(2024, 1, 1), None), event("2", payload(2))], RAW)
+    land(spark, odd, lake, "a=b/c d")
+    land(spark, odd, lake, "a=b/c d")
+    with pytest.raises(Exception, match="dies here"):
+        land(spark, dying(odd), lake, "a=b/c d")
+    before = rows(spark.table(table))
+    spark.sql(f"DROP TABLE {table}")
+    got = land(spark, odd.where("event_id = '2'"), lake, "z")
+    assert rows(got.where("delivery <> 'z'")) == before and got.count() == 3
+
+
+def test_an_empty_landing(spark, lake):
+    lake.create_databases(spark)
+    raw = spark.createDataFrame([event("1", payload(1))], RAW)
+    land(spark, raw, lake, "d")
+    assert land(spark, raw.limit(0), lake, "d").count() == 0
