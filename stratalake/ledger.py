@@ -69,6 +69,13 @@ def commit_time(directory: str) -> datetime | None:
     return datetime.fromtimestamp(int(found[1]) / 1000, timezone.utc).replace(tzinfo=None)
 
 
+def commit_time_of(directory: Column) -> Column:
+    """``commit_time`` of a column of folders; null where a folder is not of a commit."""
+    millis = F.nullif(F.regexp_extract(directory, f"^{_COMMIT_DIR.pattern}", 1), F.lit("")).cast("bigint")
+    seconds = (millis / F.lit(1000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def _entry_path(location: str, snapshot_id: int) -> str:
     return f"{location}/ledger/{snapshot_id:012d}.json"
 

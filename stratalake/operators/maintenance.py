@@ -39,8 +39,9 @@ def compaction_plan(
     )
 
 
-def _before(as_of: datetime, days: int) -> Column:
-    return F.lit(as_of - timedelta(days=days)).cast("timestamp_ntz")
+def cut_of(as_of: datetime, days: int) -> Column:
+    # As text, which no time zone changes on its way.
+    return F.lit((as_of - timedelta(days=days)).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def _newest(
@@ -75,7 +76,7 @@ def expired_snapshots(
     Ranking every snapshot would put a whole table into one task. Instead the old snapshots are
     compared with the newest few by (table, snapshot), a key that cannot be hot.
     """
-    old = F.col(committed_at) < _before(as_of, days)
+    old = F.col(committed_at) < cut_of(as_of, days)
     newest = _newest(snapshots, table, snapshot, committed_at, keep).where(old)
     candidates = snapshots.where(old)
     kept = newest.select(table, snapshot)
@@ -95,7 +96,7 @@ def with_expiry(
     """Every snapshot with a flag ``expired``, by the rule of ``expired_snapshots``."""
     newest = _newest(snapshots, table, snapshot, committed_at, keep)
     kept = newest.select(table, snapshot, F.lit(True).alias("_kept"))
-    old = F.col(committed_at) < _before(as_of, days)
+    old = F.col(committed_at) < cut_of(as_of, days)
     return (
         snapshots.join(kept, [table, snapshot], "left")
         .withColumn("expired", old & F.col("_kept").isNull())
@@ -131,5 +132,5 @@ def orphan_files(
     """
     # Each path once before the join: a path may be referred to by very many snapshots.
     known = referenced.select(path).distinct()
-    old = listing.where(F.col(modified) < _before(as_of, days))
+    old = listing.where(F.col(modified) < cut_of(as_of, days))
     return old.join(known, path, "left_anti").select(*listing.columns)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from stratalake import files, iceberg, ledger
+from stratalake import files, iceberg, ledger, task_files
 from stratalake.layers import resolve
 from stratalake.operators import maintenance
 from stratalake.session import scratch_path
@@ -160,11 +161,35 @@ def _references(history: DataFrame) -> DataFrame:
     return history.select("snapshot_id", F.explode("dirs").alias("dir"))
 
 
-def _delete_dirs(spark: SparkSession, location: str, dirs: Sequence[str]) -> None:
-    for name in dirs:
-        if ledger.commit_time(name) is None or ".." in name:
-            raise ValueError(f"not a data folder of the table: {name}")
-    files.delete(spark, *[f"{location}/data/{name}" for name in dirs])
+def _referenced(spark: SparkSession, location: str) -> DataFrame:
+    return _references(ledger.snapshots(spark, location)).select("dir").distinct()
+
+
+def _put_down(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+# Folders to delete stand in a table of their own, ``deletions/<id>``, from before the first thing
+# is lost until the last of them is gone.
+
+
+def _delete_listed(spark: SparkSession, location: str, name: str) -> int:
+    path = f"{location}/deletions/{name}"
+    gone = 0
+    if files.exists(spark, f"{path}/_SUCCESS"):
+        listed = spark.read.schema("dir string").parquet(path)
+        # A run that died before it had forgotten the snapshots has listed folders still in use.
+        free = listed.join(_referenced(spark, location), "dir", "left_anti")
+        gone = task_files.delete_folders(free, f"{location}/data")
+    files.delete(spark, path)
+    return gone
+
+
+def _finish_deletions(spark: SparkSession, location: str) -> None:
+    """Do what a run that died has left to do."""
+    for name in files.children(spark, f"{location}/deletions", directories=True):
+        _delete_listed(spark, location, name)
 
 
 def expire_lake(
@@ -176,19 +201,24 @@ def expire_lake(
     keep: int = maintenance.SNAPSHOTS_TO_RETAIN,
     clean_expired_files: bool = True,
     dry_run: bool = True,
-) -> tuple[list[int], list[str]]:
+) -> tuple[list[int], DataFrame]:
     """Expire old snapshots and delete the folders only they refer to.
 
-    Returns the snapshots and folders concerned; nothing is changed unless ``dry_run=False``.
-    Snapshots are forgotten before their folders go, so a reader never finds one half deleted.
+    Returns the snapshots, and the folders as ``(dir)``; nothing is changed unless
+    ``dry_run=False``. The folders are listed in a table, then the snapshots are forgotten, so that
+    a reader never finds one half deleted, then tasks delete what the table lists. A run that dies
+    in between is finished by the next one, of this or of ``remove_orphans``.
     """
     catalog = iceberg.catalog_of(spark, table)
+    nothing = spark.createDataFrame([], "dir string")
     if catalog:
         if dry_run or not clean_expired_files:
             iceberg.refuse(spark, table, "a dry run, or expiry without deleting files,")
         iceberg.expire(spark, catalog, table, as_of - timedelta(days=days), keep)
-        return [], []
+        return [], nothing
     location, current = _current(spark, table)
+    if not dry_run:
+        _finish_deletions(spark, location)
     history = ledger.snapshots(spark, location).withColumn("table", F.lit(location))
     expired = maintenance.expired_snapshots(
         history,
@@ -202,33 +232,60 @@ def expire_lake(
     gone = sorted(row["snapshot_id"] for row in expired.select("snapshot_id").collect())
     gone = [i for i in gone if i != current.snapshot_id]
     if not gone:
-        return [], []
-    unreachable = maintenance.unreachable_files(
-        _references(history), file=["dir"], expired=F.col("snapshot_id").isin(gone)
-    )
-    dirs = sorted(row["dir"] for row in unreachable.collect()) if clean_expired_files else []
+        return [], nothing
+    dirs = nothing
+    if clean_expired_files:
+        unreachable = maintenance.unreachable_files(
+            _references(history), file=["dir"], expired=F.col("snapshot_id").isin(gone)
+        )
+        dirs = _put_down(unreachable, scratch_path(spark, "unreachable"))
     if not dry_run:
+        name = uuid.uuid4().hex
+        dirs.write.parquet(f"{location}/deletions/{name}")
         for snapshot_id in gone:
             ledger.forget(spark, location, snapshot_id)
-        _delete_dirs(spark, location, dirs)
+        _delete_listed(spark, location, name)
     return gone, dirs
 
 
-def _folders(spark: SparkSession, location: str, depths: Mapping[str, int]) -> list[str]:
-    """Folders a snapshot could refer to, as deep as the snapshots that know their commit do.
+def orphan_folders(
+    spark: SparkSession, table: str, *, as_of: datetime, days: int = maintenance.ORPHAN_RETENTION_DAYS
+) -> DataFrame:
+    """``(dir)`` of the folders that no snapshot refers to, such as those of a write that died.
 
-    A commit that no snapshot knows counts as a whole.
+    The age of a folder is that of its write, which its name holds, since object stores keep no
+    times for folders. Commits are listed as deep as the snapshots that know them do; one that no
+    snapshot knows counts as a whole. Tasks list the folders, level by level; only the number of
+    levels reaches the driver.
     """
-    found = []
-    for commit in files.children(spark, f"{location}/data", directories=True):
-        if ledger.commit_time(commit) is None:
-            continue
-        if depths.get(commit):
-            below = files.partition_dirs(spark, f"{location}/data/{commit}", depths[commit])
-            found += [f"{commit}/{name}" for name in below]
-        else:
-            found.append(commit)
-    return found
+    location, _ = _current(spark, table)
+    base = f"{location}/data"
+    references = _referenced(spark, location)
+    parts = F.split("dir", "/")
+    depths = (
+        references.select(parts[0].alias("commit"), (F.size(parts) - 1).alias("depth"))
+        .groupBy("commit")
+        .agg(F.max("depth").alias("depth"))
+    )
+    commits = task_files.folders_below(task_files.roots(spark), base)
+    old = ledger.commit_time_of(F.col("dir")) < maintenance.cut_of(as_of, days)
+    commits = commits.where(old).join(depths, F.col("dir") == F.col("commit"), "left")
+    level = _put_down(
+        commits.select("dir", F.coalesce("depth", F.lit(0)).alias("depth")), scratch_path(spark, "commits")
+    )
+    folders = level.where("depth = 0").select("dir")
+    for depth in range(1, (level.agg(F.max("depth")).first()[0] or 0) + 1):
+        # Those of this depth are listed to the end.
+        found = level.where(F.col("depth") == depth).select("dir")
+        for _ in range(depth):
+            below = task_files.folders_below(found, base).where("regexp_extract(dir, '[^/]+$', 0) like '%=%'")
+            found = _put_down(below, scratch_path(spark, "folders"))
+        folders = folders.unionByName(found)
+    listing = folders.withColumn("modified", ledger.commit_time_of(F.col("dir")))
+    orphans = maintenance.orphan_files(
+        listing, references, path="dir", modified="modified", as_of=as_of, days=days
+    )
+    return _put_down(orphans.select("dir"), scratch_path(spark, "orphans"))
 
 
 def remove_orphans(
@@ -238,31 +295,19 @@ def remove_orphans(
     as_of: datetime,
     days: int = maintenance.ORPHAN_RETENTION_DAYS,
     dry_run: bool = True,
-) -> list[str]:
-    """Delete folders that no snapshot refers to, such as those of a write that died.
-
-    The age of a folder is that of its write, which its name holds, since object stores keep no
-    times for folders. Nothing is deleted unless ``dry_run=False``.
-    """
+) -> DataFrame:
+    """Delete the folders that ``orphan_folders`` finds, and return them as ``(dir)``. Tasks delete
+    them; nothing is deleted unless ``dry_run=False``."""
     catalog = iceberg.catalog_of(spark, table)
     if catalog:
         cut = as_of - timedelta(days=days)
-        return [r[0] for r in iceberg.remove_orphans(spark, catalog, table, cut, dry_run).collect()]
+        return iceberg.remove_orphans(spark, catalog, table, cut, dry_run).toDF("dir")
     location, _ = _current(spark, table)
-    references = _references(ledger.snapshots(spark, location)).select("dir")
-    parts = F.split("dir", "/")
-    commits = references.select(parts[0].alias("commit"), (F.size(parts) - 1).alias("depth"))
-    depths = {row["commit"]: row["depth"] for row in commits.distinct().collect()}
-    folders = _folders(spark, location, depths)
-    if not folders:
-        return []
-    listing = spark.createDataFrame(
-        [(name, ledger.commit_time(name)) for name in folders], "dir string, modified timestamp_ntz"
-    )
-    orphans = maintenance.orphan_files(
-        listing, references, path="dir", modified="modified", as_of=as_of, days=days
-    )
-    names = sorted(row["dir"] for row in orphans.collect())
     if not dry_run:
-        _delete_dirs(spark, location, names)
-    return names
+        _finish_deletions(spark, location)
+    orphans = orphan_folders(spark, table, as_of=as_of, days=days)
+    if not dry_run:
+        name = uuid.uuid4().hex
+        orphans.write.parquet(f"{location}/deletions/{name}")
+        _delete_listed(spark, location, name)
+    return orphans

@@ -10,7 +10,7 @@ from conftest import plan_of, rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from stratalake import ledger, merge_lake, read_lake, write_lake
+from stratalake import files, ledger, merge_lake, read_lake, task_files, write_lake
 from stratalake.operators import (
     compaction_plan,
     expired_snapshots,
@@ -36,6 +36,10 @@ def numbers(spark, start, stop):
     return spark.range(start, stop).select("id", (F.col("id") % 3).cast("string").alias("part"))
 
 
+def names(folders):
+    return sorted(row["dir"] for row in folders.collect())
+
+
 def files_per_partition(spark, location):
     counts = data_files(spark, location).groupBy("partition").count()
     return {r["partition"]: r["count"] for r in counts.collect()}
@@ -234,13 +238,14 @@ def aged_table(spark, location, ages, mode="overwrite", **options):
 
 def test_expire_keeps_the_minimum(spark, location):
     aged_table(spark, location, [30, 29, 28])
-    assert expire_lake(spark, location, as_of=NOW, dry_run=False) == ([], [])
+    gone, dirs = expire_lake(spark, location, as_of=NOW, dry_run=False)
+    assert gone == [] and names(dirs) == []
 
 
 def test_expire_is_dry_by_default(spark, location):
     aged_table(spark, location, [30, 29, 28, 27, 26])
     gone, dirs = expire_lake(spark, location, as_of=NOW)
-    assert gone == [1, 2] and len(dirs) == 2
+    assert gone == [1, 2] and len(names(dirs)) == 2
     assert ledger.snapshot_ids(spark, location) == [1, 2, 3, 4, 5]
     assert read_lake(spark, location, snapshot_id=1).count() == 10
 
@@ -255,7 +260,7 @@ def test_expire_deletes_only_what_nobody_needs(spark, location):
     )
     keep = {i: rows(read_lake(spark, location, snapshot_id=i)) for i in (5, 6, 7)}
     gone, dirs = expire_lake(spark, location, as_of=NOW, dry_run=False)
-    assert gone == [1, 2, 3, 4] and dirs == []
+    assert gone == [1, 2, 3, 4] and names(dirs) == []
     assert ledger.snapshot_ids(spark, location) == [5, 6, 7]
     for number, expected in keep.items():
         assert rows(read_lake(spark, location, snapshot_id=number)) == expected
@@ -266,13 +271,13 @@ def test_expired_folders_go_or_stay(spark, location):
     gone, dirs = expire_lake(
         spark, location, as_of=NOW, clean_expired_files=False, dry_run=False
     )
-    assert gone == [1, 2] and dirs == []
+    assert gone == [1, 2] and names(dirs) == []
     # What expiry left behind is then an orphan.
-    assert remove_orphans(spark, location, as_of=ledger.utc_now()) == []
-    orphans = remove_orphans(spark, location, as_of=LATER)
+    assert names(remove_orphans(spark, location, as_of=ledger.utc_now())) == []
+    orphans = names(remove_orphans(spark, location, as_of=LATER))
     assert len(orphans) == 2
-    assert remove_orphans(spark, location, as_of=LATER, dry_run=False) == orphans
-    assert remove_orphans(spark, location, as_of=LATER) == []
+    assert names(remove_orphans(spark, location, as_of=LATER, dry_run=False)) == orphans
+    assert names(remove_orphans(spark, location, as_of=LATER)) == []
     assert read_lake(spark, location).count() == 10
 
 
@@ -282,7 +287,7 @@ def test_orphans_of_dead_writes(spark, location):
     for age in (8, 2):
         commit = ledger.new_commit_dir(NOW - timedelta(days=age))
         numbers(spark, 0, 5).write.parquet(f"{base}/{commit}/_temporary/0")
-    orphans = remove_orphans(spark, location, as_of=NOW, dry_run=False)
+    orphans = names(remove_orphans(spark, location, as_of=NOW, dry_run=False))
     assert [ledger.commit_time(d) for d in orphans] == [NOW - timedelta(days=8)]
     left = os.listdir(base.removeprefix("file:"))
     assert len([name for name in left if name.startswith("_commit=")]) == 2
@@ -293,7 +298,7 @@ def test_orphans_after_a_change_of_partitioning(spark, location):
     aged_table(spark, location, [20], partition_by=["part"])
     first = rows(read_lake(spark, location))
     write_lake(numbers(spark, 50, 60), location, "overwrite", partition_by=[])
-    assert remove_orphans(spark, location, as_of=LATER, dry_run=False) == []
+    assert names(remove_orphans(spark, location, as_of=LATER, dry_run=False)) == []
     assert rows(read_lake(spark, location, snapshot_id=1)) == first
     assert read_lake(spark, location).count() == 10
 
@@ -316,3 +321,115 @@ def test_retained_snapshots_survive_all_maintenance(spark, tmp_path_factory, age
     assert len(left) >= min(keep, len(everything))
     for number in left:
         assert rows(read_lake(spark, location, snapshot_id=number)) == content[number]
+
+
+# Runs that die
+
+
+class Killed(Exception):
+    pass
+
+
+def killed(*_, **__):
+    raise Killed
+
+
+def folders_of(location):
+    return sorted(n for n in os.listdir(f"{location.removeprefix('file:')}/data") if n.startswith("_commit="))
+
+
+@pytest.mark.parametrize("finisher", [expire_lake, remove_orphans])
+def test_a_run_killed_between_forgetting_and_deleting_is_finished(spark, location, monkeypatch, finisher):
+    aged_table(spark, location, [30, 29, 28, 27, 26])
+    with monkeypatch.context() as patch:
+        patch.setattr(task_files, "delete_folders", killed)
+        with pytest.raises(Killed):
+            expire_lake(spark, location, as_of=NOW, dry_run=False)
+    assert ledger.snapshot_ids(spark, location) == [3, 4, 5] and len(folders_of(location)) == 5
+    finisher(spark, location, as_of=NOW)  # a dry run finishes nothing
+    assert len(folders_of(location)) == 5
+    finisher(spark, location, as_of=NOW, dry_run=False)
+    assert len(folders_of(location)) == 3
+    assert [read_lake(spark, location, snapshot_id=i).count() for i in (3, 4, 5)] == [10] * 3
+    assert files.children(spark, f"{location}/deletions", directories=True) == []
+
+
+@pytest.mark.parametrize("forgotten", [0, 1])
+def test_a_run_killed_before_it_forgot_deletes_nothing_in_use(spark, location, monkeypatch, forgotten):
+    aged_table(spark, location, [30, 29, 28, 27, 26])
+    forget, calls = ledger.forget, []
+
+    def forget_some(*args):
+        if len(calls) == forgotten:
+            raise Killed
+        calls.append(args)
+        forget(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ledger, "forget", forget_some)
+        with pytest.raises(Killed):
+            expire_lake(spark, location, as_of=NOW, dry_run=False)
+    remove_orphans(spark, location, as_of=NOW, dry_run=False)
+    for i in ledger.snapshot_ids(spark, location):
+        assert read_lake(spark, location, snapshot_id=i).count() == 10
+    expire_lake(spark, location, as_of=NOW, dry_run=False)
+    assert len(folders_of(location)) == 3 == len(ledger.snapshot_ids(spark, location))
+
+
+def test_a_deletion_table_that_was_not_finished_counts_for_nothing(spark, location):
+    aged_table(spark, location, [30])
+    listed = f"{location}/deletions/half"
+    spark.createDataFrame([(folders_of(location)[0],)], "dir string").write.parquet(listed)
+    os.remove(f"{listed.removeprefix('file:')}/_SUCCESS")
+    remove_orphans(spark, location, as_of=NOW, dry_run=False)
+    assert read_lake(spark, location).count() == 10 and not files.exists(spark, listed)
+
+
+def test_no_folder_name_reaches_the_driver(spark, location, monkeypatch):
+    aged_table(spark, location, [30], partition_by=["part"])
+    base = f"{location}/data"
+    for n in range(30):
+        commit = ledger.new_commit_dir(NOW - timedelta(days=20))
+        os.makedirs(f"{base.removeprefix('file:')}/{commit}/part={n}")
+    listed, children = [], files.children
+    monkeypatch.setattr(files, "children", lambda s, p, **k: listed.append(p) or children(s, p, **k))
+    monkeypatch.setattr(files, "partition_dirs", killed)
+    assert remove_orphans(spark, location, as_of=NOW, dry_run=False).count() == 30
+    assert [p for p in listed if p.startswith(base)] == []
+    assert len(folders_of(location)) == 1
+
+
+def test_folders_in_tasks(spark, tmp_path):
+    base = f"file:{tmp_path}"
+    for name in ("a/x=1/y=1", "a/x=ü +%20/y=2", "b"):
+        (tmp_path / name).mkdir(parents=True)
+    (tmp_path / "a" / "file").write_text("x")
+    top = task_files.folders_below(task_files.roots(spark), base)
+    assert names(top) == ["a", "b"]
+    second = names(task_files.folders_below(top, base))
+    assert second == ["a/x=1", "a/x=ü +%20"]
+    some = spark.createDataFrame([(second[1],), ("gone",)], "dir string")
+    assert names(task_files.folders_below(some, base)) == [f"{second[1]}/y=2"]
+    assert task_files.delete_folders(some, base) == 1
+    assert task_files.delete_folders(some, base) == 0
+    assert names(task_files.folders_below(top, base)) == ["a/x=1"]
+    for bad in ("", "../x", "/etc", "a/../../x"):
+        with pytest.raises(Exception, match="not a folder below"):
+            task_files.delete_folders(spark.createDataFrame([(bad,)], "dir string"), base)
+
+
+def test_names_of_stores():
+    system, path = task_files.file_system("file:/a/b c")
+    assert system.type_name == "local" and path == "/a/b c"
+
+
+def test_commit_times_in_tasks(spark):
+    at = datetime(2024, 3, 1, 2, 3, 4, 567000)
+    dirs = [ledger.new_commit_dir(at), f"{ledger.new_commit_dir(at)}/a=1", "other", "_commit=x-1"]
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        df = spark.createDataFrame([(d,) for d in dirs], "dir string")
+        got = [r[0] for r in df.select(ledger.commit_time_of(F.col("dir"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [at, at, None, None] == [ledger.commit_time(d) for d in dirs]
