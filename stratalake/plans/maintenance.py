@@ -18,6 +18,9 @@ from stratalake.sinks.registered import register_lake
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
+# Share of the target size that may be written again to be rid of one small file.
+WORTH_OF_A_FILE = 0.25
+
 
 def _current(spark: SparkSession, table: str) -> tuple[str, ledger.Snapshot]:
     location = files.qualify(spark, resolve(spark, table))
@@ -61,34 +64,47 @@ def _files_to_compact(
 ) -> DataFrame:
     """``(dir, file, bin)``: the files to write again, and which of them together.
 
-    A file is small if it has less than half the target size. Folders are taken whose bytes are
-    mostly in small files, in partitions with at least two small files in such folders: merging
-    leaves at most one, so a table at rest is not written again, and big folders stay as they are.
-    A bin takes files one after another up to the target size.
+    A file is small if it has less than half the target size. The unit is a folder, so its large
+    files are written again with the small ones: that is worth it if they have at most
+    ``WORTH_OF_A_FILE`` of the target size for each small file. A partition is taken if its chosen
+    folders hold more files than their bytes need; what is written then holds no more than those,
+    so a table at rest is not written again. Bins share the bytes of a partition evenly, small files
+    first.
     """
     files_ = data_files(spark, table)
     small = F.col("length") < target_bytes // 2
     folders = (
         files_.groupBy("partition", "dir")
         .agg(
+            F.count("*").alias("n"),
+            F.sum("length").alias("bytes"),
             F.count_if(small).alias("n_small"),
-            F.sum(F.when(small, F.col("length")).otherwise(-F.col("length"))).alias("balance"),
+            F.sum(F.when(small, 0).otherwise(F.col("length"))).alias("large"),
         )
-        .where("n_small > 0 and balance >= 0")
+        .where(F.col("large") <= F.col("n_small") * F.lit(target_bytes * WORTH_OF_A_FILE))
+    )
+    partitions = (
+        folders.groupBy("partition")
+        .agg(F.sum("n").alias("n"), F.sum("bytes").alias("total"))
+        .withColumn("planned", F.greatest(F.ceil(F.col("total") / target_bytes), F.lit(1)))
+        .where("n > planned")
     )
-    partitions = folders.groupBy("partition").agg(F.sum("n_small").alias("n")).where("n > 1")
-    chosen = folders.join(partitions, "partition", "left_semi").select("partition", "dir")
+    chosen = folders.select("partition", "dir").join(partitions, "partition")
     # One row of metadata per file; a task orders the files of one partition.
-    before = Window.partitionBy("partition").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
-    return files_.join(chosen, ["partition", "dir"], "left_semi").select(
+    before = Window.partitionBy("partition").orderBy("length", "path").rowsBetween(Window.unboundedPreceding, -1)
+    middle = F.coalesce(F.sum("length").over(before), F.lit(0)) + F.col("length") / 2
+    place = F.floor(middle * F.col("planned") / F.greatest("total", F.lit(1)))
+    binned = files_.join(chosen, ["partition", "dir"]).select(
+        "partition",
         "dir",
         F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
-        F.concat_ws(
-            "/",
-            "partition",
-            F.floor(F.coalesce(F.sum("length").over(before), F.lit(0)) / target_bytes).cast("string"),
-        ).alias("bin"),
+        F.least(place, F.col("planned") - 1).alias("place"),
+    )
+    # One row of metadata per file to come.
+    numbered = binned.select("partition", "place").distinct().select(
+        "partition", "place", (F.row_number().over(Window.orderBy("partition", "place")) - 1).alias("bin")
     )
+    return binned.join(numbered, ["partition", "place"]).select("dir", "file", "bin")
 
 
 def compact_lake(
@@ -114,11 +130,11 @@ def compact_lake(
     plan_path = scratch_path(spark, "compaction")
     try:
         _files_to_compact(spark, table, target_bytes).write.parquet(plan_path)
-        plan = spark.read.schema("dir string, file string, bin string").parquet(plan_path)
+        plan = spark.read.schema("dir string, file string, bin int").parquet(plan_path)
         again = {row["dir"] for row in plan.select("dir").distinct().collect()}
         if not again:
             return None
-        bins = plan.select("bin").distinct().count()
+        bins = plan.agg(F.max("bin")).first()[0] + 1
         rows = ledger.rows_in(spark, location, sorted(again), snapshot.schema)
         if order:
             with session_conf(spark, file_size_conf(target_bytes)):
@@ -133,7 +149,7 @@ def compact_lake(
                 F.regexp_extract(path, r"([^/]+)$", 1).alias("_file"),
             )
             files_ = plan.toDF("_dir", "_file", "_bin")
-            binned = located.join(files_, ["_dir", "_file"]).repartition(bins, "_bin")
+            binned = located.join(files_, ["_dir", "_file"]).repartitionById(bins, "_bin")
             added = write_commit(
                 binned.select(*rows.columns),
                 location,

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from stratalake import catalog, ledger
 from stratalake.catalog import Column
-from stratalake.files import partition_dirs
+from stratalake.files import children, partition_dirs
 from stratalake.functions import day_string, money
 from stratalake.layers import Lake
 from stratalake.operators import (
@@ -576,6 +576,57 @@ def compact_file_counts(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+@query(
+    """SELECT *, true AS mixed, true AS as_planned, true AS at_rest FROM lineitem"""
+)
+def compact_mixed_folder(spark, sf_dir):
+    """A commit with one large and many small files: compacted, and not again."""
+    lineitem, path = source(spark, sf_dir, "lineitem"), scratch_path(spark, "lineitem")
+    rest = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(10)) == 0
+    write_lake(lineitem.where(~rest).coalesce(1).unionByName(lineitem.where(rest).repartition(40)), path)
+
+    def files():
+        found = data_files(spark, path).agg(F.count("*"), F.sum("length"), F.max("length"))
+        return found.first()
+
+    n, total, largest = files()
+    target = largest + 1
+    first = compact_lake(spark, path, target_bytes=target)
+    planned = files()[0] <= -(-total // target)
+    second = compact_lake(spark, path, target_bytes=target)
+    return read_lake(spark, path).withColumns(
+        {
+            "mixed": F.lit(n == 41 and largest > target // 2),
+            "as_planned": F.lit(first is not None and planned),
+            "at_rest": F.lit(second is None),
+        }
+    )
+
+
+@query(
+    """SELECT *, 3 AS folders_before, CAST(1 AS BIGINT) AS folders_after FROM orders"""
+)
+def maintenance_after_a_dead_run(spark, sf_dir):
+    """Expiry that died when it had forgotten the snapshots, finished by the next run."""
+    orders, path = source(spark, sf_dir, "orders"), scratch_path(spark, "orders")
+    days = [datetime(2001, 7, day) for day in (1, 2, 3)]
+    for day, rows in zip(days, (changed_orders(orders), orders.where("o_orderstatus = 'O'"), orders)):
+        write_lake(rows, path, "overwrite", committed_at=day)
+    before = len(children(spark, f"{path}/data", directories=True))
+    listed, folders = expire_lake(spark, path, as_of=AS_OF, keep=1)
+    # What such a run leaves behind: its table of folders, and snapshots that are gone.
+    folders.write.parquet(f"{path}/deletions/{uuid.uuid4().hex}")
+    for snapshot_id in listed:
+        ledger.forget(spark, path, snapshot_id)
+    remove_orphans(spark, path, as_of=AS_OF, dry_run=False)
+    left = list_files(spark, f"{path}/data").agg(
+        F.count_distinct(F.regexp_extract("path", f"({ledger.COMMIT}=[^/]+)", 1)).alias("folders_after")
+    )
+    return read_lake(spark, path).withColumns(
+        {"folders_before": F.lit(before), "folders_after": F.lit(left.first()[0]).cast("bigint")}
+    )
+
+
 @query(
     """SELECT source, count(*) AS n_files, CAST(sum(n_chars) AS BIGINT) AS bytes,
               CAST(ceil(sum(n_chars) / 65536) AS BIGINT) AS target_files

@@ -19,6 +19,7 @@ from stratalake.operators import (
     unreachable_files,
     with_expiry,
 )
+from stratalake.plans import maintenance
 from stratalake.plans.maintenance import (
     compact_lake,
     data_files,
@@ -107,6 +108,76 @@ def test_compaction_takes_small_folders_and_leaves_big_ones(spark, location):
     assert compact_lake(spark, location, target_bytes=target) is None
 
 
+def hashes(spark, start, stop, files):
+    text = F.sha2(F.col("id").cast("string"), 256).alias("t")
+    return spark.range(start, stop, 1, files).select("id", text)
+
+
+@pytest.mark.parametrize("partition_by", [[], ["part"]])
+def test_compaction_of_a_folder_with_large_and_small_files(spark, location, partition_by):
+    """One large and 40 small files in one commit, in each partition."""
+    mixed = hashes(spark, 0, 60000, 1).union(hashes(spark, 60000, 62000, 40))
+    if partition_by:
+        mixed = mixed.withColumn("part", F.lit("x"))
+        base = f"{location}/data/{(commit := ledger.new_commit_dir())}"
+        mixed.write.partitionBy("part").parquet(base)
+        ledger.publish(
+            spark, location, None, operation="append", dirs=[f"{commit}/part=x"], schema=mixed.schema,
+            partition_by=["part"], at=NOW,
+        )
+    else:
+        write_lake(mixed, location)
+    sizes = sorted(r["length"] for r in data_files(spark, location).collect())
+    assert len(sizes) == 41 and sizes[-1] > 10 * sizes[-2]
+    target = sizes[-1] + 1000
+    before = rows(read_lake(spark, location))
+    assert compact_lake(spark, location, target_bytes=target) is not None
+    assert data_files(spark, location).count() == -(-sum(sizes) // target) == 2
+    assert rows(read_lake(spark, location)) == before
+    assert compact_lake(spark, location, target_bytes=target) is None
+
+
+def test_compaction_leaves_large_files_beside_one_small(spark, location):
+    write_lake(hashes(spark, 0, 100000, 2).union(hashes(spark, 100000, 100010, 1)), location)
+    write_lake(hashes(spark, 0, 10, 1), location)
+    target = max(r["length"] for r in data_files(spark, location).collect())
+    before = ledger.latest(spark, location).dirs
+    assert compact_lake(spark, location, target_bytes=target) is None
+    write_lake(hashes(spark, 10, 20, 1), location)
+    assert compact_lake(spark, location, target_bytes=target) is not None
+    assert before[0] in ledger.latest(spark, location).dirs and len(ledger.latest(spark, location).dirs) == 2
+    assert compact_lake(spark, location, target_bytes=target) is None
+
+
+sizes_of_folders = st.lists(st.lists(st.integers(1, 120), min_size=1, max_size=12), min_size=1, max_size=6)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(folders=sizes_of_folders)
+def test_compaction_comes_to_rest(spark, monkeypatch, folders):
+    """Rewriting by the plan, with files as large as what goes into them, is not planned again."""
+    target = 100
+
+    def planned(listing):
+        table = [(f"d{d}", "", f"d{d}/f{f:03}", n) for d, files in listing.items() for f, n in enumerate(files)]
+        frame = spark.createDataFrame(table, "dir string, partition string, path string, length bigint")
+        monkeypatch.setattr(maintenance, "data_files", lambda *_: frame)
+        return maintenance._files_to_compact(spark, "t", target).collect()
+
+    listing = dict(enumerate(folders))
+    plan = planned(listing)
+    if plan:
+        again = {int(r["dir"][1:]) for r in plan}
+        bins = defaultdict(int)
+        for r in plan:
+            bins[r["bin"]] += listing[int(r["dir"][1:])][int(r["file"][1:])]
+        old = [n for d in again for n in listing[d]]
+        assert len(plan) == len(old) and sum(bins.values()) == sum(old)
+        assert len(bins) <= -(-sum(old) // target) < len(old)
+        left = {d: f for d, f in listing.items() if d not in again} | {99: list(bins.values())}
+        assert len(planned(left)) == 0 or len(left) > 1
+
+
 def test_any_number_of_tiny_files_becomes_one_in_one_run(spark, location):
     write_lake(spark.range(0, 1300, 1, 1300).select("id"), location)
     assert data_files(spark, location).count() == 1300
