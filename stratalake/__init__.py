@@ -3,6 +3,7 @@
 from stratalake.layers import Lake
 from stratalake.session import get_spark
 from stratalake.sinks import (
+    alter_lake,
     create_lake_table,
     evolve_lake,
     insert_raw,
@@ -14,6 +15,7 @@ from stratalake.sources import read_lake, read_raw, register_raw
 
 __all__ = [
     "Lake",
+    "alter_lake",
     "create_lake_table",
     "evolve_lake",
     "get_spark",

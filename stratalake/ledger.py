@@ -16,12 +16,14 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from stratalake import files
-from stratalake.catalog import NULL_PARTITION, values_of
+from stratalake.catalog import values_of
 
 COMMIT = "_commit"
+RANGE = "_range"
+STORED = "stratalake.stored"  # in the metadata of a renamed column, its name in files
 LEDGER_SCHEMA = (
     "snapshot_id bigint, committed_at timestamp_ntz, operation string, "
     "dirs array<string>, partition_by array<string>"
@@ -29,6 +31,17 @@ LEDGER_SCHEMA = (
 _COMMIT_DIR = re.compile(rf"{COMMIT}=(\d+)-")
 
 
+@dataclass(frozen=True)
+class Ranges:
+    """The least and the largest value of a column, as texts, in folders for which they are known;
+    two nulls where a folder has none. With ``layout`` every commit has a folder for each of its
+    ranges of the column."""
+
+    column: str
+    layout: bool
+    folders: dict[str, tuple[str | None, str | None]]
+
+
 @dataclass(frozen=True)
 class Snapshot:
     snapshot_id: int
@@ -39,6 +52,8 @@ class Snapshot:
     schema: StructType
     bookmarks: dict[str, int]
     sort_by: tuple[str, ...] = ()
+    ranges: Ranges | None = None
+    retired: tuple[str, ...] = ()  # names in files of columns that are gone
 
 
 @dataclass(frozen=True)
@@ -96,9 +111,18 @@ def load(spark: SparkSession, location: str, snapshot_id: int) -> Snapshot:
         schema=StructType.fromJson(entry["schema"]),
         bookmarks=entry["bookmarks"],
         sort_by=tuple(entry.get("sort_by", ())),
+        ranges=_ranges_from(entry.get("ranges")),
+        retired=tuple(entry.get("retired", ())),
     )
 
 
+def _ranges_from(entry: dict | None) -> Ranges | None:
+    if entry is None:
+        return None
+    folders = {name: (low, high) for name, (low, high) in entry["folders"].items()}
+    return Ranges(entry["column"], entry["layout"], folders)
+
+
 def latest(spark: SparkSession, location: str) -> Snapshot | None:
     ids = snapshot_ids(spark, location)
     return load(spark, location, ids[-1]) if ids else None
@@ -116,13 +140,24 @@ def publish(
     at: datetime,
     bookmark: Bookmark | None = None,
     sort_by: Sequence[str] | None = None,
+    ranges: Ranges | None = None,
+    keep_ranges: bool = True,
+    retired: Sequence[str] | None = None,
 ) -> int:
     """Make a commit the newest snapshot; ``bookmark`` becomes valid together with it.
 
-    The table keeps its sort order unless ``sort_by`` gives it another.
+    The table keeps its sort order and ``retired`` unless it is given others. ``ranges`` are added to
+    those known of folders that stay in the table, or with ``keep_ranges=False`` replace them.
     """
     if sort_by is None:
         sort_by = previous.sort_by if previous else ()
+    if retired is None:
+        retired = previous.retired if previous else ()
+    known = previous.ranges if previous and keep_ranges else None
+    if ranges is None:
+        ranges = known
+    elif known and known.column == ranges.column:
+        ranges = Ranges(ranges.column, ranges.layout, known.folders | ranges.folders)
     bookmarks = dict(previous.bookmarks) if previous else {}
     if bookmark is not None:
         bookmarks[bookmark.source] = bookmark.snapshot_id
@@ -136,6 +171,13 @@ def publish(
         "schema": schema.jsonValue(),
         "bookmarks": bookmarks,
         "sort_by": list(sort_by),
+        "ranges": ranges
+        and {
+            "column": ranges.column,
+            "layout": ranges.layout,
+            "folders": {name: ranges.folders[name] for name in sorted(dirs) if name in ranges.folders},
+        },
+        "retired": list(retired),
         "writer": uuid.uuid4().hex,
     }
     files.write_text_once(spark, _entry_path(location, snapshot_id), json.dumps(entry))
@@ -159,19 +201,31 @@ def snapshots(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).json(paths)
 
 
+def stored_name(field: StructField) -> str:
+    """What a column is called in files; a renamed one keeps its name there."""
+    return field.metadata.get(STORED, field.name)
+
+
 def rows_in(
     spark: SparkSession, location: str, dirs: list[str] | tuple[str, ...], schema: StructType
 ) -> DataFrame:
     """Rows of some folders of a table under its declared schema."""
     if not dirs:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], plain(schema))
     base = f"{location}/data"
+    stored = StructType([StructField(stored_name(f), f.dataType, f.nullable) for f in schema])
     frame = (
-        spark.read.schema(schema)
+        spark.read.schema(stored)
         .option("basePath", base)
         .parquet(*[f"{base}/{name}" for name in dirs])
     )
-    return frame.select(*[F.col(f"`{name}`") for name in schema.names])
+    return frame.select(*[F.col(f"`{s.name}`").alias(f.name) for f, s in zip(schema, stored)])
+
+
+def plain(schema: StructType) -> StructType:
+    """A schema without what this module notes in it."""
+    notes = lambda f: {k: v for k, v in f.metadata.items() if k != STORED}
+    return StructType([StructField(f.name, f.dataType, f.nullable, notes(f)) for f in schema])
 
 
 def dir_of(path: Column) -> Column:
@@ -185,10 +239,12 @@ def decoded(path: Column) -> Column:
 
 
 def partition_of(directory: str) -> str:
-    """Partition part of a folder name; empty for an unpartitioned table."""
-    return directory.partition("/")[2]
+    """Partition part of a folder name; empty for an unpartitioned table, whose folders for ranges
+    are no partitions."""
+    below = directory.partition("/")[2]
+    return "" if below.startswith(f"{RANGE}=") else below
 
 
 def partition_values(directory: str) -> dict[str, str | None]:
-    """Partition columns and their values, as text, of a folder."""
-    return values_of(partition_of(directory))
+    """Partition columns, or the range, and their values, as text, of a folder."""
+    return values_of(directory.partition("/")[2])

@@ -210,6 +210,7 @@ def refine_new(spark: SparkSession, lake: Lake) -> None:
             tables.refined,
             ["event_id"],
             newer_by=NEWER_BY,
+            unique_by=["event_id"],
             audit=merged_checks,
             bookmark=delivered.bookmark,
         )
@@ -218,6 +219,8 @@ def refine_new(spark: SparkSession, lake: Lake) -> None:
             rows,
             tables.refined,
             partition_by=["dt"],
+            range_by="event_id",
+            unique_by=["event_id"],
             audit=refined_checks,
             bookmark=delivered.bookmark,
         )

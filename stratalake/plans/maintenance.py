@@ -14,6 +14,7 @@ from stratalake.operators import maintenance
 from stratalake.session import scratch_path
 from stratalake.sinks.lake import write_commit
 from stratalake.sinks.layout import file_size_conf, session_conf
+from stratalake.sinks.ranges import folder_ranges
 from stratalake.sinks.registered import register_lake
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
@@ -42,7 +43,8 @@ def data_files(spark: SparkSession, table: str) -> DataFrame:
     folder = ledger.dir_of(F.col("path"))
     return listing.select(
         folder.alias("dir"),
-        F.regexp_replace(folder, r"^[^/]*/?", "").alias("partition"),
+        # Ranges of one commit have nothing to do with those of another.
+        F.regexp_replace(folder, rf"^[^/]*/?({ledger.RANGE}=.*)?", "").alias("partition"),
         "path",
         "length",
         "modified",
@@ -136,10 +138,16 @@ def compact_lake(
             return None
         bins = plan.agg(F.max("bin")).first()[0] + 1
         rows = ledger.rows_in(spark, location, sorted(again), snapshot.schema)
-        if order:
+        ranged = snapshot.ranges
+        if order or (ranged and ranged.layout):
             with session_conf(spark, file_size_conf(target_bytes)):
                 added = write_commit(
-                    rows, location, partition_by=snapshot.partition_by, sort_by=order
+                    rows,
+                    location,
+                    partition_by=snapshot.partition_by,
+                    schema=snapshot.schema,
+                    sort_by=order,
+                    range_by=ranged.column if ranged and ranged.layout else None,
                 )
         else:
             path = ledger.decoded(F.col("_metadata.file_path"))
@@ -151,13 +159,17 @@ def compact_lake(
             files_ = plan.toDF("_dir", "_file", "_bin")
             binned = located.join(files_, ["_dir", "_file"]).repartitionById(bins, "_bin")
             added = write_commit(
-                binned.select(*rows.columns),
+                binned.select(*[F.col(f"`{name}`") for name in rows.columns]),
                 location,
                 partition_by=snapshot.partition_by,
+                schema=snapshot.schema,
                 spread=False,
             )
     finally:
         files.delete(spark, plan_path)
+    known = ranged and ledger.Ranges(
+        ranged.column, ranged.layout, folder_ranges(spark, location, added, snapshot.schema, ranged.column)
+    )
     published = ledger.publish(
         spark,
         location,
@@ -168,6 +180,7 @@ def compact_lake(
         partition_by=list(snapshot.partition_by),
         at=committed_at or ledger.utc_now(),
         sort_by=order,
+        ranges=known,
     )
     register_lake(spark, table)
     return published

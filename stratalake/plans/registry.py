@@ -19,6 +19,7 @@ from stratalake.files import children, partition_dirs
 from stratalake.functions import day_string, money
 from stratalake.layers import Lake
 from stratalake.operators import (
+    DataQualityError,
     Dimension,
     QualityChecker,
     clean,
@@ -53,6 +54,7 @@ from stratalake.operators.maintenance import list_files
 from stratalake.plans.maintenance import compact_lake, data_files, expire_lake, remove_orphans
 from stratalake.session import scratch_path
 from stratalake.sinks import (
+    alter_lake,
     create_lake_table,
     evolve_lake,
     insert_raw,
@@ -429,6 +431,43 @@ def merge_into_partitions(spark, sf_dir):
     return read_lake(spark, path)
 
 
+@query(
+    f"""SELECT *, true AS few_rewritten FROM ({MERGED_ORDERS_SQL}) WHERE o_orderkey IN (SELECT max(o_orderkey) FROM orders WHERE o_orderstatus <> 'O')
+        UNION ALL SELECT *, true FROM orders
+        WHERE o_orderkey NOT IN (SELECT max(o_orderkey) FROM orders WHERE o_orderstatus <> 'O')"""
+)
+def merge_into_ranges(spark, sf_dir):
+    """An upsert of one key into a table without partitions, in a hundred ranges of the key."""
+    orders, path = source(spark, sf_dir, "orders"), scratch_path(spark, "orders")
+    write_lake(orders, path, range_by="o_orderkey", ranges=100)
+    before = set(ledger.latest(spark, path).dirs)
+    changed = changed_orders(orders)
+    last = changed.agg(F.max("o_orderkey")).first()[0]
+    merge_lake(changed.where(F.col("o_orderkey") == last), path, ["o_orderkey"])
+    gone = before - set(ledger.latest(spark, path).dirs)
+    return read_lake(spark, path).withColumn("few_rewritten", F.lit(len(gone) == 1 < len(before)))
+
+
+@query(
+    """SELECT *, true AS refused FROM orders"""
+)
+def unique_across_deliveries(spark, sf_dir):
+    """Deliveries of orders, and one that repeats a key of an earlier one, which is refused."""
+    orders, path = source(spark, sf_dir, "orders"), scratch_path(spark, "orders")
+    keys = ["o_orderkey"]
+    half = orders.agg(F.max("o_orderkey")).first()[0] // 2
+    for part in (F.col("o_orderkey") <= half, F.col("o_orderkey") > half):
+        write_lake(orders.where(part), path, range_by="o_orderkey", unique_by=keys)
+    first = orders.agg(F.min("o_orderkey")).first()[0]
+    try:
+        write_lake(orders.where(F.col("o_orderkey") == first), path, unique_by=keys)
+    except DataQualityError:
+        refused = True
+    else:
+        refused = False
+    return read_lake(spark, path).withColumn("refused", F.lit(refused))
+
+
 # Catalog
 
 
@@ -460,6 +499,60 @@ def schema_evolve(spark, sf_dir):
     return read_lake(spark, path)
 
 
+@query(
+    """SELECT o_orderkey, o_custkey AS customer, o_orderstatus, o_totalprice, o_orderdate,
+              o_orderpriority, o_totalprice AS o_custkey
+       FROM orders WHERE o_orderstatus = 'F'
+       UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+              o_orderpriority, NULL FROM orders WHERE o_orderstatus <> 'F'"""
+)
+def rename_column(spark, sf_dir):
+    """A column gets another name, and its old name goes to a new column."""
+    orders, path = source(spark, sf_dir, "orders"), scratch_path(spark, "orders")
+    write_lake(orders.where("o_orderstatus <> 'F'"), path)
+    alter_lake(spark, path, rename={"o_custkey": "customer"}, add=StructType.fromDDL("o_custkey double"))
+    finished = orders.where("o_orderstatus = 'F'").withColumnRenamed("o_custkey", "customer")
+    write_lake(finished.withColumn("o_custkey", F.col("o_totalprice")), path)
+    return read_lake(spark, path)
+
+
+@query(
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
+              CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS o_totalprice
+       FROM orders"""
+)
+def drop_column(spark, sf_dir):
+    """A column is dropped and added again: older rows do not have it."""
+    orders, path = source(spark, sf_dir, "orders"), scratch_path(spark, "orders")
+    write_lake(orders.where("o_orderstatus <> 'F'"), path, partition_by=["o_orderstatus"])
+    alter_lake(spark, path, drop=["o_totalprice"])
+    evolve_lake(spark, path, StructType.fromDDL("o_totalprice double"))
+    write_lake(orders.where("o_orderstatus = 'F'"), path)
+    return read_lake(spark, path)
+
+
+@query(
+    """SELECT l_orderkey, CASE WHEN l_linenumber > 2 THEN l_linenumber * 10000000000
+                               ELSE l_linenumber END AS line,
+              CAST(CAST(l_quantity AS DECIMAL(9,2)) AS DECIMAL(18,4)) AS quantity
+       FROM lineitem"""
+)
+def widen_column(spark, sf_dir):
+    """Columns get wider types, and rows that need them."""
+    path = scratch_path(spark, "lineitem")
+
+    def lines(line: str, quantity: str) -> DataFrame:
+        return source(spark, sf_dir, "lineitem").select(
+            "l_orderkey", F.col("l_linenumber").cast(line).alias("line"), F.col("l_quantity").cast(quantity).alias("quantity")
+        )
+
+    write_lake(lines("int", "decimal(9,2)").where("line <= 2"), path)
+    alter_lake(spark, path, widen={"line": "bigint", "quantity": "decimal(18,4)"})
+    more = lines("bigint", "decimal(9,2)").where("line > 2").withColumn("line", F.col("line") * 10**10)
+    write_lake(more.withColumn("quantity", F.col("quantity").cast("decimal(18,4)")), path)
+    return read_lake(spark, path)
+
+
 @query("SELECT *, CAST(NULL AS VARCHAR) AS region_name FROM supplier")
 def add_columns(spark, sf_dir):
     suppliers = source(spark, sf_dir, "supplier")

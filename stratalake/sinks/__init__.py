@@ -1,5 +1,6 @@
 from stratalake.sinks.lake import (
     DuplicateKeyError,
+    alter_lake,
     create_lake_table,
     evolve_lake,
     merge_lake,
@@ -10,6 +11,7 @@ from stratalake.sinks.raw import insert_raw, write_raw
 
 __all__ = [
     "DuplicateKeyError",
+    "alter_lake",
     "create_lake_table",
     "evolve_lake",
     "insert_raw",

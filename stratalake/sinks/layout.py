@@ -36,6 +36,21 @@ def arrange(
     return df
 
 
+def arrange_ranges(
+    df: DataFrame, sort_by: Sequence[str], folder: str, ranges: int | None = None
+) -> DataFrame:
+    """Spread ``df`` by ranges of ``sort_by``, sorted, with the number of its range in ``folder``.
+
+    ``ranges`` of them, or as many as AQE finds their size asks for. Equal values are split as in
+    ``arrange``, so ranges may meet in a value.
+    """
+    order = [F.col(c) for c in [*sort_by, _TIE]]
+    tied = df.withColumn(_TIE, F.spark_partition_id())
+    spread = tied.repartitionByRange(ranges, *order) if ranges else tied.repartitionByRange(*order)
+    numbered = spread.withColumn(folder, F.spark_partition_id())
+    return numbered.sortWithinPartitions(folder, *order).drop(_TIE)
+
+
 @contextmanager
 def session_conf(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
     """Set session settings for the length of one action."""

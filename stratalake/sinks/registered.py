@@ -30,10 +30,13 @@ def register_lake(spark: SparkSession, table: str) -> None:
         raise ValueError(f"no such table: {table}")
     *_, database, name = table.split(".")
     files_table, view = f"{database}.{name}{FILES}", f"{database}.{name}"
+    stored = {field.name: ledger.stored_name(field) for field in snapshot.schema}
     types = {field.name: field.dataType.simpleString() for field in snapshot.schema}
-    inner = [Column(c, t) for c, t in types.items() if c not in snapshot.partition_by]
+    inner = [Column(stored[c], t) for c, t in types.items() if c not in snapshot.partition_by]
     keys = [Column(ledger.COMMIT, "string"), *(Column(c, types[c]) for c in snapshot.partition_by)]
-    listed = ", ".join(quoted(c) for c in types)
+    if snapshot.ranges and snapshot.ranges.layout:
+        keys.append(Column(ledger.RANGE, "string"))
+    listed = ", ".join(quoted(s) if s == c else f"{quoted(s)} AS {quoted(c)}" for c, s in stored.items())
 
     wanted = {column.name: column.type for column in [*inner, *keys]}
     exists = spark.catalog.tableExists(files_table)
