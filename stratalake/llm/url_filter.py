@@ -97,11 +97,14 @@ def path_templates(pages: DataFrame, tree: TemplateTree) -> DataFrame:
     Level by level, all hosts at once: numbers in a segment become ``#``; the segments below a node
     become ``*`` if the node's are variable; the others are ordered by their smoothed share of bad
     labels and put together, ``{de|en}``, as far as no two of them differ significantly (``alike``).
+    In names the characters ``\\ { } | * +`` of a segment have a backslash before them, so different
+    branches of a node have different names.
     Branches with the same counts of labels and bad labels always go together, so a task merges the
     distinct counts of a node: of n labelled pages there are at most about n ** (2 / 3), however
     many branches there are.
     """
-    shape = F.regexp_replace(F.col("path"), "[0-9]+", "#")
+    # With a backslash before what names are made of, no segment looks like a name.
+    shape = F.regexp_replace(F.regexp_replace(F.col("path"), "[0-9]+", "#"), r"([\\{}|*+])", r"\\$1")
     segments = F.filter(F.split(shape, "/"), lambda x: x != "")
     rows = pages.withColumn("__at", F.lit("")).withColumn(
         "__rest",
@@ -158,8 +161,9 @@ def filter_urls(
     """(page_id, host, path, rule, verdict, template, purity) for every row of ``pages`` (page_id,
     url). ``labels``: (page_id, bad).
 
-    The longest rule that fits decides; pages without one are blocked if their template's smoothed
-    share of bad labels reaches ``tree.purity``. Null urls and those without ``://`` have an empty
+    The longest rule that fits decides; the path of a rule begins with ``/``, so a url without a path
+    is under none. Pages without a rule are blocked if their template's smoothed share of bad labels
+    reaches ``tree.purity``. Null urls and those without ``://`` have an empty
     host and path and one template of their own. Rows with null page_ids and repeated rows are
     judged like others; of contradicting labels of a page ``bad`` wins. Other columns are ignored.
     """

@@ -130,3 +130,116 @@ def test_a_wide_node_keeps_its_branches(spark):
     pages, labels = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad boolean")
     verdicts = {(r.path.split("/")[1] == "spam", r.template, r.verdict) for r in filter_urls(pages, labels, ()).collect()}
     assert verdicts == {(True, "/spam/#", "block"), (False, "/{aaa|+1199}/#", "allow")}
+
+
+def test_segments_that_look_like_names(spark):
+    sections = {"a": False, "b": False, "{a|b}": True, "*": True, "**": False, "\\{a|b}": True, "+1": False, "{a|+1}": True}
+    rows = [(f"http://h/{name}/x", bad) for name, bad in sections.items() for _ in range(40)]
+    rows += [("http://h/" + "/".join("cdefghi"), False)] * 40 + [("http://h/c/d/e/f/g/h/**", True)] * 40
+    pages = spark.createDataFrame([(i, url) for i, (url, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, bad) for i, (_, bad) in enumerate(rows)], "page_id long, bad boolean")
+    for listed in (1000, 1):
+        got = filter_urls(pages, labels, (), TemplateTree(listed=listed)).collect()
+        for r in got[:]:
+            section = r.path.split("/")[1]
+            if section in sections:
+                assert r.verdict == ("block" if sections[section] else "allow"), r
+        names = {r.template for r in got if r.path.split("/")[1] in sections}
+        assert len(names) == 2  # the good and the bad ones
+
+
+def plain_tree(rows, settings):
+    """Template by template, from (host, path, bad): the tree in plain Python, a node at a time."""
+    import math
+    from collections import defaultdict
+
+    known = [bad for _, _, bad in rows if bad is not None]
+    rate = sum(known) / len(known) if known else 0.0
+    paths = []
+    for host, path, bad in rows:
+        parts = [re.sub(r"([\\{}|*+])", r"\\\1", x) for x in re.sub("[0-9]+", "#", path).split("/") if x]
+        if len(parts) > settings.depth:
+            parts = [*parts[: settings.depth], "**"]
+        paths.append((host, tuple(parts), bad))
+    names = {}
+
+    def grow(members, host, at, level):
+        deeper = defaultdict(list)
+        for index in members:
+            parts = paths[index][1]
+            if len(parts) < level:
+                names[index] = at
+            else:
+                deeper[parts[level - 1]].append(index)
+        if not deeper:
+            return
+        total = sum(map(len, deeper.values()))
+        groups = defaultdict(list)
+        if len(deeper) >= settings.fan_out and len(deeper) >= total * settings.variable:
+            groups["*"] = list(deeper)
+        else:
+            counted = []
+            for segment, own in deeper.items():
+                labels = [paths[i][2] for i in own if paths[i][2] is not None]
+                size = len(labels) + settings.weight
+                counted.append(((sum(labels) + rate * settings.weight) / size, len(labels), size, segment))
+            group = []
+            for share, _, size, segment in sorted(counted):
+                error = share * (1 - share) / size
+                if any(share - s > settings.deviations * math.sqrt(error + e) for s, e, _ in group):
+                    own = sorted(x for _, _, x in group)
+                    groups["{" + "|".join(own) + "}" if len(own) > 1 else own[0]] = own
+                    group = []
+                group.append((share, error, segment))
+            own = sorted(x for _, _, x in group)
+            groups["{" + "|".join(own) + "}" if len(own) > 1 else own[0]] = own
+        for name, own in groups.items():
+            grow([i for x in own for i in deeper[x]], host, f"{at}/{name}", level + 1)
+
+    for host in {host for host, _, _ in paths}:
+        grow([i for i, row in enumerate(paths) if row[0] == host], host, "", 1)
+    purity = {}
+    for key in {(paths[i][0], names[i]) for i in names}:
+        labels = [paths[i][2] for i in names if (paths[i][0], names[i]) == key and paths[i][2] is not None]
+        purity[key] = (sum(labels) + rate * settings.weight) / (len(labels) + settings.weight)
+    return [(names[i], purity[paths[i][0], names[i]]) for i in range(len(rows))]
+
+
+def check_tree(spark, rows, settings):
+    pages = spark.createDataFrame([(i, f"http://{host}{path}") for i, (host, path, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, bad) for i, (_, _, bad) in enumerate(rows) if bad is not None], "page_id long, bad boolean")
+    got = {r.page_id: r for r in filter_urls(pages, labels, (), settings).collect()}
+    for i, (template, purity) in enumerate(plain_tree(rows, settings)):
+        assert got[i].template == template and abs(got[i].purity - purity) < 1e-12
+        assert got[i].verdict == ("block" if purity >= settings.purity else "allow")
+
+
+def test_tree_equals_plain_python(spark):
+    import random
+
+    r = random.Random(7)
+    rows = []
+    for _ in range(1500):
+        host, section = r.choice("pq"), r.choice(["news", "blog", "spam", "{news|blog}", "*", "x+y", "shop"])
+        depth = r.randrange(4)
+        path = "/".join(["", section, *(r.choice(["en", "de", f"u{r.choice('abcdefghijklmnopqrstuvwxyz')}{r.randrange(9)}"]) for _ in range(depth))])
+        bad = r.random() < {"spam": 0.9, "*": 0.6, "shop": 0.4}.get(section, 0.1)
+        rows.append((host, path, bad if r.random() < 0.6 else None))
+    for settings in (TemplateTree(), TemplateTree(depth=2, fan_out=4, variable=0.01)):
+        check_tree(spark, rows, settings)
+
+
+def test_query_equals_plain_python(spark):
+    """All templates and verdicts of the registered query's table."""
+    from stratalake.llm.queries import page_labels
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    labels = dict(map(tuple, page_labels(pages, spark.read.parquet("/root/testdata/sf0.01/labels.parquet")).collect()))
+    urls = {r.page_id: base(r.url) for r in pages.select("page_id", "url").collect()}
+    ids = sorted(urls)
+    plain = plain_tree([(urls[i][0], urls[i][1], labels.get(i)) for i in ids], TemplateTree())
+    got = {r.page_id: r for r in QUERIES["op2_url_filter"](spark, "/root/testdata/sf0.01").collect()}
+    verdicts = {r.rule: r.verdict for r in URL_RULES}
+    for i, (template, purity) in zip(ids, plain):
+        assert got[i].template == template and abs(got[i].purity - purity) < 1e-12
+        assert got[i].verdict == verdicts.get(urls[i][2], "block" if purity >= 0.5 else "allow")
