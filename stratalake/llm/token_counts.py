@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from functools import reduce
 from itertools import accumulate
 
 import numpy as np
@@ -168,37 +169,46 @@ def recount_edited(
 ) -> DataFrame:
     """(doc_id, n_tokens, n_edits, n_tokens_after, n_chars_split, text) for every document.
 
-    ``edits``: (doc_id, start, end, replacement) in code points of the original text, end exclusive;
-    those of a document must not overlap and are clipped to its text. They are applied from the last
-    to the first, each splitting and encoding only around itself. ``trees``: the result of
-    ``count_tokens`` on ``documents`` if it is at hand. Documents without edits are not touched;
-    null replacements delete, and edits with a null doc_id, start or end are left out. A repeated
-    edit counts once. Rows that repeat a doc_id all get its edits.
+    ``edits``: (doc_id, start, end, replacement) in code points of the original text, end exclusive,
+    and, if the same doc_id stands on several texts, ``body``, the hash of the text an edit is meant
+    for (as ``redactions`` gives it). Without ``body`` all texts of a doc_id get its edits. They are
+    clipped to the text; of edits that overlap the one that starts first counts, of those that start
+    together the shortest. They are applied from the last to the first, each splitting and encoding
+    only around itself. ``trees``: the result of ``count_tokens`` on ``documents`` if it is at hand.
+    Documents without edits are not touched; null replacements delete, and edits with a null doc_id,
+    body, start or end are left out. A repeated edit counts once.
     """
     trees = staged(count_tokens(documents, vocabulary), "trees") if trees is None else trees
     shared = documents.sparkSession.sparkContext.broadcast((vocabulary.ranks, vocabulary.pattern))
+    meant_for = ["doc_id", "body"] if "body" in edits.columns else ["doc_id"]
+    given = [F.col(name).isNotNull() for name in [*meant_for, "start", "end"]]
     of_document = staged(
-        edits.where("doc_id is not null and start is not null and end is not null")
-        .select("doc_id", F.struct("start", "end", F.coalesce("replacement", F.lit("")).alias("new")).alias("edit"))
-        .groupBy("doc_id")
-        .agg(F.sort_array(F.collect_set("edit"), asc=False).alias("edits")),
+        edits.where(reduce(lambda x, y: x & y, given))
+        .select(*meant_for, F.struct("start", "end", F.coalesce("replacement", F.lit("")).alias("new")).alias("edit"))
+        .groupBy(*meant_for)
+        .agg(F.sort_array(F.collect_set("edit")).alias("edits")),
         "edits",
     )
-    edited = _rows(documents).join(of_document, "doc_id").join(
+    edited = _rows(documents).join(of_document, meant_for).join(
         trees.dropDuplicates(["doc_id", "body"]), ["doc_id", "body"]
     )
 
     def recount(batches):
         counts, pieces = PieceCounts(Vocabulary(*shared.value)), regex.compile(shared.value[1])
         for batch in batches:
-            after, split, texts = [], [], []
+            applied, after, split, texts = [], [], [], []
             columns = (batch.column(c).to_pylist() for c in ("leaf_chars", "leaf_tokens", "edits"))
             for chars, tokens, edits, text in zip(*columns, values(batch, "text"), strict=True):
-                tree, text, again = SegmentTree(chars, tokens), text.decode(), 0
+                tree, text, again, apart = SegmentTree(chars, tokens), text.decode(), 0, []
                 for edit in edits:
-                    start, end = min(edit["start"], len(text)), min(edit["end"], len(text))
-                    text, chars_again = apply_edit(tree, text, start, max(end, start), edit["new"], pieces, counts)
+                    start = min(max(edit["start"], 0), len(text))
+                    end = max(min(edit["end"], len(text)), start)
+                    if not apart or start >= apart[-1][1]:
+                        apart.append((start, end, edit["new"]))
+                for start, end, new in reversed(apart):
+                    text, chars_again = apply_edit(tree, text, start, end, new, pieces, counts)
                     again += chars_again
+                applied.append(len(apart))
                 after.append(tree.tokens)
                 split.append(again)
                 texts.append(text)
@@ -206,7 +216,7 @@ def recount_edited(
                 [
                     batch.column("doc_id"),
                     batch.column("n_tokens"),
-                    pa.array([len(x) for x in batch.column("edits")], pa.int64()),
+                    pa.array(applied, pa.int64()),
                     pa.array(after, pa.int64()),
                     pa.array(split, pa.int64()),
                     pa.array(texts, pa.string()),
@@ -217,7 +227,7 @@ def recount_edited(
     done = edited.select("doc_id", "n_tokens", "leaf_chars", "leaf_tokens", "edits", "text").mapInArrow(
         recount, "doc_id long, n_tokens long, n_edits long, n_tokens_after long, n_chars_split long, text string"
     )
-    same = trees.join(of_document, "doc_id", "left_anti").select(
+    same = trees.join(of_document, meant_for, "left_anti").select(
         "doc_id", "n_tokens", F.lit(0).cast("long").alias("n_edits"), F.col("n_tokens").alias("n_tokens_after"),
         F.lit(0).cast("long").alias("n_chars_split"), F.lit(None).cast("string").alias("text"),
     )
@@ -234,24 +244,24 @@ PERSONAL = (
 def redactions(
     documents: DataFrame, rules: tuple[Rule, ...] = PERSONAL, replacement: str = "[removed]"
 ) -> DataFrame:
-    """Edits (doc_id, start, end, replacement) that replace what the rules find; of findings that
-    overlap the first one counts."""
+    """Edits (doc_id, body, start, end, replacement) that replace what the rules find; of findings
+    that overlap the first one counts. ``body`` is a hash of the text in which they were found."""
 
     def find(batches):
         ready = [(rule, re.compile(rule.pattern, rule.flags)) for rule in rules]
         for batch in batches:
             found = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), values(batch, "text"), strict=True):
+            rows = zip(batch.column("doc_id").to_pylist(), batch.column("body").to_pylist(), values(batch, "text"), strict=True)
+            for doc, body, text in rows:
                 text, done = text.decode(), 0
                 for start, end in sorted(span for rule, compiled in ready for span in rule.spans(text, compiled)):
                     if start >= done:
-                        found.append((doc, start, end))
+                        found.append((doc, body, start, end))
                         done = end
-            ids, starts, ends = zip(*found, strict=True) if found else ((), (), ())
+            columns = zip(*found, strict=True) if found else [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())],
-                names=["doc_id", "start", "end"],
+                [pa.array(column, pa.int64()) for column in columns], names=["doc_id", "body", "start", "end"]
             )
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(find, "doc_id long, start long, end long").withColumn("replacement", F.lit(replacement))
+    edits = _rows(documents).mapInArrow(find, "doc_id long, body long, start long, end long")
+    return edits.withColumn("replacement", F.lit(replacement))

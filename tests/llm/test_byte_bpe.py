@@ -73,6 +73,39 @@ def test_counts_follow_edits(spark, library):
         assert result[doc].text == (text if own else None)
 
 
+@pytest.mark.parametrize("spread", [1, 2, 5])
+def test_edits_touch_only_the_text_they_were_found_in(spark, library, spread):
+    """One doc_id on several texts, and rows that are repeated."""
+    mail, plain = "mail joe@example.org now", "nothing of the kind stands in this text"
+    rows = [(1, mail, "x", 7), (1, plain, "y", 8), (1, mail, "z", 9), (2, plain, "x", 1), (None, mail, "x", 2), (1, None, "x", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, body string, n_edits int").repartition(spread)
+    edits = redactions(df)
+    got = recount_edited(df, edits, VOCABULARY).collect()
+    count = lambda text: len(library.encode_ordinary(text))
+    done = "mail [removed] now"
+    want = [(1, count(mail), 1, count(done), done)] * 2 + [(1, count(plain), 0, count(plain), None)]
+    want += [(2, count(plain), 0, count(plain), None), (None, count(mail), 0, count(mail), None), (1, 0, 0, 0, None)]
+    assert sorted(((r.doc_id, r.n_tokens, r.n_edits, r.n_tokens_after, r.text) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_of_overlapping_edits_the_first_counts(spark, library):
+    text = "zero one two three four five"
+    edits = [(1, 5, 12, "A"), (1, 9, 18, "B"), (1, 5, 8, "C"), (1, 8, 8, "+"), (1, -4, 2, "D"), (1, 24, 99, "E"), (1, 30, 20, "F")]
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    frame = spark.createDataFrame(edits, "doc_id long, start long, end long, replacement string")
+    row = recount_edited(df, frame, VOCABULARY).first()
+    left, out = 0, []
+    for start, end, new in sorted((min(max(s, 0), 28), e, n) for _, s, e, n in edits):
+        end = max(min(end, 28), start)
+        if start >= left:
+            out.append((start, end, new))
+            left = end
+    want = text
+    for start, end, new in reversed(out):
+        want = want[:start] + new + want[end:]
+    assert row.text == want and row.n_edits == len(out) and row.n_tokens_after == len(library.encode_ordinary(want))
+
+
 def test_only_the_edited_region_is_split(spark):
     text = "some words " * 5000
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
@@ -85,7 +118,7 @@ def test_count_query(spark, library):
     edits = redactions(documents).collect()
     got = {r.doc_id: r for r in QUERIES["op5_token_counts"](spark, "/root/testdata/sf0.001").collect()}
     for doc, text in documents.collect():
-        own = sorted((e for e in edits if e.doc_id == doc), key=lambda e: -e.start)
+        own = sorted((e for e in edits if e.doc_id == doc), key=lambda e: -e.start)  # ids are unique here
         assert got[doc].n_tokens == len(library.encode_ordinary(text))
         for e in own:
             text = text[: e.start] + e.replacement + text[e.end :]
