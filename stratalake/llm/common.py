@@ -21,6 +21,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, whatever they are called."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
+def new_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores in front as far as ``df`` has a column of that name, in
+    either case."""
+    taken = {name.lower() for name in df.columns}
+    found = []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        taken.add(name)
+        found.append(name)
+    return found
+
+
 def hash_sample(rows: DataFrame, key: list[str], most: int) -> DataFrame:
     """At most ``most`` rows, those whose ``key`` has the smallest hash: the same ones however the
     rows are spread. Rows far from being among them are passed over in the scan, so that what tasks

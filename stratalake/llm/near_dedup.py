@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratalake.llm.common import mixed, staged, values, window_hashes, word_hashes
+from stratalake.llm.common import columns_of, mixed, new_names, staged, values, window_hashes, word_hashes
 from stratalake.llm.components import connected_components
 
 
@@ -330,14 +330,37 @@ def similar_documents(documents: DataFrame, settings: NearDedup = NearDedup()) -
     )
 
 
+def _numbered(rows: DataFrame) -> DataFrame | None:
+    """(doc_id, body, id), if a doc_id stands on several texts: a number for each of them, by
+    rising doc_id and body. None if every doc_id has one text."""
+    several = rows.groupBy("doc_id").agg(F.min("body").alias("low"), F.max("body").alias("high"))
+    if several.where("low <> high").isEmpty():
+        return None
+    distinct = rows.select("doc_id", "body").distinct()
+    return staged(distinct.orderBy("doc_id", "body").withColumn("id", F.monotonically_increasing_id()), "numbered")
+
+
 def drop_similar(documents: DataFrame, settings: NearDedup = NearDedup()) -> DataFrame:
-    """``documents`` without those that are linked, directly or not, to one with a smaller doc_id.
-    Of rows with the same doc_id one stays; rows without doc_id all stay."""
-    kept = similar_documents(documents, settings).where("kept and doc_id is not null").select("doc_id").distinct()
-    known = documents.where("doc_id is not null")
-    return (
-        known.join(kept, "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"])
-        .unionByName(documents.where("doc_id is null"))
-        .select(documents.columns)
-    )
+    """``documents`` without those whose text is linked, directly or not, to one of a smaller doc_id.
+
+    Each row is judged by its own text, also where a doc_id stands on several: of linked texts with
+    the same doc_id one stays, that of the smallest hash, and those that are linked with nothing
+    all do. Of rows with the same doc_id and text one stays. Rows without doc_id all stay.
+    """
+    key, text_hash, kept_id, kept_body = new_names(documents, "key", "body", "kept_id", "kept_body")
+    hashed = documents.withColumns({key: F.col("doc_id").cast("long"), text_hash: F.xxhash64("text")})
+    rows = hashed.select(F.col(key).alias("doc_id"), F.col(text_hash).alias("body"), "text").where("doc_id is not null")
+    numbers = _numbered(rows)
+    if numbers is None:
+        judged = similar_documents(rows.select("doc_id", "text"), settings)
+        kept = judged.where("kept").select(F.col("doc_id").alias(kept_id)).distinct()
+        matches = F.col(key) == F.col(kept_id)
+    else:
+        texts = rows.join(numbers, ["doc_id", "body"]).select(F.col("id").alias("doc_id"), "text")
+        judged = similar_documents(texts, settings).where("kept").select(F.col("doc_id").alias("id")).distinct()
+        kept = numbers.join(judged, "id", "left_semi").select(
+            F.col("doc_id").alias(kept_id), F.col("body").alias(kept_body)
+        )
+        matches = (F.col(key) == F.col(kept_id)) & (F.col(text_hash) == F.col(kept_body))
+    known = hashed.where(F.col(key).isNotNull()).join(kept, matches, "left_semi").dropDuplicates([key, text_hash])
+    return known.select(columns_of(documents)).unionByName(documents.where(F.col("doc_id").isNull()))

@@ -82,3 +82,23 @@ def test_components_of_chains_and_stars(spark):
     loop = spark.createDataFrame([(200, 200), (None, 3)], "a long, b long")
     got = {r.node: r.component for r in connected_components(chain.union(star).union(loop)).collect()}
     assert got == {i: 0 for i in range(60)} | {i: 100 for i in range(100, 160)}
+
+
+@pytest.mark.parametrize("spread", [1, 2, 3, 7])
+def test_rows_are_judged_by_their_own_text(spark, spread):
+    """A doc_id on several texts: which of them goes does not depend on how the rows are spread."""
+    r = random.Random(11)
+    x, y, z, w = (" ".join(f"w{r.randrange(10**6)}" for _ in range(60)) for _ in range(4))
+    rows = [(3, x), (5, x), (5, y), (5, y), (7, z + " end"), (7, z), (8, z), (9, w), (9, w + " more"), (4, w), (5, None), (5, "")]
+    df = spark.createDataFrame([(doc, text, n) for n, (doc, text) in enumerate(rows)], "doc_id long, text string, `a.b` int")
+    got = drop_similar(df.repartition(spread), NearDedup(words=5, percent=80, least_shared=0.5))
+    assert got.columns == df.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert len([k for k in kept if k[0] == 7]) == 1  # one of two texts that are linked
+    assert sorted((k for k in kept if k[0] != 7), key=str) == sorted([(3, x), (5, y), (4, w), (5, None), (5, "")], key=str)
+
+
+def test_names_that_clash(spark):
+    df = spark.createDataFrame([(1, "a b c", 1, 2, 3, 4, 5), (2, "a b c", 1, 2, 3, 4, 5)], "doc_id long, text string, key int, `Body` int, kept_id int, kept int, `x``y.z` int")
+    got = drop_similar(df)
+    assert got.columns == df.columns and [tuple(r) for r in got.collect()] == [(1, "a b c", 1, 2, 3, 4, 5)]
