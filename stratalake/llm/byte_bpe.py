@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from stratalake.llm.common import values
+from stratalake.llm.common import columns_of, new_names, values
 
 
 MOST_IDS, MOST_ROWS = 1_000_000, 256  # in a batch that a task hands on
@@ -160,8 +160,9 @@ def encode(
     is_long = F.coalesce(F.length("text") > chunk, F.lit(False))
     short = _with_ids(rows.where(~is_long), shared, "text")
 
-    long = rows.where(is_long).withColumn("__key", F.sha2("text", 256))
-    texts = long.select(F.col("__key").alias("key"), "text").dropDuplicates(["key"])
+    (key,) = new_names(documents, "key")
+    long = rows.where(is_long).withColumn(key, F.sha2("text", 256))
+    texts = long.select(F.col(key).alias("key"), "text").dropDuplicates(["key"])
     parts = _with_ids(_stitched(texts, shared, chunk, overlap), shared, "piece", "upto")
     whole = (
         parts.groupBy("key")
@@ -170,10 +171,10 @@ def encode(
             F.bool_and(F.col("piece").isNotNull()).alias("stitched"),
         )
         .where("stitched")
-        .select(F.col("key").alias("__key"), F.flatten("parts.ids").alias("ids"))
+        .select(F.col("key").alias(key), F.flatten("parts.ids").alias("ids"))
     )
-    joined = long.join(whole, "__key", "left")
-    columns = [c for c in rows.columns]
+    joined = long.join(whole, key, "left")
+    columns = columns_of(rows)
     done = joined.where("ids is not null").select(*columns, "ids")
     apart = _with_ids(joined.where("ids is null").select(*columns), shared, "text")
     return short.unionByName(done).unionByName(apart)

@@ -1,27 +1,30 @@
-"""Test items in training texts: n-gram seeds, then local alignment."""
+"""Test items in training texts: rare n-gram seeds, then local alignment."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from stratalake.llm.common import staged, values, window_hashes, word_hashes
+from stratalake.llm.common import columns_of, mixed, staged, values, word_hashes
 from stratalake.llm.toxicity import CLEAN
 
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
 
 @dataclass(frozen=True)
 class Alignment:
-    """``seed``: words in a seed; all n-grams of an item are seeds. ``score``: least share of the best
-    possible alignment score; items of fewer than ``short`` words have to stand in a text word by
-    word. ``sent``: bytes of n-gram hashes up to which they are sent to every task; beyond it
-    n-grams are joined by a shuffle."""
+    """``score``: least share of the best possible alignment score; items of fewer than ``short`` words
+    have to stand in a text word by word. ``seeds``: how many seeds of an item a text needs to be
+    aligned with it, if the item has as many that no copy can lose. ``sent``: bytes of n-gram hashes
+    up to which they are sent to every task; beyond it n-grams are joined by a shuffle."""
 
-    seed: int = 3
     score: float = 0.5
     short: int = 8
+    seeds: int = 3
     match: int = 2
     mismatch: int = 1
     gap: int = 1
@@ -32,31 +35,82 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(CLEAN).split()
 
 
-def grams(words: list[bytes], width: int) -> np.ndarray:
+def least_score(size: int, settings: Alignment) -> float:
+    """The share of the best score that an item of so many words has to reach."""
+    return 1 if size < settings.short else settings.score
+
+
+def surviving(size: int, settings: Alignment) -> int:
+    """How many pairs of neighbouring matches, with at most one edit between the two, any alignment
+    has that reaches the least score of an item of ``size`` words.
+
+    An alignment with M matches and E edits scores at most match * M - c * E, where c is what an
+    edit costs at least. So E is at most match / c * (M - share * size). Of the M - 1 pairs at most
+    E / 2 have two edits or more between them. What is left is least at one end of what M can be.
+    """
+    share = least_score(size, settings)
+    each = settings.match / min(settings.mismatch, settings.gap) / 2
+    left = (m - 1 - each * (m - share * size) for m in (share * size, size))
+    return max(ceil(min(left) - 1e-9), 0)
+
+
+def most_edits(size: int, settings: Alignment) -> int:
+    """How many edits an alignment with an item can have at most that reaches the least score."""
+    share = least_score(size, settings)
+    return int(settings.match / min(settings.mismatch, settings.gap) * (size - share * size) + 1e-9)
+
+
+def pair_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all pairs of words that are neighbours or have one word between them, the same for
+    both kinds, and where each begins. A single word is a pair with itself."""
     if not words:
-        return np.empty(0, np.int64)
-    return window_hashes(word_hashes(words), min(width, len(words))).view(np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    hashes = word_hashes(words)
+    ends = [hashes[1:], hashes[2:]] if len(hashes) > 1 else [hashes]
+    found = [mixed(hashes[: len(end)] * FACTOR + end) for end in ends]
+    return np.concatenate(found).view(np.int64), np.concatenate([np.arange(len(f)) for f in found])
+
+
+def single_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    hashes = word_hashes(words)
+    return mixed(hashes * FACTOR + hashes).view(np.int64), np.arange(len(hashes))
 
 
 def _item_grams(items: DataFrame, settings: Alignment) -> DataFrame:
+    """(item_id, item, size, needed, kept, gram, offset): the pairs of each item; of the places where
+    they begin the ``kept`` rarest are enough for a copy to have ``needed`` of them."""
+
     def cut(batches):
         for batch in batches:
-            for item, text in zip(batch.column("item_id"), values(batch, "text"), strict=True):
-                found = grams(words_of(text), settings.seed)
+            for id_, item, text in zip(batch.column("item_id"), batch.column("item"), values(batch, "text"), strict=True):
+                words = words_of(text)
+                if not words:
+                    continue
+                found, offsets = pair_grams(words)
+                places = max(len(words) - 1, 1)
+                sure = max(surviving(len(words), settings), 1)
+                needed = min(settings.seeds, sure)
+                constant = {"item_id": id_.as_py(), "item": item.as_py(), "size": len(words), "needed": needed, "kept": places - (sure - needed)}
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([item.as_py()] * len(found), pa.int64()),
+                        *(pa.array(np.full(len(found), value, np.int64)) for value in constant.values()),
                         pa.array(found),
-                        pa.array(np.arange(len(found), dtype=np.int32)),
+                        pa.array(offsets),
                     ],
-                    names=["item_id", "gram", "offset"],
+                    names=[*constant, "gram", "offset"],
                 )
 
-    return items.mapInArrow(cut, "item_id long, gram long, offset int")
+    return items.mapInArrow(
+        cut, "item_id long, item long, size long, needed long, kept long, gram long, offset long"
+    )
 
 
-def _text_grams(rows: DataFrame, settings: Alignment, widths: list[int], known) -> DataFrame:
-    """(doc_id, body, pos, gram), of the grams in ``known`` if there is such a list."""
+def _hits(rows: DataFrame, grams: DataFrame, settings: Alignment, singles: bool) -> DataFrame:
+    """(doc_id, body, pos, gram): where the ``grams`` (gram) stand in texts."""
+    known = None
+    if grams.count() * 8 <= settings.sent:
+        wanted = np.sort(grams.toArrow().column("gram").to_numpy())
+        known = rows.sparkSession.sparkContext.broadcast(wanted if len(wanted) else np.zeros(1, np.int64))
 
     def cut(batches):
         wanted = None if known is None else known.value
@@ -64,18 +118,13 @@ def _text_grams(rows: DataFrame, settings: Alignment, widths: list[int], known)
             at, pos, found = [], [], []
             for i, text in enumerate(values(batch, "text")):
                 words = words_of(text)
-                hashes = word_hashes(words)
-                for width in widths:
-                    if len(words) < width:
-                        continue
-                    own = window_hashes(hashes, width).view(np.int64)
-                    if wanted is None:
-                        hit = np.arange(len(own))
-                    else:
+                for own, places in [pair_grams(words)] + ([single_grams(words)] if singles and len(words) > 1 else []):
+                    hit = np.arange(len(own))
+                    if wanted is not None:
                         near = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
                         hit = np.flatnonzero(wanted[near] == own)
                     at.append(np.full(len(hit), i))
-                    pos.append(hit)
+                    pos.append(places[hit])
                     found.append(own[hit])
             if at:
                 index = pa.array(np.concatenate(at))
@@ -83,67 +132,76 @@ def _text_grams(rows: DataFrame, settings: Alignment, widths: list[int], known)
                     [
                         batch.column("doc_id").take(index),
                         batch.column("body").take(index),
-                        pa.array(np.concatenate(pos).astype(np.int32)),
+                        pa.array(np.concatenate(pos)),
                         pa.array(np.concatenate(found)),
                     ],
                     names=["doc_id", "body", "pos", "gram"],
                 )
 
-    return rows.mapInArrow(cut, "doc_id long, body long, pos int, gram long")
-
+    hits = rows.mapInArrow(cut, "doc_id long, body long, pos long, gram long")
+    return hits if known is not None else hits.join(grams, "gram", "left_semi")
 
-def align(item: np.ndarray, text: np.ndarray, settings: Alignment) -> tuple[int, int, int]:
-    """Smith-Waterman with linear gaps: score, first word and end of the best stretch of ``text``.
 
-    A row is computed at once: what a gap in the row carries on is a running maximum.
-    """
-    m = len(text)
-    slope = settings.gap * np.arange(m + 1)
-    table = np.zeros((len(item) + 1, m + 1), np.int32)
-    for i, word in enumerate(item, 1):
-        above = table[i - 1]
-        row = np.zeros(m + 1, np.int32)
-        row[1:] = np.maximum(above[:-1] + np.where(text == word, settings.match, -settings.mismatch), above[1:] - settings.gap)
-        table[i] = np.maximum(np.maximum.accumulate(np.maximum(row, 0) + slope) - slope, 0)
-    i, j = np.unravel_index(np.argmax(table), table.shape)
-    best, end = int(table[i, j]), int(j)
-    while i > 0 and j > 0 and table[i, j] > 0:
-        step = settings.match if item[i - 1] == text[j - 1] else -settings.mismatch
-        if table[i, j] == table[i - 1, j - 1] + step:
-            i, j = i - 1, j - 1
-        elif table[i, j] == table[i - 1, j] - settings.gap:
-            i -= 1
-        else:
-            j -= 1
-    return best, int(j), end
+def _gram_counts(rows: DataFrame, grams: DataFrame, settings: Alignment, singles: bool) -> DataFrame:
+    """(gram, n): how often each of the ``grams`` stands in all texts; those that never do are left out."""
+    hits = _hits(rows, grams, settings, singles)
+    return hits.groupBy("gram").agg(F.count("*").alias("n"))
 
 
-def least_score(item: list[bytes], settings: Alignment) -> float:
-    return 1 if len(item) < settings.short else settings.score
+def _row_scores(left: np.ndarray, text: np.ndarray, settings: Alignment, local: bool):
+    """Row after row the table of best scores of alignments that end at a word of each; those begin
+    anywhere (``local``) or at the first words. A row is computed at once: what a gap in the row
+    carries on is a running maximum."""
+    slope = settings.gap * np.arange(len(text) + 1)
+    above = np.zeros(len(text) + 1, np.int64) if local else -slope
+    yield above
+    for word in left:
+        row = np.empty_like(above)
+        row[0] = 0 if local else above[0] - settings.gap
+        row[1:] = np.maximum(above[:-1] + np.where(text == word, settings.match, -settings.mismatch), above[1:] - settings.gap)
+        if local:
+            np.maximum(row, 0, out=row)
+        above = np.maximum.accumulate(row + slope) - slope
+        yield above
 
 
-def best_alignment(item: list[bytes], words: list[bytes], starts: list[int], settings: Alignment):
-    """The best alignment near places where the item would begin, and its share of the best score.
+def align(item: np.ndarray, text: np.ndarray, settings: Alignment) -> tuple[int, int, int]:
+    """Smith-Waterman with linear gaps: score, first word and end of the best stretch of ``text``.
 
-    Places with too few words of the item for the least score that counts are not aligned.
+    Two rows are kept. Where the stretch begins is found from its end, backwards.
     """
-    number: dict[bytes, int] = {}
-    own = np.array([number.setdefault(word, len(number)) for word in item])
-    times = np.bincount(own)
-    least = least_score(item, settings) * len(item)
-    starts, best, at = sorted(starts), (-1, 0, 0), 0
-    while at < len(starts):
+    best, last, end = 0, 0, 0
+    for i, row in enumerate(_row_scores(item, text, settings, local=True)):
+        if row.max() > best:
+            best, last, end = int(row.max()), i, int(row.argmax())
+    for row in _row_scores(item[:last][::-1], text[:end][::-1], settings, local=False):
+        if best and row.max() == best:
+            return best, end - int(row.argmax()), end
+    return 0, 0, 0
+
+
+def windows_around(hits: list[tuple[int, int]], size: int, edits: int, needed: int, words: int):
+    """(first, end) of windows of a text that hold every alignment an item of ``size`` words can have
+    by its seeds, with at most so many ``edits``; ``hits``: (where the item would begin, offset of
+    the seed).
+
+    An alignment is at most ``size + edits`` words long, and what its seeds say of where the item
+    begins differs by ``edits`` at most. So all of them lie in one region around such hits, of which
+    every stretch of that length is in one of the windows.
+    """
+    hits, at, long = sorted(hits), 0, size + edits
+    while at < len(hits):
         upto = at
-        while upto + 1 < len(starts) and starts[upto + 1] - starts[upto] <= len(item):
+        while upto + 1 < len(hits) and hits[upto + 1][0] - hits[upto][0] <= edits:
             upto += 1
-        first = max(starts[at] - len(item) // 2, 0)
-        part = words[first : starts[upto] + len(item) + len(item) // 2]
-        text = np.array([number.get(word, -1) for word in part])
-        if np.minimum(np.bincount(text[text >= 0], minlength=len(times)), times).sum() >= least:
-            score, begin, end = align(own, text, settings)
-            best = max(best, (score, -(first + begin), first + end))
+        if len({offset for _, offset in hits[at : upto + 1]}) >= needed:
+            first, end = max(hits[at][0] - edits, 0), min(hits[upto][0] + long, words)
+            while True:
+                yield first, min(first + 2 * long, end)
+                if first + 2 * long >= end:
+                    break
+                first += long
         at = upto + 1
-    return best[0] / (settings.match * len(item)), -best[1], best[2]
 
 
 def find_leaks(documents: DataFrame, items: DataFrame, settings: Alignment = Alignment()) -> DataFrame:
@@ -151,71 +209,106 @@ def find_leaks(documents: DataFrame, items: DataFrame, settings: Alignment = Ali
     text) whose best local alignment of words reaches ``settings.score``; the aligned words are
     ``first`` to before ``end``, in words without punctuation and ASCII case.
 
-    1. The n-grams of items are looked up in all texts. All of them are seeds, also the common ones:
-       parts of an item that have leaked into many texts are what makes its n-grams common.
-    2. A text with two seeds of an item (or one, of items with a single one) is aligned with it,
-       around the places where the seeds say that the item begins.
+    1. Seeds are pairs of words that are neighbours or have one word between them. Their counts over
+       all texts say which are rare. An alignment that reaches the score keeps a certain number of
+       pairs whatever was edited (``surviving``), so an item can do without its commonest places and
+       still has ``settings.seeds`` in every copy: the rarest seeds find all copies.
+    2. A text with that many seeds of an item hands on the windows around them.
+    3. Windows with enough of the item's words are aligned with it.
+    No pair that reaches the score is missed, if match is at most twice what an edit costs or the
+    score is high enough for ``surviving`` to be above zero.
 
     Null or blank texts and items match nothing, null ids neither. Rows that repeat an id are each
     judged by their own text; a pair is returned once, with its best score. Other columns are ignored.
     """
-    spark = documents.sparkSession
     items = items.where("item_id is not null").select(
         F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")
-    ).distinct()
+    ).distinct().withColumn("item", F.xxhash64("text"))
     own = staged(_item_grams(items, settings), "item-grams")
     rows = (
         documents.where("doc_id is not null and text is not null")
         .select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .withColumn("body", F.xxhash64("text"))
     )
-    distinct = own.select("gram").distinct()
-    widths = list(range(1, settings.seed + 1))
-    if distinct.count() * 8 <= settings.sent:
-        wanted = np.sort(distinct.toArrow().column("gram").to_numpy())
-        if not len(wanted):
-            wanted = np.zeros(1, np.int64)
-        hits = _text_grams(rows, settings, widths, spark.sparkContext.broadcast(wanted))
-    else:
-        hits = _text_grams(rows, settings, widths, None).join(distinct, "gram", "left_semi")
-    needed = own.groupBy("item_id").agg(F.least(F.count("*"), F.lit(2)).alias("needed"))
+    singles = not own.where("size = 1").isEmpty()
+    counts = staged(_gram_counts(rows, own.select("gram").distinct(), settings, singles), "gram-counts")
+    place = ["item_id", "item", "offset"]
+    by_rarity = Window.partitionBy("item_id", "item").orderBy("n", "offset")
+    rare = (
+        own.join(counts, "gram", "left")
+        .groupBy(*place, "kept")
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        .withColumn("rank", F.row_number().over(by_rarity))
+        .where("rank <= kept")
+        .select(place)
+    )
+    seeds = staged(own.join(rare, place).select(*place, "size", "needed", "gram"), "seeds")
+    hits = _hits(rows, seeds.select("gram").distinct(), settings, singles)
+    item = ["item_id", "item", "size", "needed"]
     found = (
-        hits.join(own, "gram")
-        .groupBy("doc_id", "body", "item_id")
-        .agg(
-            F.count_distinct("gram", "offset").alias("seeds"),
-            F.collect_set(F.col("pos") - F.col("offset")).alias("starts"),
-        )
-        .join(needed, "item_id")
-        .where("seeds >= needed")
-        .join(items.withColumnRenamed("text", "item"), "item_id")
+        hits.join(seeds, "gram")
+        .groupBy("doc_id", "body", *item)
+        .agg(F.collect_set(F.struct((F.col("pos") - F.col("offset")).alias("start"), "offset")).alias("hits"))
+        .where(F.size(F.array_distinct("hits.offset")) >= F.col("needed"))
         .groupBy("doc_id", "body")
-        .agg(F.collect_list(F.struct("item_id", "item", "starts")).alias("found"))
+        .agg(F.collect_list(F.struct(*item, "hits")).alias("found"))
     )
 
-    def judge(batches):
+    def cut(batches):
         for batch in batches:
-            out = []
-            texts = zip(batch.column("doc_id").to_pylist(), batch.column("found"), values(batch, "text"), strict=True)
-            for doc, found, text in texts:
-                words = words_of(text)
+            for doc, found, text in zip(batch.column("doc_id").to_pylist(), batch.column("found"), values(batch, "text"), strict=True):
+                words, out = words_of(text), []
                 for one in found.as_py():
-                    item = words_of(one["item"].encode())
-                    score, first, end = best_alignment(item, words, one["starts"], settings)
-                    if score >= least_score(item, settings):
-                        out.append((doc, one["item_id"], score, first, end))
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
+                    hits = [(hit["start"], hit["offset"]) for hit in one["hits"]]
+                    edits = most_edits(one["size"], settings)
+                    for first, end in windows_around(hits, one["size"], edits, one["needed"], len(words)):
+                        out.append((doc, one["item_id"], one["item"], first, b" ".join(words[first:end])))
+                columns = list(zip(*out, strict=True)) or [()] * 5
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                    names=["doc_id", "item_id", "item", "from", "part"],
+                )
+
+    windows = rows.join(found, ["doc_id", "body"]).select("doc_id", "found", "text").mapInArrow(
+        cut, "doc_id long, item_id long, item long, from long, part binary"
+    )
+
+    def judge(batches):
+        number, own, known = {}, None, None
+        for batch in batches:
+            scores, firsts, ends = [], [], []
+            columns = zip(batch.column("from").to_pylist(), values(batch, "part"), values(batch, "text"), strict=True)
+            for start, part, text in columns:
+                if text != known:
+                    known, number = text, {}
+                    own = np.array([number.setdefault(word, len(number)) for word in words_of(text)])
+                    times, least = np.bincount(own), least_score(len(own), settings)
+                words = np.array([number.get(word, -1) for word in part.split()])
+                score = first = end = 0
+                if np.minimum(np.bincount(words[words >= 0], minlength=len(times)), times).sum() >= least * len(own):
+                    score, first, end = align(own, words, settings)
+                share = score / (settings.match * len(own))
+                scores.append(share if share >= least else None)
+                firsts.append(start + first)
+                ends.append(start + end)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                [
+                    batch.column("doc_id"),
+                    batch.column("item_id"),
+                    pa.array(scores, pa.float64()),
+                    pa.array(firsts, pa.int32()),
+                    pa.array(ends, pa.int32()),
+                ],
                 names=["doc_id", "item_id", "score", "first", "end"],
             )
 
-    judged = rows.join(found, ["doc_id", "body"]).select("doc_id", "found", "text").mapInArrow(
+    judged = windows.join(items, ["item_id", "item"]).select("doc_id", "item_id", "from", "part", "text").mapInArrow(
         judge, "doc_id long, item_id long, score double, first int, end int"
     )
     return (
-        judged.groupBy("doc_id", "item_id")
+        judged.where("score is not null")
+        .groupBy("doc_id", "item_id")
         .agg(F.max_by(F.struct("score", "first", "end"), F.struct("score", -F.col("first"))).alias("best"))
         .select("doc_id", "item_id", "best.score", "best.first", "best.end")
     )
@@ -224,4 +317,4 @@ def find_leaks(documents: DataFrame, items: DataFrame, settings: Alignment = Ali
 def drop_leaks(documents: DataFrame, items: DataFrame, settings: Alignment = Alignment()) -> DataFrame:
     """``documents`` without those in which a test item was found."""
     leaks = find_leaks(documents, items, settings).select("doc_id").distinct()
-    return documents.join(leaks, "doc_id", "left_anti").select(documents.columns)
+    return documents.join(leaks, "doc_id", "left_anti").select(columns_of(documents))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from stratalake.files import exists
-from stratalake.llm.common import values
+from stratalake.llm.common import columns_of, new_names, values
 
 LEDGER = "blob string, rules array<string>, findings array<struct<kind:string,start:long,end:long,rule:string>>"
 
@@ -186,19 +186,20 @@ def redact(documents: DataFrame, found: DataFrame, mark: str = "[secret]") -> Da
     """``documents`` with ``mark`` in place of the findings in ``text``; spans that overlap or touch
     become one mark. ``found``: what ``scan_history`` returned for these texts. ``n_chars``, if there
     is such a column, follows. Other columns and null texts stay as they are."""
+    blob, spans = new_names(documents, "blob", "spans")
     blobs = (
         found.where(F.size("findings") > 0)
-        .select(F.col("blob").alias("__blob"), F.col("findings").alias("__findings"))
-        .dropDuplicates(["__blob"])
+        .select(F.col("blob").alias(blob), F.col("findings").alias(spans))
+        .dropDuplicates([blob])
     )
-    rows = documents.withColumn("__blob", F.sha2(F.coalesce("text", F.lit("")), 256))
-    joined = rows.join(blobs, "__blob", "left").drop("__blob")
+    rows = documents.withColumn(blob, F.sha2(F.coalesce("text", F.lit("")), 256))
+    joined = rows.join(blobs, blob, "left").drop(blob)
     names = documents.columns
 
     def replace(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for i, findings in enumerate(batch.column("__findings").to_pylist()):
+            for i, findings in enumerate(batch.column(spans).to_pylist()):
                 if findings and texts[i] is not None:
                     text, parts, done = texts[i], [], 0
                     for start, end in sorted((x["start"], x["end"]) for x in findings):
@@ -209,8 +210,8 @@ def redact(documents: DataFrame, found: DataFrame, mark: str = "[secret]") -> Da
             columns = [pa.array(texts, pa.string()) if name == "text" else batch.column(name) for name in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    touched = joined.where("__findings is not null").mapInArrow(replace, documents.schema)
+    touched = joined.where(F.col(spans).isNotNull()).mapInArrow(replace, documents.schema)
     if "n_chars" in names:
         size = F.length("text").cast(documents.schema["n_chars"].dataType)
         touched = touched.withColumn("n_chars", size)
-    return joined.where("__findings is null").select(names).unionByName(touched)
+    return joined.where(F.col(spans).isNull()).select(columns_of(documents)).unionByName(touched)

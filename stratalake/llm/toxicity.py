@@ -272,7 +272,8 @@ class ToxicityNet:
 
 def training_windows(documents: DataFrame, labels: DataFrame, settings: ToxicityTraining):
     """Windows and labels of at most ``settings.documents`` documents a class, those with the
-    smallest hash of the doc_id. Documents with contradicting labels teach nothing."""
+    smallest hash of the doc_id. Documents with contradicting labels teach nothing; of several texts
+    with the same doc_id the one with the smallest hash does."""
     known = (
         labels.where("doc_id is not null and toxic is not null")
         .groupBy("doc_id")
@@ -299,7 +300,8 @@ def training_windows(documents: DataFrame, labels: DataFrame, settings: Toxicity
             )
 
     # At most two times settings.documents ids, which Spark knows from the limits and sends along.
-    chosen = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id")
+    chosen = texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = chosen.mapInArrow(cut, "doc_id long, toxic int, windows array<binary>").collect()
     rows.sort(key=lambda row: (row.doc_id, row.windows))
     return [[bytes(w).split() for w in row.windows] for row in rows], np.array([row.toxic for row in rows], np.int64)
@@ -345,3 +347,18 @@ def score_toxicity(documents: DataFrame, net: ToxicityNet) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, "score"])
 
     return rows.mapInArrow(score, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
+
+
+def drop_toxic(documents: DataFrame, net: ToxicityNet, least: float = 0.5) -> DataFrame:
+    """``documents`` without those whose text scores ``least`` or more; all columns stay as they are."""
+    context = documents.sparkSession.sparkContext
+    parts = context.broadcast((net.settings.__dict__, net.words, net.p))  # bounded by the settings
+
+    def keep(batches):
+        settings, words, parameters = parts.value
+        ready = ToxicityNet(ToxicityTraining(**settings), words, parameters)
+        for batch in batches:
+            scores = np.asarray(ready.document_scores(values(batch, "text")))
+            yield batch.filter(pa.array(scores < least))
+
+    return documents.mapInArrow(keep, documents.schema)

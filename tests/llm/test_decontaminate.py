@@ -3,7 +3,20 @@ import random
 import numpy as np
 import pytest
 
-from stratalake.llm.decontaminate import Alignment, align, drop_leaks, find_leaks
+from stratalake.llm.decontaminate import (
+    Alignment,
+    align,
+    drop_leaks,
+    find_leaks,
+    least_score,
+    most_edits,
+    surviving,
+    windows_around,
+    words_of,
+)
+from stratalake.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def plain_score(a, b, s):
@@ -24,6 +37,129 @@ def test_alignment_equals_the_plain_recurrence():
         assert score == 0 or plain_score(a.tolist(), b[first:end].tolist(), Alignment()) == score
 
 
+def brute_force(docs, items, settings=Alignment()):
+    """{(doc, item): score} of all pairs, by aligning each text as a whole."""
+    out = {}
+    for doc, text in docs:
+        words = words_of((text or "").encode())
+        for item, wanted in items:
+            own = words_of((wanted or "").encode())
+            number = {w: n for n, w in enumerate(dict.fromkeys(own))}
+            if doc is None or item is None or not own or not words:
+                continue
+            a, b = (np.array([number.get(w, -1) for w in x]) for x in (own, words))
+            score = align(a, b, settings)[0] / (settings.match * len(own))
+            if score >= least_score(len(own), settings):
+                out[doc, item] = max(score, out.get((doc, item), 0))
+    return out
+
+
+def leaks_of(spark, docs, items, settings=Alignment()):
+    got = find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+        spark.createDataFrame(items, "item_id long, text string"),
+        settings,
+    ).collect()
+    return {(r.doc_id, r.item_id): r.score for r in got}
+
+
+def edited(words, pattern, r):
+    """A copy with edits of some pattern, most of which take it near the limit."""
+    other = lambda: f"z{r.randrange(10**6)}"
+    n = len(words)
+    if pattern == "every third word":
+        return [other() if i % 3 == 2 else w for i, w in enumerate(words)]
+    if pattern == "every second word of half":
+        return [other() if i % 2 and i < n // 2 else w for i, w in enumerate(words)]
+    if pattern == "a word between all":
+        return [x for w in words for x in (w, other())]
+    if pattern == "every fourth word gone":
+        return [w for i, w in enumerate(words) if i % 4 != 3]
+    if pattern == "every third word gone":
+        return [w for i, w in enumerate(words) if i % 3 != 2]
+    if pattern == "half":
+        return words[n // 4 : n // 4 + n // 2 + 1]
+    if pattern == "blocks":
+        return [w for i in range(0, n, 9) for w in [*words[i : i + 9], other(), other(), other()]]
+    out = list(words)
+    for _ in range(int(n * {"random few": 0.1, "random many": 0.33, "random most": 0.5}[pattern])):
+        i = r.randrange(len(out))
+        out[i : i + 1] = r.choice([[other()], [], [out[i], other()]])
+    return out
+
+
+PATTERNS = [
+    "every third word", "every second word of half", "a word between all", "every fourth word gone",
+    "every third word gone", "half", "blocks", "random few", "random many", "random most",
+]
+
+
+@pytest.mark.parametrize("settings", [Alignment(), Alignment(seeds=1), Alignment(seeds=9, score=0.4), Alignment(sent=0)])
+def test_every_copy_that_reaches_the_score_is_found(spark, settings):
+    """Copies of 50-word items by ten patterns of edits, against all pairs."""
+    r = random.Random(5)
+    common = [f"c{i}" for i in range(15)]
+    items = [(i, " ".join(f"i{r.randrange(400)}" if r.random() < 0.5 else r.choice(common) for _ in range(50))) for i in range(6)]
+    items += [(90, "three common words"), (91, "c1 c2 c3 c4 c5 c6 c7 c8"), (92, "c1"), (93, "c3 c3 c3 c3 c3 c3 c3 c3 c3 c3")]
+    docs = []
+    for n in range(120):
+        copy = edited(r.choice(items[:6])[1].split(), PATTERNS[n % 10], r)
+        around = [[r.choice(common) for _ in range(r.randrange(60))] for _ in range(2)]
+        docs.append((n, " ".join(around[0] + copy + around[1])))
+    want = brute_force(docs, items, settings)
+    assert leaks_of(spark, docs, items, settings) == pytest.approx(want)
+    patterns = {PATTERNS[doc % 10] for doc, item in want if item < 6}
+    assert {"every third word", "a word between all", "half", "random few", "random many"} <= patterns
+
+
+def test_no_copy_keeps_fewer_seeds_than_reckoned():
+    """Random alignments: pairs with at most one edit between them, against the bound."""
+    r = random.Random(1)
+    for settings in (Alignment(), Alignment(score=0.3), Alignment(match=1), Alignment(match=3, mismatch=2, gap=1)):
+        cost = {"x": settings.mismatch, "d": settings.gap, "i": settings.gap}
+        for _ in range(4000):
+            size = r.randint(8, 30)
+            steps = [r.choice("mmmmxdi") for _ in range(60)]
+            used, path = 0, []
+            for step in steps:
+                if step != "i":
+                    if used == size:
+                        break
+                    used += 1
+                path.append(step)
+            score = sum(settings.match if s == "m" else -cost[s] for s in path)
+            if score < settings.score * settings.match * size:
+                continue
+            inner = "".join(path).strip("xdi")
+            edits = inner.split("m")[1:-1]
+            assert len(inner) - inner.count("m") <= most_edits(size, settings)
+            assert sum(len(e) <= 1 for e in edits) >= surviving(size, settings)
+
+
+def test_all_pairs_of_the_smallest_table(spark):
+    docs = [tuple(x) for x in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(x) for x in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
+    got = {(r.doc_id, r.item_id): r.score for r in QUERIES["op7_decontaminate"](spark, SF_DIR).collect()}
+    assert got == pytest.approx(brute_force(docs, items)) and got
+
+
+def test_a_long_text_that_repeats_an_item(spark):
+    """Windows of bounded size, and the same result as of the whole."""
+    r = random.Random(2)
+    item = [f"q{r.randrange(150)}" for _ in range(200)]
+    text = " ".join(" ".join(edited(item, "random many", r)) for _ in range(120))
+    sizes = [end - first for first, end in windows_around([(i, i % 200) for i in range(0, 24000, 3)], 200, 200, 3, 24000)]
+    assert max(sizes) == 800 and len(sizes) < 70
+    got = leaks_of(spark, [(1, text)], [(1, " ".join(item))])
+    assert got == pytest.approx(brute_force([(1, text)], [(1, " ".join(item))])) and got
+
+
+def test_repeated_ids_of_items(spark):
+    docs = [(1, "a1 a2 a3 a4 a5 a6 a7 a8 a9"), (2, "b1 b2 b3 b4 b5 b6 b7 b8 b9"), (1, "b1 b2 b3 b4 b5 b6 b7 b8 b9")]
+    items = [(7, docs[0][1]), (7, docs[1][1]), (8, docs[1][1])]
+    assert leaks_of(spark, docs, items) == {(1, 7): 1.0, (2, 7): 1.0, (2, 8): 1.0, (1, 8): 1.0}
+
+
 def corpus():
     r = random.Random(8)
     word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 7)))

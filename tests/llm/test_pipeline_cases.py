@@ -11,12 +11,13 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, score string, id int, ids string, "
-    "n_tokens string, component_id int, blob string, findings string, body int, item_id string"
+    "n_tokens string, component_id int, blob string, findings string, body int, item_id string, "
+    "__blob int, __findings string, __key int, `a.b` int, key int, _key int, spans int, kept_id int"
 )
 
 
 def row(doc, text, **more):
-    names = [field.split()[0] for field in SCHEMA.split(", ")]
+    names = [field.split()[0].strip("`") for field in SCHEMA.split(", ")]
     values = {"lang": "en", "source": "s", "n_chars": None if text is None else len(text), "score": "x"} | more
     return tuple({"doc_id": doc, "text": text, **values}.get(name) for name in names)
 
@@ -42,6 +43,7 @@ def test_stages_on_odd_rows(spark):
         found[name] = ids(docs)
         if name != "byte_bpe":
             assert docs.columns == before.columns, name
+            assert {r.score for r in docs.collect()} == {"x"}, name
     assert found["toxicity"] == ids(spark.createDataFrame(odd_rows(), SCHEMA))
     assert found["near_dedup"] == sorted([1, 4, 5, 6, 7, 8, 9, 10, 11, 12, None, None], key=str)
     assert found["byte_bpe"] == found["secret_scan"] == found["decontamination"] == found["near_dedup"]

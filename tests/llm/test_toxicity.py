@@ -4,7 +4,16 @@ import zlib
 import numpy as np
 
 from stratalake.llm.queries import QUERIES
-from stratalake.llm.toxicity import CLEAN, ToxicityNet, ToxicityTraining, score_toxicity, train_toxicity, window_starts
+from stratalake.llm.toxicity import (
+    CLEAN,
+    ToxicityNet,
+    ToxicityTraining,
+    drop_toxic,
+    score_toxicity,
+    train_toxicity,
+    training_windows,
+    window_starts,
+)
 
 
 def corpus(spark, count=400):
@@ -91,3 +100,23 @@ def test_query(spark):
     right = [r.predicted == labels[r.doc_id] for r in got if r.held_out and r.doc_id in labels]
     assert sum(right) / len(right) > 0.9
     assert CLEAN[ord("A")] == ord("a") and CLEAN[ord("-")] == ord(" ")
+
+
+def test_what_a_repeated_id_brings_to_the_driver_is_bounded(spark):
+    settings = ToxicityTraining(documents=10)
+    rows = [(1, f"text number {n} " * 20) for n in range(2000)] + [(n, f"other {n}") for n in range(2, 60)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(60)], "doc_id long, toxic int")
+    known = [training_windows(documents.repartition(n), labels, settings) for n in (1, 4)]
+    assert all(len(texts) == len(toxic) <= 20 for texts, toxic in known)
+    assert known[0][0] == known[1][0]
+
+
+def test_toxic_rows_go_and_columns_stay(spark):
+    net = train_toxicity(*corpus(spark, 120))
+    rows = spark.createDataFrame([(1, "fine", 7), (2, None, 8), (2, "fine", 9)], "doc_id long, text string, `score` int")
+    scores = {(r.doc_id, r.text): r.score for r in score_toxicity(rows, net).collect()}
+    assert drop_toxic(rows, net).columns == rows.columns
+    assert drop_toxic(rows, net, 2.0).count() == 3 and drop_toxic(rows, net, 0.0).count() == 0
+    cut = sorted(scores.values())[1]
+    assert {(r.doc_id, r.text) for r in drop_toxic(rows, net, cut).collect()} == {k for k, s in scores.items() if s < cut}
