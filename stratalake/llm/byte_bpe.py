@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from stratalake.llm.common import columns_of, new_names, values
+from stratalake.llm.common import columns_of, map_batches, new_names, values
 
 
 MOST_IDS, MOST_ROWS = 1_000_000, 256  # in a batch that a task hands on
@@ -87,7 +87,7 @@ def _with_ids(rows: DataFrame, vocabulary, column: str, upto: str | None = None)
                     done, ids, size = done + len(ids), [], 0
             yield with_lists(batch.slice(done), ids)
 
-    return rows.mapInArrow(encode, schema)
+    return map_batches(rows, encode, schema)
 
 
 def _stitched(long: DataFrame, vocabulary, chunk: int, overlap: int) -> DataFrame:
@@ -203,7 +203,7 @@ def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                     [*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"]
                 )
 
-    return rows.mapInArrow(join, schema)
+    return map_batches(rows, join, schema)
 
 
 def digest_of_ids(ids):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 from xxhash import xxh3_64_intdigest
 
 from stratalake.session import scratch_path
@@ -39,6 +40,19 @@ def new_names(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+def map_batches(df: DataFrame, function, schema: StructType) -> DataFrame:
+    """``df.mapInArrow(function, schema)`` for columns of any names, also such as ``a.b``."""
+    names, numbered = df.columns, [f"c{i}" for i in range(len(df.columns))]
+    out = [f"c{i}" for i in range(len(schema))]
+
+    def renamed(batches):
+        for batch in function(b.rename_columns(names) for b in batches):
+            yield batch.rename_columns(out)
+
+    kinds = StructType([StructField(n, f.dataType, f.nullable) for n, f in zip(out, schema)])
+    return df.toDF(*numbered).mapInArrow(renamed, kinds).toDF(*schema.names)
+
+
 def hash_sample(rows: DataFrame, key: list[str], most: int) -> DataFrame:
     """At most ``most`` rows, those whose ``key`` has the smallest hash: the same ones however the
     rows are spread. Rows far from being among them are passed over in the scan, so that what tasks

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from stratalake.files import exists
-from stratalake.llm.common import columns_of, new_names, values
+from stratalake.llm.common import columns_of, map_batches, new_names, values
 
 LEDGER = "blob string, rules array<string>, findings array<struct<kind:string,start:long,end:long,rule:string>>"
 
@@ -210,7 +210,7 @@ def redact(documents: DataFrame, found: DataFrame, mark: str = "[secret]") -> Da
             columns = [pa.array(texts, pa.string()) if name == "text" else batch.column(name) for name in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    touched = joined.where(F.col(spans).isNotNull()).mapInArrow(replace, documents.schema)
+    touched = map_batches(joined.where(F.col(spans).isNotNull()), replace, documents.schema)
     if "n_chars" in names:
         size = F.length("text").cast(documents.schema["n_chars"].dataType)
         touched = touched.withColumn("n_chars", size)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from stratalake.llm.common import hash_sample, values
+from stratalake.llm.common import hash_sample, map_batches, values
 
 # Lower-cases ASCII letters; other ASCII characters but digits separate words.
 CLEAN = bytes(
@@ -346,7 +346,7 @@ def score_toxicity(documents: DataFrame, net: ToxicityNet) -> DataFrame:
             scores = ready.document_scores(values(batch, "text"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, "score"])
 
-    return rows.mapInArrow(score, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
+    return map_batches(rows, score, StructType([*rows.schema.fields, StructField("score", DoubleType())]))
 
 
 def drop_toxic(documents: DataFrame, net: ToxicityNet, least: float = 0.5) -> DataFrame:
@@ -361,4 +361,4 @@ def drop_toxic(documents: DataFrame, net: ToxicityNet, least: float = 0.5) -> Da
             scores = np.asarray(ready.document_scores(values(batch, "text")))
             yield batch.filter(pa.array(scores < least))
 
-    return documents.mapInArrow(keep, documents.schema)
+    return map_batches(documents, keep, documents.schema)
