@@ -9,7 +9,7 @@ from stratalake.llm.common import source, staged
 from stratalake.llm.decontaminate import drop_leaks
 from stratalake.llm.near_dedup import NearDedup, drop_similar
 from stratalake.llm.queries import vocabulary
-from stratalake.llm.toxicity import score_toxicity, train_toxicity
+from stratalake.llm.toxicity import drop_toxic, train_toxicity
 from stratalake.session import scratch_path
 
 # Near copies share 80 % of their shingles of five words.
@@ -19,7 +19,7 @@ COPIES = NearDedup(words=5, percent=80, least_shared=0.5)
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network, learned from the labels of these documents, does not find toxic."""
     net = train_toxicity(docs, source(spark, sf_dir, "labels"))
-    return score_toxicity(docs, net).where("score < 0.5").select(docs.columns)
+    return drop_toxic(docs, net)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
