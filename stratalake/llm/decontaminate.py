@@ -105,27 +105,53 @@ def _item_grams(items: DataFrame, settings: Alignment) -> DataFrame:
     )
 
 
+def _known(rows: DataFrame, grams: DataFrame, settings: Alignment):
+    """The sorted ``grams`` as a broadcast variable, None if they are too many."""
+    if grams.count() * 8 > settings.sent:
+        return None
+    return rows.sparkSession.sparkContext.broadcast(np.sort(grams.toArrow().column("gram").to_numpy()))
+
+
+def _finder(wanted: np.ndarray):
+    """A function that gives the places of hashes that are among ``wanted``, and where they are there.
+
+    A table of some of their bits is asked first, which few others pass.
+    """
+    mask = (1 << max(16, (16 * len(wanted)).bit_length())) - 1
+    maybe = np.zeros(mask + 1, bool)
+    maybe[wanted & mask] = True
+
+    def find(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        places = np.flatnonzero(maybe[hashes & mask])
+        if not len(places):
+            return places, places
+        near = np.minimum(np.searchsorted(wanted, hashes[places]), len(wanted) - 1)
+        there = wanted[near] == hashes[places]
+        return places[there], near[there]
+
+    return find
+
+
+def _grams_of(text: bytes, singles: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+    words = words_of(text)
+    return [pair_grams(words)] + ([single_grams(words)] if singles and len(words) > 1 else [])
+
+
 def _hits(rows: DataFrame, grams: DataFrame, settings: Alignment, singles: bool) -> DataFrame:
     """(doc_id, body, pos, gram): where the ``grams`` (gram) stand in texts."""
-    known = None
-    if grams.count() * 8 <= settings.sent:
-        wanted = np.sort(grams.toArrow().column("gram").to_numpy())
-        known = rows.sparkSession.sparkContext.broadcast(wanted if len(wanted) else np.zeros(1, np.int64))
+    known = _known(rows, grams, settings)
 
     def cut(batches):
-        wanted = None if known is None else known.value
+        find = _finder(known.value) if known else lambda own: (np.arange(len(own)), None)
         for batch in batches:
             at, pos, found = [], [], []
             for i, text in enumerate(values(batch, "text")):
-                words = words_of(text)
-                for own, places in [pair_grams(words)] + ([single_grams(words)] if singles and len(words) > 1 else []):
-                    hit = np.arange(len(own))
-                    if wanted is not None:
-                        near = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
-                        hit = np.flatnonzero(wanted[near] == own)
-                    at.append(np.full(len(hit), i))
-                    pos.append(places[hit])
-                    found.append(own[hit])
+                for own, places in _grams_of(text, singles):
+                    hit, _ = find(own)
+                    if len(hit):
+                        at.append(np.full(len(hit), i))
+                        pos.append(places[hit])
+                        found.append(own[hit])
             if at:
                 index = pa.array(np.concatenate(at))
                 yield pa.RecordBatch.from_arrays(
@@ -139,13 +165,27 @@ def _hits(rows: DataFrame, grams: DataFrame, settings: Alignment, singles: bool)
                 )
 
     hits = rows.mapInArrow(cut, "doc_id long, body long, pos long, gram long")
-    return hits if known is not None else hits.join(grams, "gram", "left_semi")
+    return hits if known else hits.join(grams, "gram", "left_semi")
 
 
 def _gram_counts(rows: DataFrame, grams: DataFrame, settings: Alignment, singles: bool) -> DataFrame:
     """(gram, n): how often each of the ``grams`` stands in all texts; those that never do are left out."""
-    hits = _hits(rows, grams, settings, singles)
-    return hits.groupBy("gram").agg(F.count("*").alias("n"))
+    known = _known(rows, grams, settings)
+    if known is None:
+        return _hits(rows, grams, settings, singles).groupBy("gram").agg(F.count("*").alias("n"))
+
+    def count(batches):
+        wanted = known.value
+        find, total = _finder(wanted), np.zeros(len(wanted), np.int64)
+        for batch in batches:
+            for text in values(batch, "text"):
+                for own, _ in _grams_of(text, singles):
+                    np.add.at(total, find(own)[1], 1)
+        there = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(wanted[there]), pa.array(total[there])], names=["gram", "n"])
+
+    counts = rows.select("text").mapInArrow(count, "gram long, n long")
+    return counts.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def _row_scores(left: np.ndarray, text: np.ndarray, settings: Alignment, local: bool):
