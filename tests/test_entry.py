@@ -1,6 +1,7 @@
 """Every registered query against its SQL, on the smallest test tables."""
 
 import os
+import subprocess
 import sys
 from collections import Counter
 
@@ -44,3 +45,20 @@ def test_query_matches_sql(spark, database, name):
     got = rows_of(result.columns, result.collect())
     want = rows_of(expected.columns, expected.fetchall())
     assert isinstance(got, Counter) and got == want
+
+
+def test_without_what_the_corpus_queries_import():
+    """The other queries are there if a library of the corpus part is not."""
+    code = """
+import subprocess
+import sys
+sys.modules["tiktoken"] = None
+import warnings
+with warnings.catch_warnings(record=True):
+    warnings.simplefilter("always")
+    import __spark_entry__
+names = __spark_entry__.queries()
+assert "raw_to_curated" in names and not [n for n in names if n.startswith("op1_")]
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=120)
