@@ -99,7 +99,10 @@ def meeting_links(prints: DataFrame, radius: int) -> DataFrame:
                 names=["point", "b"],
             )
 
-    points = prints.select("fingerprint", "component").mapInArrow(spread, "point long, b long")
+    # A few bytes a row become many rows: over as many tasks as there are for those.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = prints.select("fingerprint", "component").repartition(tasks)
+    points = rows.mapInArrow(spread, "point long, b long")
     before = F.lag("b").over(Window.partitionBy("point").orderBy("b"))
     return points.select(before.alias("a"), "b").where("a <> b").distinct()
 
