@@ -15,13 +15,13 @@ from stratalake.llm.common import mixed, parts_of, staged, values, window_hashes
 @dataclass(frozen=True)
 class Windows:
     """``width``: words in a window. ``anchor``: words in a minimiser. ``longest``: windows in a
-    super-k-mer at most. ``hot``: super-k-mers in a bucket from which on its windows are spread one
-    by one. ``chunk``: words that are sorted together, at least a bucket's."""
+    super-k-mer at most. ``part``: super-k-mers that are sorted in one place, about; a bucket of more
+    is dealt over several. ``chunk``: words that are sorted together, at least those of a part."""
 
     width: int = 50
     anchor: int = 6
     longest: int = 128
-    hot: int = 8000
+    part: int = 1000
     chunk: int = 400_000
 
 
@@ -98,16 +98,18 @@ def _packed(joined: DataFrame, settings: Windows) -> DataFrame:
                         pa.array([body.as_py()] * size, pa.int64()),
                         runs[0],
                         runs[2],
+                        runs[3],
                         pa.array(packed, pa.binary()),
                     ],
-                    names=["doc_id", "body", "start", "minimiser", "packed"],
+                    names=["doc_id", "body", "start", "minimiser", "parts", "packed"],
                 )
 
-    return joined.mapInArrow(cut, "doc_id long, body long, start int, minimiser long, packed binary")
+    return joined.mapInArrow(cut, "doc_id long, body long, start int, minimiser long, parts long, packed binary")
 
 
-def repeated_windows(docs: np.ndarray, packed: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(run, window) of the windows whose words also stand in a run of a smaller document.
+def sorted_windows(docs: np.ndarray, packed: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(run, window, again) of all windows, run by run; ``again`` says that the words also stand in a
+    run of a smaller document.
 
     Windows are sorted by a hash of their words, and those that share one are compared word by
     word with the first of them; should words differ, the windows of that hash are told apart by
@@ -135,8 +137,15 @@ def repeated_windows(docs: np.ndarray, packed: list[bytes], width: int) -> tuple
             for j in np.flatnonzero(hashes[order] == value):
                 words = ids[at[order[j]] : at[order[j]] + width].tobytes()
                 again[j] = least.setdefault(words, docs[run[order[j]]]) < docs[run[order[j]]]
-    found = np.sort(order[again])
-    return run[found], window[found]
+    repeats = np.zeros(len(order), bool)
+    repeats[order[again]] = True
+    return run, window, repeats
+
+
+def repeated_windows(docs: np.ndarray, packed: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(run, window) of the windows whose words also stand in a run of a smaller document."""
+    run, window, again = sorted_windows(docs, packed, width)
+    return run[again], window[again]
 
 
 def _spans(run: np.ndarray, window: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,82 +157,93 @@ def _spans(run: np.ndarray, window: np.ndarray, width: int) -> tuple[np.ndarray,
 
 
 WHOLE = 2**31 - 1  # the end of a span that covers the whole text
-SPANS = "doc_id long, body long, first int, end int"
 
 
-def _sorted_buckets(packed: DataFrame, settings: Windows) -> DataFrame:
-    """Spans that repeat a smaller document's, from buckets of one minimiser each."""
+def _window_digests(packed: list[bytes], run: np.ndarray, window: np.ndarray, width: int) -> list[bytes]:
+    """128-bit digests of the words of windows that are given run by run."""
+    digests, known, words = [], None, []
+    for r, w in zip(run.tolist(), window.tolist(), strict=True):
+        if r != known:
+            known, words = r, packed[r].split(b" ")
+        digests.append(hashlib.blake2b(b" ".join(words[w : w + width]), digest_size=16).digest())
+    return digests
 
-    def spans_of(rows):
-        doc, body, start, text = (list(column) for column in zip(*rows, strict=True))
-        docs = np.array(doc, np.int64)
-        run, window = repeated_windows(docs, text, settings.width)
-        if len(run):
-            run, first, end = _spans(run, window, settings.width)
-            start = np.array(start, np.int32)[run]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(docs[run]),
-                    pa.array(np.array(body, np.int64)[run]),
-                    pa.array((start + first).astype(np.int32)),
-                    pa.array((start + end).astype(np.int32)),
-                ],
-                names=["doc_id", "body", "first", "end"],
-            )
+
+def _sorted_parts(packed: DataFrame, settings: Windows) -> DataFrame:
+    """(doc_id, body, first, end, digest) of every part of a bucket.
+
+    Without a digest: spans that repeat a smaller document of the same part. With one: windows that
+    repeat none there, if the bucket has other parts to be compared with.
+    """
+    width = settings.width
+
+    def table(docs, bodies, first, end, digests):
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(docs),
+                pa.array(bodies),
+                pa.array(first.astype(np.int32)),
+                pa.array(end.astype(np.int32)),
+                pa.array(digests, pa.binary()),
+            ],
+            names=["doc_id", "body", "first", "end", "digest"],
+        )
+
+    def judged(rows):
+        doc, body, start, parts, text = (list(column) for column in zip(*rows, strict=True))
+        docs, bodies, starts = np.array(doc, np.int64), np.array(body, np.int64), np.array(start, np.int64)
+        run, window, again = sorted_windows(docs, text, width)
+        if again.any():
+            at, first, end = _spans(run[again], window[again], width)
+            yield table(docs[at], bodies[at], starts[at] + first, starts[at] + end, [None] * len(at))
+        open_ = ~again & (np.array(parts, np.int64) > 1)[run]
+        if open_.any():
+            at, window = run[open_], window[open_]
+            first = starts[at] + window
+            yield table(docs[at], bodies[at], first, first + width, _window_digests(text, at, window, width))
 
     def count(batches):
-        ready, bucket, key, words = [], [], None, 0
+        ready, part, key, words = [], [], None, 0
+
+        def compared():  # sorted: more than one document, or other parts
+            return part and (part[0][0] != part[-1][0] or part[0][3] > 1)
+
         for batch in parts_of(batches, 1024):
-            columns = [batch.column(c).to_pylist() for c in ("minimiser", "doc_id", "body", "start", "packed")]
-            for minimiser, *row in zip(*columns, strict=True):
-                if minimiser != key:
-                    if bucket and bucket[0][0] != bucket[-1][0]:  # sorted: more than one document
-                        ready += bucket
+            names = ("minimiser", "part", "doc_id", "body", "start", "parts", "packed")
+            for minimiser, number, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if (minimiser, number) != key:
+                    if compared():
+                        ready += part
                         if words >= settings.chunk:
-                            yield from spans_of(ready)
+                            yield from judged(ready)
                             ready, words = [], 0
-                    bucket, key = [], minimiser
-                bucket.append(row)
-                words += row[3].count(b" ") + 1
-        if bucket and bucket[0][0] != bucket[-1][0]:
-            ready += bucket
+                    part, key = [], (minimiser, number)
+                part.append(row)
+                words += row[4].count(b" ") + 1
+        if compared():
+            ready += part
         if ready:
-            yield from spans_of(ready)
-
-    buckets = packed.repartition("minimiser").sortWithinPartitions("minimiser", "doc_id")
-    return buckets.mapInArrow(count, SPANS)
+            yield from judged(ready)
 
+    number = F.pmod(F.xxhash64("doc_id", "body", "start"), F.col("parts"))
+    dealt = packed.withColumn("part", number).repartition("minimiser", "part")
+    return dealt.sortWithinPartitions("minimiser", "part", "doc_id").mapInArrow(
+        count, "doc_id long, body long, first int, end int, digest binary"
+    )
 
-def _spread_windows(packed: DataFrame, settings: Windows) -> DataFrame:
-    """Spans of buckets with very many super-k-mers: their windows one by one, by a 128-bit digest
-    of the words. Aggregated before the shuffle, and joined back by a join that can be split."""
-    width = settings.width
 
-    def spread(batches):
-        for batch in batches:
-            for doc, body, start, text in zip(
-                *(batch.column(c).to_pylist() for c in ("doc_id", "body", "start", "packed")), strict=True
-            ):
-                words = text.split(b" ")
-                count = len(words) - width + 1
-                digests = [hashlib.blake2b(b" ".join(words[i : i + width]), digest_size=16).digest() for i in range(count)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(digests, pa.binary()),
-                        pa.array([doc] * count, pa.int64()),
-                        pa.array([body] * count, pa.int64()),
-                        pa.array(np.arange(start, start + count, dtype=np.int32)),
-                    ],
-                    names=["digest", "doc_id", "body", "first"],
-                )
+def _repeats(packed: DataFrame, settings: Windows) -> DataFrame:
+    """(doc_id, body, first, end) of the spans that repeat a smaller document.
 
-    windows = packed.mapInArrow(spread, "digest binary, doc_id long, body long, first int")
-    least = windows.groupBy("digest").agg(F.min("doc_id").alias("least"))
-    return (
-        windows.join(least, "digest")
-        .where("doc_id > least")
-        .select("doc_id", "body", "first", (F.col("first") + width).cast("int").alias("end"))
-    )
+    Each part of a bucket leaves one document's copies of a window at most, so that windows meet
+    across parts by their digest as often as the bucket has parts, however often they occur.
+    """
+    judged = staged(_sorted_parts(packed, settings), "parts")
+    left = judged.where("digest is not null")
+    least = left.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    across = left.join(least.where("least < most"), "digest").where("doc_id > least")
+    spans = ["doc_id", "body", "first", "end"]
+    return judged.where("digest is null").select(spans).unionByName(across.select(spans))
 
 
 def _copies(rows: DataFrame) -> DataFrame:
@@ -246,9 +266,12 @@ def remove_repeats(documents: DataFrame, settings: Windows = Windows()) -> DataF
     1. Windows that follow each other and have the same minimiser (smallest hash of ``anchor``
        words) form a super-k-mer. Equal windows have equal minimisers, so only super-k-mers whose
        minimiser occurs in two documents can hold a repeat; the others go no further.
-    2. Those travel, except from exact copies of a smaller document, as one packed string to the bucket of their minimiser, where sorting finds
-       equal windows. Buckets of more than ``settings.hot`` strings are spread window by window.
-    3. The spans found join the texts again.
+    2. Those travel, except from exact copies of a smaller document, as one packed string to the
+       bucket of their minimiser. A bucket has a part for every ``settings.part`` strings, and its
+       strings are dealt over the parts by document and place. Sorting a part finds equal windows.
+    3. Windows of buckets with several parts that no smaller document of their part has are
+       compared across parts by a 128-bit digest of their words.
+    4. The spans found join the texts again.
 
     Words are runs without ASCII white space. Null texts have none. A row with a null doc_id loses
     nothing and takes nothing from others. Rows that repeat a doc_id do not compete with each other;
@@ -263,21 +286,16 @@ def remove_repeats(documents: DataFrame, settings: Windows = Windows()) -> DataF
         runs.groupBy("minimiser")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("all"))
         .where("low < high")
-        .select("minimiser", (F.col("all") > settings.hot).alias("hot"))
+        .select("minimiser", F.ceil(F.col("all") / settings.part).alias("parts"))
     )
     travelling = (
         runs.join(shared, "minimiser")
         .groupBy("doc_id", "body")
-        .agg(F.collect_set(F.struct("start", "n", "minimiser", "hot")).alias("runs"))
+        .agg(F.collect_set(F.struct("start", "n", "minimiser", "parts")).alias("runs"))
         .join(copies, ["doc_id", "body"], "left_anti")
     )
-    joined = rows.join(travelling, ["doc_id", "body"])
-
-    def part(hot: bool) -> DataFrame:
-        chosen = F.filter("runs", lambda x: x["hot"] == hot)
-        return _packed(joined.select("doc_id", "body", chosen.alias("runs"), "text").where(F.size("runs") > 0), settings)
-
-    spans = _sorted_buckets(part(False), settings).unionByName(_spread_windows(part(True), settings))
+    joined = rows.join(travelling, ["doc_id", "body"]).select("doc_id", "body", "runs", "text")
+    spans = _repeats(_packed(joined, settings), settings)
     spans = spans.unionByName(copies.select("*", F.lit(0).alias("first"), F.lit(WHOLE).alias("end")))
     of_document = spans.groupBy("doc_id", "body").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
 

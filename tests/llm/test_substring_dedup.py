@@ -41,8 +41,9 @@ def corpus():
 
 @pytest.mark.parametrize("settings", [
     Windows(width=10, anchor=3),
-    Windows(width=10, anchor=2, longest=4, hot=5, chunk=50),
-    Windows(width=10, anchor=10, hot=0),
+    Windows(width=10, anchor=2, longest=4, part=5, chunk=50),
+    Windows(width=10, anchor=10, part=1),
+    Windows(width=10, anchor=3, part=100_000),
 ])
 def test_equals_all_windows(spark, settings):
     rows = corpus()
@@ -58,6 +59,24 @@ def test_fifty_words(spark):
     assert got[1][0] == 0 and got[2] == (50, "y") and got[3][0] == 0
 
 
+def test_a_passage_of_all_documents(spark):
+    r = random.Random(7)
+    passage = " ".join(f"p{i}" for i in range(14))
+    rows = [(doc, f"{' '.join(f'u{r.randrange(10**6)}' for _ in range(8))} {passage} v{doc} " + f"w{doc % 9} " * 12) for doc in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for part in (7, 100):
+        got = remove_repeats(df, Windows(width=10, anchor=3, part=part)).collect()
+        assert sorted(map(tuple, got), key=repr) == brute_force(rows, 10)
+
+
+def test_parts_hand_on_no_more_than_a_document_of_each_window(spark):
+    words = " ".join(f"p{i}" for i in range(10))
+    rows = [(doc, 0, 0, 1, 5, words.encode()) for doc in range(1000)]
+    packed = spark.createDataFrame(rows, "doc_id long, body long, start int, minimiser long, parts long, packed binary")
+    judged = substring_dedup._sorted_parts(packed, Windows(width=10, anchor=3)).collect()
+    assert 1 <= sum(x.digest is not None for x in judged) <= 5 and len(judged) == 1000
+
+
 def test_collisions_are_told_apart(monkeypatch):
     monkeypatch.setattr(substring_dedup, "window_hashes", lambda h, width: np.zeros(len(h) - width + 1, np.uint64))
     run, window = repeated_windows(np.array([1, 2, 3]), [b"a b c", b"b c d", b"x a b c"], 3)
