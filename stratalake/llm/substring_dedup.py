@@ -170,14 +170,15 @@ def _window_digests(packed: list[bytes], run: np.ndarray, window: np.ndarray, wi
 
 
 def _sorted_parts(packed: DataFrame, settings: Windows) -> DataFrame:
-    """(doc_id, body, first, end, digest) of every part of a bucket.
+    """(doc_id, body, first, end, digest, places) of every part of a bucket.
 
-    Without a digest: spans that repeat a smaller document of the same part. With one: windows that
-    repeat none there, if the bucket has other parts to be compared with.
+    Without a digest: spans that repeat a smaller document of the same part. With one: the windows of
+    a document that repeat none there, once with all their places, if the bucket has other parts to
+    be compared with.
     """
     width = settings.width
 
-    def table(docs, bodies, first, end, digests):
+    def table(docs, bodies, first, end, digests, places):
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(docs),
@@ -185,8 +186,9 @@ def _sorted_parts(packed: DataFrame, settings: Windows) -> DataFrame:
                 pa.array(first.astype(np.int32)),
                 pa.array(end.astype(np.int32)),
                 pa.array(digests, pa.binary()),
+                pa.array(places, pa.list_(pa.int32())),
             ],
-            names=["doc_id", "body", "first", "end", "digest"],
+            names=["doc_id", "body", "first", "end", "digest", "places"],
         )
 
     def judged(rows):
@@ -195,12 +197,18 @@ def _sorted_parts(packed: DataFrame, settings: Windows) -> DataFrame:
         run, window, again = sorted_windows(docs, text, width)
         if again.any():
             at, first, end = _spans(run[again], window[again], width)
-            yield table(docs[at], bodies[at], starts[at] + first, starts[at] + end, [None] * len(at))
+            none = [None] * len(at)
+            yield table(docs[at], bodies[at], starts[at] + first, starts[at] + end, none, none)
         open_ = ~again & (np.array(parts, np.int64) > 1)[run]
         if open_.any():
             at, window = run[open_], window[open_]
-            first = starts[at] + window
-            yield table(docs[at], bodies[at], first, first + width, _window_digests(text, at, window, width))
+            places: dict[tuple[bytes, int, int], list[int]] = {}
+            digests = _window_digests(text, at, window, width)
+            for *name, first in zip(digests, docs[at].tolist(), bodies[at].tolist(), (starts[at] + window).tolist()):
+                places.setdefault(tuple(name), []).append(first)
+            digests, doc, body = zip(*places, strict=True)
+            first = np.array([x[0] for x in places.values()])
+            yield table(np.array(doc), np.array(body), first, first + width, list(digests), list(places.values()))
 
     def count(batches):
         ready, part, key, words = [], [], None, 0
@@ -228,7 +236,7 @@ def _sorted_parts(packed: DataFrame, settings: Windows) -> DataFrame:
     number = F.pmod(F.xxhash64("doc_id", "body", "start"), F.col("parts"))
     dealt = packed.withColumn("part", number).repartition("minimiser", "part")
     return dealt.sortWithinPartitions("minimiser", "part", "doc_id").mapInArrow(
-        count, "doc_id long, body long, first int, end int, digest binary"
+        count, "doc_id long, body long, first int, end int, digest binary, places array<int>"
     )
 
 
@@ -241,9 +249,13 @@ def _repeats(packed: DataFrame, settings: Windows) -> DataFrame:
     judged = staged(_sorted_parts(packed, settings), "parts")
     left = judged.where("digest is not null")
     least = left.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    across = left.join(least.where("least < most"), "digest").where("doc_id > least")
-    spans = ["doc_id", "body", "first", "end"]
-    return judged.where("digest is null").select(spans).unionByName(across.select(spans))
+    across = (
+        left.join(least.where("least < most"), "digest")
+        .where("doc_id > least")
+        .select("doc_id", "body", F.explode("places").alias("first"))
+        .withColumn("end", (F.col("first") + settings.width).cast("int"))
+    )
+    return judged.where("digest is null").select(across.columns).unionByName(across)
 
 
 def _copies(rows: DataFrame) -> DataFrame:

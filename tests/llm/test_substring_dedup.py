@@ -77,6 +77,18 @@ def test_parts_hand_on_no_more_than_a_document_of_each_window(spark):
     assert 1 <= sum(x.digest is not None for x in judged) <= 5 and len(judged) == 1000
 
 
+def test_a_repeated_line_is_handed_on_once(spark):
+    rows = [(doc, doc, start, 1, 50, b" ".join([b"ha"] * 15)) for doc in (1, 2) for start in range(0, 400, 6)]
+    packed = spark.createDataFrame(rows, "doc_id long, body long, start int, minimiser long, parts long, packed binary")
+    judged = substring_dedup._sorted_parts(packed.coalesce(1), Windows(width=10, anchor=3, chunk=10**6)).collect()
+    handed_on = [x for x in judged if x.digest is not None]
+    assert len(handed_on) <= 8 and sum(len(x.places) for x in handed_on) >= 67 * 6
+    got = substring_dedup._repeats(packed, Windows(width=10, anchor=3)).collect()
+    assert {x.doc_id for x in got} == {2}
+    covered = {i for x in got for i in range(x.first, x.end)}
+    assert covered == set(range(0, 396 + 15))
+
+
 def test_collisions_are_told_apart(monkeypatch):
     monkeypatch.setattr(substring_dedup, "window_hashes", lambda h, width: np.zeros(len(h) - width + 1, np.uint64))
     run, window = repeated_windows(np.array([1, 2, 3]), [b"a b c", b"b c d", b"x a b c"], 3)
