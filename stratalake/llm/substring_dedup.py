@@ -258,16 +258,21 @@ def _repeats(packed: DataFrame, settings: Windows) -> DataFrame:
     return judged.where("digest is null").select(across.columns).unionByName(across)
 
 
+COPY_GROUPS = 32
+
+
 def _copies(rows: DataFrame) -> DataFrame:
     """(doc_id, body) of the rows whose text, by its 128-bit digest, a smaller document has too.
 
     All their windows are repeats, and whatever repeats one of them repeats that smaller document,
-    so they need not travel.
+    so they need not travel. The copies of one text are dealt over ``COPY_GROUPS`` keys.
     """
     texts = rows.select("doc_id", "body", F.unhex(F.md5("text")).alias("digest"))
     least = texts.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    repeated = least.where("least < most").select("digest", "least")
-    return texts.join(repeated, "digest").where("doc_id > least").select("doc_id", "body").distinct()
+    groups = F.sequence(F.lit(0), F.lit(COPY_GROUPS - 1)).cast("array<long>")
+    repeated = least.where("least < most").select("digest", "least", F.explode(groups).alias("dealt"))
+    dealt = texts.withColumn("dealt", F.pmod(F.xxhash64("doc_id"), F.lit(COPY_GROUPS)).cast("long"))
+    return dealt.join(repeated, ["digest", "dealt"]).where("doc_id > least").select("doc_id", "body").distinct()
 
 
 def remove_repeats(documents: DataFrame, settings: Windows = Windows()) -> DataFrame:
