@@ -186,44 +186,64 @@ def raw_to_curated(spark: SparkSession, rows: DataFrame, lake: Lake) -> DataFram
 
 
 def refine_new(spark: SparkSession, lake: Lake) -> None:
-    """Take what was delivered since the last run into the refined table and the reject table."""
+    """Take what was delivered since the last run into the refined table and the reject table.
+
+    Rejects are counted while the accepted rows are written. The deliveries are read again only for
+    rejects: if there are any, or if the last run died between the two tables.
+    """
     tables = tables_of(lake)
-    delivered = read_new(spark, tables.deliveries, tables.rejects, on_expired="whole")
-    if delivered:
-        wrong = rejected(check_raw(delivered.rows))
-        columns = [*delivered.rows.columns, "failed_columns"]
+    # Read as a whole again, deliveries are an upsert that finds most of its rows in place.
+    delivered = read_new(spark, tables.deliveries, tables.refined, on_expired="whole")
+    unsorted = read_new(spark, tables.deliveries, tables.rejects, on_expired="whole")
+
+    def keep_rejects(some: bool = True) -> None:
+        wrong = rejected(check_raw(unsorted.rows)).select(*unsorted.rows.columns, "failed_columns")
         write_lake(
-            wrong.select(*columns),
+            wrong if some else wrong.limit(0),
             tables.rejects,
-            delivered.mode,
+            unsorted.mode,
             partition_by=["dt"],
-            bookmark=delivered.bookmark,
+            bookmark=unsorted.bookmark,
         )
-    # Read as a whole again, deliveries are an upsert that finds most of its rows in place.
-    delivered = read_new(spark, tables.deliveries, tables.refined, on_expired="whole")
+
+    def done(target: str) -> int:
+        return bookmark_of(spark, target, unsorted.bookmark.source)
+
+    same = bool(delivered and unsorted) and done(tables.refined) == done(tables.rejects)
+    if unsorted and not same:
+        keep_rejects()
     if delivered is None:
         return
-    rows = newest_events(check_raw(delivered.rows))
-    if lake_exists(spark, tables.refined):
-        merge_lake(
-            rows,
-            tables.refined,
-            ["event_id"],
-            newer_by=NEWER_BY,
-            unique_by=["event_id"],
-            audit=merged_checks,
-            bookmark=delivered.bookmark,
-        )
-    else:
-        write_lake(
-            rows,
-            tables.refined,
-            partition_by=["dt"],
-            range_by="event_id",
-            unique_by=["event_id"],
-            audit=refined_checks,
-            bookmark=delivered.bookmark,
-        )
+    seen = Observation("refine-new")
+    checked = check_raw(delivered.rows).observe(seen, F.count_if(F.col(FAILED) != "").alias("rejects"))
+    rows = newest_events(checked)
+    try:
+        if lake_exists(spark, tables.refined):
+            merge_lake(
+                rows,
+                tables.refined,
+                ["event_id"],
+                newer_by=NEWER_BY,
+                unique_by=["event_id"],
+                audit=merged_checks,
+                bookmark=delivered.bookmark,
+            )
+        else:
+            write_lake(
+                rows,
+                tables.refined,
+                partition_by=["dt"],
+                range_by="event_id",
+                unique_by=["event_id"],
+                audit=refined_checks,
+                bookmark=delivered.bookmark,
+            )
+    except DataQualityError:
+        if same:
+            keep_rejects()  # they say why the gate closed
+        raise
+    if same:
+        keep_rejects(some=bool(seen.get["rejects"]))
 
 
 def curate_changed(spark: SparkSession, lake: Lake) -> None:

@@ -161,6 +161,51 @@ def test_deliveries_go_on_after_their_history_expired(spark, lake):
     assert read_lake(spark, tables.rejects).count() == 2
 
 
+def test_rejects_are_kept_by_the_run_after_one_that_died_before_them(spark, lake, monkeypatch):
+    from stratalake.plans import layers
+
+    tables = tables_of(lake)
+    load_delivery(spark, spark.createDataFrame([event("1", payload(1))], RAW), lake)
+    assert read_lake(spark, tables.rejects).count() == 0
+    write = layers.write_lake
+
+    def dies(df, table, *args, **kwargs):
+        if table == tables.rejects:
+            raise OSError("gone")
+        return write(df, table, *args, **kwargs)
+
+    monkeypatch.setattr(layers, "write_lake", dies)
+    with pytest.raises(OSError):
+        load_delivery(spark, spark.createDataFrame([event("2", payload(2)), event("x", "{")], RAW), lake)
+    monkeypatch.undo()
+    assert read_lake(spark, tables.refined).count() == 2 and read_lake(spark, tables.rejects).count() == 0
+    summary = load_delivery(spark, spark.createDataFrame([event("3", payload(3)), event("y", "{")], RAW), lake)
+    assert rows(summary) == [(date(2024, 1, 1), Decimal("6.00"), 3)]
+    assert rows(read_lake(spark, tables.rejects).select("event_id")) == [("x",), ("y",)]
+
+
+def test_deliveries_without_rejects_are_parsed_once(spark, lake, tmp_path):
+    load_delivery(spark, spark.createDataFrame([event("1", payload(1)), event("x", "{")], RAW), lake)
+    parsed = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            parsed.add(batch.num_rows)
+            yield batch
+
+    from stratalake.plans import layers
+
+    check, layers.check_raw = layers.check_raw, lambda raw: check(raw.mapInArrow(watched, raw.schema))
+    try:
+        load_delivery(spark, spark.createDataFrame([event("2", payload(2)), event("3", payload(3))], RAW), lake)
+        assert parsed.value == 2
+        load_delivery(spark, spark.createDataFrame([event("4", payload(4)), event("z", "{")], RAW), lake)
+        assert parsed.value == 2 + 4
+    finally:
+        layers.check_raw = check
+    assert read_lake(spark, tables_of(lake).rejects).count() == 2
+
+
 # Landing
 
 
