@@ -13,7 +13,7 @@ from stratalake.layers import resolve
 from stratalake.operators import maintenance
 from stratalake.session import scratch_path
 from stratalake.sinks.lake import write_commit
-from stratalake.sinks.layout import file_size_conf, session_conf
+from stratalake.sinks.layout import file_size_conf, session_with
 from stratalake.sinks.ranges import folder_ranges
 from stratalake.sinks.registered import register_lake
 
@@ -140,15 +140,15 @@ def compact_lake(
         rows = ledger.rows_in(spark, location, sorted(again), snapshot.schema)
         ranged = snapshot.ranges
         if order or (ranged and ranged.layout):
-            with session_conf(spark, file_size_conf(target_bytes)):
-                added = write_commit(
-                    rows,
-                    location,
-                    partition_by=snapshot.partition_by,
-                    schema=snapshot.schema,
-                    sort_by=order,
-                    range_by=ranged.column if ranged and ranged.layout else None,
-                )
+            own = session_with(spark, file_size_conf(target_bytes))
+            added = write_commit(
+                ledger.rows_in(own, location, sorted(again), snapshot.schema),
+                location,
+                partition_by=snapshot.partition_by,
+                schema=snapshot.schema,
+                sort_by=order,
+                range_by=ranged.column if ranged and ranged.layout else None,
+            )
         else:
             path = ledger.decoded(F.col("_metadata.file_path"))
             located = rows.select(

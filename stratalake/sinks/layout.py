@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -51,20 +52,34 @@ def arrange_ranges(
     return numbered.sortWithinPartitions(folder, *order).drop(_TIE)
 
 
+_SETTING = RLock()
+
+
 @contextmanager
 def session_conf(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
-    """Set session settings for the length of one action."""
-    before = {key: spark.conf.get(key, None) for key in values}
-    for key, value in values.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    """Set session settings for the length of one action. Threads take turns, so that none puts back
+    what another has set."""
+    with _SETTING:
+        before = {key: spark.conf.get(key, None) for key in values}
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in before.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
+
+
+def session_with(spark: SparkSession, values: Mapping[str, str]) -> SparkSession:
+    """A session with the settings of ``spark`` and ``values``, for work that others go on beside."""
+    own = spark.newSession()
+    for key, value in {**spark.conf.getAll, **values}.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
 
 
 def file_size_conf(target_bytes: int) -> dict[str, str]:

@@ -46,6 +46,36 @@ def files_per_partition(spark, location):
     return {r["partition"]: r["count"] for r in counts.collect()}
 
 
+def test_sorted_compaction_leaves_the_settings_of_the_session_alone(spark, tmp_path, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    tables = [f"file:{tmp_path}/t{i}" for i in range(2)]
+    for table in tables:
+        for start in (0, 10):
+            write_lake(spark.range(start, start + 10).repartition(2), table, sort_by=["id"] if start == 0 else ())
+    spark.conf.set(key, "33554432")
+    seen = []
+    write = maintenance.write_commit
+
+    def watched(rows, *args, **kwargs):
+        seen.append((spark.conf.get(key), rows.sparkSession.conf.get(key)))
+        return write(rows, *args, **kwargs)
+
+    monkeypatch.setattr(maintenance, "write_commit", watched)
+    try:
+        with ThreadPoolExecutor(2) as threads:
+            sizes = [2**24, 2**25 + 2**20]
+            assert all(threads.map(lambda i: compact_lake(spark, tables[i], target_bytes=sizes[i]), range(2)))
+        assert {mine for mine, _ in seen} == {"33554432"}
+        assert sorted(int(own) for _, own in seen) == sizes
+        assert spark.conf.get(key) == "33554432"
+    finally:
+        spark.conf.unset(key)
+    for table in tables:
+        assert sorted(rows(read_lake(spark, table))) == [(i,) for i in range(20)]
+
+
 @pytest.mark.parametrize("partition_by", [[], ["part"]])
 @pytest.mark.parametrize("sort_by", [[], ["id"]])
 def test_compaction_keeps_rows_and_merges_files(spark, location, partition_by, sort_by):
