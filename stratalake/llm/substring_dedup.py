@@ -16,12 +16,14 @@ from stratalake.llm.common import mixed, parts_of, staged, values, window_hashes
 class Windows:
     """``width``: words in a window. ``anchor``: words in a minimiser. ``longest``: windows in a
     super-k-mer at most. ``part``: super-k-mers that are sorted in one place, about; a bucket of more
-    is dealt over several. ``chunk``: words that are sorted together, at least those of a part."""
+    is dealt over several. ``share``: parts whose windows are compared in one place, about. ``chunk``:
+    words, or windows, that are sorted together, at least those of a part or share."""
 
     width: int = 50
     anchor: int = 6
     longest: int = 128
     part: int = 1000
+    share: int = 16
     chunk: int = 400_000
 
 
@@ -169,46 +171,59 @@ def _window_digests(packed: list[bytes], run: np.ndarray, window: np.ndarray, wi
     return digests
 
 
+BLOCK = 128  # windows in a row at most, so that rows stay as small as texts
+
+
 def _sorted_parts(packed: DataFrame, settings: Windows) -> DataFrame:
-    """(doc_id, body, first, end, digest, places) of every part of a bucket.
+    """(doc_id, body, first, end, minimiser, share, digest, docs, bodies, places) of every part of a
+    bucket.
 
-    Without a digest: spans that repeat a smaller document of the same part. With one: the windows of
-    a document that repeat none there, once with all their places, if the bucket has other parts to
-    be compared with.
+    Without a digest: spans that repeat a smaller document of the same part. With one: windows that
+    repeat none there, if the bucket has other parts to be compared with, ``BLOCK`` to a row at most,
+    their digests in one string. They are dealt over the shares of their bucket by their digest.
     """
     width = settings.width
 
-    def table(docs, bodies, first, end, digests, places):
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(docs),
-                pa.array(bodies),
-                pa.array(first.astype(np.int32)),
-                pa.array(end.astype(np.int32)),
-                pa.array(digests, pa.binary()),
-                pa.array(places, pa.list_(pa.int32())),
-            ],
-            names=["doc_id", "body", "first", "end", "digest", "places"],
-        )
+    kinds = {name: pa.int64() for name in ("doc_id", "body", "minimiser", "share")}
+    kinds |= {"first": pa.int32(), "end": pa.int32(), "digest": pa.binary(), "places": pa.list_(pa.int32())}
+    kinds |= {"docs": pa.list_(pa.int64()), "bodies": pa.list_(pa.int64())}
+
+    def table(**columns):
+        """A batch of the given columns, the others null."""
+        size = len(next(iter(columns.values())))
+        arrays = [pa.array(columns[c], kind) if c in columns else pa.nulls(size, kind) for c, kind in kinds.items()]
+        return pa.RecordBatch.from_arrays(arrays, names=list(kinds))
 
     def judged(rows):
-        doc, body, start, parts, text = (list(column) for column in zip(*rows, strict=True))
+        doc, body, start, parts, text, minimiser = (list(column) for column in zip(*rows, strict=True))
         docs, bodies, starts = np.array(doc, np.int64), np.array(body, np.int64), np.array(start, np.int64)
         run, window, again = sorted_windows(docs, text, width)
         if again.any():
             at, first, end = _spans(run[again], window[again], width)
-            none = [None] * len(at)
-            yield table(docs[at], bodies[at], starts[at] + first, starts[at] + end, none, none)
-        open_ = ~again & (np.array(parts, np.int64) > 1)[run]
+            yield table(doc_id=docs[at], body=bodies[at], first=starts[at] + first, end=starts[at] + end)
+        parts = np.array(parts, np.int64)
+        open_ = ~again & (parts > 1)[run]
         if open_.any():
             at, window = run[open_], window[open_]
-            places: dict[tuple[bytes, int, int], list[int]] = {}
-            digests = _window_digests(text, at, window, width)
-            for *name, first in zip(digests, docs[at].tolist(), bodies[at].tolist(), (starts[at] + window).tolist()):
-                places.setdefault(tuple(name), []).append(first)
-            digests, doc, body = zip(*places, strict=True)
-            first = np.array([x[0] for x in places.values()])
-            yield table(np.array(doc), np.array(body), first, first + width, list(digests), list(places.values()))
+            digests = np.array(_window_digests(text, at, window, width), "S16").view("<u8").reshape(-1, 2)
+            shares = (digests[:, 0] % (-(-parts[at] // settings.share)).astype(np.uint64)).astype(np.int64)
+            buckets = np.array(minimiser, np.int64)[at]
+            order = np.lexsort((shares, buckets))
+            at, window, digests, shares, buckets = (x[order] for x in (at, window, digests, shares, buckets))
+            new = np.concatenate([[True], (buckets[1:] != buckets[:-1]) | (shares[1:] != shares[:-1])])
+            group = np.flatnonzero(new)
+            blocks = np.concatenate(
+                [np.arange(i, end, BLOCK) for i, end in zip(group, np.append(group[1:], len(at)), strict=True)]
+            )
+            cut = [slice(i, end) for i, end in zip(blocks, np.append(blocks[1:], len(at)), strict=True)]
+            yield table(
+                minimiser=buckets[blocks],
+                share=shares[blocks],
+                digest=[digests[x].tobytes() for x in cut],
+                docs=[docs[at[x]] for x in cut],
+                bodies=[bodies[at[x]] for x in cut],
+                places=[(starts[at[x]] + window[x]).astype(np.int32) for x in cut],
+            )
 
     def count(batches):
         ready, part, key, words = [], [], None, 0
@@ -226,7 +241,7 @@ def _sorted_parts(packed: DataFrame, settings: Windows) -> DataFrame:
                             yield from judged(ready)
                             ready, words = [], 0
                     part, key = [], (minimiser, number)
-                part.append(row)
+                part.append((*row, minimiser))
                 words += row[4].count(b" ") + 1
         if compared():
             ready += part
@@ -236,10 +251,60 @@ def _sorted_parts(packed: DataFrame, settings: Windows) -> DataFrame:
     number = F.pmod(F.xxhash64("doc_id", "body", "start"), F.col("parts"))
     dealt = packed.withColumn("part", number).repartition("minimiser", "part")
     return dealt.sortWithinPartitions("minimiser", "part", "doc_id").mapInArrow(
-        count, "doc_id long, body long, first int, end int, digest binary, places array<int>"
+        count,
+        "doc_id long, body long, minimiser long, share long, first int, end int, digest binary,"
+        " places array<int>, docs array<long>, bodies array<long>",
     )
 
 
+def repeats_among(digests: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Which of the windows have the digest, two numbers, of a window of a smaller document."""
+    order = np.lexsort((docs, digests[:, 1], digests[:, 0]))
+    digests, docs = digests[order], docs[order]
+    new = np.concatenate([[True], (digests[1:] != digests[:-1]).any(axis=1)])
+    least = docs[np.maximum.accumulate(np.where(new, np.arange(len(docs)), 0))]
+    again = np.zeros(len(docs), bool)
+    again[order[docs > least]] = True
+    return again
+
+
+def _across_parts(left: DataFrame, settings: Windows) -> DataFrame:
+    """(doc_id, body, first, end) of the spans that repeat a smaller document of another part."""
+    width = settings.width
+
+    def judged(rows):
+        digests, *columns = zip(*rows, strict=True)
+        docs, bodies, places = map(np.concatenate, columns)
+        again = repeats_among(np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2), docs)
+        if again.any():
+            order = np.lexsort((places[again], bodies[again], docs[again]))
+            docs, bodies, places = (x[again][order] for x in (docs, bodies, places))
+            new = np.concatenate([[True], (docs[1:] != docs[:-1]) | (bodies[1:] != bodies[:-1])])
+            text, first, end = _spans(np.cumsum(new) - 1, places, width)
+            at = np.flatnonzero(new)[text]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(docs[at]), pa.array(bodies[at]), pa.array(first, pa.int32()), pa.array(end, pa.int32())],
+                names=["doc_id", "body", "first", "end"],
+            )
+
+    def compare(batches):
+        ready, key, size = [], None, 0
+        for batch in parts_of(batches, 1024):
+            keys = zip(batch.column("minimiser").to_pylist(), batch.column("share").to_pylist(), strict=True)
+            lists = (batch.column(c) for c in ("docs", "bodies", "places"))
+            for name, digest, *row in zip(keys, values(batch, "digest"), *lists, strict=True):
+                if name != key and size >= settings.chunk:
+                    yield from judged(ready)
+                    ready, size = [], 0
+                ready.append((digest, *(x.values.to_numpy() for x in row)))
+                key, size = name, size + len(row[0])
+        if ready:
+            yield from judged(ready)
+
+    dealt = left.repartition("minimiser", "share").sortWithinPartitions("minimiser", "share")
+    return dealt.mapInArrow(compare, "doc_id long, body long, first int, end int")
+
+
 def _repeats(packed: DataFrame, settings: Windows) -> DataFrame:
     """(doc_id, body, first, end) of the spans that repeat a smaller document.
 
@@ -247,14 +312,8 @@ def _repeats(packed: DataFrame, settings: Windows) -> DataFrame:
     across parts by their digest as often as the bucket has parts, however often they occur.
     """
     judged = staged(_sorted_parts(packed, settings), "parts")
-    left = judged.where("digest is not null")
-    least = left.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    across = (
-        left.join(least.where("least < most"), "digest")
-        .where("doc_id > least")
-        .select("doc_id", "body", F.explode("places").alias("first"))
-        .withColumn("end", (F.col("first") + settings.width).cast("int"))
-    )
+    left = judged.where("digest is not null").select("minimiser", "share", "digest", "docs", "bodies", "places")
+    across = _across_parts(left, settings)
     return judged.where("digest is null").select(across.columns).unionByName(across)
 
 
@@ -287,7 +346,8 @@ def remove_repeats(documents: DataFrame, settings: Windows = Windows()) -> DataF
        bucket of their minimiser. A bucket has a part for every ``settings.part`` strings, and its
        strings are dealt over the parts by document and place. Sorting a part finds equal windows.
     3. Windows of buckets with several parts that no smaller document of their part has are
-       compared across parts by a 128-bit digest of their words.
+       compared across parts by a 128-bit digest of their words. They travel in blocks, by bucket and
+       share of the digests.
     4. The spans found join the texts again.
 
     Words are runs without ASCII white space. Null texts have none. A row with a null doc_id loses

@@ -89,6 +89,28 @@ def test_a_repeated_line_is_handed_on_once(spark):
     assert covered == set(range(0, 396 + 15))
 
 
+def test_windows_of_near_copies_are_handed_on_in_blocks(spark):
+    r = random.Random(3)
+    rows = []
+    for doc in range(400):  # each with a changed word of its own, so that few windows are the same
+        words = [f"p{i}" for i in range(40)]
+        words[r.randrange(18)] = words[-1 - r.randrange(18)] = f"u{doc}"
+        rows.append((doc, doc, 0, 1, 40, " ".join(words).encode()))
+    packed = spark.createDataFrame(rows, "doc_id long, body long, start int, minimiser long, parts long, packed binary")
+    small = Windows(width=10, anchor=3, share=4, chunk=100)
+    judged = substring_dedup._sorted_parts(packed, small).collect()
+    assert len(judged) < 3 * len(rows)  # of 31 windows each
+    for settings in (small, Windows(width=10, anchor=3, chunk=100)):
+        want = {(doc, i) for doc, *_, text in rows for i in range(31) if again(rows, text.split()[i : i + 10], doc)}
+        got = {(x.doc_id, i) for x in substring_dedup._repeats(packed, settings).collect() for i in range(x.first, x.end - 9)}
+        assert got == want
+
+
+def again(rows, window, doc):
+    text = b" %b " % b" ".join(window)
+    return any(text in b" %b " % packed for other, *_, packed in rows if other < doc)
+
+
 def test_collisions_are_told_apart(monkeypatch):
     monkeypatch.setattr(substring_dedup, "window_hashes", lambda h, width: np.zeros(len(h) - width + 1, np.uint64))
     run, window = repeated_windows(np.array([1, 2, 3]), [b"a b c", b"b c d", b"x a b c"], 3)
