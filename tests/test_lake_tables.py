@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from stratalake import create_lake_table, evolve_lake, ledger, merge_lake, read_lake, write_lake
 from stratalake.operators import DataQualityError, QualityChecker
+from stratalake.plans import registry
 from stratalake.plans.maintenance import compact_lake
 from stratalake.sinks import DuplicateKeyError
 
@@ -443,3 +444,14 @@ def test_tables_are_in_the_catalog(spark, lake):
 def test_other_catalogs_are_refused(spark):
     with pytest.raises(ValueError, match="session catalog"):
         read_lake(spark, "elsewhere.db.t")
+
+
+@pytest.mark.parametrize("stretch", [2, 3, 1000])
+def test_rows_out_of_order_are_found_across_stretches(spark, location, monkeypatch, stretch):
+    monkeypatch.setattr(registry, "CHECKED_ROWS", stretch)
+    values = {"a": [9, 8, 7, 7, 6, 5, 1], "b": [1, 2, 2, 5, 4, 6, 3, 3]}
+    for key, found in values.items():
+        rows_ = spark.createDataFrame([(key, v) for v in found], "k string, v int").coalesce(1)
+        rows_.write.mode("append").parquet(location)
+    got = registry.out_of_order(spark.read.parquet(location), "k", "v", 3)
+    assert rows(got) == [("a", 7, 5, 1, 9), ("b", 8, 2, 1, 6)]
