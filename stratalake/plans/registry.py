@@ -52,7 +52,7 @@ from stratalake.plans.layers import (
 )
 from stratalake.operators.maintenance import list_files
 from stratalake.plans.maintenance import compact_lake, data_files, expire_lake, remove_orphans
-from stratalake.session import scratch_path
+from stratalake.session import MIB, scratch_path
 from stratalake.sinks import (
     alter_lake,
     create_lake_table,
@@ -689,14 +689,20 @@ def compact_file_counts(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+LARGE_FILE_BYTES = 64 * MIB
+
+
 @query(
     """SELECT *, true AS mixed, true AS as_planned, true AS at_rest FROM lineitem"""
 )
 def compact_mixed_folder(spark, sf_dir):
-    """A commit with one large and many small files: compacted, and not again."""
+    """A commit with large files, one for every ``LARGE_FILE_BYTES`` of the table, and 40 small ones for
+    each of them: compacted, and not again."""
     lineitem, path = source(spark, sf_dir, "lineitem"), scratch_path(spark, "lineitem")
+    stored = list_files(spark, f"{sf_dir}/lineitem.parquet").agg(F.sum("length")).first()[0] or 0
+    large = -(-stored // LARGE_FILE_BYTES) or 1
     rest = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(10)) == 0
-    write_lake(lineitem.where(~rest).coalesce(1).unionByName(lineitem.where(rest).repartition(40)), path)
+    write_lake(lineitem.where(~rest).repartition(large).unionByName(lineitem.where(rest).repartition(40 * large)), path)
 
     def files():
         found = data_files(spark, path).agg(F.count("*"), F.sum("length"), F.max("length"))
@@ -704,12 +710,13 @@ def compact_mixed_folder(spark, sf_dir):
 
     n, total, largest = files()
     target = largest + 1
+    n_large = data_files(spark, path).where(F.col("length") > target // 2).count()
     first = compact_lake(spark, path, target_bytes=target)
     planned = files()[0] <= -(-total // target)
     second = compact_lake(spark, path, target_bytes=target)
     return read_lake(spark, path).withColumns(
         {
-            "mixed": F.lit(n == 41 and largest > target // 2),
+            "mixed": F.lit(n == 41 * large and n_large == large),
             "as_planned": F.lit(first is not None and planned),
             "at_rest": F.lit(second is None),
         }

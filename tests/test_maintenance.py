@@ -19,7 +19,7 @@ from stratalake.operators import (
     unreachable_files,
     with_expiry,
 )
-from stratalake.plans import maintenance
+from stratalake.plans import maintenance, registry
 from stratalake.plans.maintenance import (
     compact_lake,
     data_files,
@@ -167,6 +167,29 @@ def test_compaction_of_a_folder_with_large_and_small_files(spark, location, part
     assert compact_lake(spark, location, target_bytes=target) is None
 
 
+def test_the_mixed_folder_has_large_files_as_its_table_asks_for(spark, tmp_path, monkeypatch):
+    line = spark.range(0, 40000, 1, 4).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 7).cast("int").alias("l_linenumber"),
+        F.sha2(F.col("id").cast("string"), 256).alias("l_comment"),
+    )
+    line.write.parquet(f"file:{tmp_path}/lineitem.parquet")
+    stored = list_files(spark, f"file:{tmp_path}/lineitem.parquet").agg(F.sum("length")).first()[0]
+    monkeypatch.setattr(registry, "LARGE_FILE_BYTES", stored // 4 + 1)
+    targets = []
+    compact = registry.compact_lake
+
+    def watched(spark, path, *, target_bytes):
+        targets.append((data_files(spark, path).count(), target_bytes))
+        return compact(spark, path, target_bytes=target_bytes)
+
+    monkeypatch.setattr(registry, "compact_lake", watched)
+    got = registry.compact_mixed_folder(spark, f"file:{tmp_path}")
+    assert targets[0][0] == 4 * 41 and targets[0][1] < stored // 2
+    assert got.count() == 40000
+    flags = got.select("mixed", "as_planned", "at_rest").distinct().collect()
+    assert [tuple(x) for x in flags] == [(True, True, True)]
+
+
 def test_compaction_leaves_large_files_beside_one_small(spark, location):
     write_lake(hashes(spark, 0, 100000, 2).union(hashes(spark, 100000, 100010, 1)), location)
     write_lake(hashes(spark, 0, 10, 1), location)
