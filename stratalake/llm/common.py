@@ -8,6 +8,7 @@ from pyspark.sql.types import StructField, StructType
 from xxhash import xxh3_64_intdigest
 
 from stratalake.session import scratch_path
+from stratalake.sinks.layout import session_conf
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, most: int = 1000):
+    """Within it, tasks get batches of at most ``most`` rows, of which executor and Python worker both
+    hold one: texts, or pairs of them, make batches of Spark's 10,000 rows large."""
+    given = int(spark.conf.get(BATCH_ROWS, "10000"))
+    return session_conf(spark, {BATCH_ROWS: str(min(given, most) if given > 0 else most)})
+
+
 def columns_of(df: DataFrame) -> list[Column]:
     """The columns of ``df``, whatever they are called."""
     return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]

@@ -9,7 +9,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stratalake.llm.common import columns_of, mixed, new_names, staged, values, window_hashes, word_hashes
+from stratalake.llm.common import (
+    columns_of,
+    mixed,
+    new_names,
+    small_batches,
+    staged,
+    values,
+    window_hashes,
+    word_hashes,
+)
 from stratalake.llm.components import connected_components
 
 
@@ -247,7 +256,11 @@ def similar_documents(documents: DataFrame, settings: NearDedup = NearDedup()) -
     links and no component, and is kept. Rows that repeat a doc_id are each judged by their own
     text. Other columns are ignored.
     """
-    spark = documents.sparkSession
+    with small_batches(documents.sparkSession):  # all that runs on batches does so before this returns
+        return _similar_documents(documents, settings)
+
+
+def _similar_documents(documents: DataFrame, settings: NearDedup) -> DataFrame:
     signed = staged(signatures(documents, settings), "signatures")
     linkable = signed.where("n_shingles > 0 and doc_id is not null")
     representatives = (

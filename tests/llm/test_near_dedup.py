@@ -3,6 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake.llm import near_dedup
+from stratalake.llm.common import BATCH_ROWS, values
 from stratalake.llm.components import connected_components
 from stratalake.llm.near_dedup import NearDedup, drop_similar, shingles, similar_documents
 
@@ -102,3 +104,19 @@ def test_names_that_clash(spark):
     df = spark.createDataFrame([(1, "a b c", 1, 2, 3, 4, 5), (2, "a b c", 1, 2, 3, 4, 5)], "doc_id long, text string, key int, `Body` int, kept_id int, kept int, `x``y.z` int")
     got = drop_similar(df)
     assert got.columns == df.columns and [tuple(r) for r in got.collect()] == [(1, "a b c", 1, 2, 3, 4, 5)]
+
+
+def test_texts_come_in_small_batches(spark, monkeypatch):
+    sizes = spark.sparkContext.accumulator(0)
+
+    def sizes_of(batch, name):
+        if batch.num_rows > 1000:
+            sizes.add(1)
+        return values(batch, name)
+
+    monkeypatch.setattr(near_dedup, "values", sizes_of)
+    rows = spark.range(0, 5000, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b c d "), F.col("id")).alias("text"))
+    before = spark.conf.get(BATCH_ROWS, None)
+    assert near_dedup.similar_documents(rows).count() == 5000
+    assert spark.conf.get(BATCH_ROWS, None) == before
+    assert sizes.value == 0
