@@ -310,8 +310,13 @@ def find_leaks(documents: DataFrame, items: DataFrame, settings: Alignment = Ali
                     names=["doc_id", "item_id", "item", "from", "part"],
                 )
 
-    windows = rows.join(found, ["doc_id", "body"]).select("doc_id", "found", "text").mapInArrow(
-        cut, "doc_id long, item_id long, item long, from long, part binary"
+    # A table: two steps in Python in one stage would take two workers for each task, and Spark keeps
+    # as many for all that follows.
+    windows = staged(
+        rows.join(found, ["doc_id", "body"]).select("doc_id", "found", "text").mapInArrow(
+            cut, "doc_id long, item_id long, item long, from long, part binary"
+        ),
+        "windows",
     )
 
     def judge(batches):

@@ -78,7 +78,8 @@ RULES = BASE + MORE
 
 def _read_ledger(spark, path: str) -> DataFrame:
     if not exists(spark, path):
-        return spark.createDataFrame([], LEDGER)
+        # Not from a list, which Spark reads in Python workers of another pool and then keeps those.
+        return spark.range(0).select(F.from_json(F.lit("{}"), LEDGER).alias("row")).select("row.*")
     return spark.read.schema(LEDGER).parquet(path)
 
 

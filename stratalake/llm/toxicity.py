@@ -358,7 +358,8 @@ def drop_toxic(documents: DataFrame, net: ToxicityNet, least: float = 0.5) -> Da
         settings, words, parameters = parts.value
         ready = ToxicityNet(ToxicityTraining(**settings), words, parameters)
         for batch in batches:
-            scores = np.asarray(ready.document_scores(values(batch, "text")))
-            yield batch.filter(pa.array(scores < least))
+            stays = pa.array(np.asarray(ready.document_scores(values(batch, "text"))) < least)
+            for at in range(0, batch.num_rows, 1000):  # neither side holds a second large batch
+                yield batch.slice(at, 1000).filter(stays.slice(at, 1000))
 
     return map_batches(documents, keep, documents.schema)

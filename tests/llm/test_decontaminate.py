@@ -224,3 +224,11 @@ def test_nulls_short_items_and_empty_tables(spark):
     assert find_leaks(documents.limit(0), items).collect() == []
     assert find_leaks(documents, items.limit(0)).collect() == []
     assert drop_leaks(documents, items).where("doc_id is null").count() == 1
+
+
+def test_a_stage_has_one_step_in_python(spark):
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(40)))], "doc_id long, text string")
+    found = find_leaks(docs, docs.withColumnRenamed("doc_id", "item_id"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert [tuple(row)[:2] for row in found.collect()] == [(1, 1)]

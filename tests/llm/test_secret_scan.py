@@ -132,3 +132,10 @@ def test_many_cut_keys_take_time_in_proportion():
     compiled = re.compile(rule.pattern, rule.flags)
     text = ("-----BEGIN PRIVATE KEY-----\n" + "A" * 64 + "\n" + " " * 200 + "!") * 4000 + "A" * 300_000 + " " * 300_000
     assert len(rule.spans(text, compiled)) == 4000
+
+
+def test_a_new_ledger_takes_no_python_workers(spark):
+    none = secret_scan._read_ledger(spark, scratch_path(spark, "ledger"))
+    assert "ExistingRDD" not in none._jdf.queryExecution().executedPlan().toString()
+    assert none.schema.simpleString() == spark.createDataFrame([], secret_scan.LEDGER).schema.simpleString()
+    assert none.collect() == []

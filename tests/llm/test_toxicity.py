@@ -2,7 +2,9 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
+from stratalake.llm import toxicity
 from stratalake.llm.queries import QUERIES
 from stratalake.llm.toxicity import (
     CLEAN,
@@ -120,3 +122,13 @@ def test_toxic_rows_go_and_columns_stay(spark):
     assert drop_toxic(rows, net, 2.0).count() == 3 and drop_toxic(rows, net, 0.0).count() == 0
     cut = sorted(scores.values())[1]
     assert {(r.doc_id, r.text) for r in drop_toxic(rows, net, cut).collect()} == {k for k, s in scores.items() if s < cut}
+
+
+def test_what_stays_is_handed_on_in_small_batches(spark, monkeypatch):
+    net = train_toxicity(*corpus(spark, 120))
+    monkeypatch.setattr(toxicity, "map_batches", lambda df, function, schema: function)
+    keep = drop_toxic(spark.createDataFrame([(1, "a")], "doc_id long, text string"), net, 2.0)
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(2500)), "text": ["a"] * 2500})
+    parts = list(keep([rows, rows.slice(0, 0)]))
+    assert max(part.num_rows for part in parts) <= 1000
+    assert [i for part in parts for i in part.column("doc_id").to_pylist()] == list(range(2500))
